@@ -30,7 +30,8 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols):
 
 def value_ranks(df: DataFrame, group_cols, order_col: str, n_buckets: int = 256,
                 accuracy: int = 10000) -> DataFrame:
-    """One row per distinct (group, value): ``rank`` (SQL RANK, ascending) and ``group_n``.
+    """One row per distinct (group, value): ``rank`` (SQL RANK, ascending), ``group_n`` and
+    ``value_count`` (rows holding that value).
 
     ``order_col`` must be numeric (or date/timestamp) and non-null.
     """
@@ -71,7 +72,8 @@ def value_ranks(df: DataFrame, group_cols, order_col: str, n_buckets: int = 256,
     out = i.join(p, _null_safe_on(i, p, keys), "inner").select(
         *[i[g] for g in group_cols], i[order_col],
         (F.lit(1) + p["_below_bucket"] + i["_below_in"]).cast("long").alias("rank"),
-        p["group_n"].cast("long").alias("group_n"))
+        p["group_n"].cast("long").alias("group_n"),
+        i["_cnt"].alias("value_count"))
     return out
 
 
@@ -84,8 +86,27 @@ def with_percent_rank(df: DataFrame, group_cols, order_col: str, out_col: str =
         out_col,
         F.when(F.col("group_n") <= 1, F.lit(0.0)).otherwise(
             (F.col("rank") - 1).cast("double") / (F.col("group_n") - 1).cast("double"))
-    ).drop("rank", "group_n")
+    ).drop("rank", "group_n", "value_count")
     a = df.alias("_l")
     r = ranks.alias("_r")
     keys = group_cols + [order_col]
     return a.join(r, _null_safe_on(a, r, keys), "inner").select("_l.*", r[out_col])
+
+
+def row_numbers(df: DataFrame, group_cols, order_col: str, tiebreak_col: str,
+                out_col: str = "rn", n_buckets: int = 256) -> DataFrame:
+    """SQL ``ROW_NUMBER() OVER (PARTITION BY group ORDER BY order_col, tiebreak_col)`` plus
+    ``group_n``, computed without sending a whole group to one task.
+
+    Ties on ``order_col`` are numbered by ``tiebreak_col`` inside each tie (ties are small
+    when ``order_col`` is a hash or a timestamp).
+    """
+    group_cols = list(group_cols)
+    ranks = value_ranks(df, group_cols, order_col, n_buckets=n_buckets).drop("value_count")
+    a = df.alias("_l")
+    r = ranks.alias("_r")
+    keys = group_cols + [order_col]
+    j = a.join(r, _null_safe_on(a, r, keys), "inner").select("_l.*", r["rank"], r["group_n"])
+    tie = Window.partitionBy(*group_cols, order_col).orderBy(tiebreak_col)
+    return (j.withColumn(out_col, F.col("rank") + F.row_number().over(tie) - 1)
+            .drop("rank"))

@@ -301,8 +301,8 @@ def cohort_grid(retention: DataFrame, max_index: int | None = None) -> DataFrame
     if max_index is not None:
         levels = list(range(0, max_index + 1))
         return (r.groupBy("cohort_month").pivot("cohort_index", levels)
-                .agg(F.first("retention_pct")))
-    return r.groupBy("cohort_month").pivot("cohort_index").agg(F.first("retention_pct"))
+                .agg(F.max("retention_pct")))
+    return r.groupBy("cohort_month").pivot("cohort_index").agg(F.max("retention_pct"))
 
 
 def monthly_churn(orders: DataFrame) -> DataFrame:

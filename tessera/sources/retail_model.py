@@ -127,11 +127,43 @@ FROM <<supplier>> JOIN <<nation>> ON n_nationkey = s_nationkey""",
 FROM (SELECT tier_name, row_number() OVER (ORDER BY tier_name) AS rk
       FROM (SELECT DISTINCT c_mktsegment AS tier_name FROM <<customer>>) s) t""",
         ("customer",), ()),
+    # ---- stand-in frames for the non-retail jobs (same two-dialect mechanism) ----
+    # Social posts: one post per event; text timestamps, half of them with a zone suffix;
+    # likes are click values (NULL otherwise), a view counts as a retweet.
+    "posts": (
+        """SELECT event_id AS tweet_id,
+       concat(<<fmt_ts>>, CASE WHEN event_id % 2 = 0 THEN ' +0000' ELSE '' END) AS created_at,
+       props AS text,
+       CASE WHEN event_type = 'view' THEN event_id END AS retweeted_status_id,
+       CASE WHEN event_type = 'click' THEN value END AS rating_numerator,
+       CASE WHEN event_type = 'click' THEN 'doggo' ELSE 'None' END AS doggo,
+       CASE WHEN event_type = 'view' THEN 'floofer' ELSE 'None' END AS floofer,
+       CASE WHEN event_type = 'purchase' THEN 'pupper' ELSE 'None' END AS pupper,
+       CASE WHEN event_type = 'signup' THEN 'puppo' ELSE 'None' END AS puppo,
+       event_type AS name
+FROM <<events>>""",
+        ("events",), ()),
+    # Daily series, one per event type: exact sum of the day's values.
+    "series": (
+        """SELECT event_type AS series_id, CAST(ts AS DATE) AS t,
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value
+FROM <<events>> GROUP BY event_type, CAST(ts AS DATE)""",
+        ("events",), ()),
+    # Documents with their (partial) labels: real NULLs for the unlabelled ones.
+    "doc_frame": (
+        """SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic,
+       CASE l.quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' END AS quality_tag
+FROM <<documents>> d LEFT JOIN <<labels>> l ON l.doc_id = d.doc_id""",
+        ("documents", "labels"), ()),
 }
 
 
 def _render(template: str, dialect: str) -> str:
     out = template
+    if dialect == "spark":
+        out = out.replace("<<fmt_ts>>", "date_format(ts, 'yyyy-MM-dd HH:mm:ss')")
+    else:
+        out = out.replace("<<fmt_ts>>", "strftime(ts, '%Y-%m-%d %H:%M:%S')")
     if dialect == "spark":
         out = out.replace("<<regdate>>",
                           "date_add(DATE'1995-01-01', CAST((c_custkey * 37) % 2000 AS INT))")
