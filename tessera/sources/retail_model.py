@@ -155,6 +155,17 @@ FROM <<events>> GROUP BY event_type, CAST(ts AS DATE)""",
        CASE l.quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' END AS quality_tag
 FROM <<documents>> d LEFT JOIN <<labels>> l ON l.doc_id = d.doc_id""",
         ("documents", "labels"), ()),
+    # Yes/No answer text with stray blanks and mixed case, one per labelled document.
+    "answers": (
+        """SELECT doc_id, CASE WHEN quality = 1 THEN ' Yes' WHEN toxic = 1 THEN 'no'
+                            ELSE 'NO ' END AS answer
+FROM <<labels>>""",
+        ("labels",), ()),
+    # (truth, prediction) stand-ins: quality as truth, "not toxic" as the predicted class;
+    # for many classes, the embedding's label and the index of its largest first-ten component.
+    "binary_predictions": (
+        """SELECT doc_id, quality AS y, CASE WHEN toxic = 1 THEN 0 ELSE 1 END AS p FROM <<labels>>""",
+        ("labels",), ()),
 }
 
 
