@@ -31,17 +31,17 @@ def l2_norm(v) -> Column:
 
 def l2_normalize(v, eps: float = 1e-12) -> Column:
     """V / (||v|| + eps)."""
-    n = l2_norm(v)
-    return F.transform(as_double_array(v), lambda x: x / (n + F.lit(eps)))
+    d = as_double_array(v)
+    # the row's norm is built once and paired with every element (not recomputed per element)
+    return F.zip_with(d, F.array_repeat(l2_norm(v) + F.lit(eps), F.size(d)), lambda x, n: x / n)
 
 
 def softmax(v) -> Column:
     """exp(x - max) / sum(exp(x - max)) (shifted for stability)."""
     d = as_double_array(v)
-    m = F.array_max(d)
-    e = F.transform(d, lambda x: F.exp(x - m))
-    s = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(e, lambda x: x / s)
+    e = F.zip_with(d, F.array_repeat(F.array_max(d), F.size(d)), lambda x, m: F.exp(x - m))
+    total = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)
+    return F.zip_with(e, F.array_repeat(total, F.size(e)), lambda x, t: x / t)
 
 
 def argmax(v) -> Column:

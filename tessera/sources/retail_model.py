@@ -166,11 +166,35 @@ FROM <<labels>>""",
     "binary_predictions": (
         """SELECT doc_id, quality AS y, CASE WHEN toxic = 1 THEN 0 ELSE 1 END AS p FROM <<labels>>""",
         ("labels",), ()),
+    # Multiple-choice blocks built from parts; every 11th part lacks option C (invalid).
+    "mcq_raw": (
+        """SELECT p_partkey AS question_id,
+       concat('Question: Which brand and type describe ', p_name, '?', <<nl>>,
+              'A) ', p_brand, <<nl>>,
+              'B) ', p_type, <<nl>>,
+              CASE WHEN p_partkey % 11 = 0 THEN ''
+                   ELSE concat('C) Size ', CAST(p_size AS STRING), <<nl>>) END,
+              'd) Part ', CAST(p_partkey AS STRING), <<nl>>,
+              'Correct answer: ', substr('ABCD', CAST(p_partkey % 4 AS INT) + 1, 1)) AS raw
+FROM <<part>>""",
+        ("part",), ()),
+    # One quiz attempt per question: the user is the part's brand, the choice a letter.
+    "attempts": (
+        """SELECT p_brand AS user_id, p_partkey AS question_id,
+       substr('ABCD', CAST((p_partkey * 7) % 4 AS INT) + 1, 1) AS choice
+FROM <<part>>""",
+        ("part",), ()),
+    # Model generations: assistant turns echoed after 'Answer:' with repeated closing lines.
+    "generations": (
+        """SELECT conv_id, turn, concat('Answer: Fin.', <<nl>>, text, <<nl>>, 'FIN.') AS generation
+FROM <<conversations>> WHERE role = 'assistant'""",
+        ("conversations",), ()),
 }
 
 
 def _render(template: str, dialect: str) -> str:
     out = template
+    out = out.replace("<<nl>>", "'\\n'" if dialect == "spark" else "chr(10)")
     if dialect == "spark":
         out = out.replace("<<fmt_ts>>", "date_format(ts, 'yyyy-MM-dd HH:mm:ss')")
     else:
