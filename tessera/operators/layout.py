@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import row_numbers
+from .ranking import bucket_index, row_numbers
 
 
 def cluster_write(df: DataFrame, path: str, keys=None, num_files: int | None = None,
@@ -104,8 +104,7 @@ def zorder_key(df: DataFrame, keys, bits: int = 8, accuracy: int = 10000) -> Dat
                     for j in range(len(keys))])
     x = x.crossJoin(F.broadcast(edges))
     for j in range(len(keys)):
-        v = F.col(f"_zk{j}")
-        x = x.withColumn(f"_zb{j}", F.size(F.filter(f"_ze{j}", lambda e: e < v)).cast("long"))
+        x = x.withColumn(f"_zb{j}", bucket_index(f"_zk{j}", f"_ze{j}", n - 1).cast("long"))
     z = F.lit(0).cast("long")
     for i in range(bits):
         for j in range(len(keys)):

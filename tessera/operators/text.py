@@ -18,10 +18,18 @@ from ..functions.common import round_half_up
 from ..functions.vectors import l2_norm
 
 # Fixed values (they define the semantics that must be reproduced):
-# whitespace as Python's str.strip()/str.split() understand it,
-WS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-# line boundaries as Python's str.splitlines() understands them,
-LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+# whitespace as Python's str.strip()/str.split() understand it, and the line boundaries of
+# str.splitlines(); both derived from Python's own definitions.
+PY_WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+PY_LINE_BREAKS = "".join(chr(c) for c in range(0x3001) if len(("a" + chr(c) + "b").splitlines()) == 2)
+
+
+def _java_class(chars: str) -> str:
+    return "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in chars) + "]"
+
+
+WS = _java_class(PY_WHITESPACE)
+LINE_BREAK = "\\r\\n|" + _java_class(PY_LINE_BREAKS)
 # the context separator, prompt texts and the fallback answer of the retrieval chat.
 CONTEXT_SEP = "\n\n---\n\n"
 SYSTEM_MSG = ("You are a helpful assistant for question answering. "
@@ -36,8 +44,8 @@ def _c(x) -> Column:
 
 
 def py_strip(c) -> Column:
-    """Python ``str.strip()``: remove leading and trailing whitespace."""
-    return F.regexp_replace(_c(c), f"^{WS}+|{WS}+$", "")
+    """Python ``str.strip()``: remove leading and trailing whitespace (a character-set trim)."""
+    return F.trim(_c(c), F.lit(PY_WHITESPACE))
 
 
 def split_paragraphs(text, sep: str = "\n\n") -> Column:
@@ -201,8 +209,16 @@ def clean_answer(text, fallback: str = FALLBACK_ANSWER, min_chars: int = 10) ->
     after = py_strip(F.element_at(parts, -1))
     t = F.when(F.size(parts) > 1, F.when(after != "", after).otherwise(t)).otherwise(t)
     lines = F.filter(F.transform(F.split(t, LINE_BREAK, -1), py_strip), lambda ln: ln != "")
-    lowered = F.transform(lines, lambda ln: F.lower(ln))
-    dedup = F.filter(lines, lambda ln, i: F.array_position(lowered, F.lower(ln)) == i + 1)
+    # one pass keeping the first line of each lower-cased key; the line array is the
+    # aggregate's input, so it is built once per row
+    init = F.struct(F.array().cast("array<string>").alias("keys"),
+                    F.array().cast("array<string>").alias("out"))
+    dedup = F.aggregate(
+        lines, init,
+        lambda acc, ln: F.when(F.array_contains(acc["keys"], F.lower(ln)), acc).otherwise(
+            F.struct(F.array_append(acc["keys"], F.lower(ln)).alias("keys"),
+                     F.array_append(acc["out"], ln).alias("out"))),
+        lambda acc: acc["out"])
     joined = py_strip(F.array_join(dedup, " "))
     return F.when(F.length(joined) < min_chars, F.lit(fallback)).otherwise(joined)
 

@@ -20,10 +20,9 @@ TOP_K = 5
 MAX_CTX, MAX_NEW_TOKENS, SAFETY_MARGIN = 512, 200, 32
 PARA_SEP = "\n"  # the test documents hold single line breaks, never blank lines
 
-# RE2 (DuckDB) spellings of the Python whitespace and line-break classes used by the jobs.
-WS_RE2 = (r"[\t\n\x{0b}\x{0c}\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-          r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
-LB_RE2 = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}\x{1d}\x{1e}\x{85}\x{2028}\x{2029}]"
+# The same whitespace and line-break classes for DuckDB (RE2 reads the \x{..} escapes too).
+WS_RE2 = T.WS
+LB_RE2 = T.LINE_BREAK
 
 
 def strip_sql(x: str) -> str:
