@@ -93,25 +93,29 @@ def _order_preserving_long(c: Column, dtype: str) -> Column:
 def zorder_key(df: DataFrame, keys, bits: int = 8, accuracy: int = 10000) -> DataFrame:
     """Adds ``_z``: each key ranked into 2^bits quantile buckets, bits interleaved.
 
-    Bucket edges come from one global ``percentile_approx`` row (broadcast: one row).
+    The bucket edges are one global ``percentile_approx`` row of fixed size
+    (keys x (2^bits - 1) values); they are fetched once and embedded as literal arrays, so
+    the Z-value is a plain projection that later stages (range sampling, shuffle) do not
+    recompute through an aggregate.
     """
     keys = list(keys)
     dtypes = dict(df.dtypes)
     n = 2 ** bits
     fr = [i / n for i in range(1, n)]
     x = df.withColumns({f"_zk{j}": _order_preserving_long(F.col(k), dtypes[k]) for j, k in enumerate(keys)})
-    edges = x.agg(*[F.percentile_approx(f"_zk{j}", fr, accuracy).alias(f"_ze{j}")
-                    for j in range(len(keys))])
-    x = x.crossJoin(F.broadcast(edges))
+    row = x.agg(*[F.percentile_approx(f"_zk{j}", fr, accuracy).alias(f"_ze{j}")
+                  for j in range(len(keys))]).first()
     for j in range(len(keys)):
-        x = x.withColumn(f"_zb{j}", bucket_index(f"_zk{j}", f"_ze{j}", n - 1).cast("long"))
+        edges = [float(e) for e in (row[f"_ze{j}"] or [])]
+        lit_edges = F.array(*[F.lit(e) for e in edges]).cast("array<double>")
+        x = x.withColumn(f"_zb{j}", bucket_index(F.col(f"_zk{j}").cast("double"), lit_edges,
+                                                 len(edges)).cast("long"))
     z = F.lit(0).cast("long")
     for i in range(bits):
         for j in range(len(keys)):
             bit = F.shiftright(F.col(f"_zb{j}"), i).bitwiseAND(F.lit(1))
             z = z.bitwiseOR(F.shiftleft(bit, i * len(keys) + j))
-    drop = [f"_zk{j}" for j in range(len(keys))] + [f"_ze{j}" for j in range(len(keys))] + \
-           [f"_zb{j}" for j in range(len(keys))]
+    drop = [f"_zk{j}" for j in range(len(keys))] + [f"_zb{j}" for j in range(len(keys))]
     return x.withColumn("_z", z).drop(*drop)
 
 

@@ -133,21 +133,17 @@ def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str, probs) -
     positions floor(h) and ceil(h).  Returns (group, prob, quantile).
     """
     vr = value_ranks(long_df.filter(F.col(value_col).isNotNull()), [group_col], value_col)
-    # distinct value v covers 0-based positions [rank - 1, rank - 1 + cnt - 1]
-    vr = vr.withColumnRenamed("value_count", "_c")
+    # distinct value v covers 0-based positions [rank - 1, rank - 1 + count - 1]
     probs_df = vr.sparkSession.createDataFrame([(float(p),) for p in probs], "prob double")
-    sizes = vr.select(group_col, "group_n").distinct()
-    targets = (sizes.crossJoin(F.broadcast(probs_df))  # probs: a fixed short list
-               .withColumn("_h", (F.col("group_n") - 1).cast("double") * F.col("prob"))
-               .withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h")))
-    lo = targets.select(group_col, "prob", "_h", F.col("_lo").alias("_pos"), F.lit("lo").alias("_side"))
-    hi = targets.select(group_col, "prob", "_h", F.col("_hi").alias("_pos"), F.lit("hi").alias("_side"))
-    wanted = lo.unionByName(hi)
-    hit = wanted.join(vr, [group_col]).filter(
-        (F.col("_pos") >= F.col("rank") - 1) & (F.col("_pos") <= F.col("rank") - 2 + F.col("_c")))
+    x = (vr.crossJoin(F.broadcast(probs_df))  # a fixed short list of probabilities
+         .withColumn("_h", (F.col("group_n") - 1).cast("double") * F.col("prob")))
+    first = F.col("rank") - 1
+    last = F.col("rank") - 2 + F.col("value_count")
+    lo, hi = F.floor("_h"), F.ceil("_h")
+    hit = x.filter(((lo >= first) & (lo <= last)) | ((hi >= first) & (hi <= last)))
     piv = hit.groupBy(group_col, "prob", "_h").agg(
-        F.max(F.when(F.col("_side") == "lo", F.col(value_col))).alias("_vlo"),
-        F.max(F.when(F.col("_side") == "hi", F.col(value_col))).alias("_vhi"))
+        F.max(F.when((lo >= first) & (lo <= last), F.col(value_col))).alias("_vlo"),
+        F.max(F.when((hi >= first) & (hi <= last), F.col(value_col))).alias("_vhi"))
     frac = F.col("_h") - F.floor("_h")
     return piv.select(group_col, "prob",
                       (F.col("_vlo").cast("double")

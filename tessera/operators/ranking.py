@@ -46,51 +46,59 @@ def bucket_index(v, bounds, n_bounds: int, stride: int = 16):
 
 
 def value_ranks(df: DataFrame, group_cols, order_col: str, n_buckets: int = 256,
-                accuracy: int = 10000) -> DataFrame:
+                accuracy: int = 10000, materialize: bool = True) -> DataFrame:
     """One row per distinct (group, value): ``rank`` (SQL RANK, ascending), ``group_n`` and
     ``value_count`` (rows holding that value).
 
-    ``order_col`` must be numeric (or date/timestamp) and non-null.
+    ``order_col`` must be numeric (or date/timestamp) and non-null.  With ``materialize``
+    the (group, value, count) table, which every later step reads, is written once with a
+    reliable ``checkpoint()`` (shared checkpoint folder) instead of being recomputed from
+    the input by each consumer; this also cuts the lineage.
     """
     group_cols = list(group_cols)
     counts = df.groupBy(*group_cols, order_col).agg(F.count(F.lit(1)).alias("_cnt"))
+    if materialize:
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
+        counts = counts.checkpoint(eager=True)
     fractions = [i / n_buckets for i in range(1, n_buckets)]
+    # One pass over the counts gives the bucket edges and the group size.
+    edges = [F.percentile_approx(order_col, fractions, accuracy).alias("_bounds"),
+             F.sum("_cnt").alias("group_n")]
     if group_cols:
-        bounds = counts.groupBy(*group_cols).agg(
-            F.percentile_approx(order_col, fractions, accuracy).alias("_bounds"))
+        bounds = counts.groupBy(*group_cols).agg(*edges)
         b = bounds.alias("_b")
         c = counts.alias("_c")
         cb = c.join(b, _null_safe_on(c, b, group_cols), "inner").select(
-            *[c[g] for g in group_cols], c[order_col], c["_cnt"], b["_bounds"])
+            *[c[g] for g in group_cols], c[order_col], c["_cnt"], b["_bounds"], b["group_n"])
     else:
-        bounds = counts.agg(F.percentile_approx(order_col, fractions, accuracy).alias("_bounds"))
-        # one row, proven by the global aggregate above
-        cb = counts.crossJoin(F.broadcast(bounds))
-    v = F.col(order_col)
-    cb = cb.withColumn("_bucket", bucket_index(v, "_bounds", n_buckets - 1)).drop("_bounds")
-
-    # Rows below each bucket, and the group size, from the small per-bucket table.
-    per_bucket = cb.groupBy(*group_cols, "_bucket").agg(F.sum("_cnt").alias("_bt"))
+        bounds = counts.agg(*edges)
+        cb = counts.crossJoin(F.broadcast(bounds))  # one row: a global aggregate
+    cb = cb.withColumn("_bucket", bucket_index(F.col(order_col), "_bounds", n_buckets - 1)) \
+        .drop("_bounds")
+
+    # Smaller values inside the bucket, and the bucket total, from one window partitioning.
+    wb = Window.partitionBy(*group_cols, "_bucket")
+    inside = cb.select(
+        "*",
+        F.coalesce(F.sum("_cnt").over(wb.orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_below_in"),
+        F.sum("_cnt").over(wb).alias("_bt"))
+    # Rows in all lower buckets: a window over the small (group, bucket) table.
     wg = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
-    per_bucket = per_bucket.select(
+    per_bucket = inside.select(*group_cols, "_bucket", "_bt").distinct().select(
         *group_cols, "_bucket",
-        (F.coalesce(F.sum("_bt").over(
-            wg.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-         ).alias("_below_bucket"),
-        F.sum("_bt").over(wg).alias("group_n"))
-
-    wb = (Window.partitionBy(*group_cols, "_bucket").orderBy(order_col)
-          .rowsBetween(Window.unboundedPreceding, -1))
-    inside = cb.withColumn("_below_in", F.coalesce(F.sum("_cnt").over(wb), F.lit(0)))
+        F.coalesce(F.sum("_bt").over(wg.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_below_bucket"))
     i = inside.alias("_i")
     p = per_bucket.alias("_p")
     keys = group_cols + ["_bucket"]
-    out = i.join(p, _null_safe_on(i, p, keys), "inner").select(
+    return i.join(p, _null_safe_on(i, p, keys), "inner").select(
         *[i[g] for g in group_cols], i[order_col],
         (F.lit(1) + p["_below_bucket"] + i["_below_in"]).cast("long").alias("rank"),
-        p["group_n"].cast("long").alias("group_n"),
+        i["group_n"].cast("long").alias("group_n"),
         i["_cnt"].alias("value_count"))
-    return out
 
 
 def with_percent_rank(df: DataFrame, group_cols, order_col: str, out_col: str = "pr",
