@@ -118,12 +118,14 @@ def cosine_topk(corpus: DataFrame, queries: DataFrame, k: int = 2, corpus_id: st
     ``places`` decimals; ties go to the smaller corpus id.  The query set is checked
     against ``max_queries`` before it is broadcast; each task scores its corpus batch with
     one matrix product and keeps k rows per query, so only (tasks x queries x k) candidates
-    are shuffled for the final exact ranking.
+    are shuffled for the final exact ranking.  A larger query set takes the join form
+    (``_cosine_topk_join``): same result, no broadcast.
     """
     spark = corpus.sparkSession
     n_q = queries.count()
-    if n_q > max_queries:
-        raise ValueError(f"{n_q} queries exceed max_queries={max_queries}; split the query set")
+    if n_q > max_queries:  # too large to broadcast: the distributed join form
+        return _cosine_topk_join(corpus, queries, k, corpus_id, corpus_vec, query_id, query_vec,
+                                 places, eps)
     q_rows = queries.select(query_id, query_vec).collect()  # bounded by the check above
     q_ids = np.array([r[0] for r in q_rows])
     q_mat = np.array([np.asarray(r[1], dtype=np.float64) for r in q_rows], dtype=np.float64)
@@ -167,6 +169,26 @@ def cosine_topk(corpus: DataFrame, queries: DataFrame, k: int = 2, corpus_id: st
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def _cosine_topk_join(corpus: DataFrame, queries: DataFrame, k: int, corpus_id: str,
+                      corpus_vec: str, query_id: str, query_vec: str, places: int, eps: float,
+                      n_buckets: int = 64) -> DataFrame:
+    """``cosine_topk`` for query sets too large to broadcast: every (corpus, query) pair is
+    scored by a join, each (query, corpus hash bucket) keeps its k best, then the final rank
+    runs over at most ``n_buckets x k`` rows per query."""
+    from ..functions.vectors import dot, l2_normalize
+
+    c = corpus.select(F.col(corpus_id), l2_normalize(corpus_vec, eps).alias("_cv"),
+                      F.pmod(F.xxhash64(corpus_id), F.lit(n_buckets)).alias("_b"))
+    q = queries.select(F.col(query_id), l2_normalize(query_vec, eps).alias("_qv"))
+    sims = c.crossJoin(q).select(query_id, corpus_id, "_b",
+                                 round_half_up(dot("_cv", "_qv"), places).alias("similarity"))
+    order = (F.desc("similarity"), F.col(corpus_id))
+    first = sims.withColumn("_r", F.row_number().over(Window.partitionBy(query_id, "_b").orderBy(*order)))
+    cand = first.filter(F.col("_r") <= k).drop("_r", "_b")
+    w = Window.partitionBy(query_id).orderBy(*order)
+    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
 def normalize_vectors(df: DataFrame, vec_col: str, places: int = 9, eps: float = 1e-12) -> DataFrame:
     """T3 as a column job: each vector divided by (its L2 norm + eps)."""
     x = df.withColumn("_norm", l2_norm(vec_col))  # once per row, not once per element
