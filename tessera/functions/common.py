@@ -72,3 +72,8 @@ def month_start(c) -> Column:
 def month_label(c) -> Column:
     """'YYYY-MM-01' text of the month a date falls in."""
     return F.date_format(month_start(c), "yyyy-MM-01")
+
+
+def thousands(c, places: int = 2) -> Column:
+    """Number text with thousands separators and ``places`` decimals ("1,234,567.50")."""
+    return F.format_number(col_(c), places)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.common import money, round_half_up
+from ..functions.common import money, round_half_up, thousands
 from .ranking import value_ranks
 
 # Timestamp text patterns tried in order (text with a zone offset, then without).
@@ -73,11 +73,13 @@ def date_range_filter(df: DataFrame, start, end, col: str = "date") -> DataFrame
 
 
 def period_totals(daily: DataFrame) -> DataFrame:
-    """Totals over the (filtered) daily rows."""
-    return daily.agg(F.sum(money("likes")).cast("double").alias("total_likes"),
-                     F.sum("retweets").cast("long").alias("total_retweets"),
-                     F.sum("tweets").cast("long").alias("total_tweets"),
-                     F.count(F.lit(1)).alias("days"))
+    """Totals over the (filtered) daily rows, with the likes total also as text with
+    thousands separators (as on the dashboard tiles)."""
+    t = daily.agg(F.sum(money("likes")).cast("double").alias("total_likes"),
+                  F.sum("retweets").cast("long").alias("total_retweets"),
+                  F.sum("tweets").cast("long").alias("total_tweets"),
+                  F.count(F.lit(1)).alias("days"))
+    return t.withColumn("total_likes_text", thousands("total_likes", 2))
 
 
 def details_transmute(enriched: DataFrame) -> DataFrame:

@@ -107,6 +107,14 @@ def q_zorder_skipping(spark, d):
     return out
 
 
+@register("point_lookup", G, "SELECT * FROM orders WHERE o_orderkey = 4 OR o_custkey = 100")
+def q_point_lookup(spark, d):
+    """Equality / OR point filter on the Z-ordered copy of orders (min/max file skipping)."""
+    path = L.zorder_write(Tables(spark, d).orders, scratch_path(spark, "zlookup"),
+                          ["o_orderkey", "o_custkey"], num_files=16)
+    return spark.read.parquet(path).filter((F.col("o_orderkey") == 4) | (F.col("o_custkey") == 100))
+
+
 _EVENTS_DAY = "SELECT *, CAST(ts AS DATE) AS creation_day FROM events"
 
 

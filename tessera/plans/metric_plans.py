@@ -52,10 +52,12 @@ def q_date_range_filter(spark, d):
 
 
 @register("period_totals", G, with_views(["posts"], f"""WITH {_DAILY_SQL}
+SELECT total_likes, total_retweets, total_tweets, days,
+       format('{{:,.2f}}', total_likes) AS total_likes_text FROM (
 SELECT CAST(SUM(CAST(likes AS DECIMAL(18,2))) AS DOUBLE) AS total_likes,
        CAST(SUM(retweets) AS BIGINT) AS total_retweets, CAST(SUM(tweets) AS BIGINT) AS total_tweets,
        COUNT(*) AS days
-FROM daily WHERE date >= DATE '{RANGE_START}' AND date <= DATE '{RANGE_END}'"""))
+FROM daily WHERE date >= DATE '{RANGE_START}' AND date <= DATE '{RANGE_END}') t"""))
 def q_period_totals(spark, d):
     return M.period_totals(M.date_range_filter(_daily(spark, d), RANGE_START, RANGE_END))
 

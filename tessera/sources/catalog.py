@@ -92,6 +92,20 @@ def warehouse_revenue_report(spark: SparkSession) -> tuple[DataFrame | None, str
     return None, "No warehouse mapping found (order_items/ orders/ shipments)."
 
 
+def run_query(spark: SparkSession, sql: str, params: dict | None = None) -> DataFrame:
+    """S3: parameterised SQL over registered views (``:name`` markers bound from ``params``).
+
+    Lists are not accepted as a single parameter; give one marker per item (``:s0, :s1``)
+    or filter with ``Column.isin`` in the DataFrame API.
+    """
+    return spark.sql(sql, args=params or None)
+
+
+def exec_sql(spark: SparkSession, sql: str, params: dict | None = None) -> None:
+    """A statement without a result (DDL / DML), run for its effect."""
+    spark.sql(sql, args=params or None).collect()
+
+
 def register_views(frames: dict[str, DataFrame]) -> None:
     """S3 / S4 helper: expose DataFrames to SQL and to the probes as temporary views."""
     for name, df in frames.items():
