@@ -1,0 +1,5 @@
+"""Streaming.
+
+The reference defines no stream source, watermark, event-time window or stateful
+operator, so no streaming job is built here; every job is a batch DataFrame plan.
+"""
