@@ -43,7 +43,7 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     keys = [k for k in os.environ.get("BENCH_KEYS", "").split(",") if k] or HEADLINE
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus,
                           app_name="tessera-bench")
     reg = load_all()
     times = {}

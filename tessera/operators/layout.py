@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import bucket_index, row_numbers
+from .ranking import bucket_of_edges, row_numbers
 
 
 def cluster_write(df: DataFrame, path: str, keys=None, num_files: int | None = None,
@@ -107,9 +107,7 @@ def zorder_key(df: DataFrame, keys, bits: int = 8, accuracy: int = 10000) -> Dat
                   for j in range(len(keys))]).first()
     for j in range(len(keys)):
         edges = [float(e) for e in (row[f"_ze{j}"] or [])]
-        lit_edges = F.array(*[F.lit(e) for e in edges]).cast("array<double>")
-        x = x.withColumn(f"_zb{j}", bucket_index(F.col(f"_zk{j}").cast("double"), lit_edges,
-                                                 len(edges)).cast("long"))
+        x = x.withColumn(f"_zb{j}", bucket_of_edges(F.col(f"_zk{j}").cast("double"), edges).cast("long"))
     z = F.lit(0).cast("long")
     for i in range(bits):
         for j in range(len(keys)):

@@ -127,25 +127,51 @@ def date_bounds(frames: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str, probs) -> DataFrame:
+def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str, probs,
+                    n_buckets: int = 256) -> DataFrame:
     """Exact, linearly interpolated quantiles per group (as pandas / numpy ``linear``).
 
-    Works from the distinct-value ranks of ``ranking.value_ranks``, so no group's values are
-    ever gathered in one place: position h = (n - 1) q; the answer mixes the values at
-    positions floor(h) and ceil(h).  Returns (group, prob, quantile).
+    No group's values are gathered in one place: values are reduced to (group, value,
+    count), cut into buckets by approximate quantiles, and the small per-bucket totals
+    tell which bucket holds each wanted position (h = (n - 1) q and its two neighbours).
+    Only those few buckets are sorted.  Returns (group, prob, quantile).
     """
-    vr = value_ranks(long_df.filter(F.col(value_col).isNotNull()), [group_col], value_col)
-    # distinct value v covers 0-based positions [rank - 1, rank - 1 + count - 1]
-    probs_df = vr.sparkSession.createDataFrame([(float(p),) for p in probs], "prob double")
-    x = (vr.crossJoin(F.broadcast(probs_df))  # a fixed short list of probabilities
-         .withColumn("_h", (F.col("group_n") - 1).cast("double") * F.col("prob")))
-    first = F.col("rank") - 1
-    last = F.col("rank") - 2 + F.col("value_count")
-    lo, hi = F.floor("_h"), F.ceil("_h")
-    hit = x.filter(((lo >= first) & (lo <= last)) | ((hi >= first) & (hi <= last)))
+    from .ranking import assign_buckets
+
+    spark = long_df.sparkSession
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    counts = (long_df.filter(F.col(value_col).isNotNull())
+              .groupBy(group_col, value_col).agg(F.count(F.lit(1)).alias("_c"))
+              .checkpoint(eager=True))  # read by every step below
+    fr = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = counts.groupBy(group_col).agg(
+        F.percentile_approx(value_col, fr, 10000).alias("_bounds"), F.sum("_c").alias("_n"))
+    cb = assign_buckets(counts, bounds, [group_col], value_col, out_col="_b", carry=["_n"])
+    wg = Window.partitionBy(group_col).orderBy("_b")
+    per_bucket = (cb.groupBy(group_col, "_b").agg(F.sum("_c").alias("_bt"), F.first("_n").alias("_n"))
+                  .withColumn("_start", F.coalesce(
+                      F.sum("_bt").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+    probs_df = spark.createDataFrame([(float(p),) for p in probs], "prob double")
+    pos = (per_bucket.crossJoin(F.broadcast(probs_df))  # a fixed short list of probabilities
+           .withColumn("_h", (F.col("_n") - 1).cast("double") * F.col("prob"))
+           .withColumn("_pos", F.explode(F.array(F.floor("_h"), F.ceil("_h"))))
+           .filter((F.col("_pos") >= F.col("_start")) & (F.col("_pos") < F.col("_start") + F.col("_bt")))
+           .select(group_col, "_b", "prob", "_h", "_pos", "_start"))
+    wanted = pos.select(group_col, "_b").distinct()
+    inside = (cb.join(wanted, [group_col, "_b"], "left_semi")
+              .withColumn("_below", F.coalesce(F.sum("_c").over(
+                  Window.partitionBy(group_col, "_b").orderBy(value_col)
+                  .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+    hit = pos.join(inside, [group_col, "_b"]).filter(
+        (F.col("_pos") >= F.col("_start") + F.col("_below"))
+        & (F.col("_pos") < F.col("_start") + F.col("_below") + F.col("_c")))
+    lo = F.col("_pos") == F.floor("_h")
+    hi = F.col("_pos") == F.ceil("_h")
     piv = hit.groupBy(group_col, "prob", "_h").agg(
-        F.max(F.when((lo >= first) & (lo <= last), F.col(value_col))).alias("_vlo"),
-        F.max(F.when((hi >= first) & (hi <= last), F.col(value_col))).alias("_vhi"))
+        F.max(F.when(lo, F.col(value_col))).alias("_vlo"),
+        F.max(F.when(hi, F.col(value_col))).alias("_vhi"))
     frac = F.col("_h") - F.floor("_h")
     return piv.select(group_col, "prob",
                       (F.col("_vlo").cast("double")

@@ -29,11 +29,9 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols):
 
 
 def bucket_index(v, bounds, n_bounds: int, stride: int = 16):
-    """Number of entries of the ascending array ``bounds`` (length ``n_bounds``) below ``v``.
-
-    Two-level lookup: every ``stride``-th bound first, then at most ``stride - 1`` bounds
-    inside the chosen stretch, about 2 x sqrt(n) comparisons instead of n.
-    """
+    """Number of entries of the ascending array column ``bounds`` below ``v`` (two-level
+    lookup, about 2 x sqrt(n) comparisons).  Prefer ``bucket_of_edges`` (literal edges) or
+    ``assign_buckets`` (per-group edges): both avoid per-row lambdas."""
     v = F.col(v) if isinstance(v, str) else v
     b = F.col(bounds) if isinstance(bounds, str) else bounds
     n_coarse = n_bounds // stride
@@ -45,6 +43,51 @@ def bucket_index(v, bounds, n_bounds: int, stride: int = 16):
     return c * stride + F.aggregate(stretch, F.lit(0), lambda acc, x: acc + F.when(x < v, 1).otherwise(0))
 
 
+def bucket_of_edges(v, edges) -> F.Column:
+    """Number of the ascending literal ``edges`` below ``v``: a balanced tree of CASE WHEN
+    (log2(n) comparisons per row, compiled by whole-stage code generation)."""
+    v = F.col(v) if isinstance(v, str) else v
+    edges = list(edges)
+
+    def count_less(lo: int, hi: int):
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(v > F.lit(edges[mid]), count_less(mid + 1, hi)).otherwise(count_less(lo, mid))
+
+    return count_less(0, len(edges))
+
+
+def assign_buckets(df: DataFrame, bounds: DataFrame, group_cols, value_col: str,
+                   bounds_col: str = "_bounds", out_col: str = "_bucket", carry=()) -> DataFrame:
+    """Bucket = number of the group's edges below the value, by an interval join.
+
+    Each group's ascending edges become intervals (e[i-1], e[i]] numbered i, plus the open
+    top interval.  The join is an equality on the group plus a range test: AQE broadcasts
+    the interval table when it is small, otherwise the shuffle join's skew handling splits a
+    hot group.  Comparisons are compiled, not evaluated per array element.  ``carry``
+    columns of ``bounds`` (per-group values) are copied to the output rows.
+    """
+    group_cols = list(group_cols)
+    carry = list(carry)
+    gk = {g: f"_ivg_{i}" for i, g in enumerate(group_cols)}
+    ck = {c: f"_ivc_{i}" for i, c in enumerate(carry)}
+    base = bounds.select(*[F.col(g).alias(gk[g]) for g in group_cols],
+                         *[F.col(c).alias(ck[c]) for c in carry], F.col(bounds_col).alias("_ivb"))
+    iv = base.select(*gk.values(), *ck.values(), F.posexplode("_ivb").alias("_i", "_hi"))
+    w = Window.partitionBy(*gk.values()).orderBy("_i") if group_cols else Window.orderBy("_i")
+    iv = iv.withColumn("_lo", F.lag("_hi").over(w))  # small table: groups x edges
+    top = base.select(*gk.values(), *ck.values(), F.size("_ivb").alias("_i"),
+                      F.element_at("_ivb", -1).alias("_lo"))
+    iv = iv.unionByName(top.withColumn("_hi", F.lit(None).cast(iv.schema["_hi"].dataType)))
+    v = F.col(value_col)
+    cond = (F.col("_lo").isNull() | (v > F.col("_lo"))) & (F.col("_hi").isNull() | (v <= F.col("_hi")))
+    for g in group_cols:
+        cond = cond & F.col(g).eqNullSafe(F.col(gk[g]))
+    out = df.join(iv, cond, "inner")
+    return out.select(*df.columns, *[F.col(ck[c]).alias(c) for c in carry], F.col("_i").alias(out_col))
+
+
 def value_ranks(df: DataFrame, group_cols, order_col: str, n_buckets: int = 256,
                 accuracy: int = 10000, materialize: bool = True) -> DataFrame:
     """One row per distinct (group, value): ``rank`` (SQL RANK, ascending), ``group_n`` and
@@ -68,15 +111,12 @@ def value_ranks(df: DataFrame, group_cols, order_col: str, n_buckets: int = 256,
              F.sum("_cnt").alias("group_n")]
     if group_cols:
         bounds = counts.groupBy(*group_cols).agg(*edges)
-        b = bounds.alias("_b")
-        c = counts.alias("_c")
-        cb = c.join(b, _null_safe_on(c, b, group_cols), "inner").select(
-            *[c[g] for g in group_cols], c[order_col], c["_cnt"], b["_bounds"], b["group_n"])
+        cb = assign_buckets(counts, bounds, group_cols, order_col, carry=["group_n"])
     else:
-        bounds = counts.agg(*edges)
-        cb = counts.crossJoin(F.broadcast(bounds))  # one row: a global aggregate
-    cb = cb.withColumn("_bucket", bucket_index(F.col(order_col), "_bounds", n_buckets - 1)) \
-        .drop("_bounds")
+        row = counts.agg(*edges).first()  # one row of fixed size (n_buckets - 1 edges)
+        cb = counts.withColumns({
+            "_bucket": bucket_of_edges(F.col(order_col), row["_bounds"] or []),
+            "group_n": F.lit(int(row["group_n"] or 0)).cast("long")})
 
     # Smaller values inside the bucket, and the bucket total, from one window partitioning.
     wb = Window.partitionBy(*group_cols, "_bucket")
