@@ -136,9 +136,16 @@ def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str, probs,
     tell which bucket holds each wanted position (h = (n - 1) q and its two neighbours).
     Only those few buckets are sorted.  Returns (group, prob, quantile).
     """
+    from ..session import small_input
     from .ranking import assign_buckets
 
     spark = long_df.sparkSession
+    if small_input(long_df):  # proven small input: Spark's exact percentile per group
+        ps = [float(p) for p in probs]
+        q = long_df.groupBy(group_col).agg(F.percentile(value_col, ps).alias("_q"))
+        return q.select(group_col, F.explode(F.arrays_zip(
+            F.array(*[F.lit(p) for p in ps]).alias("prob"), F.col("_q").alias("quantile"))).alias("_z")) \
+            .select(group_col, F.col("_z.prob").alias("prob"), F.col("_z.quantile").alias("quantile"))
     from ..session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
@@ -185,7 +192,17 @@ def describe_numeric(df: DataFrame, cols, places: int = 6) -> DataFrame:
     One row per column.  The frame is reshaped to (column, value) once, so every statistic
     is a grouped aggregate of a single scan; quantiles are exact and interpolated.
     """
+    from ..session import small_input
+
     long_df = unpivot_metrics(df, [], cols, "column_name", "v")
+    if small_input(df):  # proven small input: one grouped pass with Spark's exact percentile
+        q = F.percentile("v", [0.25, 0.5, 0.75])
+        return long_df.groupBy("column_name").agg(
+            F.count("v").alias("count"), round_half_up(F.avg("v"), places).alias("mean"),
+            round_half_up(F.stddev_samp("v"), places).alias("std"),
+            F.min("v").alias("min"), F.max("v").alias("max"), q.alias("_q")).select(
+            "*", *[round_half_up(F.col("_q")[i], places).alias(n)
+                   for i, n in enumerate(("p25", "p50", "p75"))]).drop("_q")
     basic = long_df.groupBy("column_name").agg(
         F.count("v").alias("count"),
         round_half_up(F.avg("v"), places).alias("mean"),

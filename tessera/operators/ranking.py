@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import small_input
+
 
 def _null_safe_on(left: DataFrame, right: DataFrame, cols):
     cond = None
@@ -100,6 +102,13 @@ def value_ranks(df: DataFrame, group_cols, order_col: str, n_buckets: int = 256,
     """
     group_cols = list(group_cols)
     counts = df.groupBy(*group_cols, order_col).agg(F.count(F.lit(1)).alias("_cnt"))
+    if small_input(df):  # proven small input: plain windows over the distinct values
+        wg = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
+        below = F.sum("_cnt").over(wg.orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1))
+        return counts.select(*group_cols, order_col,
+                             (F.lit(1) + F.coalesce(below, F.lit(0))).cast("long").alias("rank"),
+                             F.sum("_cnt").over(wg).cast("long").alias("group_n"),
+                             F.col("_cnt").alias("value_count"))
     if materialize:
         from ..session import ensure_checkpoint_dir
 
@@ -145,6 +154,9 @@ def with_percent_rank(df: DataFrame, group_cols, order_col: str, out_col: str =
                       n_buckets: int = 256) -> DataFrame:
     """Adds SQL ``PERCENT_RANK() OVER (PARTITION BY group ORDER BY order_col)``."""
     group_cols = list(group_cols)
+    if small_input(df):
+        w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))).orderBy(order_col)
+        return df.withColumn(out_col, F.percent_rank().over(w))
     ranks = value_ranks(df, group_cols, order_col, n_buckets=n_buckets)
     ranks = ranks.withColumn(
         out_col,
@@ -166,6 +178,10 @@ def row_numbers(df: DataFrame, group_cols, order_col: str, tiebreak_col: str,
     when ``order_col`` is a hash or a timestamp).
     """
     group_cols = list(group_cols)
+    if small_input(df):
+        wg = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
+        return df.withColumns({out_col: F.row_number().over(wg.orderBy(order_col, tiebreak_col)),
+                               "group_n": F.count(F.lit(1)).over(wg)})
     ranks = value_ranks(df, group_cols, order_col, n_buckets=n_buckets).drop("value_count")
     a = df.alias("_l")
     r = ranks.alias("_r")

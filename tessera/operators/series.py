@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import round_half_up
+from ..session import small_input
 from .ranking import row_numbers
 
 
@@ -26,6 +27,11 @@ def sliding_windows(df: DataFrame, series_cols, order_col: str, value_col: str,
     """For each row with ``k`` earlier rows: the ``k`` previous values (oldest first)
     as ``features`` and the row's own value as ``target``."""
     series_cols = list(series_cols)
+    if small_input(df):  # proven small input: a frame of the k previous rows
+        w = Window.partitionBy(*series_cols).orderBy(order_col).rowsBetween(-k, -1)
+        out = df.withColumn("features", F.collect_list(F.col(value_col)).over(w))
+        return (out.filter(F.size("features") == k)
+                .select(*series_cols, order_col, "features", F.col(value_col).alias("target")))
     p = positions(df, series_cols, order_col)
     # value at position q feeds targets q+1 .. q+k, at slot k - j (0-based, oldest first)
     sent = p.select(*series_cols, "pos", value_col,
