@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import bucket_of_edges, row_numbers
+from .ranking import bucketize, row_numbers
 
 
 def cluster_write(df: DataFrame, path: str, keys=None, num_files: int | None = None,
@@ -94,20 +94,21 @@ def zorder_key(df: DataFrame, keys, bits: int = 8, accuracy: int = 10000) -> Dat
     """Adds ``_z``: each key ranked into 2^bits quantile buckets, bits interleaved.
 
     The bucket edges are one global ``percentile_approx`` row of fixed size
-    (keys x (2^bits - 1) values); they are fetched once and embedded as literal arrays, so
-    the Z-value is a plain projection that later stages (range sampling, shuffle) do not
-    recompute through an aggregate.
+    (keys x (2^bits - 1) values); they are fetched once and applied by ``Bucketizer``'s
+    binary search, so the Z-value is a plain projection that later stages (range sampling,
+    shuffle) do not recompute through an aggregate.
     """
     keys = list(keys)
     dtypes = dict(df.dtypes)
     n = 2 ** bits
     fr = [i / n for i in range(1, n)]
-    x = df.withColumns({f"_zk{j}": _order_preserving_long(F.col(k), dtypes[k]) for j, k in enumerate(keys)})
+    x = df.withColumns({f"_zk{j}": _order_preserving_long(F.col(k), dtypes[k]).cast("double")
+                        for j, k in enumerate(keys)})
     row = x.agg(*[F.percentile_approx(f"_zk{j}", fr, accuracy).alias(f"_ze{j}")
                   for j in range(len(keys))]).first()
     for j in range(len(keys)):
-        edges = [float(e) for e in (row[f"_ze{j}"] or [])]
-        x = x.withColumn(f"_zb{j}", bucket_of_edges(F.col(f"_zk{j}").cast("double"), edges).cast("long"))
+        x = bucketize(x, f"_zk{j}", row[f"_ze{j}"] or [], f"_zb{j}") \
+            .withColumn(f"_zb{j}", F.col(f"_zb{j}").cast("long"))
     z = F.lit(0).cast("long")
     for i in range(bits):
         for j in range(len(keys)):

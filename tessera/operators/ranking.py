@@ -30,34 +30,26 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols):
     return cond
 
 
-def bucket_index(v, bounds, n_bounds: int, stride: int = 16):
-    """Number of entries of the ascending array column ``bounds`` below ``v`` (two-level
-    lookup, about 2 x sqrt(n) comparisons).  Prefer ``bucket_of_edges`` (literal edges) or
-    ``assign_buckets`` (per-group edges): both avoid per-row lambdas."""
-    v = F.col(v) if isinstance(v, str) else v
-    b = F.col(bounds) if isinstance(bounds, str) else bounds
-    n_coarse = n_bounds // stride
-    if n_coarse == 0:
-        return F.aggregate(b, F.lit(0), lambda acc, x: acc + F.when(x < v, 1).otherwise(0))
-    coarse = F.array(*[F.element_at(b, (j + 1) * stride) for j in range(n_coarse)])
-    c = F.aggregate(coarse, F.lit(0), lambda acc, x: acc + F.when(x < v, 1).otherwise(0))
-    stretch = F.slice(b, c * stride + 1, F.lit(stride - 1))
-    return c * stride + F.aggregate(stretch, F.lit(0), lambda acc, x: acc + F.when(x < v, 1).otherwise(0))
-
-
-def bucket_of_edges(v, edges) -> F.Column:
-    """Number of the ascending literal ``edges`` below ``v``: a balanced tree of CASE WHEN
-    (log2(n) comparisons per row, compiled by whole-stage code generation)."""
-    v = F.col(v) if isinstance(v, str) else v
-    edges = list(edges)
-
-    def count_less(lo: int, hi: int):
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(v > F.lit(edges[mid]), count_less(mid + 1, hi)).otherwise(count_less(lo, mid))
-
-    return count_less(0, len(edges))
+def sortable_double(c, dtype: str) -> F.Column:
+    """A double that orders like the value (dates and timestamps as day / microsecond counts)."""
+    c = F.col(c) if isinstance(c, str) else c
+    if dtype == "date":
+        return F.unix_date(c).cast("double")
+    if dtype in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    return c.cast("double")
+
+
+def bucketize(df: DataFrame, in_col: str, edges, out_col: str) -> DataFrame:
+    """Monotone bucket number of a double column from fixed edges (driver-side list of
+    bounded length), by ``Bucketizer``'s binary search in the JVM: bucket i holds
+    [e_i, e_{i+1}) of the distinct sorted edges."""
+    from pyspark.ml.feature import Bucketizer
+
+    splits = [float("-inf")] + sorted({float(e) for e in edges}) + [float("inf")]
+    out = Bucketizer(splits=splits, inputCol=in_col, outputCol=out_col,
+                     handleInvalid="keep").transform(df)
+    return out.withColumn(out_col, F.col(out_col).cast("int"))
 
 
 def assign_buckets(df: DataFrame, bounds: DataFrame, group_cols, value_col: str,
@@ -122,10 +114,12 @@ def value_ranks(df: DataFrame, group_cols, order_col: str, n_buckets: int = 256,
         bounds = counts.groupBy(*group_cols).agg(*edges)
         cb = assign_buckets(counts, bounds, group_cols, order_col, carry=["group_n"])
     else:
-        row = counts.agg(*edges).first()  # one row of fixed size (n_buckets - 1 edges)
-        cb = counts.withColumns({
-            "_bucket": bucket_of_edges(F.col(order_col), row["_bounds"] or []),
-            "group_n": F.lit(int(row["group_n"] or 0)).cast("long")})
+        dtype = dict(counts.dtypes)[order_col]
+        keyed = counts.withColumn("_key", sortable_double(order_col, dtype))
+        row = keyed.agg(F.percentile_approx("_key", fractions, accuracy).alias("_bounds"),
+                        F.sum("_cnt").alias("group_n")).first()  # one row, n_buckets - 1 edges
+        cb = bucketize(keyed, "_key", row["_bounds"] or [], "_bucket").drop("_key") \
+            .withColumn("group_n", F.lit(int(row["group_n"] or 0)).cast("long"))
 
     # Smaller values inside the bucket, and the bucket total, from one window partitioning.
     wb = Window.partitionBy(*group_cols, "_bucket")
