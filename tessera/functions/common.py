@@ -17,14 +17,28 @@ def money(c) -> Column:
     return col_(c).cast(MONEY)
 
 
+def cents(c) -> Column:
+    """A currency value as whole cents in a LONG (half-up), for exact integer sums.
+
+    Long sums are exact and independent of row order like DECIMAL sums, but stay in
+    primitive arithmetic (a DECIMAL sum buffer wider than 18 digits is a BigDecimal).
+    """
+    return F.floor(col_(c) * F.lit(100.0) + F.lit(0.5)).cast("long")
+
+
+def from_cents(c) -> Column:
+    """Cents back to currency units as double (the exact total, correctly rounded)."""
+    return col_(c) / F.lit(100.0)
+
+
 def money_sum(c) -> Column:
     """Exact sum of a currency column, returned as double."""
-    return F.sum(money(c)).cast("double")
+    return from_cents(F.sum(cents(c)))
 
 
 def exact_avg(c) -> Column:
-    """Mean of a currency column: exact decimal sum divided by the non-null count."""
-    return F.sum(money(c)).cast("double") / F.count(col_(c))
+    """Mean of a currency column: exact sum divided by the non-null count."""
+    return from_cents(F.sum(cents(c))) / F.count(col_(c))
 
 
 def round_half_up(c, places: int = 2) -> Column:

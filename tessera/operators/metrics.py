@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.common import money, round_half_up, thousands
+from ..functions.common import cents, from_cents, money_sum, round_half_up, thousands
 from .ranking import value_ranks
 
 # Timestamp text patterns tried in order (text with a zone offset, then without).
@@ -54,16 +54,17 @@ def daily_rollup(enriched: DataFrame, ma_width: int = 7) -> DataFrame:
     """A11 + W4: per date likes (NULLs skipped, all-NULL gives 0), retweets, posts, and
     strict trailing means.  The window runs on the daily table (one row per date)."""
     daily = enriched.groupBy("date").agg(
-        F.coalesce(F.sum(money("likes")), F.lit(0).cast("decimal(28,2)")).alias("_likes"),
+        F.coalesce(F.sum(cents("likes")), F.lit(0).cast("long")).alias("_likes"),
         F.sum("retweet_count").cast("long").alias("retweets"),
         F.count(F.lit(1)).alias("tweets"))
-    # Exact decimal likes keep the window sums independent of evaluation order.
-    daily = daily.withColumn("likes", F.col("_likes").cast("double"))
-    for c in ("_likes", "retweets", "tweets"):
-        daily = trailing_mean_strict(daily, c, "date", ma_width,
-                                     out_col=f"{c.strip('_')}_ma{ma_width}")
-    return daily.select("date", "likes", "retweets", "tweets",
-                        F.col(f"likes_ma{ma_width}").cast("double").alias(f"likes_ma{ma_width}"),
+    # Likes stay in whole cents, so the window sums do not depend on evaluation order.
+    daily = daily.withColumn("likes", from_cents("_likes"))
+    for c in ("retweets", "tweets"):
+        daily = trailing_mean_strict(daily, c, "date", ma_width)
+    w = Window.partitionBy(F.lit(1)).orderBy("date").rowsBetween(-(ma_width - 1), 0)
+    likes_ma = F.when(F.count(F.lit(1)).over(w) == ma_width,
+                      from_cents(F.sum("_likes").over(w)) / F.lit(float(ma_width)))
+    return daily.select("date", "likes", "retweets", "tweets", likes_ma.alias(f"likes_ma{ma_width}"),
                         f"retweets_ma{ma_width}", f"tweets_ma{ma_width}").orderBy("date")
 
 
@@ -75,7 +76,7 @@ def date_range_filter(df: DataFrame, start, end, col: str = "date") -> DataFrame
 def period_totals(daily: DataFrame) -> DataFrame:
     """Totals over the (filtered) daily rows, with the likes total also as text with
     thousands separators (as on the dashboard tiles)."""
-    t = daily.agg(F.sum(money("likes")).cast("double").alias("total_likes"),
+    t = daily.agg(money_sum("likes").alias("total_likes"),
                   F.sum("retweets").cast("long").alias("total_retweets"),
                   F.sum("tweets").cast("long").alias("total_tweets"),
                   F.count(F.lit(1)).alias("days"))
@@ -102,7 +103,7 @@ def group_mean(df: DataFrame, keep: Column, group_col, value_col: str,
     """A10: mean of a value per group over the rows that pass ``keep``."""
     g = F.col(group_col) if isinstance(group_col, str) else group_col
     return (df.filter(keep).groupBy(g)
-            .agg((F.sum(money(value_col)).cast("double") / F.count(value_col)).alias(out_col)))
+            .agg((from_cents(F.sum(cents(value_col))) / F.count(value_col)).alias(out_col)))
 
 
 def null_counts(df: DataFrame) -> DataFrame:

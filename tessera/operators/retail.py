@@ -8,7 +8,8 @@ DataFrame.  Plans are written so the work scales:
 * scalar aggregates (one row) are the only explicitly broadcast sides;
 * every other join strategy is left to Catalyst / AQE, which broadcasts a side only after
   measuring it and splits skewed partitions;
-* money sums are exact decimals so results do not depend on the row order.
+* money is summed as whole cents (exact LONG sums), so results do not depend on the row
+  order or the partitioning.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.common import (exact_avg, full_name, money, money_sum, month_label,
-                                month_start, null_strict_greatest, pct, round_half_up)
+from ..functions.common import (cents, exact_avg, from_cents, full_name, money_sum, month_start,
+                                null_strict_greatest, pct, round_half_up)
 from .ranking import with_percent_rank
 
 CANCELLED = "Cancelled"
@@ -80,13 +81,13 @@ def category_revenue(categories: DataFrame, products: DataFrame, order_items: Da
     lines = (order_items.join(live, "order_id")
              .join(products.select("product_id", "category_id", "cost_price"), "product_id")
              .join(categories, "category_id"))
-    profit = money("subtotal") - money("cost_price") * F.col("quantity")
+    profit = cents("subtotal") - cents("cost_price") * F.col("quantity")
     return (lines.groupBy("category_id", "category_name")
             .agg(F.count_distinct("order_id").alias("total_orders"),
                  F.sum("quantity").cast("long").alias("units_sold"),
                  money_sum("subtotal").alias("total_revenue"),
                  exact_avg("unit_price").alias("avg_selling_price"),
-                 F.sum(profit).cast("double").alias("profit"))
+                 from_cents(F.sum(profit)).alias("profit"))
             .drop("category_id")
             .orderBy(F.desc("total_revenue")))
 
@@ -129,23 +130,23 @@ def employee_hierarchy(employees: DataFrame) -> DataFrame:
 def customer_totals(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """Orders and spend per customer, zero for customers without orders."""
     per = orders.groupBy("customer_id").agg(
-        F.count("order_id").alias("_n"), F.sum(money("total_amount")).alias("_spent"))
+        F.count("order_id").alias("_n"), F.sum(cents("total_amount")).alias("_spent"))
     return customers.join(per, "customer_id", "left").select(
         "customer_id", full_name("first_name", "last_name").alias("customer_name"),
         "loyalty_tier",
         F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("total_orders"),
-        F.coalesce(F.col("_spent"), F.lit(0).cast("decimal(28,2)")).alias("_spent_dec"))
+        F.coalesce(F.col("_spent"), F.lit(0).cast("long")).alias("_spent_c"))
 
 
 def top_customers(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """Q11: customers spending more than the mean customer (zero spenders in the mean)."""
     ct = customer_totals(customers, orders)
-    mean_spend = ct.agg((F.sum("_spent_dec").cast("double") / F.count(F.lit(1)))
+    mean_spend = ct.agg((from_cents(F.sum("_spent_c")) / F.count(F.lit(1)))
                         .alias("_avg_total_spent"))
     aov = orders.agg(exact_avg("total_amount").alias("avg_order_value"))
     # Both sides are single-row global aggregates: broadcasting them is size-safe.
     j = ct.crossJoin(F.broadcast(mean_spend)).crossJoin(F.broadcast(aov))
-    spent = F.col("_spent_dec").cast("double")
+    spent = from_cents("_spent_c")
     return (j.filter(spent > F.col("_avg_total_spent"))
             .select("customer_id", "customer_name", "loyalty_tier", "total_orders",
                     spent.alias("total_spent"), "avg_order_value",
@@ -154,11 +155,11 @@ def top_customers(customers: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def daily_revenue(orders: DataFrame) -> DataFrame:
-    """Non-cancelled orders per day: count and exact revenue (decimal ``_rev``)."""
+    """Non-cancelled orders per day: count and exact revenue (``_rev``, cents)."""
     return (orders.filter(F.col("order_status") != CANCELLED)
             .groupBy(F.to_date("order_date").alias("order_day"))
             .agg(F.count("order_id").alias("orders_count"),
-                 F.sum(money("total_amount")).alias("_rev")))
+                 F.sum(cents("total_amount")).alias("_rev")))
 
 
 def daily_running(orders: DataFrame) -> DataFrame:
@@ -173,9 +174,9 @@ def daily_running(orders: DataFrame) -> DataFrame:
     w_run = Window.orderBy("order_day").rowsBetween(Window.unboundedPreceding, 0)
     w3 = Window.orderBy("order_day").rowsBetween(-2, 0)
     return (d.select(
-        "order_day", "orders_count", F.col("_rev").cast("double").alias("daily_revenue"),
-        F.sum("_rev").over(w_run).cast("double").alias("running_total"),
-        (F.sum("_rev").over(w3).cast("double") / F.count("_rev").over(w3)).alias("moving_avg_3day"))
+        "order_day", "orders_count", from_cents("_rev").alias("daily_revenue"),
+        from_cents(F.sum("_rev").over(w_run)).alias("running_total"),
+        (from_cents(F.sum("_rev").over(w3)) / F.count("_rev").over(w3)).alias("moving_avg_3day"))
         .orderBy("order_day"))
 
 
@@ -198,7 +199,7 @@ def monthly_sales(orders: DataFrame, start_dt, end_dt, statuses=None) -> DataFra
 def monthly_kpis(monthly: DataFrame) -> DataFrame:
     """Period KPIs from the monthly rows; AOV is the unweighted mean of the months."""
     return monthly.agg(
-        F.sum(money("revenue")).cast("double").alias("total_revenue"),
+        money_sum("revenue").alias("total_revenue"),
         F.sum("total_orders").cast("long").alias("total_orders"),
         F.sum("unique_customers").cast("long").alias("unique_customers_sum"),
         round_half_up(F.avg("avg_order_value"), 6).alias("avg_order_value_mean"),
@@ -229,16 +230,16 @@ def restock_cost(products: DataFrame, warehouse_inventory: DataFrame) -> DataFra
                 .select(F.greatest(F.col("reorder_level") - total, F.lit(0)).alias("deficit_units"),
                         "cost_price"))
     return deficits.agg(
-        F.sum(F.col("deficit_units").cast("decimal(18,0)") * money("cost_price"))
-        .cast("double").alias("total_restock_cost"),
+        from_cents(F.sum(F.col("deficit_units").cast("long") * cents("cost_price")))
+        .alias("total_restock_cost"),
         F.count(F.lit(1)).alias("products_below_level"))
 
 
 def restock_cost_single_site(products: DataFrame) -> DataFrame:
     """C1.2 variant when stock is one column of ``products``."""
     p = products.filter(F.col("stock_quantity") < F.col("reorder_level"))
-    deficit = (F.col("reorder_level") - F.col("stock_quantity")).cast("decimal(18,0)")
-    return p.agg(F.sum(deficit * money("cost_price")).cast("double").alias("total_restock_cost"),
+    deficit = (F.col("reorder_level") - F.col("stock_quantity")).cast("long")
+    return p.agg(from_cents(F.sum(deficit * cents("cost_price"))).alias("total_restock_cost"),
                  F.count(F.lit(1)).alias("products_below_level"))
 
 
@@ -330,10 +331,10 @@ def monthly_churn(orders: DataFrame) -> DataFrame:
 
 
 def trailing_spend(orders: DataFrame, days: int, as_of) -> DataFrame:
-    """Non-cancelled spend per customer over the ``days`` days up to ``as_of`` (decimal)."""
+    """Non-cancelled spend per customer over the ``days`` days up to ``as_of`` (cents)."""
     since = F.date_sub(_d(as_of), days)
     return (orders.filter((F.col("order_status") != CANCELLED) & (F.col("order_date") >= since))
-            .groupBy("customer_id").agg(F.sum(money("total_amount")).alias("_spend")))
+            .groupBy("customer_id").agg(F.sum(cents("total_amount")).alias("_spend")))
 
 
 def tier_upgrade(customers: DataFrame, orders: DataFrame, loyalty_tiers: DataFrame,
@@ -355,7 +356,7 @@ def tier_upgrade(customers: DataFrame, orders: DataFrame, loyalty_tiers: DataFra
         lowest = nt.groupBy("current_tier").agg(F.min("next_min").alias("_m"))
         nt = nt.join(lowest, "current_tier").filter(F.col("next_min") == F.col("_m")).drop("_m")
     sw = trailing_spend(orders, days, as_of)
-    spend = F.col("_spend").cast("double")
+    spend = from_cents("_spend")
     c = customers.select("customer_id", full_name("first_name", "last_name").alias("customer_name"),
                          F.col("loyalty_tier").alias("current_tier"))
     out = (c.join(sw, "customer_id")
@@ -380,7 +381,7 @@ def tier_top_decile(customers: DataFrame, orders: DataFrame, days: int = 90, as_
     ranked = (customers.join(sw, "customer_id", "left")
               .select("customer_id", full_name("first_name", "last_name").alias("customer_name"),
                       "loyalty_tier",
-                      F.coalesce(F.col("_spend"), F.lit(0).cast("decimal(28,2)")).cast("double")
+                      from_cents(F.coalesce(F.col("_spend"), F.lit(0).cast("long")))
                       .alias("spend_lookback")))
     ranked = with_percent_rank(ranked, ["loyalty_tier"], "spend_lookback", out_col="pr")
     return (ranked.filter(F.col("pr") >= F.lit(min_rank))
@@ -399,8 +400,8 @@ def product_pairs(order_items: DataFrame, products: DataFrame, min_orders: int =
     """
     ip = (order_items.join(products.select("product_id", "cost_price"), "product_id")
           .groupBy("order_id", "product_id")
-          .agg(F.sum((money("unit_price") - money("cost_price")) * F.col("quantity"))
-               .alias("profit")))
+          .agg(F.sum((cents("unit_price") - cents("cost_price")) * F.col("quantity"))
+               .alias("profit")))  # cents
     frequent = (ip.groupBy("product_id").agg(F.count(F.lit(1)).alias("_n"))
                 .filter(F.col("_n") >= min_orders).select("product_id"))
     ip = ip.join(frequent, "product_id", "left_semi")
@@ -409,7 +410,7 @@ def product_pairs(order_items: DataFrame, products: DataFrame, min_orders: int =
     pairs = a.join(b, "order_id").filter(F.col("prod_a") < F.col("prod_b"))
     return (pairs.groupBy("prod_a", "prod_b")
             .agg(F.count(F.lit(1)).alias("orders_together"),
-                 F.sum(F.col("pa") + F.col("pb")).cast("double").alias("total_pair_profit"))
+                 from_cents(F.sum(F.col("pa") + F.col("pb"))).alias("total_pair_profit"))
             .filter(F.col("orders_together") >= min_orders)
             .orderBy(F.desc("total_pair_profit"), F.desc("orders_together"), "prod_a", "prod_b")
             .limit(limit))
@@ -428,11 +429,12 @@ def _bucket_rank(b) -> F.Column:
             .when(b == "20-30%", 3).otherwise(4))
 
 
-def _bucket_report(df: DataFrame, revenue_col: str) -> DataFrame:
+def _bucket_report(df: DataFrame, cents_col: str) -> DataFrame:
+    """Per bucket: lines, exact revenue and mean line value from a revenue-in-cents column."""
+    rev = from_cents(F.sum(cents_col))
     return (df.groupBy("discount_bucket")
-            .agg(F.count(F.lit(1)).alias("line_items"),
-                 money_sum(revenue_col).alias("revenue"),
-                 round_half_up(exact_avg(revenue_col)).alias("avg_line_value"))
+            .agg(F.count(F.lit(1)).alias("line_items"), rev.alias("revenue"),
+                 round_half_up(rev / F.count(cents_col)).alias("avg_line_value"))
             .orderBy(_bucket_rank(F.col("discount_bucket"))))
 
 
@@ -440,17 +442,17 @@ def discount_buckets(order_items: DataFrame) -> DataFrame:
     """C3.2a: lines by discount_pct bucket (NULL and negative count as 0)."""
     p = F.col("discount_pct")
     disc = F.when(p.isNull(), 0).when(p < 0, 0).otherwise(p)
-    return _bucket_report(order_items.select(_bucket(disc).alias("discount_bucket"), "subtotal"),
-                          "subtotal")
+    return _bucket_report(order_items.select(_bucket(disc).alias("discount_bucket"),
+                                             cents("subtotal").alias("_rev_c")), "_rev_c")
 
 
 def discount_buckets_amount(order_items: DataFrame) -> DataFrame:
     """C3.2b: % = 100 x amount / (price + amount), 0 when price <= 0; revenue = price x qty."""
     price, amt = F.col("unit_price"), F.col("discount_amount")
     disc = F.when(price <= 0, F.lit(0.0)).otherwise(pct(amt, price + amt))
-    rev = money("unit_price") * F.col("quantity")
+    rev = cents("unit_price") * F.col("quantity")
     return _bucket_report(order_items.select(_bucket(disc).alias("discount_bucket"),
-                                             rev.alias("line_revenue")), "line_revenue")
+                                             rev.alias("_rev_c")), "_rev_c")
 
 
 def discount_buckets_list_price(order_items: DataFrame, products: DataFrame) -> DataFrame:
@@ -458,9 +460,9 @@ def discount_buckets_list_price(order_items: DataFrame, products: DataFrame) ->
     j = order_items.join(products.select("product_id", "list_price"), "product_id")
     lp, up = F.col("list_price"), F.col("unit_price")
     disc = F.when(lp > 0, null_strict_greatest(F.lit(0.0), pct(lp - up, lp))).otherwise(F.lit(0.0))
-    rev = money("unit_price") * F.col("quantity")
+    rev = cents("unit_price") * F.col("quantity")
     return _bucket_report(j.select(_bucket(disc).alias("discount_bucket"),
-                                   rev.alias("line_revenue")), "line_revenue")
+                                   rev.alias("_rev_c")), "_rev_c")
 
 
 def warehouse_revenue_item(order_items: DataFrame, orders: DataFrame,
