@@ -23,7 +23,9 @@ from ..functions.common import (cents, exact_avg, from_cents, full_name, money_s
                                 null_strict_greatest, pct, round_half_up)
 from .ranking import with_percent_rank
 
+# Fixed values of the reports (status name and discount bucket labels, in order).
 CANCELLED = "Cancelled"
+BUCKET_LABELS = ("0%", "0-10%", "10-20%", "20-30%", "30%+")
 
 
 def _d(x) -> F.Column:
@@ -425,17 +427,15 @@ def product_pairs(order_items: DataFrame, products: DataFrame, min_orders: int =
             .limit(limit))
 
 
-BUCKET_ORDER = ["0%", "0-10%", "10-20%", "20-30%", "30%+"]
-
-
 def _bucket(disc) -> F.Column:
-    return (F.when(disc == 0, "0%").when(disc <= 10, "0-10%").when(disc <= 20, "10-20%")
-            .when(disc <= 30, "20-30%").otherwise("30%+"))
+    """0 -> first label; upper limits 10, 20, 30 (inclusive) -> next labels; else the last."""
+    zero, b10, b20, b30, top = BUCKET_LABELS
+    return (F.when(disc == 0, zero).when(disc <= 10, b10).when(disc <= 20, b20)
+            .when(disc <= 30, b30).otherwise(top))
 
 
 def _bucket_rank(b) -> F.Column:
-    return (F.when(b == "0%", 0).when(b == "0-10%", 1).when(b == "10-20%", 2)
-            .when(b == "20-30%", 3).otherwise(4))
+    return F.coalesce(F.array_position(F.array(*[F.lit(x) for x in BUCKET_LABELS]), b) - 1, F.lit(4))
 
 
 def _bucket_report(df: DataFrame, cents_col: str) -> DataFrame:

@@ -36,7 +36,15 @@ SYSTEM_MSG = ("You are a helpful assistant for question answering. "
               "Use only the provided context to answer. If the answer is not in the context, "
               "say: I don't know.")
 FALLBACK_ANSWER = "I don't know based on the provided document."
+# the multiple-choice format: line patterns (case-insensitive, per line) and the reasons
+# reported for a missing part.
 OPTION_LABELS = ("A", "B", "C", "D")
+MCQ_QUESTION = r"(?im)^question:\s*(.+)$"
+MCQ_OPTION = r"(?im)^{label}\)\s*(.+)$"
+MCQ_ANSWER = r"(?im)^correct answer:\s*([ABCD])\b"
+MCQ_MISSING_QUESTION = "Missing 'Question:' line."
+MCQ_MISSING_OPTION = "Missing or malformed option {label})."
+MCQ_MISSING_ANSWER = "Missing 'Correct Answer:' letter (A/B/C/D)."
 
 
 def _c(x) -> Column:
@@ -251,13 +259,13 @@ def parse_mcq(df: DataFrame, raw_col: str = "raw") -> DataFrame:
     Instead of raising, each row gets ``is_valid`` and the first missing part as ``reason``.
     """
     text = py_strip(raw_col)
-    q = F.regexp_extract(text, r"(?im)^question:\s*(.+)$", 1)
-    opts = [F.regexp_extract(text, rf"(?im)^{lbl}\)\s*(.+)$", 1) for lbl in OPTION_LABELS]
-    ans = F.regexp_extract(text, r"(?im)^correct answer:\s*([ABCD])\b", 1)
-    reason = F.when(q == "", F.lit("Missing 'Question:' line."))
+    q = F.regexp_extract(text, MCQ_QUESTION, 1)
+    opts = [F.regexp_extract(text, MCQ_OPTION.format(label=lbl), 1) for lbl in OPTION_LABELS]
+    ans = F.regexp_extract(text, MCQ_ANSWER, 1)
+    reason = F.when(q == "", F.lit(MCQ_MISSING_QUESTION))
     for lbl, o in zip(OPTION_LABELS, opts):
-        reason = reason.when(o == "", F.lit(f"Missing or malformed option {lbl})."))
-    reason = reason.when(ans == "", F.lit("Missing 'Correct Answer:' letter (A/B/C/D)."))
+        reason = reason.when(o == "", F.lit(MCQ_MISSING_OPTION.format(label=lbl)))
+    reason = reason.when(ans == "", F.lit(MCQ_MISSING_ANSWER))
     return df.select(
         "*", py_strip(q).alias("question"),
         F.array(*[py_strip(o) for o in opts]).alias("options"),

@@ -263,21 +263,20 @@ GRID_MAX_INDEX = 11
 
 
 @register("cohort_grid", G, with_views(["customers", "orders"], """
-WITH cust AS (
-  SELECT customer_id, CAST(date_trunc('month', registration_date) AS DATE) AS cohort_m FROM customers),
-activity AS (
-  SELECT customer_id, CAST(date_trunc('month', order_date) AS DATE) AS order_m
-  FROM orders WHERE order_status != 'Cancelled' GROUP BY 1, 2),
-ca AS (
-  SELECT cust.cohort_m, date_diff('month', cust.cohort_m, act.order_m) AS cohort_index, act.customer_id
-  FROM cust JOIN activity act ON act.customer_id = cust.customer_id
-  WHERE date_diff('month', cust.cohort_m, act.order_m) >= 0),
-sizes AS (SELECT cohort_m, COUNT(DISTINCT customer_id) AS cohort_size FROM cust GROUP BY cohort_m),
-counts AS (SELECT cohort_m, cohort_index, COUNT(*) AS active FROM ca GROUP BY 1, 2),
+WITH member AS (
+  SELECT customer_id, CAST(date_trunc('month', registration_date) AS DATE) AS joined FROM customers),
+bought AS (
+  SELECT DISTINCT customer_id, CAST(date_trunc('month', order_date) AS DATE) AS bm
+  FROM orders WHERE order_status <> 'Cancelled'),
+size AS (SELECT joined, COUNT(*) AS n FROM member GROUP BY joined),
+act AS (
+  SELECT me.joined, date_diff('month', me.joined, bo.bm) AS cohort_index, COUNT(*) AS a
+  FROM member me JOIN bought bo ON bo.customer_id = me.customer_id AND bo.bm >= me.joined
+  GROUP BY 1, 2),
 r AS (
-  SELECT strftime(s.cohort_m, '%Y-%m-01') AS cohort_month, c.cohort_index,
-         floor(CAST(c.active AS DOUBLE) * 100.0 / CAST(s.cohort_size AS DOUBLE) * 100.0 + 0.5) / 100.0 AS pct
-  FROM sizes s JOIN counts c ON s.cohort_m = c.cohort_m)
+  SELECT strftime(sz.joined, '%Y-%m-01') AS cohort_month, ac.cohort_index,
+         floor(CAST(ac.a AS DOUBLE) * 100.0 / CAST(sz.n AS DOUBLE) * 100.0 + 0.5) / 100.0 AS pct
+  FROM size sz JOIN act ac ON ac.joined = sz.joined)
 SELECT cohort_month, """ + ", ".join(
     f'MAX(CASE WHEN cohort_index = {i} THEN pct END) AS "{i}"' for i in range(GRID_MAX_INDEX + 1))
     + "\nFROM r GROUP BY cohort_month"))

@@ -174,26 +174,26 @@ def q_clean_answers(spark, d):
     return g.select("conv_id", "turn", T.clean_answer("generation").alias("answer"))
 
 
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 _MCQ_SQL = f"""
-t AS (SELECT question_id, {strip_sql('raw')} AS t FROM mcq_raw),
-x AS (SELECT question_id,
-             regexp_extract(t, '(?im)^question:\\s*(.+)$', 1) AS q,
-             regexp_extract(t, '(?im)^A\\)\\s*(.+)$', 1) AS oa,
-             regexp_extract(t, '(?im)^B\\)\\s*(.+)$', 1) AS ob,
-             regexp_extract(t, '(?im)^C\\)\\s*(.+)$', 1) AS oc,
-             regexp_extract(t, '(?im)^D\\)\\s*(.+)$', 1) AS od,
-             regexp_extract(t, '(?im)^correct answer:\\s*([ABCD])\\b', 1) AS ans
-      FROM t),
+blk AS (SELECT question_id, {strip_sql('raw')} AS t FROM mcq_raw),
+ext AS (SELECT question_id,
+               regexp_extract(t, {_q(T.MCQ_QUESTION)}, 1) AS q,
+               """ + ",\n               ".join(
+    f"regexp_extract(t, {_q(T.MCQ_OPTION.format(label=l))}, 1) AS o{l}" for l in T.OPTION_LABELS) + f""",
+               regexp_extract(t, {_q(T.MCQ_ANSWER)}, 1) AS ans
+        FROM blk),
 mcq AS (SELECT question_id, {strip_sql('q')} AS question,
-               [{strip_sql('oa')}, {strip_sql('ob')}, {strip_sql('oc')}, {strip_sql('od')}] AS options,
+               [""" + ", ".join(strip_sql(f"o{l}") for l in T.OPTION_LABELS) + f"""] AS options,
                upper(ans) AS answer,
-               CASE WHEN q = '' THEN 'Missing ''Question:'' line.'
-                    WHEN oa = '' THEN 'Missing or malformed option A).'
-                    WHEN ob = '' THEN 'Missing or malformed option B).'
-                    WHEN oc = '' THEN 'Missing or malformed option C).'
-                    WHEN od = '' THEN 'Missing or malformed option D).'
-                    WHEN ans = '' THEN 'Missing ''Correct Answer:'' letter (A/B/C/D).' END AS reason
-        FROM x)"""
+               CASE WHEN q = '' THEN {_q(T.MCQ_MISSING_QUESTION)}
+                    """ + "\n                    ".join(
+    f"WHEN o{l} = '' THEN {_q(T.MCQ_MISSING_OPTION.format(label=l))}" for l in T.OPTION_LABELS) + f"""
+                    WHEN ans = '' THEN {_q(T.MCQ_MISSING_ANSWER)} END AS reason
+        FROM ext)"""
 
 
 def _mcq(spark, d):
