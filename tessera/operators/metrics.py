@@ -20,6 +20,25 @@ def parse_timestamp_multi(c, formats=SOCIAL_TS_FORMATS) -> Column:
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
 
 
+def _has_zone(fmt: str) -> bool:
+    return any(ch in fmt for ch in "ZXxOVz")
+
+
+def parse_day_multi(c, formats=SOCIAL_TS_FORMATS) -> Column:
+    """Calendar day of a timestamp text: text with a zone offset gives its UTC day, text
+    without one gives its written day; the first pattern that parses wins.  The result does
+    not depend on the session time zone."""
+    c = F.col(c) if isinstance(c, str) else c
+    days = []
+    for f in formats:
+        ts = F.try_to_timestamp(c, F.lit(f))
+        if _has_zone(f):  # an instant: its UTC day from epoch seconds
+            days.append(F.date_from_unix_date(F.floor(F.unix_seconds(ts) / F.lit(86400)).cast("int")))
+        else:  # wall time read and written back in the same (session) zone
+            days.append(F.to_date(ts))
+    return F.coalesce(*days)
+
+
 def flag_not_null(c) -> Column:
     """1 when the value is present, else 0."""
     return F.when(F.col(c).isNotNull(), F.lit(1)).otherwise(F.lit(0))
@@ -28,7 +47,7 @@ def flag_not_null(c) -> Column:
 def social_enrich(posts: DataFrame, ts_col: str = "created_at") -> DataFrame:
     """Per post: calendar date from the text timestamp, retweet flag, likes."""
     return posts.withColumns({
-        "date": F.to_date(parse_timestamp_multi(ts_col)),
+        "date": parse_day_multi(ts_col),
         "retweet_count": flag_not_null("retweeted_status_id"),
         "likes": F.col("rating_numerator"),
     })

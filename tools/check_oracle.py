@@ -69,6 +69,7 @@ def rows_of(columns, records):
 def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--tz", default=None, help="session time zone to run Spark under")
     ap.add_argument("keys", nargs="*")
     a = ap.parse_args()
 
@@ -79,6 +80,8 @@ def main():
     from tessera.sources.tables import TABLES
 
     spark = build_session("local[8]", 8)
+    if a.tz:
+        spark.conf.set("spark.sql.session.timeZone", a.tz)
     reg = load_all()
     keys = a.keys or sorted(reg)
     con = duckdb.connect()
