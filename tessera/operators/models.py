@@ -17,7 +17,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import argmax
+from ..functions.vectors import argmax, softmax
 from ..session import ensure_checkpoint_dir
 
 
@@ -89,11 +89,11 @@ def importances(model, names) -> DataFrame:
 
 def score_batch(model, df: DataFrame, id_col: str, vec_col: str, dim: int,
                 class_names=None) -> DataFrame:
-    """Class and confidence per row; rows whose input is unreadable (missing or of the
-    wrong width) are skipped."""
+    """Class and confidence per row (softmax of the raw scores); rows whose input is
+    unreadable (missing or of the wrong width) are skipped."""
     ok = df.filter(F.col(vec_col).isNotNull() & (F.size(vec_col) == dim))
     scored = model.transform(with_features(ok, array_col=vec_col))
-    prob = vector_to_array("probability")
+    prob = softmax(vector_to_array("rawPrediction"))
     out = scored.select(id_col, argmax(prob).alias("pred_index"), F.array_max(prob).alias("conf"))
     if class_names:
         names = F.array(*[F.lit(c) for c in class_names])

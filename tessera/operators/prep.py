@@ -79,14 +79,20 @@ def one_hot(df: DataFrame, cols, levels: dict | None = None, drop_original: bool
     return out
 
 
-def label_encode(df: DataFrame, col: str, out_col: str | None = None) -> DataFrame:
-    """M4: alphabetical label encoding (0 for the first label in sort order), as a double."""
-    from pyspark.ml.feature import StringIndexer
+def label_encode(df: DataFrame, col: str, out_col: str | None = None,
+                 max_levels: int = 10000) -> DataFrame:
+    """M4: alphabetical label encoding (0 for the first label in sort order), as a double.
 
+    The label set is read once and checked against ``max_levels``; codes are applied with a
+    literal map (a NULL or unseen label gets the next code, as an "unknown" bucket).
+    """
     out_col = out_col or f"{col}_index"
-    model = StringIndexer(inputCol=col, outputCol=out_col, stringOrderType="alphabetAsc",
-                          handleInvalid="keep").fit(df)
-    return model.transform(df)
+    levels = category_levels(df, col, max_levels)
+    codes = F.create_map(*[x for i, v in enumerate(levels) for x in (F.lit(v), F.lit(float(i)))]) \
+        if levels else None
+    unknown = F.lit(float(len(levels)))
+    code = F.coalesce(F.element_at(codes, F.col(col)), unknown) if codes is not None else unknown
+    return df.withColumn(out_col, F.when(F.col(col).isNull(), unknown).otherwise(code))
 
 
 def _hash_order(id_col: str, seed: int) -> Column:
@@ -132,3 +138,10 @@ def with_class_weights(df: DataFrame, label_col: str, weight_col: str = "weight"
     """Rows with their class weight attached (the weight table has one row per class)."""
     w = class_weights(df, label_col).select(label_col, F.col("weight").alias(weight_col))
     return df.join(w, label_col)
+
+
+def add_date_parts(df: DataFrame, col: str, names=("Year", "Month", "Day")) -> DataFrame:
+    """Year, month and day-of-month columns of a date / timestamp column."""
+    y, m, d = names
+    c = F.col(col)
+    return df.withColumns({y: F.year(c), m: F.month(c), d: F.dayofmonth(c)})

@@ -125,6 +125,15 @@ def q_merge_dimension(spark, d):
             .join(dim, "l_partkey", "left"))
 
 
+@register("date_parts", G, """
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS Year, CAST(month(o_orderdate) AS INTEGER) AS Month,
+       CAST(day(o_orderdate) AS INTEGER) AS Day
+FROM orders""")
+def q_date_parts(spark, d):
+    o = Tables(spark, d).orders.select("o_orderkey", "o_orderdate")
+    return P.add_date_parts(o, "o_orderdate").drop("o_orderdate")
+
+
 # ---- evaluation ----
 
 @register("accuracy", G, with_views(["binary_predictions"], """

@@ -143,3 +143,26 @@ def test_stratified_split_sizes(spark):
     got = {(r.y, r.is_train): r["count"] for r in s.groupBy("y", "is_train").count().collect()}
     for y, n in ((0, 34), (1, 34), (2, 33)):
         assert got[(y, True)] == int(n * 0.7 + 0.5)
+
+
+def test_vector_functions(spark):
+    import math
+
+    from tessera.functions import vectors as V
+
+    df = spark.createDataFrame([([3.0, 4.0], [1.0, 2.0, 3.0])], "a array<double>, b array<double>")
+    r = df.select(V.l2_norm("a").alias("n"), V.dot("a", "a").alias("d"), V.l2_normalize("a").alias("u"),
+                  V.softmax("b").alias("s"), V.argmax("b").alias("i"), V.sigmoid(F.lit(0.0)).alias("g"),
+                  V.sigmoid_derivative(F.lit(0.5)).alias("gd")).first()
+    assert r.n == 5.0 and r.d == 25.0 and r.u == pytest.approx([0.6, 0.8])
+    e = [math.exp(x - 3) for x in (1, 2, 3)]
+    assert r.s == pytest.approx([x / sum(e) for x in e]) and r.i == 2
+    assert r.g == 0.5 and r.gd == 0.25
+
+
+def test_date_parts(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([(dt.date(2015, 7, 31),)], "Date date")
+    r = P.add_date_parts(df, "Date").first()
+    assert (r.Year, r.Month, r.Day) == (2015, 7, 31)
