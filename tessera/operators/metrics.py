@@ -215,14 +215,22 @@ def describe_numeric(df: DataFrame, cols, places: int = 6) -> DataFrame:
     from ..session import small_input
 
     long_df = unpivot_metrics(df, [], cols, "column_name", "v")
-    if small_input(df):  # proven small input: one grouped pass with Spark's exact percentile
-        q = F.percentile("v", [0.25, 0.5, 0.75])
-        return long_df.groupBy("column_name").agg(
-            F.count("v").alias("count"), round_half_up(F.avg("v"), places).alias("mean"),
-            round_half_up(F.stddev_samp("v"), places).alias("std"),
-            F.min("v").alias("min"), F.max("v").alias("max"), q.alias("_q")).select(
-            "*", *[round_half_up(F.col("_q")[i], places).alias(n)
-                   for i, n in enumerate(("p25", "p50", "p75"))]).drop("_q")
+    if small_input(df):  # proven small input: one pass, all columns, Spark's exact percentile
+        aggs = []
+        for i, c in enumerate(cols):
+            v = F.col(c).cast("double")
+            aggs += [F.count(v).alias(f"_n{i}"), F.avg(v).alias(f"_a{i}"), F.stddev_samp(v).alias(f"_s{i}"),
+                     F.min(v).alias(f"_lo{i}"), F.max(v).alias(f"_hi{i}"),
+                     F.percentile(v, [0.25, 0.5, 0.75]).alias(f"_q{i}")]
+        one = df.agg(*aggs)  # a single row: reshape it to one row per column
+        rows = F.array(*[F.struct(
+            F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("count"),
+            round_half_up(F.col(f"_a{i}"), places).alias("mean"),
+            round_half_up(F.col(f"_s{i}"), places).alias("std"),
+            F.col(f"_lo{i}").alias("min"), F.col(f"_hi{i}").alias("max"),
+            *[round_half_up(F.col(f"_q{i}")[j], places).alias(n) for j, n in enumerate(("p25", "p50", "p75"))])
+            for i, c in enumerate(cols)])
+        return one.select(F.explode(rows).alias("_r")).select("_r.*")
     basic = long_df.groupBy("column_name").agg(
         F.count("v").alias("count"),
         round_half_up(F.avg("v"), places).alias("mean"),
