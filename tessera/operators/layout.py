@@ -36,18 +36,24 @@ def cluster_write(df: DataFrame, path: str, keys=None, num_files: int | None = N
 
 
 def suggest_cluster_keys(filter_log: DataFrame, table: DataFrame, top_k: int = 3,
-                         column_col: str = "column_name") -> DataFrame:
+                         column_col: str = "column_name", exact: bool = False,
+                         rsd: float = 0.01) -> DataFrame:
     """D3: rank candidate clustering columns by (times filtered) x (distinct values).
 
-    ``filter_log`` has one row per logged filter with the filtered column's name; distinct
-    counts are exact, from one reshaped scan of ``table``.
+    ``filter_log`` has one row per logged filter with the filtered column's name.  Distinct
+    counts come from one scan of ``table``: by default HyperLogLog sketches (one small state
+    per column, no shuffle of values); ``exact=True`` counts exactly.
     """
     freq = filter_log.groupBy(column_col).agg(F.count(F.lit(1)).alias("filter_count"))
     cols = [c for c in table.columns]
-    long_df = table.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias(column_col), F.col(c).cast("string").alias("v")) for c in cols]))
-        .alias("_kv")).select("_kv.*")
-    ndv = long_df.groupBy(column_col).agg(F.count_distinct("v").alias("distinct_values"))
+    if not exact:
+        wide = table.agg(*[F.approx_count_distinct(F.col(c), rsd).alias(c) for c in cols])
+        ndv = wide.unpivot([], cols, column_col, "distinct_values")
+    else:
+        long_df = table.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias(column_col), F.col(c).cast("string").alias("v")) for c in cols]))
+            .alias("_kv")).select("_kv.*")
+        ndv = long_df.groupBy(column_col).agg(F.count_distinct("v").alias("distinct_values"))
     from pyspark.sql import Window
 
     scored = freq.join(ndv, column_col).withColumn(

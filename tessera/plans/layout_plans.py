@@ -71,7 +71,7 @@ WHERE rank <= 3""")
 def q_suggest_cluster_keys(spark, d):
     t = Tables(spark, d)
     log = t.events.select(_filter_log_expr().alias("column_name"))
-    return L.suggest_cluster_keys(log, t.orders, top_k=3)
+    return L.suggest_cluster_keys(log, t.orders, top_k=3, exact=True)
 
 
 @register("compact_files", G)
