@@ -35,8 +35,15 @@ def confusion_matrix(df: DataFrame, y: str, p: str, labels) -> DataFrame:
 
 def classification_report(df: DataFrame, y: str, p: str, places: int = 6) -> DataFrame:
     """Per class precision, recall, F1 and support, then accuracy, macro and weighted
-    means.  Undefined ratios (no predictions / no support) count as 0."""
-    pc = pair_counts(df, y, p)
+    means.  Undefined ratios (no predictions / no support) count as 0.
+
+    The (truth, prediction) count table has at most classes^2 rows and feeds every part of
+    the report, so it is computed once and checkpointed: the predictions are read once.
+    """
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    pc = pair_counts(df, y, p).checkpoint(eager=True)
     tp = pc.filter(F.col("actual") == F.col("predicted")).select(
         F.col("actual").alias("cls"), F.col("n").alias("tp"))
     support = pc.groupBy(F.col("actual").alias("cls")).agg(F.sum("n").alias("support"))

@@ -138,11 +138,18 @@ def employee_hierarchy(employees: DataFrame) -> DataFrame:
                     F.col("e2.department").alias("manager_department")))
 
 
-def customer_totals(customers: DataFrame, orders: DataFrame) -> DataFrame:
+def _orders_per_customer(orders: DataFrame) -> DataFrame:
+    """One pass over orders: per customer the order count, spend (cents) and the count of
+    amounts (for the global mean order value)."""
+    return orders.groupBy("customer_id").agg(
+        F.count("order_id").alias("_n"), F.sum(cents("total_amount")).alias("_spent"),
+        F.count("total_amount").alias("_n_amt"))
+
+
+def customer_totals(customers: DataFrame, orders: DataFrame, per=None) -> DataFrame:
     """Orders and spend per customer, zero for customers without orders."""
-    per = orders.groupBy("customer_id").agg(
-        F.count("order_id").alias("_n"), F.sum(cents("total_amount")).alias("_spent"))
-    return customers.join(per, "customer_id", "left").select(
+    per = per if per is not None else _orders_per_customer(orders)
+    return customers.join(per.select("customer_id", "_n", "_spent"), "customer_id", "left").select(
         "customer_id", full_name("first_name", "last_name").alias("customer_name"),
         "loyalty_tier",
         F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("total_orders"),
@@ -150,11 +157,16 @@ def customer_totals(customers: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def top_customers(customers: DataFrame, orders: DataFrame) -> DataFrame:
-    """Q11: customers spending more than the mean customer (zero spenders in the mean)."""
-    ct = customer_totals(customers, orders)
+    """Q11: customers spending more than the mean customer (zero spenders in the mean).
+
+    Orders are read once: the per-customer aggregate also gives the mean order value
+    (total of all amounts over their count), so no second pass over orders is needed.
+    """
+    per = _orders_per_customer(orders)
+    ct = customer_totals(customers, orders, per)
     mean_spend = ct.agg((from_cents(F.sum("_spent_c")) / F.count(F.lit(1)))
                         .alias("_avg_total_spent"))
-    aov = orders.agg(exact_avg("total_amount").alias("avg_order_value"))
+    aov = per.agg((from_cents(F.sum("_spent")) / F.sum("_n_amt")).alias("avg_order_value"))
     # Both sides are single-row global aggregates: broadcasting them is size-safe.
     j = ct.crossJoin(F.broadcast(mean_spend)).crossJoin(F.broadcast(aov))
     spent = from_cents("_spent_c")
@@ -321,22 +333,25 @@ def monthly_churn(orders: DataFrame) -> DataFrame:
     """C2.2: churn = active last month and not this month, over active last month.
 
     The month list comes from all orders; activity ignores Cancelled; a month whose
-    previous month had no activity has no row.
+    previous month had no activity has no row.  From the distinct (month, customer)
+    activity, each customer's next active month (``lead`` over the customer's months: at
+    most one row per calendar month, so bounded even for a very active customer) says
+    whether the customer is still active in the following month.
     """
+    from pyspark.sql import Window
+
     months = orders.select(month_start("order_date").alias("curr_m")).distinct()
     active = _active_months(orders)
-    prev_set = (months.withColumn("prev_m", F.add_months("curr_m", -1))
-                .join(active.withColumnRenamed("m", "prev_m"), "prev_m")
-                .select("curr_m", "customer_id"))
-    curr_set = active.withColumnRenamed("m", "curr_m")
-    churners = (prev_set.join(curr_set, ["curr_m", "customer_id"], "left_anti")
-                .groupBy("curr_m").agg(F.count(F.lit(1)).alias("_churners")))
-    prev_counts = prev_set.groupBy("curr_m").agg(F.count(F.lit(1)).alias("prev_active"))
-    ch = F.coalesce(F.col("_churners"), F.lit(0)).cast("long")
-    return (prev_counts.join(churners, "curr_m", "left")
-            .select(F.date_format("curr_m", "yyyy-MM-01").alias("month"), "prev_active",
-                    ch.alias("churners"),
-                    F.when(F.col("prev_active") > 0, round_half_up(pct(ch, "prev_active")))
+    nxt = F.lead("m").over(Window.partitionBy("customer_id").orderBy("m"))
+    follow = active.select(F.add_months("m", 1).alias("curr_m"),
+                           (F.coalesce(nxt, F.lit(None).cast("date")) == F.add_months("m", 1))
+                           .alias("_stays"))
+    per_month = follow.groupBy("curr_m").agg(
+        F.count(F.lit(1)).alias("prev_active"),
+        F.sum(F.when(F.col("_stays"), 0).otherwise(1)).cast("long").alias("churners"))
+    return (per_month.join(months, "curr_m")
+            .select(F.date_format("curr_m", "yyyy-MM-01").alias("month"), "prev_active", "churners",
+                    F.when(F.col("prev_active") > 0, round_half_up(pct("churners", "prev_active")))
                     .alias("churn_rate_pct"))
             .orderBy("month"))
 
