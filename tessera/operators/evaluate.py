@@ -40,10 +40,12 @@ def classification_report(df: DataFrame, y: str, p: str, places: int = 6) -> Dat
     The (truth, prediction) count table has at most classes^2 rows and feeds every part of
     the report, so it is computed once and checkpointed: the predictions are read once.
     """
-    from ..session import ensure_checkpoint_dir
+    from ..session import ensure_checkpoint_dir, small_input
 
-    ensure_checkpoint_dir(df.sparkSession)
-    pc = pair_counts(df, y, p).checkpoint(eager=True)
+    pc = pair_counts(df, y, p)
+    if not small_input(df):  # a proven-small input is cheaper to re-read
+        ensure_checkpoint_dir(df.sparkSession)
+        pc = pc.checkpoint(eager=True)
     tp = pc.filter(F.col("actual") == F.col("predicted")).select(
         F.col("actual").alias("cls"), F.col("n").alias("tp"))
     support = pc.groupBy(F.col("actual").alias("cls")).agg(F.sum("n").alias("support"))

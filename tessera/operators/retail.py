@@ -159,10 +159,16 @@ def customer_totals(customers: DataFrame, orders: DataFrame, per=None) -> DataFr
 def top_customers(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """Q11: customers spending more than the mean customer (zero spenders in the mean).
 
-    Orders are read once: the per-customer aggregate also gives the mean order value
-    (total of all amounts over their count), so no second pass over orders is needed.
+    Orders are read once: the per-customer aggregate (one row per customer, checkpointed
+    because three parts of the report read it) also gives the mean order value (total of all
+    amounts over their count), so no second pass over orders is needed.
     """
+    from ..session import ensure_checkpoint_dir, small_input
+
     per = _orders_per_customer(orders)
+    if not small_input(orders):  # a proven-small input is cheaper to re-read
+        ensure_checkpoint_dir(orders.sparkSession)
+        per = per.checkpoint(eager=True)
     ct = customer_totals(customers, orders, per)
     mean_spend = ct.agg((from_cents(F.sum("_spent_c")) / F.count(F.lit(1)))
                         .alias("_avg_total_spent"))
