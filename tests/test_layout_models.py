@@ -166,3 +166,14 @@ def test_date_parts(spark):
     df = spark.createDataFrame([(dt.date(2015, 7, 31),)], "Date date")
     r = P.add_date_parts(df, "Date").first()
     assert (r.Year, r.Month, r.Day) == (2015, 7, 31)
+
+
+def test_parameterised_sql(spark):
+    C.register_views({"nums": spark.range(10)})
+    got = C.run_query(spark, "SELECT count(*) AS n FROM nums WHERE id >= :lo AND id < :hi",
+                      {"lo": 3, "hi": 7}).first().n
+    assert got == 4
+    C.exec_sql(spark, "CREATE OR REPLACE TEMP VIEW evens AS SELECT id FROM nums WHERE id % 2 = 0")
+    assert spark.table("evens").count() == 5
+    spark.catalog.dropTempView("nums")
+    spark.catalog.dropTempView("evens")

@@ -120,3 +120,12 @@ def test_histogram_max_in_last_bin(spark):
     df = spark.createDataFrame([(float(v),) for v in [0, 1, 2, 3, 4, 5]], "x double")
     h = {r.bin: r["count"] for r in M.histogram(df, "x", 5).collect()}
     assert h == {1: 1, 2: 1, 3: 1, 4: 1, 5: 2}
+
+
+def test_parse_day_uses_utc_day_for_zoned_text(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([("2024-01-01 23:30:00 -0200",), ("2024-01-01 01:00:00 +0530",),
+                                ("2024-01-01 23:59:59",), ("not a time",)], "s string")
+    got = [r.d for r in df.select(M.parse_day_multi("s").alias("d")).collect()]
+    assert got == [dt.date(2024, 1, 2), dt.date(2023, 12, 31), dt.date(2024, 1, 1), None]
