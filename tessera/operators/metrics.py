@@ -253,18 +253,26 @@ def median_of(df: DataFrame, cols) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """Equal-width bins between min and max; the maximum falls in the last bin.
 
-    Every bin is returned, empty ones with count 0.
+    Two passes: the minimum and maximum (two scalars), then one counting pass with them
+    as literals.  Every bin is returned, empty ones with count 0.
     """
     v = F.col(col).cast("double")
-    stats = df.agg(F.min(v).alias("_min"), F.max(v).alias("_max"))  # one row
-    width = (F.col("_max") - F.col("_min"))
+    lo, hi = df.agg(F.min(v), F.max(v)).first()
+    spark = df.sparkSession
+    if lo is None:  # no values: every bin empty
+        return spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"),
+                                               F.lit(None).cast("double").alias("lower"),
+                                               F.lit(None).cast("double").alias("upper"),
+                                               F.lit(0).cast("long").alias("count"))
+    mn, mx = F.lit(float(lo)), F.lit(float(hi))
+    width = mx - mn
     b = F.when(width == 0, F.lit(1)).otherwise(
-        F.least(F.floor((v - F.col("_min")) / width * F.lit(float(bins))) + 1, F.lit(bins)))
-    counts = (df.filter(F.col(col).isNotNull()).crossJoin(F.broadcast(stats))
+        F.least(F.floor((v - mn) / width * F.lit(float(bins))) + 1, F.lit(bins)))
+    counts = (df.filter(F.col(col).isNotNull())
               .groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count")))
-    grid = stats.select("_min", "_max", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
-    lower = F.col("_min") + (F.col("bin") - 1) * (F.col("_max") - F.col("_min")) / F.lit(float(bins))
-    upper = F.col("_min") + F.col("bin") * (F.col("_max") - F.col("_min")) / F.lit(float(bins))
+    grid = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    lower = mn + (F.col("bin") - 1) * (mx - mn) / F.lit(float(bins))
+    upper = mn + F.col("bin") * (mx - mn) / F.lit(float(bins))
     return (grid.join(counts, "bin", "left")
             .select("bin", lower.alias("lower"), upper.alias("upper"),
                     F.coalesce(F.col("count"), F.lit(0)).alias("count")).orderBy("bin"))

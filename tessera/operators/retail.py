@@ -281,16 +281,18 @@ def warehouse_transfers(products: DataFrame, warehouse_inventory: DataFrame) ->
     """
     per_site = warehouse_inventory.groupBy("warehouse_id", "product_id").agg(
         F.sum("quantity").alias("qty"))
-    diffs = per_site.join(products.select("product_id", "reorder_level"), "product_id").select(
-        "warehouse_id", "product_id", (F.col("qty") - F.col("reorder_level")).alias("delta"))
+    diffs = per_site.join(products.select("product_id", "reorder_level", "product_name"),
+                          "product_id").select(
+        "warehouse_id", "product_id", "product_name",
+        (F.col("qty") - F.col("reorder_level")).alias("delta"))
     s = diffs.filter(F.col("delta") > 0).select(
-        "product_id", F.col("warehouse_id").alias("from_warehouse"), F.col("delta").alias("surplus_qty"))
+        "product_id", "product_name", F.col("warehouse_id").alias("from_warehouse"),
+        F.col("delta").alias("surplus_qty"))
     d = diffs.filter(F.col("delta") < 0).select(
         "product_id", F.col("warehouse_id").alias("to_warehouse"), F.col("delta").alias("deficit_qty"))
     qty = F.least(F.col("surplus_qty"), -F.col("deficit_qty"))
     return (s.join(d, "product_id")
             .filter(qty > 0)
-            .join(products.select("product_id", "product_name"), "product_id")
             .select("product_id", "product_name", "from_warehouse", "to_warehouse",
                     qty.cast("long").alias("transfer_qty"))
             .orderBy("product_id", F.desc("transfer_qty")))
@@ -430,10 +432,15 @@ def product_pairs(order_items: DataFrame, products: DataFrame, min_orders: int =
     the bound are dropped before the self join (exact pruning).  The pair aggregation is
     combined map-side before its shuffle.
     """
+    from ..session import ensure_checkpoint_dir, small_input
+
     ip = (order_items.join(products.select("product_id", "cost_price"), "product_id")
           .groupBy("order_id", "product_id")
           .agg(F.sum((cents("unit_price") - cents("cost_price")) * F.col("quantity"))
                .alias("profit")))  # cents
+    if not small_input(order_items):  # read three times below: materialise it once
+        ensure_checkpoint_dir(order_items.sparkSession)
+        ip = ip.checkpoint(eager=True)
     frequent = (ip.groupBy("product_id").agg(F.count(F.lit(1)).alias("_n"))
                 .filter(F.col("_n") >= min_orders).select("product_id"))
     ip = ip.join(frequent, "product_id", "left_semi")

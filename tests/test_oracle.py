@@ -45,7 +45,7 @@ def test_entry_contract(spark):
 SCALABLE_PATH_KEYS = ["tier_top_decile", "sliding_windows", "describe_numeric", "fill_median",
                       "assign_identity", "stratified_split", "zscore", "last_window",
                       "insert_select", "per_class_split", "top_customers", "classification_report",
-                      "monthly_churn"]
+                      "monthly_churn", "product_pairs"]
 
 
 @pytest.mark.parametrize("key", SCALABLE_PATH_KEYS)
