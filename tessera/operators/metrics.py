@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import cents, from_cents, money_sum, round_half_up, thousands
-from .ranking import value_ranks
 
 # Timestamp text patterns tried in order (text with a zone offset, then without).
 SOCIAL_TS_FORMATS = ("yyyy-MM-dd HH:mm:ss Z", "yyyy-MM-dd HH:mm:ss")
