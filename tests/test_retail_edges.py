@@ -136,3 +136,14 @@ def test_tier_upgrade_nearest_only(spark):
     n_all, n_near = all_tiers.count(), nearest.count()
     assert n_near <= n_all
     assert nearest.groupBy("customer_id").count().filter("count > 1").count() == 0
+
+
+def test_monthly_sales_gap_month_and_status_filter(spark, tiny):
+    rows = {r.month: r for r in R.monthly_sales(tiny["orders"], D(2020, 1, 1), D(2020, 5, 1)).collect()}
+    assert set(rows) == {"2020-01", "2020-02", "2020-03", "2020-04"}
+    assert rows["2020-03"].cancelled_orders == 1 and rows["2020-03"].cancellation_rate == 100.0
+    assert rows["2020-01"].total_orders == 2 and rows["2020-01"].revenue == 130.0
+    pend = R.monthly_sales(tiny["orders"], D(2020, 1, 1), D(2020, 5, 1), ["Pending"]).collect()
+    assert [(r.month, r.total_orders) for r in pend] == [("2020-01", 1)]  # months without rows vanish
+    kpi = R.monthly_kpis(R.monthly_sales(tiny["orders"], D(2020, 1, 1), D(2020, 5, 1))).first()
+    assert kpi.total_revenue == 270.0 and kpi.months == 4
