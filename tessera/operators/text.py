@@ -126,14 +126,14 @@ def cosine_topk(corpus: DataFrame, queries: DataFrame, k: int = 2, corpus_id: st
     ``places`` decimals; ties go to the smaller corpus id.  The query set is checked
     against ``max_queries`` before it is broadcast; each task scores its corpus batch with
     one matrix product and keeps k rows per query, so only (tasks x queries x k) candidates
-    are shuffled for the final exact ranking.  A larger query set takes the join form
-    (``_cosine_topk_join``): same result, no broadcast.
+    are shuffled for the final exact ranking.  A larger query set takes the blocked form
+    (``_cosine_topk_join``): same result, no broadcast and no unbounded group.
     """
     spark = corpus.sparkSession
     n_q = queries.count()
     if n_q > max_queries:  # too large to broadcast: the distributed join form
         return _cosine_topk_join(corpus, queries, k, corpus_id, corpus_vec, query_id, query_vec,
-                                 places, eps)
+                                 places, eps, max_queries)
     q_rows = queries.select(query_id, query_vec).collect()  # bounded by the check above
     q_ids = np.array([r[0] for r in q_rows])
     q_mat = np.array([np.asarray(r[1], dtype=np.float64) for r in q_rows], dtype=np.float64)
@@ -179,21 +179,50 @@ def cosine_topk(corpus: DataFrame, queries: DataFrame, k: int = 2, corpus_id: st
 
 def _cosine_topk_join(corpus: DataFrame, queries: DataFrame, k: int, corpus_id: str,
                       corpus_vec: str, query_id: str, query_vec: str, places: int, eps: float,
-                      n_buckets: int = 64) -> DataFrame:
-    """``cosine_topk`` for query sets too large to broadcast: every (corpus, query) pair is
-    scored by a join, each (query, corpus hash bucket) keeps its k best, then the final rank
-    runs over at most ``n_buckets x k`` rows per query."""
-    from ..functions.vectors import dot, l2_normalize
-
-    c = corpus.select(F.col(corpus_id), l2_normalize(corpus_vec, eps).alias("_cv"),
-                      F.pmod(F.xxhash64(corpus_id), F.lit(n_buckets)).alias("_b"))
-    q = queries.select(F.col(query_id), l2_normalize(query_vec, eps).alias("_qv"))
-    sims = c.crossJoin(q).select(query_id, corpus_id, "_b",
-                                 round_half_up(dot("_cv", "_qv"), places).alias("similarity"))
-    order = (F.desc("similarity"), F.col(corpus_id))
-    first = sims.withColumn("_r", F.row_number().over(Window.partitionBy(query_id, "_b").orderBy(*order)))
-    cand = first.filter(F.col("_r") <= k).drop("_r", "_b")
-    w = Window.partitionBy(query_id).orderBy(*order)
+                      max_queries: int = 20000, rows_per_bucket: int = 50000) -> DataFrame:
+    """``cosine_topk`` for query sets too large to broadcast, as a 2-D blocked product.
+
+    Queries are hashed into blocks of about ``max_queries`` rows and the corpus into buckets
+    of about ``rows_per_bucket`` rows; every corpus row is sent to each query block and every
+    query to each corpus bucket, and each (block, bucket) pair is one bounded group scored
+    with one matrix product that keeps k rows per query.  The final exact rank runs over at
+    most (buckets x k) candidates per query.  No group and no task holds an unbounded side.
+    """
+    import math
+
+    n_q = queries.count()
+    n_c = corpus.count()
+    n_blocks = max(1, math.ceil(n_q / max_queries))
+    n_buckets = max(1, math.ceil(n_c / rows_per_bucket))
+    scale = float(10 ** places)
+    c = (corpus.select(F.col(corpus_id).alias("_cid"), F.col(corpus_vec).alias("_cv"))
+         .withColumn("_cb", F.pmod(F.xxhash64("_cid"), F.lit(n_buckets)))
+         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
+    q = (queries.select(F.col(query_id).alias("_qid"), F.col(query_vec).alias("_qv"))
+         .withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.lit(n_blocks)))
+         .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(n_buckets - 1)))))
+    id_type = dict(corpus.dtypes)[corpus_id]
+    qid_type = dict(queries.dtypes)[query_id]
+
+    def score(cpdf, qpdf):
+        if len(cpdf) == 0 or len(qpdf) == 0:
+            return pd.DataFrame({"_qid": [], "_cid": [], "similarity": []})
+        cm = np.stack([np.asarray(v, dtype=np.float64) for v in cpdf["_cv"].to_numpy()])
+        cm = cm / (np.linalg.norm(cm, axis=1, keepdims=True) + eps)
+        qm = np.stack([np.asarray(v, dtype=np.float64) for v in qpdf["_qv"].to_numpy()])
+        qm = qm / (np.linalg.norm(qm, axis=1, keepdims=True) + eps)
+        sims = np.floor((cm @ qm.T) * scale + 0.5) / scale
+        cid, qid = cpdf["_cid"].to_numpy(), qpdf["_qid"].to_numpy()
+        keep = min(k, len(cid))
+        order = np.lexsort((np.repeat(cid[:, None], len(qid), 1), -sims), axis=0)[:keep]
+        cols = np.tile(np.arange(len(qid)), keep)
+        rows = order.reshape(-1)
+        return pd.DataFrame({"_qid": qid[cols], "_cid": cid[rows], "similarity": sims[rows, cols]})
+
+    cand = (c.groupBy("_qb", "_cb").cogroup(q.groupBy("_qb", "_cb"))
+            .applyInPandas(score, f"_qid {qid_type}, _cid {id_type}, similarity double")
+            .select(F.col("_qid").alias(query_id), F.col("_cid").alias(corpus_id), "similarity"))
+    w = Window.partitionBy(query_id).orderBy(F.desc("similarity"), corpus_id)
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
