@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import fresh, prepare, small_batches, utf8_parts
+from .common import extended, fresh, prepare, small_batches, utf8_parts
 
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _L = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
@@ -154,9 +154,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "tok
     and ``token_ends``, the characters (code points) that each token has bytes of."""
     prepare(df.sparkSession)
     names = [fresh(df, ids_col)] + ([fresh(df, "token_starts"), fresh(df, "token_ends")] if spans else [])
-    schema = df.schema
-    for n in names:
-        schema = schema.add(n, "array<int>")
+    schema = extended(df, **dict.fromkeys(names, "array<int>"))
 
     def run(batches):
         bpe = codec(path)
@@ -191,7 +189,7 @@ def decode(df: DataFrame, path: str, ids_col: str = "token_ids", out_col: str =
             column = pa.array(out, pa.binary() if binary else pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, out_col])
 
-    return df.mapInArrow(run, df.schema.add(out_col, "binary" if binary else "string"))
+    return df.mapInArrow(run, extended(df, **{out_col: "binary" if binary else "string"}))
 
 
 def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

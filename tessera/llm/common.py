@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
@@ -58,6 +59,12 @@ def fresh(df: DataFrame, name: str) -> str:
     return out
 
 
+def extended(df: DataFrame, **types: str) -> T.StructType:
+    """The schema of ``df`` with more columns, as DDL types by name."""
+    more = [T.StructField(n, T.DataType.fromDDL(t)) for n, t in types.items()]
+    return T.StructType([*df.schema.fields, *more])
+
+
 def utf8_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets (n + 1, from 0) and UTF-8 bytes of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

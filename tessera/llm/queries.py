@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, hostrep, jumphash, oracles
 from .common import read
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -24,3 +25,24 @@ def query(fn):
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"), BPE_RANKS)
+
+
+#: Fixed by the task: host/path rules and their verdicts.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+@query
+def op8_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page outcomes are stand-ins: the labels of the document with the page's number, bad when
+    of low quality or toxic."""
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
+    outcomes = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return hostrep.judge(read(spark, sf_dir, "pages"), outcomes, URL_RULES).drop("bad_rate_bound")
+
+
+ORACLE_SQL["op8_host_reputation"] = oracles.host_reputation(URL_RULES, 1.645, 0.5)
+
+
+@query
+def op9_jump_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jumphash.assign(read(spark, sf_dir, "documents"), 40)
