@@ -55,3 +55,32 @@ def host_reputation(rules: dict[str, str], z: float, max_bad_rate: float) -> str
 SELECT page_id, host, path, rule, coalesce(said, CASE WHEN a / (a + b)
     - {z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > {max_bad_rate} THEN 'block' ELSE 'allow' END) AS verdict
 FROM ruled JOIN post USING (host)"""
+
+
+def decontamination(window: int) -> str:
+    words = (f"regexp_extract_all(translate(coalesce(text, ''), {_AZ}), "
+             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+    return f"""WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents
+), b AS (
+  SELECT item_id::VARCHAR AS item_id, w, least({window}, len(w)) AS m
+  FROM (SELECT item_id, {words} AS w FROM benchmark WHERE item_id IS NOT NULL)
+), windows AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[p:p + m - 1], ' ') AS text
+  FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS p FROM b WHERE m > 0)
+), distinct_windows AS (SELECT DISTINCT m, text FROM windows
+), occurring AS (
+  SELECT r, p, o.m, text FROM (
+    SELECT r, p, s.m, array_to_string(w[p:p + s.m - 1], ' ') AS text
+    FROM (SELECT DISTINCT m FROM windows) s, (SELECT *, unnest(range(1, len(w) + 1)) AS p FROM d)
+    WHERE p + s.m - 1 <= len(w)) o
+  JOIN distinct_windows USING (m, text)
+), hit AS (
+  SELECT r, count(DISTINCT p + k) AS n_hit FROM (SELECT r, p, unnest(range(0, m)) AS k FROM occurring) GROUP BY r
+), item AS (
+  SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT r, item_id FROM occurring JOIN windows USING (m, text)) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN item USING (r)"""

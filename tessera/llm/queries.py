@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hostrep, jumphash, oracles
+from . import bpe, hostrep, jumphash, oracles, suffixes
 from .common import read
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -46,3 +46,11 @@ ORACLE_SQL["op8_host_reputation"] = oracles.host_reputation(URL_RULES, 1.645, 0.
 @query
 def op9_jump_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jumphash.assign(read(spark, sf_dir, "documents"), 40)
+
+
+@query
+def op6_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL["op6_suffix_arrays"] = oracles.decontamination(suffixes.WINDOW)
