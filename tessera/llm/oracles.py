@@ -84,3 +84,14 @@ def decontamination(window: int) -> str:
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN item USING (r)"""
+
+
+def warc(least: int) -> str:
+    return f"""WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= {least} AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= {least} AND page_id <> first_id THEN first_id END AS refers_to
+FROM f"""

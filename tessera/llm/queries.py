@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hostrep, jumphash, oracles, suffixes
-from .common import read
+from . import bpe, hostrep, jumphash, oracles, suffixes, warc
+from .common import read, scratch
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -54,3 +54,13 @@ def op6_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op6_suffix_arrays"] = oracles.decontamination(suffixes.WINDOW)
+
+
+@query
+def op3_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "archives")
+    warc.write(read(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE_SQL["op3_warc_chain"] = oracles.warc(warc.MIN_REVISIT)
