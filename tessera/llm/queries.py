@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hostrep, importance, jumphash, oracles, suffixes, warc
+from . import bpe, hostrep, importance, jumphash, langid, oracles, suffixes, warc
 from .common import read, scratch
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -69,3 +69,8 @@ ORACLE_SQL["op3_warc_chain"] = oracles.warc(warc.MIN_REVISIT)
 @query
 def op1_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op4_piece_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"), BPE_RANKS)
