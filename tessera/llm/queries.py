@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hostrep, importance, jumphash, langid, oracles, suffixes, warc
+from . import bpe, hostrep, importance, jumphash, langid, oracles, probminhash, suffixes, warc
 from .common import read, scratch
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -74,3 +74,8 @@ def op1_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_piece_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"), BPE_RANKS)
+
+
+@query
+def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(read(spark, sf_dir, "documents")).drop("text_key")
