@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hostrep, importance, jumphash, langid, oracles, probminhash, suffixes, warc
+from . import bpe, hostrep, importance, jumphash, langid, oracles, probminhash, skmeans, suffixes, warc
 from .common import read, scratch
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -79,3 +79,8 @@ def op4_piece_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(read(spark, sf_dir, "documents")).drop("text_key")
+
+
+@query
+def op10_spherical_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return skmeans.near_duplicates(read(spark, sf_dir, "embeddings"))
