@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hostrep, importance, jumphash, langid, oracles, probminhash, skmeans, suffixes, warc
+from . import bpe, hostrep, importance, jumphash, langid, oracles, pii, probminhash, skmeans, suffixes, warc
 from .common import read, scratch
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -84,3 +84,8 @@ def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_spherical_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skmeans.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op7_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(read(spark, sf_dir, "documents"))
