@@ -1,25 +1,56 @@
-"""Corpus preparation as stages over ``documents``."""
+"""Corpus preparation: five stages from raw documents to token ids.
+
+Each stage takes (spark, docs, sf_dir) and works on all documents its predecessor kept; all
+but the last return the columns of ``documents``.  ``run`` writes every stage's result as
+Parquet in the shared checkpoint folder and rereads it, so a lost executor costs at most the
+running stage.  Null texts and ids, empty tables and repeated rows are handled as the
+operators' modules state.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import bpe
+from tessera.llm import bpe, importance, pii, probminhash, suffixes
 from tessera.llm.common import read, stored
 from tessera.llm.queries import BPE_RANKS
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents kept by importance resampling towards the good labelled ones."""
+    return importance.select(docs, read(spark, sf_dir, "labels"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id."""
+    return probminhash.deduplicate(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return suffixes.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by its kind; n_chars is that of the new text."""
+    return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of every text."""
-    return bpe.encode(docs, BPE_RANKS)
+    """Byte-level BPE ids of every text, with their number."""
+    return bpe.encode(docs, BPE_RANKS).withColumn("n_tokens", F.size("token_ids").cast("long"))
+
 
+STAGES = [("quality classifier", quality), ("near-dedup", near_dedup), ("decontamination", decontaminate),
+          ("personal data", redact), ("byte-level BPE", tokenize)]
 
-STAGES = [("byte-level BPE", tokenize)]
+#: Signatures, soft labels and merges have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each written as Parquet and reread as the next one's documents."""
+    """All stages over ``documents``."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), "pipeline")
