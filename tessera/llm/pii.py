@@ -44,15 +44,20 @@ _NAME = "[A-Za-z0-9-]"
 PATTERNS = {
     "email": (rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@{_NAME}++(?:\.{_NAME}++)++",
               rf"(?<!{_LOCAL}){_LOCAL}++ ?[\[({{][Aa][Tt][\])}}] ?{_NAME}++(?: ?(?:\.|[\[({{][Dd][Oo][Tt][\])}}]) ?{_NAME}++)++"),
-    "ip": (r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
-           r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"),
+    "ip": (r"(?=[0-9])(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
+           r"(?=[0-9A-Fa-f])(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"),
     "card": (r"[0-9](?:[\x20-]?[0-9])++",),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]",
-              r"(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z.-])"),
+              r"(?=[(0-9])(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z.-])"),
+}
+#: A cheap condition that every text with a match (ip, card: a valid one) meets.
+_DIGITS = r"[0-9][0-9.\x20-]{5,}[0-9]"
+WORTHWHILE = {
+    "email": (lambda t: t.contains("@"), lambda t: t.rlike(r"(?i)[\[({]at[\])}]")),
+    "ip": (lambda t: t.rlike(_DIGITS), lambda t: t.contains(":")),
+    "card": (lambda t: t.rlike(_DIGITS),),
+    "phone": (lambda t: t.contains("+"), lambda t: t.rlike(_DIGITS)),
 }
-#: A cheap condition that texts with a match of a pattern meet.
-WORTHWHILE = {("email", 0): lambda t: t.contains("@"), ("email", 1): lambda t: t.rlike(r"(?i)[\[({]at[\])}]"),
-              ("ip", 1): lambda t: t.contains(":"), ("phone", 0): lambda t: t.contains("+")}
 # Gazetteers and context words.
 TOP_LEVEL = ("com", "org", "net", "edu", "gov", "info", "io", "co", "de", "fr", "es", "it", "uk", "nl", "eu", "us")
 CALLING_CODES = r"^\+(1|7|20|27|3[0-469]|4[0134-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
@@ -65,8 +70,7 @@ WORDS_AGAINST = r"version|\bv$|invoice|order|isbn|serial|\bid\b|\bno\.? *$|\$ *$
 
 def _matches(text: Column, kind: str, i: int) -> Column:
     found = F.regexp_extract_all(text, F.lit(PATTERNS[kind][i]), F.lit(0))
-    worthwhile = WORTHWHILE.get((kind, i))
-    return found if worthwhile is None else F.when(worthwhile(text), found).otherwise(F.array().cast("array<string>"))
+    return F.when(WORTHWHILE[kind][i](text), found).otherwise(F.array().cast("array<string>"))
 
 
 def _spans(text: Column, pattern: str, found: Column) -> Column:
@@ -217,15 +221,17 @@ def fit(found: DataFrame) -> list[float] | None:
                                            F.struct(F.lit(0.0).alias("label"), (F.col("n") * (1 - F.col("p"))).alias("weight")))).alias("y"),
                          *[c.alias(n) for n, c in zip(names, _features(F.col("kind"), F.col("votes")))])
     table = VectorAssembler(inputCols=names, outputCol="features").transform(table.select("y.*", *names))
-    model = LogisticRegression(weightCol="weight", regParam=1e-3, maxIter=50).fit(table)
+    model = LogisticRegression(weightCol="weight", regParam=1e-3, maxIter=30).fit(table)
     return [*model.coefficients.toArray().tolist(), model.intercept]
 
 
 def _chance(weights: list[float], kind: Column, votes: Column) -> Column:
-    odds = F.lit(weights[-1])
-    for w, f in zip(weights, _features(kind, votes)):
-        odds = odds + F.lit(w) * f
-    return 1 / (1 + F.exp(-odds))
+    """The classifier's probability; each labeler's weight is looked up by its vote."""
+    own = F.get(F.array(*(F.lit(w) for w in weights[:len(KINDS)])), kind)
+    by_vote = [F.array(*(F.struct(F.lit(weights[at]).alias("yes"), F.lit(weights[at + 1]).alias("no")) for at in
+                         range(len(KINDS) + 2 * LABELERS * k, len(KINDS) + 2 * LABELERS * (k + 1), 2))) for k in range(len(KINDS))]
+    terms = F.zip_with(votes, F.get(F.array(*by_vote), kind), lambda v, w: F.when(v > 0, w["yes"]).when(v < 0, w["no"]).otherwise(0.0))
+    return 1 / (1 + F.exp(-F.aggregate(terms, own + F.lit(weights[-1]), lambda a, x: a + x)))
 
 
 def _accepted(spans: Column, weights: list[float] | None) -> Column:
