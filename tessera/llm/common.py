@@ -94,6 +94,21 @@ def small_batches(batches, max_bytes: int = 8 << 20, column: str = "text"):
             start = end
 
 
+def sorted_groups(batches, keys: int):
+    """Batches of the rows with equal values in the first ``keys`` (integer) columns, of rows
+    that arrive sorted by these."""
+    held = None
+    for batch in batches:
+        held = batch if held is None else pa.concat_batches([held, batch])
+        values = np.stack([held.column(i).to_numpy() for i in range(keys)])
+        starts = np.append(0, np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1)
+        for a, b in zip(starts, starts[1:]):
+            yield held.slice(a, b - a)
+        held = held.slice(starts[-1])
+    if held is not None and held.num_rows:
+        yield held
+
+
 def unsigned_crc32(c) -> F.Column:
     """CRC-32 of the UTF-8 text as an unsigned LONG; null counts as empty."""
     return F.crc32(F.coalesce(c, F.lit("")).cast("binary")).cast("long")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, prepare, stored
+from .common import cut, prepare, sorted_groups, stored
 from .components import components
 
 SIMILARITY = 0.9
@@ -125,8 +125,6 @@ def _product(left: np.ndarray, right: np.ndarray, same: bool, similarity: float)
 
 
 def _compare(similarity: float):
-    keys = 3  # cell, i, j
-
     def tile(part):
         node, copies = part.column(4).to_numpy(), part.column(5).to_numpy()
         vectors = unit(matrix(part.column(6), len(part.column(6)[0])))
@@ -146,22 +144,8 @@ def _compare(similarity: float):
             yield node[index][some], n[some].astype(np.int64), names[to[some]]
 
     def run(batches):
-        held = None
-        for batch in batches:
-            held = batch if held is None else pa.concat_batches([held, batch])
-            starts = edges(held)
-            yield from out(held, starts[:-1], starts[1:])
-            held = held.slice(starts[-1])
-        if held is not None and held.num_rows:
-            yield from out(held, [0], [held.num_rows])
-
-    def edges(batch):
-        k = np.stack([batch.column(i).to_numpy() for i in range(keys)])
-        return np.append(0, np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1)
-
-    def out(batch, starts, ends):
-        for a, b in zip(starts, ends):
-            for node, n, to in tile(batch.slice(a, b - a)):
+        for group in sorted_groups(batches, 3):  # cell, i, j
+            for node, n, to in tile(group):
                 if len(node):
                     yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n), pa.array(to)], ["node", "n", "to"])
 
