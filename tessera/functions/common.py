@@ -46,10 +46,13 @@ def round_half_up(c, places: int = 2) -> Column:
 
     Used instead of ``round``: Spark rounds the decimal rendering of a double (1.005 -> 1.01)
     while most engines round its binary value (1.005 -> 1.0); this form gives the same
-    answer everywhere.
+    answer everywhere.  From 2^53 / 10^p up a double has no digit at that place and is returned
+    as it is (``floor`` gives a LONG, which would saturate).
     """
-    scale = 10 ** places
-    return F.floor(col_(c) * F.lit(float(scale)) + F.lit(0.5)) / F.lit(float(scale))
+    scale = float(10 ** places)
+    x = col_(c)
+    return F.when(F.abs(x) * F.lit(scale) < F.lit(float(1 << 53)),
+                  F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).otherwise(x.cast("double"))
 
 
 def pct(num, den) -> Column:

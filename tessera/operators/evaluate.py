@@ -11,7 +11,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.common import round_half_up
 
 
 def accuracy(df: DataFrame, y: str, p: str) -> DataFrame:
@@ -33,19 +32,18 @@ def confusion_matrix(df: DataFrame, y: str, p: str, labels) -> DataFrame:
     return grid.fillna(0, subset=[str(v) for v in labels])
 
 
-def classification_report(df: DataFrame, y: str, p: str, places: int = 6) -> DataFrame:
+def classification_report(df: DataFrame, y: str, p: str) -> DataFrame:
     """Per class precision, recall, F1 and support, then accuracy, macro and weighted
     means.  Undefined ratios (no predictions / no support) count as 0.
 
     The (truth, prediction) count table has at most classes^2 rows and feeds every part of
     the report, so it is computed once and checkpointed: the predictions are read once.
     """
-    from ..session import ensure_checkpoint_dir, small_input
+    from ..session import ensure_checkpoint_dir
 
     pc = pair_counts(df, y, p)
-    if not small_input(df):  # a proven-small input is cheaper to re-read
-        ensure_checkpoint_dir(df.sparkSession)
-        pc = pc.checkpoint(eager=True)
+    ensure_checkpoint_dir(df.sparkSession)
+    pc = pc.checkpoint(eager=True)
     tp = pc.filter(F.col("actual") == F.col("predicted")).select(
         F.col("actual").alias("cls"), F.col("n").alias("tp"))
     support = pc.groupBy(F.col("actual").alias("cls")).agg(F.sum("n").alias("support"))
@@ -80,12 +78,10 @@ def classification_report(df: DataFrame, y: str, p: str, places: int = 6) -> Dat
                      F.col("n").cast("long").alias("support")),
     ])
     out = rows.unionByName(summary)
-    return out.select("label", *[round_half_up(F.col(c), places).alias(c)
-                                 for c in ("precision", "recall", "f1")], "support")
+    return out.select("label", "precision", "recall", "f1", "support")
 
 
-def regression_metrics(df: DataFrame, y: str, p: str, decimals: int | None = None,
-                       places: int = 6) -> DataFrame:
+def regression_metrics(df: DataFrame, y: str, p: str, decimals: int | None = None) -> DataFrame:
     """M26 + M28: MAE, MSE and R2 = 1 - SS_res / SS_tot (one row).
 
     With ``decimals`` set (inputs with that many decimal places) the error sums are exact
@@ -103,7 +99,7 @@ def regression_metrics(df: DataFrame, y: str, p: str, decimals: int | None = Non
            .agg(F.sum(F.pow(F.col("_y").cast("double") - F.col("_mean"), 2)).alias("_sst")))
     sse = F.col("_sse").cast("double")
     return stats.crossJoin(sst).select(
-        round_half_up(F.col("_sae").cast("double") / F.col("n"), places).alias("mae"),
-        round_half_up(sse / F.col("n"), places).alias("mse"),
-        round_half_up(F.lit(1.0) - F.try_divide(sse, F.col("_sst")), places).alias("r2"),
+        (F.col("_sae").cast("double") / F.col("n")).alias("mae"),
+        (sse / F.col("n")).alias("mse"),
+        (F.lit(1.0) - F.try_divide(sse, F.col("_sst"))).alias("r2"),
         "n")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.common import cents, from_cents, money_sum, round_half_up, thousands
+from ..functions.common import cents, from_cents, money_sum, thousands
 
 # Timestamp text patterns tried in order (text with a zone offset, then without).
 SOCIAL_TS_FORMATS = ("yyyy-MM-dd HH:mm:ss Z", "yyyy-MM-dd HH:mm:ss")
@@ -146,98 +146,46 @@ def date_bounds(frames: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str, probs,
-                    n_buckets: int = 256) -> DataFrame:
+def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str, probs) -> DataFrame:
     """Exact, linearly interpolated quantiles per group (as pandas / numpy ``linear``).
 
-    No group's values are gathered in one place: values are reduced to (group, value,
-    count), cut into buckets by approximate quantiles, and the small per-bucket totals
-    tell which bucket holds each wanted position (h = (n - 1) q and its two neighbours).
-    Only those few buckets are sorted.  Returns (group, prob, quantile).
+    Values are reduced to (group, value, count); prefix sums of the counts tell which value
+    holds each wanted position (h = (n - 1) q and its two neighbours), so that one filtered
+    aggregate reads off all quantiles.  NULLs are left out.  Returns (group, prob, quantile).
     """
-    from ..session import small_input
-    from .ranking import assign_buckets
-
-    spark = long_df.sparkSession
-    if small_input(long_df):  # proven small input: Spark's exact percentile per group
-        ps = [float(p) for p in probs]
-        q = long_df.groupBy(group_col).agg(F.percentile(value_col, ps).alias("_q"))
-        return q.select(group_col, F.explode(F.arrays_zip(
-            F.array(*[F.lit(p) for p in ps]).alias("prob"), F.col("_q").alias("quantile"))).alias("_z")) \
-            .select(group_col, F.col("_z.prob").alias("prob"), F.col("_z.quantile").alias("quantile"))
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
-    counts = (long_df.filter(F.col(value_col).isNotNull())
-              .groupBy(group_col, value_col).agg(F.count(F.lit(1)).alias("_c"))
-              .checkpoint(eager=True))  # read by every step below
-    fr = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = counts.groupBy(group_col).agg(
-        F.percentile_approx(value_col, fr, 10000).alias("_bounds"), F.sum("_c").alias("_n"))
-    cb = assign_buckets(counts, bounds, [group_col], value_col, out_col="_b", carry=["_n"])
-    wg = Window.partitionBy(group_col).orderBy("_b")
-    per_bucket = (cb.groupBy(group_col, "_b").agg(F.sum("_c").alias("_bt"), F.first("_n").alias("_n"))
-                  .withColumn("_start", F.coalesce(
-                      F.sum("_bt").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
-    probs_df = spark.createDataFrame([(float(p),) for p in probs], "prob double")
-    pos = (per_bucket.crossJoin(F.broadcast(probs_df))  # a fixed short list of probabilities
-           .withColumn("_h", (F.col("_n") - 1).cast("double") * F.col("prob"))
-           .withColumn("_pos", F.explode(F.array(F.floor("_h"), F.ceil("_h"))))
-           .filter((F.col("_pos") >= F.col("_start")) & (F.col("_pos") < F.col("_start") + F.col("_bt")))
-           .select(group_col, "_b", "prob", "_h", "_pos", "_start"))
-    wanted = pos.select(group_col, "_b").distinct()
-    inside = (cb.join(wanted, [group_col, "_b"], "left_semi")
-              .withColumn("_below", F.coalesce(F.sum("_c").over(
-                  Window.partitionBy(group_col, "_b").orderBy(value_col)
-                  .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
-    hit = pos.join(inside, [group_col, "_b"]).filter(
-        (F.col("_pos") >= F.col("_start") + F.col("_below"))
-        & (F.col("_pos") < F.col("_start") + F.col("_below") + F.col("_c")))
-    lo = F.col("_pos") == F.floor("_h")
-    hi = F.col("_pos") == F.ceil("_h")
-    piv = hit.groupBy(group_col, "prob", "_h").agg(
-        F.max(F.when(lo, F.col(value_col))).alias("_vlo"),
-        F.max(F.when(hi, F.col(value_col))).alias("_vhi"))
-    frac = F.col("_h") - F.floor("_h")
-    return piv.select(group_col, "prob",
-                      (F.col("_vlo").cast("double")
-                       + (F.col("_vhi").cast("double") - F.col("_vlo").cast("double")) * frac)
-                      .alias("quantile"))
-
-
-def describe_numeric(df: DataFrame, cols, places: int = 6) -> DataFrame:
+    from .ranking import prefix_sums
+
+    counts = (long_df.where(F.col(value_col).isNotNull()).groupBy(group_col, value_col)
+              .agg(F.count(F.lit(1)).alias("_c")))
+    placed = prefix_sums(counts, [group_col], [value_col], "_c", "_below", "_n")
+
+    def at(position):
+        holds = (position >= F.col("_below")) & (position < F.col("_below") + F.col("_c"))
+        return F.max(F.when(holds, F.col(value_col).cast("double")))
+
+    values = []
+    for p in map(float, probs):
+        h = (F.col("_n") - 1).cast("double") * F.lit(p)
+        values.append(F.struct(F.lit(p).alias("prob"), F.max(h - F.floor(h)).alias("frac"),
+                               at(F.floor(h)).alias("lo"), at(F.ceil(h)).alias("hi")))
+    found = placed.groupBy(group_col).agg(F.array(*values).alias("_q")).select(group_col, F.explode("_q").alias("q"))
+    return found.select(group_col, F.col("q.prob").alias("prob"),
+                        (F.col("q.lo") + (F.col("q.hi") - F.col("q.lo")) * F.col("q.frac")).alias("quantile"))
+
+
+def describe_numeric(df: DataFrame, cols) -> DataFrame:
     """Count, mean, sample std, min, 25%, 50%, 75%, max for each numeric column.
 
-    One row per column.  The frame is reshaped to (column, value) once, so every statistic
-    is a grouped aggregate of a single scan; quantiles are exact and interpolated.
+    One row per column, unrounded.  The frame is reshaped to (column, value) once, so every
+    statistic is a grouped aggregate; quantiles are exact and interpolated.
     """
-    from ..session import small_input
-
     long_df = unpivot_metrics(df, [], cols, "column_name", "v")
-    if small_input(df):  # proven small input: one pass, all columns, Spark's exact percentile
-        aggs = []
-        for i, c in enumerate(cols):
-            v = F.col(c).cast("double")
-            aggs += [F.count(v).alias(f"_n{i}"), F.avg(v).alias(f"_a{i}"), F.stddev_samp(v).alias(f"_s{i}"),
-                     F.min(v).alias(f"_lo{i}"), F.max(v).alias(f"_hi{i}"),
-                     F.percentile(v, [0.25, 0.5, 0.75]).alias(f"_q{i}")]
-        one = df.agg(*aggs)  # a single row: reshape it to one row per column
-        rows = F.array(*[F.struct(
-            F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("count"),
-            round_half_up(F.col(f"_a{i}"), places).alias("mean"),
-            round_half_up(F.col(f"_s{i}"), places).alias("std"),
-            F.col(f"_lo{i}").alias("min"), F.col(f"_hi{i}").alias("max"),
-            *[round_half_up(F.col(f"_q{i}")[j], places).alias(n) for j, n in enumerate(("p25", "p50", "p75"))])
-            for i, c in enumerate(cols)])
-        return one.select(F.explode(rows).alias("_r")).select("_r.*")
     basic = long_df.groupBy("column_name").agg(
-        F.count("v").alias("count"),
-        round_half_up(F.avg("v"), places).alias("mean"),
-        round_half_up(F.stddev_samp("v"), places).alias("std"),
+        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"), F.max("v").alias("max"))
     q = exact_quantiles(long_df, "column_name", "v", [0.25, 0.5, 0.75])
     qw = q.groupBy("column_name").agg(
-        *[round_half_up(F.max(F.when(F.col("prob") == p, F.col("quantile"))), places).alias(n)
+        *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n)
           for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
     return basic.join(qw, "column_name", "left")
 

@@ -1,17 +1,14 @@
-"""Exact rank inside groups without sorting a whole group in one task.
+"""Exact ranks, row numbers and prefix sums without sorting a whole group in one task.
 
-``Window.partitionBy(g).orderBy(v)`` sends every row of a group to one task.  When one
-group holds a third of the table that task sorts a third of the table.  Here the work is
-split instead:
+``Window.partitionBy(g).orderBy(v)`` sends every row of a group to one task.  Here all groups
+are range-partitioned together by (group, order, input position), so a hot group, and equal
+rows in it, spread over many partitions; each partition is summed on its own, and the totals
+of earlier partitions, one row per (group, partition) that meet, are added.  The number of
+partitions follows ``spark.sql.shuffle.partitions``, which is sized to the data.  There is one
+plan for every size.
 
-1. rows are pre-aggregated to (group, value, count), so equal values (e.g. every customer
-   with spend 0) collapse into one row before any shuffle;
-2. each group's values are cut into ``n_buckets`` value ranges by approximate quantiles
-   (the cuts only balance work; the result is exact whatever the cuts are);
-3. a window per (group, bucket) counts the smaller values inside the bucket and a window
-   over the small (group, bucket) total table gives the rows in all lower buckets.
-
-rank = 1 + (rows of the group with a strictly smaller value), as SQL ``RANK``.
+The ranged rows are written once with a reliable ``checkpoint()``, because partition numbers
+must not change between the two uses of them.  NULLs sort first and are kept.
 """
 
 from __future__ import annotations
@@ -19,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import small_input
+from ..session import ensure_checkpoint_dir
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, cols):
@@ -52,135 +49,54 @@ def bucketize(df: DataFrame, in_col: str, edges, out_col: str) -> DataFrame:
     return out.withColumn(out_col, F.col(out_col).cast("int"))
 
 
-def assign_buckets(df: DataFrame, bounds: DataFrame, group_cols, value_col: str,
-                   bounds_col: str = "_bounds", out_col: str = "_bucket", carry=()) -> DataFrame:
-    """Bucket = number of the group's edges below the value, by an interval join.
-
-    Each group's ascending edges become intervals (e[i-1], e[i]] numbered i, plus the open
-    top interval.  The join is an equality on the group plus a range test: AQE broadcasts
-    the interval table when it is small, otherwise the shuffle join's skew handling splits a
-    hot group.  Comparisons are compiled, not evaluated per array element.  ``carry``
-    columns of ``bounds`` (per-group values) are copied to the output rows.
-    """
+def prefix_sums(df: DataFrame, group_cols, order_cols, weight: str | None = None,
+                before_col: str = "_before", total_col: str = "group_n") -> DataFrame:
+    """Adds the sum of ``weight`` (default 1 a row) over the rows of the same group that come
+    earlier in ``order_cols`` (input order among equals), and the sum over the whole group."""
+    group_cols, order_cols = list(group_cols), list(order_cols)
+    ensure_checkpoint_dir(df.sparkSession)
+    w = F.lit(1) if weight is None else F.col(weight)
+    ranged = (df.withColumn("_w", w.cast("long")).withColumn("_at", F.monotonically_increasing_id())
+              .repartitionByRange(*group_cols, *order_cols, "_at")
+              .withColumn("_part", F.spark_partition_id()).checkpoint(eager=True))
+    own = Window.partitionBy(*group_cols, "_part").orderBy(*order_cols, "_at")
+    earlier = own.rowsBetween(Window.unboundedPreceding, -1)
+    inside = ranged.withColumn("_inside", F.coalesce(F.sum("_w").over(earlier), F.lit(0)))
+    per = ranged.groupBy(*group_cols, "_part").agg(F.sum("_w").alias("_n"))
+    group = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
+    parts = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per.select(*group_cols, "_part", F.coalesce(F.sum("_n").over(parts), F.lit(0)).alias("_start"),
+                        F.sum("_n").over(group).alias(total_col))
+    i, s = inside.alias("_i"), starts.alias("_s")
+    return i.join(s, _null_safe_on(i, s, [*group_cols, "_part"])).select(
+        *[i[c] for c in df.columns], (s["_start"] + i["_inside"]).alias(before_col), s[total_col])
+
+
+def value_ranks(df: DataFrame, group_cols, order_col: str) -> DataFrame:
+    """One row per distinct (group, value): ``rank`` (SQL RANK, ascending, NULL first),
+    ``group_n`` and ``value_count``.  Equal values are one row before anything is sorted."""
     group_cols = list(group_cols)
-    carry = list(carry)
-    gk = {g: f"_ivg_{i}" for i, g in enumerate(group_cols)}
-    ck = {c: f"_ivc_{i}" for i, c in enumerate(carry)}
-    base = bounds.select(*[F.col(g).alias(gk[g]) for g in group_cols],
-                         *[F.col(c).alias(ck[c]) for c in carry], F.col(bounds_col).alias("_ivb"))
-    iv = base.select(*gk.values(), *ck.values(), F.posexplode("_ivb").alias("_i", "_hi"))
-    w = Window.partitionBy(*gk.values()).orderBy("_i") if group_cols else Window.orderBy("_i")
-    iv = iv.withColumn("_lo", F.lag("_hi").over(w))  # small table: groups x edges
-    top = base.select(*gk.values(), *ck.values(), F.size("_ivb").alias("_i"),
-                      F.element_at("_ivb", -1).alias("_lo"))
-    iv = iv.unionByName(top.withColumn("_hi", F.lit(None).cast(iv.schema["_hi"].dataType)))
-    v = F.col(value_col)
-    cond = (F.col("_lo").isNull() | (v > F.col("_lo"))) & (F.col("_hi").isNull() | (v <= F.col("_hi")))
-    for g in group_cols:
-        cond = cond & F.col(g).eqNullSafe(F.col(gk[g]))
-    out = df.join(iv, cond, "inner")
-    return out.select(*df.columns, *[F.col(ck[c]).alias(c) for c in carry], F.col("_i").alias(out_col))
-
-
-def value_ranks(df: DataFrame, group_cols, order_col: str, n_buckets: int = 256,
-                accuracy: int = 10000, materialize: bool = True) -> DataFrame:
-    """One row per distinct (group, value): ``rank`` (SQL RANK, ascending), ``group_n`` and
-    ``value_count`` (rows holding that value).
-
-    ``order_col`` must be numeric (or date/timestamp) and non-null.  With ``materialize``
-    the (group, value, count) table, which every later step reads, is written once with a
-    reliable ``checkpoint()`` (shared checkpoint folder) instead of being recomputed from
-    the input by each consumer; this also cuts the lineage.
-    """
-    group_cols = list(group_cols)
-    counts = df.groupBy(*group_cols, order_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    if small_input(df):  # proven small input: plain windows over the distinct values
-        wg = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
-        below = F.sum("_cnt").over(wg.orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1))
-        return counts.select(*group_cols, order_col,
-                             (F.lit(1) + F.coalesce(below, F.lit(0))).cast("long").alias("rank"),
-                             F.sum("_cnt").over(wg).cast("long").alias("group_n"),
-                             F.col("_cnt").alias("value_count"))
-    if materialize:
-        from ..session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(df.sparkSession)
-        counts = counts.checkpoint(eager=True)
-    fractions = [i / n_buckets for i in range(1, n_buckets)]
-    # One pass over the counts gives the bucket edges and the group size.
-    edges = [F.percentile_approx(order_col, fractions, accuracy).alias("_bounds"),
-             F.sum("_cnt").alias("group_n")]
-    if group_cols:
-        bounds = counts.groupBy(*group_cols).agg(*edges)
-        cb = assign_buckets(counts, bounds, group_cols, order_col, carry=["group_n"])
-    else:
-        dtype = dict(counts.dtypes)[order_col]
-        keyed = counts.withColumn("_key", sortable_double(order_col, dtype))
-        row = keyed.agg(F.percentile_approx("_key", fractions, accuracy).alias("_bounds"),
-                        F.sum("_cnt").alias("group_n")).first()  # one row, n_buckets - 1 edges
-        cb = bucketize(keyed, "_key", row["_bounds"] or [], "_bucket").drop("_key") \
-            .withColumn("group_n", F.lit(int(row["group_n"] or 0)).cast("long"))
-
-    # Smaller values inside the bucket, and the bucket total, from one window partitioning.
-    wb = Window.partitionBy(*group_cols, "_bucket")
-    inside = cb.select(
-        "*",
-        F.coalesce(F.sum("_cnt").over(wb.orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_below_in"),
-        F.sum("_cnt").over(wb).alias("_bt"))
-    # Rows in all lower buckets: a window over the small (group, bucket) table.
-    wg = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
-    per_bucket = inside.select(*group_cols, "_bucket", "_bt").distinct().select(
-        *group_cols, "_bucket",
-        F.coalesce(F.sum("_bt").over(wg.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_below_bucket"))
-    i = inside.alias("_i")
-    p = per_bucket.alias("_p")
-    keys = group_cols + ["_bucket"]
-    return i.join(p, _null_safe_on(i, p, keys), "inner").select(
-        *[i[g] for g in group_cols], i[order_col],
-        (F.lit(1) + p["_below_bucket"] + i["_below_in"]).cast("long").alias("rank"),
-        i["group_n"].cast("long").alias("group_n"),
-        i["_cnt"].alias("value_count"))
-
-
-def with_percent_rank(df: DataFrame, group_cols, order_col: str, out_col: str = "pr",
-                      n_buckets: int = 256) -> DataFrame:
+    counts = df.groupBy(*group_cols, order_col).agg(F.count(F.lit(1)).alias("value_count"))
+    ranked = prefix_sums(counts, group_cols, [order_col], "value_count")
+    return ranked.select(*group_cols, order_col, (F.col("_before") + 1).alias("rank"), "group_n", "value_count")
+
+
+def with_percent_rank(df: DataFrame, group_cols, order_col: str, out_col: str = "pr") -> DataFrame:
     """Adds SQL ``PERCENT_RANK() OVER (PARTITION BY group ORDER BY order_col)``."""
     group_cols = list(group_cols)
-    if small_input(df):
-        w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))).orderBy(order_col)
-        return df.withColumn(out_col, F.percent_rank().over(w))
-    ranks = value_ranks(df, group_cols, order_col, n_buckets=n_buckets)
-    ranks = ranks.withColumn(
-        out_col,
-        F.when(F.col("group_n") <= 1, F.lit(0.0)).otherwise(
-            (F.col("rank") - 1).cast("double") / (F.col("group_n") - 1).cast("double"))
-    ).drop("rank", "group_n", "value_count")
+    ranks = value_ranks(df, group_cols, order_col)
+    pr = F.when(F.col("group_n") <= 1, F.lit(0.0)).otherwise(
+        (F.col("rank") - 1).cast("double") / (F.col("group_n") - 1).cast("double"))
     a = df.alias("_l")
-    r = ranks.alias("_r")
-    keys = group_cols + [order_col]
-    return a.join(r, _null_safe_on(a, r, keys), "inner").select("_l.*", r[out_col])
+    r = ranks.select(*group_cols, order_col, pr.alias(out_col)).alias("_r")
+    return a.join(r, _null_safe_on(a, r, [*group_cols, order_col]), "inner").select("_l.*", r[out_col])
 
 
 def row_numbers(df: DataFrame, group_cols, order_col: str, tiebreak_col: str,
-                out_col: str = "rn", n_buckets: int = 256) -> DataFrame:
+                out_col: str = "rn") -> DataFrame:
     """SQL ``ROW_NUMBER() OVER (PARTITION BY group ORDER BY order_col, tiebreak_col)`` plus
-    ``group_n``, computed without sending a whole group to one task.
-
-    Ties on ``order_col`` are numbered by ``tiebreak_col`` inside each tie (ties are small
-    when ``order_col`` is a hash or a timestamp).
-    """
-    group_cols = list(group_cols)
-    if small_input(df):
-        wg = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
-        return df.withColumns({out_col: F.row_number().over(wg.orderBy(order_col, tiebreak_col)),
-                               "group_n": F.count(F.lit(1)).over(wg)})
-    ranks = value_ranks(df, group_cols, order_col, n_buckets=n_buckets).drop("value_count")
-    a = df.alias("_l")
-    r = ranks.alias("_r")
-    keys = group_cols + [order_col]
-    j = a.join(r, _null_safe_on(a, r, keys), "inner").select("_l.*", r["rank"], r["group_n"])
-    tie = Window.partitionBy(*group_cols, order_col).orderBy(tiebreak_col)
-    return (j.withColumn(out_col, F.col("rank") + F.row_number().over(tie) - 1)
-            .drop("rank"))
+    ``group_n``."""
+    order = [order_col] if tiebreak_col == order_col else [order_col, tiebreak_col]
+    out = prefix_sums(df, group_cols, order, before_col="_rows_before")
+    return out.withColumn(out_col, F.col("_rows_before") + 1).drop("_rows_before").select(
+        *df.columns, out_col, "group_n")

@@ -163,12 +163,11 @@ def top_customers(customers: DataFrame, orders: DataFrame) -> DataFrame:
     because three parts of the report read it) also gives the mean order value (total of all
     amounts over their count), so no second pass over orders is needed.
     """
-    from ..session import ensure_checkpoint_dir, small_input
+    from ..session import ensure_checkpoint_dir
 
     per = _orders_per_customer(orders)
-    if not small_input(orders):  # a proven-small input is cheaper to re-read
-        ensure_checkpoint_dir(orders.sparkSession)
-        per = per.checkpoint(eager=True)
+    ensure_checkpoint_dir(orders.sparkSession)
+    per = per.checkpoint(eager=True)
     ct = customer_totals(customers, orders, per)
     mean_spend = ct.agg((from_cents(F.sum("_spent_c")) / F.count(F.lit(1)))
                         .alias("_avg_total_spent"))
@@ -231,7 +230,7 @@ def monthly_kpis(monthly: DataFrame) -> DataFrame:
         money_sum("revenue").alias("total_revenue"),
         F.sum("total_orders").cast("long").alias("total_orders"),
         F.sum("unique_customers").cast("long").alias("unique_customers_sum"),
-        round_half_up(F.avg("avg_order_value"), 6).alias("avg_order_value_mean"),
+        F.avg("avg_order_value").alias("avg_order_value_mean"),
         F.count(F.lit(1)).alias("months"))
 
 
@@ -327,13 +326,10 @@ def cohort_retention(customers: DataFrame, orders: DataFrame) -> DataFrame:
             .orderBy("cohort_month", F.asc_nulls_first("cohort_index")))
 
 
-def cohort_grid(retention: DataFrame, max_index: int | None = None) -> DataFrame:
-    """H3: cohort x month-index grid of retention % (heat-map input), one column per index."""
+def cohort_grid(retention: DataFrame) -> DataFrame:
+    """H3: cohort x month-index grid of retention % (heat-map input), one column for every
+    index that occurs (at most the months of the calendar)."""
     r = retention.filter(F.col("cohort_index").isNotNull())
-    if max_index is not None:
-        levels = list(range(0, max_index + 1))
-        return (r.groupBy("cohort_month").pivot("cohort_index", levels)
-                .agg(F.max("retention_pct")))
     return r.groupBy("cohort_month").pivot("cohort_index").agg(F.max("retention_pct"))
 
 
@@ -423,30 +419,40 @@ def tier_top_decile(customers: DataFrame, orders: DataFrame, days: int = 90, as_
             .limit(limit))
 
 
+PAIR_BLOCK = 256
+
+
 def product_pairs(order_items: DataFrame, products: DataFrame, min_orders: int = 5,
                   limit: int = 100) -> DataFrame:
     """C3.1: product pairs bought in the same order at least ``min_orders`` times.
 
     Lines are first reduced to one row per (order, product) with its profit.  A pair can
     reach ``min_orders`` only if each product occurs in that many orders, so products below
-    the bound are dropped before the self join (exact pruning).  The pair aggregation is
-    combined map-side before its shuffle.
+    the bound are dropped before the self join (exact pruning).  Pairs inside an order are
+    made in tiles of ``PAIR_BLOCK`` x ``PAIR_BLOCK`` products, so a very large order is spread
+    over tasks; the pair aggregation is combined map-side before its shuffle.
     """
-    from ..session import ensure_checkpoint_dir, small_input
+    from ..session import ensure_checkpoint_dir
 
     ip = (order_items.join(products.select("product_id", "cost_price"), "product_id")
           .groupBy("order_id", "product_id")
           .agg(F.sum((cents("unit_price") - cents("cost_price")) * F.col("quantity"))
                .alias("profit")))  # cents
-    if not small_input(order_items):  # read three times below: materialise it once
-        ensure_checkpoint_dir(order_items.sparkSession)
-        ip = ip.checkpoint(eager=True)
+    ensure_checkpoint_dir(order_items.sparkSession)
+    ip = ip.checkpoint(eager=True)  # read three times below
     frequent = (ip.groupBy("product_id").agg(F.count(F.lit(1)).alias("_n"))
                 .filter(F.col("_n") >= min_orders).select("product_id"))
     ip = ip.join(frequent, "product_id", "left_semi")
-    a = ip.select("order_id", F.col("product_id").alias("prod_a"), F.col("profit").alias("pa"))
-    b = ip.select("order_id", F.col("product_id").alias("prod_b"), F.col("profit").alias("pb"))
-    pairs = a.join(b, "order_id").filter(F.col("prod_a") < F.col("prod_b"))
+    # Orders of many products are cut into blocks; each two blocks meet in a tile of their own.
+    size = ip.groupBy("order_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(PAIR_BLOCK)).cast("int").alias("_blocks"))
+    ip = ip.join(size, "order_id").withColumn("_block", F.pmod(F.xxhash64("product_id"), F.col("_blocks")).cast("int"))
+    ip = ip.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    ip = ip.withColumns({"_i": F.least("_block", "_other"), "_j": F.greatest("_block", "_other")})
+    tile = ["order_id", "_i", "_j"]
+    a = ip.select(*tile, F.col("product_id").alias("prod_a"), F.col("profit").alias("pa"), F.col("_block").alias("_ba"))
+    b = ip.select(*tile, F.col("product_id").alias("prod_b"), F.col("profit").alias("pb"), F.col("_block").alias("_bb"))
+    pairs = a.join(b, tile).filter((F.col("prod_a") < F.col("prod_b")) & (F.least("_ba", "_bb") == F.col("_i"))
+                                   & (F.greatest("_ba", "_bb") == F.col("_j")))
     return (pairs.groupBy("prod_a", "prod_b")
             .agg(F.count(F.lit(1)).alias("orders_together"),
                  from_cents(F.sum(F.col("pa") + F.col("pb"))).alias("total_pair_profit"))
@@ -502,20 +508,24 @@ def discount_buckets_list_price(order_items: DataFrame, products: DataFrame) ->
                                    rev.alias("_rev_c")), "_rev_c")
 
 
+def _named_revenue(per_warehouse: DataFrame, warehouses: DataFrame) -> DataFrame:
+    """Names joined to one revenue row per warehouse."""
+    return (per_warehouse.join(warehouses, "warehouse_id")
+            .select("warehouse_id", "warehouse_name", "revenue").orderBy(F.desc("revenue")))
+
+
 def warehouse_revenue_item(order_items: DataFrame, orders: DataFrame,
                            warehouses: DataFrame) -> DataFrame:
     """C3.3a: revenue per warehouse through order_items.warehouse_id (no Cancelled)."""
     live = orders.filter(F.col("order_status") != CANCELLED).select("order_id")
-    return (order_items.join(live, "order_id").join(warehouses, "warehouse_id")
-            .groupBy("warehouse_id", "warehouse_name")
-            .agg(money_sum("subtotal").alias("revenue")).orderBy(F.desc("revenue")))
+    return _named_revenue(order_items.join(live, "order_id").groupBy("warehouse_id")
+                          .agg(money_sum("subtotal").alias("revenue")), warehouses)
 
 
 def warehouse_revenue_order(orders: DataFrame, warehouses: DataFrame) -> DataFrame:
     """C3.3b: revenue per warehouse through orders.warehouse_id, from total_amount."""
-    return (orders.filter(F.col("order_status") != CANCELLED).join(warehouses, "warehouse_id")
-            .groupBy("warehouse_id", "warehouse_name")
-            .agg(money_sum("total_amount").alias("revenue")).orderBy(F.desc("revenue")))
+    return _named_revenue(orders.filter(F.col("order_status") != CANCELLED).groupBy("warehouse_id")
+                          .agg(money_sum("total_amount").alias("revenue")), warehouses)
 
 
 def warehouse_revenue_shipment(shipments: DataFrame, order_items: DataFrame, orders: DataFrame,
@@ -523,8 +533,5 @@ def warehouse_revenue_shipment(shipments: DataFrame, order_items: DataFrame, ord
     """C3.3c: revenue per warehouse through the shipments mapping of items."""
     live = orders.filter(F.col("order_status") != CANCELLED).select("order_id")
     items = order_items.select("order_item_id", "order_id", "subtotal")
-    return (shipments.select("order_item_id", "warehouse_id")
-            .join(items, "order_item_id").join(live, "order_id")
-            .join(warehouses, "warehouse_id")
-            .groupBy("warehouse_id", "warehouse_name")
-            .agg(money_sum("subtotal").alias("revenue")).orderBy(F.desc("revenue")))
+    sold = shipments.select("order_item_id", "warehouse_id").join(items, "order_item_id").join(live, "order_id")
+    return _named_revenue(sold.groupBy("warehouse_id").agg(money_sum("subtotal").alias("revenue")), warehouses)

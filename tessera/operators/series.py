@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.common import round_half_up
-from ..session import small_input
 from .ranking import row_numbers
 
 
@@ -27,11 +25,6 @@ def sliding_windows(df: DataFrame, series_cols, order_col: str, value_col: str,
     """For each row with ``k`` earlier rows: the ``k`` previous values (oldest first)
     as ``features`` and the row's own value as ``target``."""
     series_cols = list(series_cols)
-    if small_input(df):  # proven small input: a frame of the k previous rows
-        w = Window.partitionBy(*series_cols).orderBy(order_col).rowsBetween(-k, -1)
-        out = df.withColumn("features", F.collect_list(F.col(value_col)).over(w))
-        return (out.filter(F.size("features") == k)
-                .select(*series_cols, order_col, "features", F.col(value_col).alias("target")))
     p = positions(df, series_cols, order_col)
     # value at position q feeds targets q+1 .. q+k, at slot k - j (0-based, oldest first)
     sent = p.select(*series_cols, "pos", value_col,
@@ -50,10 +43,11 @@ def sliding_windows(df: DataFrame, series_cols, order_col: str, value_col: str,
 def last_window(df: DataFrame, series_cols, order_col: str, value_col: str, k: int) -> DataFrame:
     """The last ``k`` values of each series (oldest first); shorter series give all."""
     series_cols = list(series_cols)
-    p = positions(df, series_cols, order_col)
-    tail = p.filter(F.col("pos") > F.col("group_n") - k)
+    # Spark limits each task to k rows of a series before the shuffle (window group limit).
+    latest = Window.partitionBy(*series_cols).orderBy(F.desc(order_col))
+    tail = df.withColumn("_back", F.row_number().over(latest)).where(F.col("_back") <= k)
     return (tail.groupBy(*series_cols)
-            .agg(F.sort_array(F.collect_list(F.struct("pos", value_col))).alias("_w"))
+            .agg(F.sort_array(F.collect_list(F.struct((-F.col("_back")).alias("_at"), value_col))).alias("_w"))
             .select(*series_cols, F.transform("_w", lambda s: s[value_col]).alias("last_values")))
 
 
@@ -128,7 +122,3 @@ def early_stop(df: DataFrame, series_cols, order_col: str, metric_col: str,
     return (x.withColumn("stop_here", F.coalesce(F.col(order_col) == first_stop, F.lit(False)))
             .withColumn("after_stop", F.coalesce(F.col(order_col) > first_stop, F.lit(False)))
             .drop("_grp"))
-
-
-def rounded(c: str, places: int = 6):
-    return round_half_up(F.col(c), places).alias(c)

@@ -12,7 +12,7 @@ from ..operators import retail as R
 from ..operators import series as S
 from ..sources.retail_model import RetailModel
 from ..sources.tables import TABLES, Tables
-from .registry import r2_sql, register, with_views
+from .registry import r2_sql, register, rounded, with_views
 
 G = "metrics"
 RANGE_START, RANGE_END = dt.date(2024, 1, 5), dt.date(2024, 1, 20)
@@ -142,7 +142,7 @@ SELECT '{c}' AS column_name, COUNT({c}) AS count, {r2_sql(f'AVG({c})', 6)} AS me
        {r2_sql(f'QUANTILE_CONT({c}, 0.75)', 6)} AS p75
 FROM lineitem""" for c in DESCRIBE_COLS))
 def q_describe_numeric(spark, d):
-    return M.describe_numeric(Tables(spark, d).lineitem, DESCRIBE_COLS)
+    return rounded(M.describe_numeric(Tables(spark, d).lineitem, DESCRIBE_COLS), "mean", "std", "p25", "p50", "p75")
 
 
 @register("histogram", G, """
@@ -217,7 +217,7 @@ def q_zscore(spark, d):
     sp = S.ordered_split(RetailModel(spark, d).series, ["series_id"], "t", 0.8)
     stats = S.zscore_stats(sp.filter("is_train"), ["series_id"], "value")
     z = S.zscore(sp, stats, ["series_id"], "value")
-    return z.select("series_id", "t", "value", "is_train", S.rounded("z"))
+    return z.select("series_id", "t", "value", "is_train", round_half_up("z", 6).alias("z"))
 
 
 @register("zscore_inverse", G, with_views(["series"], f"""WITH {_Z_SQL}
@@ -227,7 +227,7 @@ def q_zscore_inverse(spark, d):
     sp = S.ordered_split(RetailModel(spark, d).series, ["series_id"], "t", 0.8)
     stats = S.zscore_stats(sp.filter("is_train"), ["series_id"], "value")
     back = S.zscore_inverse(S.zscore(sp, stats, ["series_id"], "value"))
-    return back.select("series_id", "t", S.rounded("restored"))
+    return back.select("series_id", "t", round_half_up("restored", 6).alias("restored"))
 
 
 @register("early_stop", G, """
@@ -259,9 +259,6 @@ def q_early_stop(spark, d):
                       F.col("no_improve").cast("long").alias("no_improve"), "stop_here", "after_stop")
 
 
-GRID_MAX_INDEX = 11
-
-
 @register("cohort_grid", G, with_views(["customers", "orders"], """
 WITH member AS (
   SELECT customer_id, CAST(date_trunc('month', registration_date) AS DATE) AS joined FROM customers),
@@ -277,9 +274,7 @@ r AS (
   SELECT strftime(sz.joined, '%Y-%m-01') AS cohort_month, ac.cohort_index,
          floor(CAST(ac.a AS DOUBLE) * 100.0 / CAST(sz.n AS DOUBLE) * 100.0 + 0.5) / 100.0 AS pct
   FROM size sz JOIN act ac ON ac.joined = sz.joined)
-SELECT cohort_month, """ + ", ".join(
-    f'MAX(CASE WHEN cohort_index = {i} THEN pct END) AS "{i}"' for i in range(GRID_MAX_INDEX + 1))
-    + "\nFROM r GROUP BY cohort_month"))
+PIVOT r ON cohort_index USING max(pct) GROUP BY cohort_month"""))
 def q_cohort_grid(spark, d):
     m = RetailModel(spark, d)
-    return R.cohort_grid(R.cohort_retention(m.customers, m.orders), max_index=GRID_MAX_INDEX)
+    return R.cohort_grid(R.cohort_retention(m.customers, m.orders))

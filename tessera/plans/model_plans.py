@@ -19,7 +19,7 @@ from ..session import scratch_path
 from ..sources import files as IO
 from ..sources.retail_model import RetailModel
 from ..sources.tables import Tables
-from .registry import r2_sql, register
+from .registry import r2_sql, register, rounded
 
 G = "models"
 DIM = 64
@@ -39,7 +39,7 @@ def _binary_split(spark, d, weights: bool = False):
 def _report(model, test, label="label"):
     pred = model.transform(test).select(F.col(label).cast("int").alias("y"),
                                         F.col("prediction").cast("int").alias("p"))
-    return E.classification_report(pred, "y", "p")
+    return rounded(E.classification_report(pred, "y", "p"), "precision", "recall", "f1")
 
 
 @register("rf_readmission", G)
@@ -87,8 +87,8 @@ def q_adaboost_report(spark, d):
     train, test = _binary_split(spark, d)
     stages, _ = MD.adaboost(train, rounds=ADABOOST_ROUNDS, learning_rate=0.8)
     pred = MD.adaboost_predict(stages, test)
-    return E.classification_report(pred.select(F.col("label").cast("int").alias("y"),
-                                               F.col("prediction").cast("int").alias("p")), "y", "p")
+    return rounded(E.classification_report(pred.select(F.col("label").cast("int").alias("y"),
+                                               F.col("prediction").cast("int").alias("p")), "y", "p"), "precision", "recall", "f1")
 
 
 @register("gbt", G)
@@ -123,7 +123,7 @@ def q_linreg(spark, d):
     s = MD.with_features(P.random_split(li, "l_orderkey", 0.8, seed=42), cols=_LR_FEATURES)
     train, test = s.filter("is_train"), s.filter(~F.col("is_train"))
     m = MD.linear_regression(train, "l_extendedprice")
-    metrics = E.regression_metrics(m.transform(test), "l_extendedprice", "prediction")
+    metrics = rounded(E.regression_metrics(m.transform(test), "l_extendedprice", "prediction"), "mae", "mse", "r2")
     coef = ", ".join(f"{c}:{v:.6g}" for c, v in zip(_LR_FEATURES, m.coefficients.toArray()))
     return metrics.withColumn("coefficients", F.lit(coef)).withColumn("intercept", F.lit(float(m.intercept)))
 
@@ -145,7 +145,7 @@ def q_tree_regressor(spark, d):
     li = Tables(spark, d).lineitem
     s = MD.with_features(P.random_split(li, "l_orderkey", 0.8, seed=42), cols=_LR_FEATURES)
     m = MD.tree_regressor(s.filter("is_train"), "l_extendedprice", max_depth=10)
-    return E.regression_metrics(m.transform(s.filter(~F.col("is_train"))), "l_extendedprice", "prediction")
+    return rounded(E.regression_metrics(m.transform(s.filter(~F.col("is_train"))), "l_extendedprice", "prediction"), "mae", "mse", "r2")
 
 
 @register("mlp_loan", G)

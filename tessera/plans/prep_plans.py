@@ -10,7 +10,7 @@ from ..operators import metrics as M
 from ..operators import prep as P
 from ..sources.retail_model import RetailModel
 from ..sources.tables import Tables
-from .registry import r2_sql, register, with_views
+from .registry import r2_sql, register, rounded, with_views
 
 G = "prep"
 LANGS = ("de", "en", "es", "fr")
@@ -192,7 +192,7 @@ rep AS (
 SELECT label, {r2_sql('precision', 6)} AS precision, {r2_sql('recall', 6)} AS recall,
        {r2_sql('f1', 6)} AS f1, support FROM rep""")
 def q_classification_report(spark, d):
-    return E.classification_report(_multi(spark, d), "y", "p")
+    return rounded(E.classification_report(_multi(spark, d), "y", "p"), "precision", "recall", "f1")
 
 
 @register("regression_metrics", G, with_views(["series"], f"""
@@ -213,4 +213,4 @@ def q_regression_metrics(spark, d):
     s = RetailModel(spark, d).series
     w = Window.partitionBy("series_id").orderBy("t")
     f = s.withColumn("p", F.lag("value").over(w)).filter(F.col("p").isNotNull())
-    return E.regression_metrics(f, "value", "p", decimals=2)
+    return rounded(E.regression_metrics(f, "value", "p", decimals=2), "mae", "mse", "r2")

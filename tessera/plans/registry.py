@@ -11,6 +11,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.common import round_half_up
 from ..sources.retail_model import duckdb_with
 
 
@@ -51,6 +52,11 @@ def r2_sql(x: str, places: int = 2) -> str:
     return f"(floor(({x}) * {s} + 0.5) / {s})"
 
 
+def rounded(df: DataFrame, *cols: str, places: int = 6) -> DataFrame:
+    """Columns rounded half up for the comparison with the oracle; operators do not round."""
+    return df.withColumns({c: round_half_up(c, places) for c in cols})
+
+
 def pct_sql(n: str, d: str) -> str:
     return f"(CAST({n} AS DOUBLE) * 100.0 / CAST({d} AS DOUBLE))"
 

@@ -29,7 +29,6 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         b = b.master(master)
     conf = dict(SESSION_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "16g")
     if extra:
         conf.update(extra)
     for k, v in conf.items():
@@ -44,7 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; create a scratch one only when none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder and is used
-    as is.  Only when the session has none (local tests) is a fresh scratch folder made.
+    as is.  Only a local session that has none (tests) gets a fresh scratch folder; on a
+    cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -65,50 +67,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
-
-
-SMALL_INPUT_CONF = "tessera.smallInputBytes"
-SMALL_INPUT_DEFAULT = 32 * 1024 * 1024
-
-
-def input_bytes(df) -> int | None:
-    """Total size of the files a DataFrame reads, when they are local files; else None.
-
-    Unknown sizes (remote stores, in-memory or checkpointed data) return None, so callers
-    keep their scalable plan.
-    """
-    from urllib.parse import urlparse
-
-    try:
-        files = df.inputFiles()
-    except Exception:  # plans without file sources
-        return None
-    if not files:
-        return None
-    total = 0
-    for f in files:
-        u = urlparse(f)
-        if u.scheme not in ("", "file"):
-            return None
-        try:
-            if os.path.isdir(u.path):
-                for root, _dirs, names in os.walk(u.path):
-                    total += sum(os.path.getsize(os.path.join(root, n)) for n in names)
-            else:
-                total += os.path.getsize(u.path)
-        except OSError:
-            return None
-    return total
-
-
-def small_input(df) -> bool:
-    """True when the input is proven small (at most ``tessera.smallInputBytes`` bytes).
-
-    Used like Spark's broadcast threshold: an operator may then use the one-task window
-    form, because no group can be larger than the whole (small) input.
-    """
-    limit = int(df.sparkSession.conf.get(SMALL_INPUT_CONF, str(SMALL_INPUT_DEFAULT)))
-    if limit <= 0:
-        return False
-    b = input_bytes(df)
-    return b is not None and b <= limit
