@@ -108,7 +108,7 @@ def weigh(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
         for batch in small_batches(batches):
             bucket, doc = features(_column(batch, "text"))
             n = np.bincount(doc, minlength=batch.num_rows)
-            weight = np.bincount(doc, ratios[bucket], batch.num_rows)
+            weight = np.bincount(doc, ratios[bucket], batch.num_rows).astype(np.float64)
             hashed = mix(_column(batch, seed).to_numpy().astype(np.uint64))
             uniform = ((hashed >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)
             score = weight - np.log(-np.log(uniform))
