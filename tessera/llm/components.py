@@ -1,8 +1,9 @@
 """Connected components of a table of links, by large-star / small-star rounds.
 
 Each round re-points links to smaller ids (Kiveris et al., 2014) until nothing changes; every
-node then points to the smallest id it can reach.  Minima are written before they are joined,
-so that the join is between two plain shuffles and a node with very many links can be split.
+node then points to the smallest id it can reach.  In a large star the minima are written
+before they are joined, so that the join is between two plain shuffles and a node with very
+many links can be split.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ def components(links: DataFrame) -> DataFrame:
         least = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = cut(large.where("a <> b").distinct())
-        least = cut(large.groupBy("a").agg(F.min("b").alias("m")))
+        least = large.groupBy("a").agg(F.min("b").alias("m"))  # few smaller neighbours each
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         links = cut(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         before, state = state, _state(links)

@@ -9,13 +9,15 @@ filled; texts with an empty component are continued to a later time, so nothing
 
 1. Texts of equal words form one class, represented by its smallest id.
 2. Representatives that agree in a whole band of the signature share a bucket.  Buckets are
-   compared in tiles of at most ``TILE`` x ``TILE`` signatures; tiles of a large bucket go to
+   compared in tiles of about ``TILE`` x ``TILE`` signatures; tiles of a large bucket go to
    different tasks.  A tile returns, of the pairs whose signatures agree enough, only a
    maximum spanning forest (fewer pairs than rows).
 3. These pairs are verified exactly (Jaccard of the shingle sets of at least 0.8) and linked.
-4. Tiles are compared again and return all agreeing pairs that are still in different
-   components and were not verified yet; after their verification no candidate is left out.
-5. Connected components of the links are the classes of near duplicates.
+4. The pairs of step 2, verified or not, join the representatives to clusters that hold every
+   agreeing pair.  Clusters whose members step 3 did not link to one component are compared
+   once more, in tiles with their texts: each agreeing pair of different components is
+   verified inside the tile, which returns a spanning forest of the links found.
+5. Connected components of all links are the classes of near duplicates.
 
 The result is exact but for pairs that share no band (about 5e-5 of pairs at similarity 0.8,
 fewer above) or whose signatures agree in fewer than ``AGREE`` of 125 components.
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, prepare, small_batches, stored, utf8_parts
+from .common import cut, fresh, prepare, small_batches, sorted_groups, stored, utf8_parts
 from .components import components
 from .words import grams, mix, tokens
 
@@ -100,7 +102,7 @@ def signatures(values: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: int
     if open_.any():
         rows = open_[owner]
         number = np.cumsum(open_) - 1
-        out[open_] = signatures(values[rows], number[owner[rows]], weight[rows], int(open_.sum()), time * 2)
+        out[open_] = signatures(values[rows], number[owner[rows]], weight[rows], int(open_.sum()), max(2 * time, 4.0))
     return out
 
 
@@ -155,69 +157,71 @@ def _forest(agree: np.ndarray) -> list[tuple[int, int]]:
                 label[label == label[j]] = label[i]
 
 
-def _compare(first: bool):
-    """Pairs (a, b) of each tile: of a spanning forest, or all that have different labels."""
-    def pairs(node, side, signature, label):
-        if side is None:  # a tile of one block with itself
-            left = right = np.arange(len(node))
-        else:
-            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        agree = np.zeros((len(left), len(right)), np.uint8)
-        for k, i in enumerate(left):
-            agree[k] = np.count_nonzero(signature[right] == signature[i], axis=1)
-        agree[agree < AGREE] = 0
-        if side is None:
-            np.fill_diagonal(agree, 0)
-        if first:
-            if not agree.any():
-                return []
-            if side is None:
-                return [(node[i], node[j]) for i, j in _forest(agree)]
-            full = np.zeros((len(node), len(node)), np.uint8)
-            full[np.ix_(left, right)] = agree
-            full[np.ix_(right, left)] = agree.T
-            return [(node[i], node[j]) for i, j in _forest(full)]
-        rows, columns = np.nonzero((agree > 0) & (label[left][:, None] != label[right][None, :]))
-        return [(node[left[i]], node[right[j]]) for i, j in zip(rows, columns) if side is not None or i < j]
-
-    def run(batches):
-        held = None
-        for batch in batches:
-            held = batch if held is None else pa.concat_batches([held, batch])
-            yield from emit(held, False)
-            held = held.slice(_last_start(held))
-        if held is not None and held.num_rows:
-            yield from emit(held, True)
-
-    def keys(batch):
-        return np.stack([batch.column(i).to_numpy() for i in range(3)])
-
-    def _last_start(batch):
-        k = keys(batch)
-        changes = np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0))
-        return int(changes[-1]) + 1 if len(changes) else 0
-
-    def emit(batch, final):
-        k = keys(batch)
-        starts = np.append(0, np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1)
-        ends = np.append(starts[1:], batch.num_rows)
-        if not final:
-            starts, ends = starts[:-1], ends[:-1]
-        if not len(starts):
-            return
-        node, block, label = (batch.column(i).to_numpy() for i in (3, 4, 6))
-        signature = np.frombuffer(utf8_bytes(batch.column(5)), np.uint8).reshape(-1, COMPONENTS)
-        out = []
-        for a, b in zip(starts, ends):
-            if b - a > 1 and (first or (label[a:b] != label[a]).any()):
-                i, j = k[1, a], k[2, a]
-                side = None if i == j else (block[a:b] == j).astype(int)
-                out += pairs(node[a:b], side, signature[a:b], label[a:b])
-        if out:
-            found = np.array(out, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(found.min(axis=1)), pa.array(found.max(axis=1))], ["a", "b"])
-
-    return run
+def _agreeing(tile: pa.RecordBatch):
+    """Node ids of a tile (bucket, i, j, node, block, signature, ...) and the symmetric matrix
+    of how many components its rows agree in, 0 below ``AGREE`` and inside a block of two."""
+    i, j = (tile.column(k)[0].as_py() for k in (1, 2))
+    block = tile.column(4).to_numpy()
+    signature = np.frombuffer(utf8_bytes(tile.column(5)), np.uint8).reshape(-1, COMPONENTS)
+    agree = np.zeros((len(block), len(block)), np.uint8)
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    for k in left:
+        same = np.count_nonzero(signature[right] == signature[k], axis=1)
+        agree[k, right] = np.where(same >= AGREE, same, 0)
+    np.fill_diagonal(agree, 0)
+    return tile.column(3).to_numpy(), np.maximum(agree, agree.T)
+
+
+def _pairs_batch(node: np.ndarray, agree: np.ndarray):
+    found = np.array([(node[i], node[j]) for i, j in _forest(agree)], np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(found.min(axis=1)), pa.array(found.max(axis=1))], ["a", "b"])
+
+
+def _candidates(batches):
+    """A spanning forest of the agreeing pairs of each tile."""
+    for tile in sorted_groups(batches, 3):
+        if tile.num_rows > 1:
+            node, agree = _agreeing(tile)
+            if agree.any():
+                yield _pairs_batch(node, agree)
+
+
+def _shared(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """How many distinct shingles each two of ``n`` texts share, as a matrix."""
+    _, column, times = np.unique(values, return_inverse=True, return_counts=True)
+    common = times[column] > 1
+    number = np.cumsum(times > 1) - 1
+    column, owner = number[column[common]], owner[common]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    out = np.zeros((n, n), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, (start, start + 4096))
+        used = np.zeros((n, 4096), np.float32)
+        used[owner[a:b], column[a:b] - start] = 1.0
+        out += used @ used.T
+    return out.astype(np.int64)
+
+
+def _verified_tiles(batches):
+    """Pairs of labels: a spanning forest of the exact links of each tile between labels."""
+    for tile in sorted_groups(batches, 3):
+        label = tile.column(6).to_numpy()
+        if (label == label[0]).all():
+            continue
+        _, agree = _agreeing(tile)
+        agree[label[:, None] == label[None, :]] = 0
+        rows = np.flatnonzero(agree.any(axis=1))
+        if not len(rows):
+            continue
+        values, owner, _, _ = shingles(*utf8_parts(tile.column(7).take(pa.array(rows))))
+        values, owner, _ = weighted(values, owner)
+        size = np.bincount(owner, minlength=len(rows))
+        shared = _shared(values, owner, len(rows))
+        near = shared * SIMILARITY[1] >= (size[:, None] + size[None, :] - shared) * SIMILARITY[0]
+        agree = np.where(near, agree[np.ix_(rows, rows)], 0)
+        if agree.any():
+            yield _pairs_batch(label[rows], agree)
 
 
 def utf8_bytes(column: pa.Array) -> bytes:
@@ -225,15 +229,15 @@ def utf8_bytes(column: pa.Array) -> bytes:
     return utf8_parts(column.cast(pa.large_binary()))[1].tobytes()
 
 
-def _tiles(members: DataFrame, first: bool) -> DataFrame:
-    """Distinct candidate pairs of ``members`` (bucket, size, node, signature, label)."""
+def _tiles(members: DataFrame, *more: str) -> DataFrame:
+    """Rows of ``members`` (bucket, size, node, signature, more) dealt to the tiles they are
+    compared in: those of each two blocks of a bucket, and of each block with itself."""
     blocks = F.ceil(F.col("size") / F.lit(TILE)).cast("int")
     rows = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                       "node", "block", "signature", "label")
-    dealt = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return dealt.mapInArrow(_compare(first), "a long, b long").distinct()
+                       "node", "block", "signature", *more)
+    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -257,30 +261,31 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Verified links (a, b) between class representatives that connect all near duplicates."""
+def _groups(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, component) of the class representatives that have a candidate pair."""
     bands = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = cut(bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
-    members = bands.join(shared, "bucket")
-    members = stored(members.join(nodes.select("node", "signature"), "node"), "band_members")
-    pairs = cut(_tiles(members.withColumn("label", F.col("node")), True))
-
-    def text_of(wanted):
-        keys = nodes.join(wanted, "node", "left_semi").select("node", F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
-        rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
-        rows = rows.join(keys, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")))
-        return rows.groupBy("node").agg(F.first("text").alias("text"))
-
-    # Every text that a later pair can name is a member of a bucket with an agreeing pair.
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = stored(text_of(wanted), "candidate_texts")
-    links = cut(_verified(pairs, texts))
-    labels = cut(components(links).withColumnRenamed("component", "label"))
-    labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    labelled = labelled.join(cut(mixed.select("bucket")), "bucket", "left_semi")
-    rest = cut(_tiles(labelled, False).join(pairs, ["a", "b"], "left_anti"))
-    return links.unionByName(_verified(rest, texts))
+    members = bands.join(shared, "bucket").join(nodes.select("node", "signature"), "node")
+    pairs = cut(_tiles(members).mapInArrow(_candidates, "a long, b long").distinct())
+
+    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    keys = nodes.join(wanted, "node", "left_semi").select("node", F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+    texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
+    texts = texts.join(keys, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")))
+    texts = stored(texts.groupBy("node").agg(F.first("text").alias("text")), "candidate_texts")
+
+    found = components(_verified(pairs, texts)).withColumnRenamed("component", "label")
+    labels = cut(wanted.join(found, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    # From here on the labels are the nodes: a cluster is a set of labels that pairs connect.
+    a, b = (labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}")) for c in "ab")
+    apart = pairs.join(a, "a").join(b, "b").where("label_a <> label_b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    clusters = components(apart).select(F.col("node").alias("label"), F.col("component").alias("bucket"))
+    members = cut(labels.join(clusters, "label"))
+    sizes = cut(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")))
+    members = members.join(sizes, "bucket").join(nodes.select("node", "signature"), "node").join(texts, "node")
+    joined = components(_tiles(members, "label", "text").mapInArrow(_verified_tiles, "a long, b long"))
+    joined = joined.withColumnRenamed("node", "label")
+    return labels.join(joined, "label", "left").select("node", F.coalesce("component", "label").alias("component"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -293,7 +298,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Numbers of their own, as one id may stand on several texts or be null.
     classes = stored(classes.select("h1", "h2", F.monotonically_increasing_id().alias("node"),
                                     "least.doc_id", "least.text_key", "signature", "bands"), "text_classes")
-    linked = cut(components(_links(docs, classes)).join(classes.select("node", "doc_id"), "node"))
+    linked = cut(_groups(docs, classes).join(classes.select("node", "doc_id"), "node"))
     least = linked.groupBy("component").agg(F.min("doc_id").alias("class_id"))
     linked = linked.join(cut(least), "component").select("node", "class_id", F.lit(True).alias("linked"))
     named = cut(classes.select("h1", "h2", "node", "doc_id").join(linked, "node", "left").select(
