@@ -38,7 +38,7 @@ _N = "0-9\xb2\xb3\xb9\xbc-\xbe"
 #: PATTERN for texts below U+0250; only the last four alternatives can meet, in this order.
 LATIN = re.compile(rf" ?[{_L}]+| ?[{_N}]+|'(?:[stmd]|re|ve|ll)| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
 BEYOND_LATIN = re.compile("[ɐ-\U0010ffff\x1c-\x1f]")
-CACHED_PIECES = 500_000
+CACHED_PIECES = 200_000
 
 
 def byte_characters() -> list[str]:
@@ -166,6 +166,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "tok
                 columns += [np.concatenate([p[i] for p in pairs]).astype(np.int32) for i in (0, 1)]
             lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(c, pa.int32())) for c in columns]
             yield pa.RecordBatch.from_arrays([*batch.columns, *lists], [*batch.schema.names, *names])
+        bpe.pieces.clear()  # the worker lives on
 
     return df.mapInArrow(run, schema)
 
@@ -213,6 +214,7 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 pa.array([sha(digits, d_at[a], max(d_at[a], d_at[b] - 1)) for a, b in rows], pa.string()),
                 pa.array([sha(data, at[a], at[b]) for a, b in rows], pa.string()),
             ], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+        bpe.pieces.clear()  # the worker lives on
 
     kind = dict(df.dtypes)[id_col]
     return df.select(id_col, text_col).mapInArrow(
