@@ -8,8 +8,9 @@ all texts are counted by pattern; expectation-maximisation over these counts (at
 hundred rows) estimates how reliable each labeler is for each kind and how likely each pattern
 of votes is personal data.  With these as soft labels a logistic span classifier is trained.
 
-Spans that the fixed rules accept always stay; another candidate is added if the classifier
-gives it at least ``ACCEPT`` and it overlaps no accepted span of its kind.  Offsets are code
+Spans that the fixed rules accept always stay, and matches of the fixed patterns that they
+reject are only learned from; a candidate of a looser pattern is added if the classifier gives
+it at least ``ACCEPT`` and it overlaps no accepted span of its kind.  Offsets are code
 points, ends exclusive.  They come from the lengths of matches and of the text between them
 (``split`` and ``regexp_extract_all`` with one pattern), summed in blocks so that a text with
 very many matches takes linear time.  Patterns are written with possessive quantifiers and
@@ -73,14 +74,25 @@ def _matches(text: Column, kind: str, i: int) -> Column:
     return F.when(WORTHWHILE[kind][i](text), found).otherwise(F.array().cast("array<string>"))
 
 
-def _spans(text: Column, pattern: str, found: Column) -> Column:
-    """The matches as (start, end, value, before, after)."""
-    gaps = F.split(text, pattern, -1)
+def _around(found: Column, gaps: Column) -> Column:
+    """Per match: the text between it and the last match, the end of that, the next character."""
     n = F.size(found)
-    sized = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(
-        F.length(F.get(gaps, i - 1)).alias("gap"), F.length(F.get(found, i - 1)).alias("own")))
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int")),
-                         lambda b: F.slice(sized, b * BLOCK + 1, BLOCK))
+    return F.zip_with(F.slice(gaps, F.lit(1), n), F.slice(gaps, F.lit(2), n), lambda b, a: F.struct(
+        b.alias("gap"), F.substring(b, -CONTEXT, CONTEXT).alias("before"), F.substring(a, 1, 1).alias("after")))
+
+
+def _sizes(found: Column, gaps: Column) -> Column:
+    """Per match: the length of the text before it and its own."""
+    return F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found,
+                      lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("own")))
+
+
+def _places(sizes: Column, blocks: Column) -> Column:
+    """Per match: start and end, from its sizes, also given in blocks.
+
+    Sums run inside blocks, then over blocks, as growing an array copies it.  Lambdas use
+    their own element only: a column named in a lambda may be computed again for each.
+    """
     none = F.array().cast("array<int>")
 
     def running(items, start, step):
@@ -92,14 +104,8 @@ def _spans(text: Column, pattern: str, found: Column) -> Column:
         return x["gap"] + x["own"]
 
     sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda a, x: a + both(x)))
-    before = running(sums, F.lit(0), lambda x: x)
-    places = F.flatten(F.zip_with(blocks, before, lambda b, s: running(b, s, both)))
-    return F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(
-        (F.get(places, i - 1) + F.get(sized, i - 1)["gap"]).alias("start"),
-        (F.get(places, i - 1) + both(F.get(sized, i - 1))).alias("end"),
-        F.get(found, i - 1).alias("value"),
-        F.substring(F.get(gaps, i - 1), -CONTEXT, CONTEXT).alias("before"),
-        F.substring(F.get(gaps, i), 1, 1).alias("after")))
+    starts = F.flatten(F.zip_with(blocks, running(sums, F.lit(0), lambda x: x), lambda b, s: running(b, s, both)))
+    return F.zip_with(starts, sizes, lambda s, x: F.struct((s + x["gap"]).alias("start"), (s + both(x)).alias("end")))
 
 
 def _luhn(digits: Column) -> Column:
@@ -134,7 +140,7 @@ def _votes(kind: str, strict: bool, s: Column) -> list[Column]:
     n = F.length(F.regexp_replace(value, "[^0-9]", ""))
     if kind == "email":
         check = _vote(F.length(value) <= 254, F.length(value) > 254)
-        known = _vote(F.lower(F.regexp_extract(value, "[A-Za-z]+$", 0)).isin(*TOP_LEVEL))
+        known = _vote(F.lower(F.substring_index(value, ".", -1)).isin(*TOP_LEVEL))
     elif kind == "ip":
         check = _vote(valid, F.lit(strict) & ~valid)
         known = _vote(F.lit(not strict), value.rlike(NOT_PERSONAL_IP))
@@ -149,6 +155,13 @@ def _votes(kind: str, strict: bool, s: Column) -> list[Column]:
             _vote(~glued, glued)]
 
 
+def _in_blocks(column: str) -> Column:
+    """An array in blocks of BLOCK elements.  The one lambda that names a column: it runs once a
+    block, over a column that the projection below has computed."""
+    blocks = F.floor((F.size(column) - 1) / BLOCK).cast("int")
+    return F.when(F.size(column) > 0, F.transform(F.sequence(F.lit(0), blocks), lambda b: F.slice(F.col(column), b * BLOCK + 1, BLOCK)))
+
+
 def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(doc_id, spans): all candidates with kind number, offsets, ``base`` and their votes."""
     text = fresh(docs, "plain_text")
@@ -156,7 +169,17 @@ def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     names = [(kind, i, f"_{kind}{i}") for kind in KINDS for i in range(len(PATTERNS[kind]))]
     # Columns of their own: a pattern runs over a text once, and again to split texts that match.
     out = out.withColumns({n: _matches(F.col(text), k, i) for k, i, n in names})
-    out = out.withColumns({n: F.when(F.size(n) > 0, _spans(F.col(text), PATTERNS[k][i], F.col(n))) for k, i, n in names})
+    out = out.withColumns({f"{n}_gaps": F.when(F.size(n) > 0, F.split(text, PATTERNS[k][i], -1)) for k, i, n in names})
+    out = out.withColumns({f"{n}_sizes": _sizes(F.col(n), F.col(f"{n}_gaps")) for k, i, n in names})
+    out = out.withColumns({f"{n}_blocks": _in_blocks(f"{n}_sizes") for k, i, n in names})
+
+    def spans(n):
+        places = _places(F.col(f"{n}_sizes"), F.col(f"{n}_blocks"))
+        valued = F.zip_with(places, F.col(n), lambda p, v: F.struct(p["start"].alias("start"), p["end"].alias("end"), v.alias("value")))
+        return F.zip_with(valued, _around(F.col(n), F.col(f"{n}_gaps")), lambda x, y: F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"), y["before"].alias("before"), y["after"].alias("after")))
+
+    out = out.withColumns({n: F.when(F.size(n) > 0, spans(n)) for k, i, n in names})
 
     def judged(kind, strict):
         def one(s):
@@ -239,7 +262,8 @@ def _accepted(spans: Column, weights: list[float] | None) -> Column:
     base = F.filter(spans, lambda s: s["base"])
     if weights is None:
         return base
-    added = F.filter(spans, lambda s: ~s["base"] & (_chance(weights, s["kind"], s["votes"]) >= ACCEPT) & ~F.exists(
+    # The first vote tells loose candidates; what the fixed rules reject is only learned from.
+    added = F.filter(spans, lambda s: (F.get(s["votes"], F.lit(0)) == 0) & (_chance(weights, s["kind"], s["votes"]) >= ACCEPT) & ~F.exists(
         base, lambda b: (b["kind"] == s["kind"]) & (b["start"] < s["end"]) & (s["start"] < b["end"])))
     return F.concat(base, added)
 
@@ -268,7 +292,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     Kinds are replaced one after another, so of spans that overlap the first kind's remains.
     """
     weights = fit(cut(candidates(docs, text_col).where(F.size("spans") > 0)))
-    out, found = docs, fresh(docs, "found_spans")
+    out, found, gaps = docs, fresh(docs, "found_spans"), fresh(docs, "gaps_between")
     for kind in KINDS:
         for i, pattern in enumerate(PATTERNS[kind]):
             strict, text = i == 0, F.coalesce(F.col(text_col), F.lit(""))
@@ -276,16 +300,14 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 continue
 
             def replaced(s, kind=kind, strict=strict):
-                keep = _valid(kind, s["value"]) if strict else F.lit(False)
-                if weights is not None:
-                    keep = keep | (_chance(weights, F.lit(KINDS.index(kind)), F.array(*_votes(kind, strict, s))) >= ACCEPT)
+                keep = _valid(kind, s["value"]) if strict else _chance(
+                    weights, F.lit(KINDS.index(kind)), F.array(*_votes(kind, strict, s))) >= ACCEPT
                 return F.when(keep, f"[{kind.upper()}]").otherwise(s["value"])
 
-            gaps, n = F.split(text, pattern, -1), F.size(found)
-            pieces = F.transform(F.sequence(F.lit(1), n), lambda k: F.concat(F.get(gaps, k - 1), replaced(F.struct(
-                F.get(F.col(found), k - 1).alias("value"), F.substring(F.get(gaps, k - 1), -CONTEXT, CONTEXT).alias("before"),
-                F.substring(F.get(gaps, k), 1, 1).alias("after")))))
-            joined = F.concat(F.array_join(pieces, ""), F.get(gaps, n))
             out = out.withColumn(found, _matches(text, kind, i))
-            out = out.withColumn(text_col, F.when(n > 0, joined).otherwise(F.col(text_col))).drop(found)
+            out = out.withColumn(gaps, F.when(F.size(found) > 0, F.split(text, pattern, -1)))
+            pieces = F.zip_with(_around(F.col(found), F.col(gaps)), F.col(found), lambda x, v: F.concat(x["gap"], replaced(
+                F.struct(v.alias("value"), x["before"].alias("before"), x["after"].alias("after")))))
+            joined = F.concat(F.array_join(pieces, ""), F.element_at(gaps, -1))
+            out = out.withColumn(text_col, F.when(F.size(found) > 0, joined).otherwise(F.col(text_col))).drop(found, gaps)
     return out
