@@ -1,8 +1,8 @@
 """Array (vector) expressions built from Spark's higher-order functions (JVM-side, no UDFs).
 
 Spark 4.1 has no vector built-ins for ``ARRAY<FLOAT>`` columns, so dot products, norms,
-softmax and argmax are ``aggregate`` / ``zip_with`` / ``transform`` expressions; they stay
-inside whole-stage code generation.  Arithmetic is in double.
+softmax and argmax are ``aggregate`` / ``zip_with`` / ``transform`` expressions, interpreted
+in the JVM (they are not part of whole-stage code generation).  Arithmetic is in double.
 """
 
 from __future__ import annotations

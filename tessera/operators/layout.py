@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -179,7 +180,9 @@ def insert_select(spark, df: DataFrame, path: str, columns, order_col: str, ts_c
     column and a generated day column; ids continue after the table's current maximum."""
     try:
         current = spark.read.parquet(path).agg(F.max(id_col).alias("m")).first()["m"]
-    except Exception:  # table not created yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # only a table that is not there yet starts anew
+            raise
         current = None
     offset = 0 if current is None else int(current) - start + 1
     rows = assign_identity(df.select(*columns), order_col, start=start, id_col=id_col, offset=offset)

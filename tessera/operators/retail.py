@@ -49,7 +49,7 @@ def inactive_customers(customers: DataFrame, orders: DataFrame, cutoff, as_of) -
     out = (customers.join(last, "customer_id", "left")
            .filter((F.col("last_order_date") < _d(cutoff)) | F.col("last_order_date").isNull())
            .select("customer_id", "first_name", "last_name", "email", "loyalty_tier",
-                   F.to_date("last_order_date").alias("last_order_date"),
+                   "last_order_date",
                    F.datediff(_d(as_of), F.col("last_order_date")).alias("days_since_order")))
     return out.orderBy(F.desc_nulls_last("days_since_order"))
 
@@ -71,7 +71,7 @@ def order_details(orders: DataFrame, customers: DataFrame, order_items: DataFram
             .join(products, "product_id")
             .select("order_id",
                     full_name("first_name", "last_name").alias("customer_name"),
-                    "email", F.to_date("order_date").alias("order_date"), "product_name",
+                    "email", "order_date", "product_name",
                     "quantity", "unit_price", "subtotal", "order_status")
             .orderBy(F.desc("order_date"), "order_id"))
 

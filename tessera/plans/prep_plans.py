@@ -111,7 +111,9 @@ def q_per_class_split(spark, d):
 @register("random_split", G)
 def q_random_split(spark, d):
     """Split membership comes from a seeded hash (no SQL twin); rows-only check."""
-    s = P.random_split(Tables(spark, d).lineitem, "l_orderkey", 0.8, seed=42)
+    lines = Tables(spark, d).lineitem
+    row_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    s = P.random_split(lines.withColumn("row_id", row_id), "row_id", 0.8, seed=42)
     return s.groupBy("is_train").agg(F.count(F.lit(1)).alias("n_rows"))
 
 

@@ -40,22 +40,3 @@ def test_entry_contract(spark):
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 100
-
-
-SCALABLE_PATH_KEYS = ["tier_top_decile", "sliding_windows", "describe_numeric", "fill_median",
-                      "assign_identity", "stratified_split", "zscore", "last_window",
-                      "insert_select", "per_class_split", "top_customers", "classification_report",
-                      "monthly_churn", "product_pairs"]
-
-
-@pytest.mark.parametrize("key", SCALABLE_PATH_KEYS)
-def test_scalable_path_matches_oracle(spark, con, registry, key):
-    """The same keys with the small-input shortcut disabled (the cluster plan)."""
-    from tessera.session import SMALL_INPUT_CONF
-
-    spark.conf.set(SMALL_INPUT_CONF, "0")
-    try:
-        p = registry[key]
-        assert spark_table(p.build(spark, SF_SMALL)) == duck_table(con, p.oracle)
-    finally:
-        spark.conf.unset(SMALL_INPUT_CONF)
