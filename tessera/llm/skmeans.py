@@ -129,7 +129,7 @@ def _compare(similarity: float):
         node, copies = part.column(4).to_numpy(), part.column(5).to_numpy()
         vectors = unit(matrix(part.column(6), len(part.column(6)[0])))
         side = part.column(3).to_numpy()
-        same = not side.any()
+        same = part.column(1)[0].as_py() == part.column(2)[0].as_py()
         a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         if same:
             b = a
