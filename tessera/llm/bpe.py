@@ -15,7 +15,7 @@ character decode to U+FFFD in text output and to the exact bytes in binary outpu
 Null text counts as empty; an empty text has no ids.  Rows are independent: repeated rows
 and ties need no rule, an empty table gives an empty table, other columns are kept and an
 output column whose name is taken gets a trailing underscore.  One text is handled whole;
-batches are cut to about 8 MB of text.  Unknown ids decode to nothing.
+batches are cut to about 2 MB of text.  Unknown ids decode to nothing.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ _N = "0-9\xb2\xb3\xb9\xbc-\xbe"
 #: PATTERN for texts below U+0250; only the last four alternatives can meet, in this order.
 LATIN = re.compile(rf" ?[{_L}]+| ?[{_N}]+|'(?:[stmd]|re|ve|ll)| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
 BEYOND_LATIN = re.compile("[ɐ-\U0010ffff\x1c-\x1f]")
-CACHED_PIECES = 200_000
+CACHED_PIECES = 100_000
 
 
 def byte_characters() -> list[str]:

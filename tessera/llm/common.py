@@ -80,7 +80,7 @@ def utf8_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], data[offsets[0]:offsets[-1]]
 
 
-def small_batches(batches, max_bytes: int = 8 << 20, column: str = "text"):
+def small_batches(batches, max_bytes: int = 2 << 20, column: str = "text"):
     """The same rows in batches of about ``max_bytes`` of ``column`` (one row at least)."""
     for batch in batches:
         if not batch.num_rows:

@@ -43,7 +43,7 @@ SMOOTHING = 0.1
 SCALE = 100.0
 LETTERS = np.where(CLASS == WORD, WORD, PUNCT).astype(np.uint8)
 LETTERS[48:58] = PUNCT
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 class Pieces:

@@ -1,6 +1,6 @@
 """Benchmark decontamination with suffix arrays of the training text.
 
-Documents are taken in shards (Arrow batches of about 16 MB).  Words become numbers of the
+Documents are taken in shards (Arrow batches of about 8 MB).  Words become numbers of the
 benchmark's vocabulary (0: not in it); a shard's suffix array sorts, by their first words,
 the suffixes that begin with at least as many benchmark words as the shortest window has
 (no other suffix can hold a window).  Every benchmark suffix is binary-searched in it.  Hits
@@ -31,7 +31,7 @@ from .words import tokens
 
 WINDOW = 10
 BLOCK_BYTES = 48 << 20
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 HITS = "array<struct<begin:int,until:int>>"
 MATCHES = "array<struct<item_id:string,item_word:int,doc_word:int,n_words:int>>"
 
