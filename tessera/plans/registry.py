@@ -73,6 +73,21 @@ def mavg_sql(x: str) -> str:
     return f"(CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE) / COUNT({x}))"
 
 
+#: Products and their stock in one relation; a group is one product.
+SHORT_SQL = """WITH both_sides AS (
+  SELECT product_id, product_name, reorder_level, cost_price, CAST(0 AS HUGEINT) AS held FROM products
+  UNION ALL
+  SELECT product_id, NULL, NULL, NULL, quantity FROM warehouse_inventory),
+short AS (
+  SELECT product_id, MAX(product_name) AS product_name, MAX(reorder_level) AS reorder_level,
+         MAX(cost_price) AS cost_price, SUM(held) AS held
+  FROM both_sides GROUP BY product_id HAVING MAX(reorder_level) > SUM(held))"""
+SHORT_PRODUCTS_SQL = SHORT_SQL + """
+SELECT product_id, product_name, CAST(held AS BIGINT) AS total_qty_across_warehouses, reorder_level,
+       CAST(reorder_level - held AS BIGINT) AS units_to_order
+FROM short"""
+
+
 def load_all() -> dict[str, Plan]:
     """Import every plan module (registration happens on import)."""
     from . import retail_plans  # noqa: F401
