@@ -22,6 +22,31 @@ def test_junk_goes_and_prose_stays(spark):
     assert kept == set(range(60))
 
 
+def test_toxic_prose_goes(spark):
+    """Good prose with a few insults in a long harmless rest, labelled and not."""
+    insults = ("idiot", "scum", "trash")
+    rows, marks = [], []
+    for i in range(900):
+        toxic = i % 9 == 0
+        text = prose(i, 150).split()
+        for n in range(3 * toxic):
+            text.insert(40 * n + 7, insults[(i // 9 + n) % 3])
+        rows.append((i, " ".join(text), "en", "s", None))
+        if i % 2:
+            marks.append((i, 1, int(toxic)))
+    docs, labels = frame(spark, rows), frame(spark, marks, LABELS)
+    kept = {r.doc_id for r in I.select(docs, labels).collect()}
+    good, bad = {i for i in range(900) if i % 9}, {i for i in range(900) if i % 9 == 0}
+    assert len(good & kept) >= 0.97 * len(good) and len(bad & kept) <= 0.1 * len(bad)
+
+
+def test_floor_keeps_good_and_rejects_bad():
+    good, bad = np.arange(100.0) - 1, np.append(np.full(40, -6.0), 50.0)
+    assert I.calibrate(good, bad) == -1 - I.MARGIN
+    assert I.calibrate(np.append(good, -500.0), bad) == -1 - I.MARGIN  # one odd good label
+    assert I.calibrate(good[:0], bad) == I.calibrate(good[:0], bad[:0]) == -I.MARGIN
+
+
 def test_exactly_k_are_sampled_and_weights_equal_plain_sums(spark):
     docs, labels = corpus(spark)
     rows = I.resample(docs, labels, k=17).collect()
