@@ -3,12 +3,13 @@
 1. Equal vectors form one class with a count.  Classes are the nodes of what follows.
 2. Spherical k-means is fitted on at most ``SAMPLE`` vectors (``SAMPLE_BYTES`` in all); every
    vector goes to the cell of its nearest centre.
-3. A vector y of cell h can be near a vector x of cell c only if the step from y to x crosses
-   the plane between both centres: y.(h - c) <= |y - x| |h - c|.  y is also sent, as a probe,
-   to every cell c before h for which y.(h - c) <= ``slack`` |h - c|.  With ``slack=None`` it
-   is the longest step that the similarity allows, and no pair is lost; the default is about
-   3.6 standard deviations of a random step's part along one direction in 64 dimensions, a
-   fraction of the probes, with a measured recall of 1.0 on the test tables.
+3. For near vectors x of cell c and y of cell h, the depths of x behind the plane between both
+   centres and of y behind it add to at most the step |x - y|, so one of them is at most half
+   the longest step that the similarity allows.  A vector y of cell h is also sent, as a probe,
+   to every cell c with y.(h - c) <= ``slack`` / 2 |h - c|; ``slack=None`` is that longest
+   step, and no pair is lost.  A smaller slack is faster and approximate.  Of two vectors that
+   probe each other's cells only the one of the higher cell is compared as a probe: a row lists
+   the lower cells that its vector probes.
 4. Members and probes of a cell are cut into blocks and each pair of blocks is one product of
    at most ``BLOCK`` x ``BLOCK`` in double precision, so a cell of any size is spread over
    tasks.  A product returns one row per linked vector (links counted, and the smallest node
@@ -33,7 +34,6 @@ from .common import cut, prepare, sorted_groups, stored
 from .components import components
 
 SIMILARITY = 0.9
-SLACK = 0.2
 SAMPLE = 20_000
 SAMPLE_BYTES = 64 << 20
 CELLS = 2048
@@ -79,7 +79,8 @@ def _centres(nodes: DataFrame) -> np.ndarray | None:
 
 
 def _assign(shared, slack: float):
-    """Rows (cell, probe, node, copies, embedding): each vector in its cell and as a probe."""
+    """Rows (cell, probe, home, lower, node, copies, embedding): each vector in its cell, with the
+    lower cells it probes, and as a probe."""
     def run(batches):
         centres = shared.value
         gap = np.sqrt(np.maximum(0.0, 2 - 2 * (centres @ centres.T)))
@@ -90,26 +91,36 @@ def _assign(shared, slack: float):
                 main = np.flatnonzero(width == centres.shape[1])
                 other = np.flatnonzero(width != centres.shape[1])
                 cell, row, probe = -width[other].astype(np.int64), other, np.zeros(len(other), bool)
+                homes, lower, ends = cell, np.zeros(0, np.int64), np.zeros(len(other) + 1, np.int64)
                 if len(main):
                     near = unit(matrix(part.column(3).take(pa.array(main)), centres.shape[1])) @ centres.T
                     home = near.argmax(axis=1)
-                    reach = near.max(axis=1, keepdims=True) - near <= slack * gap[home] + 1e-12
-                    reach &= np.arange(len(centres))[None, :] < home[:, None]
+                    reach = near.max(axis=1, keepdims=True) - near <= slack / 2 * gap[home] + 1e-12
+                    reach[np.arange(len(main)), home] = False
                     which, cells = np.nonzero(reach)
+                    below = cells < home[which]
+                    lower = cells[below]
+                    sizes = np.concatenate([np.zeros(len(other), int), np.bincount(which[below], minlength=len(main)), np.zeros(len(which), int)])
+                    ends = np.append(0, np.cumsum(sizes))
+                    homes = np.concatenate([homes, home, home[which]])
                     cell = np.concatenate([cell, home, cells])
                     row = np.concatenate([row, main, main[which]])
                     probe = np.concatenate([probe, np.zeros(len(main), bool), np.ones(len(which), bool)])
                 rows = part.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell), pa.array(probe), rows.column(0), rows.column(1), rows.column(3)],
-                    ["cell", "probe", "node", "copies", "embedding"])
+                    [pa.array(cell), pa.array(probe), pa.array(homes), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(lower, pa.int32())),
+                     rows.column(0), rows.column(1), rows.column(3)],
+                    ["cell", "probe", "home", "lower", "node", "copies", "embedding"])
 
     return run
 
 
-def _product(left: np.ndarray, right: np.ndarray, same: bool, similarity: float):
-    """Links between two blocks as a Boolean matrix, and the component of each row of both."""
+def _product(left: np.ndarray, right: np.ndarray, same: bool, similarity: float, skip: np.ndarray | None = None):
+    """Links between two blocks as a Boolean matrix, without those to ``skip``, and the component
+    of each row of both."""
     linked = left @ right.T >= similarity
+    if skip is not None:
+        linked &= ~skip
     if same:
         np.fill_diagonal(linked, False)
     n = len(left)
@@ -124,6 +135,21 @@ def _product(left: np.ndarray, right: np.ndarray, same: bool, similarity: float)
         a, b = to_a, to_b
 
 
+def _skipped(part: pa.RecordBatch, a: np.ndarray, b: np.ndarray) -> np.ndarray | None:
+    """Pairs of rows ``a`` (members) and ``b`` that the lower cell compares: b's home is lower,
+    and a's vector probes it."""
+    cell, home = part.column(0)[0].as_py(), part.column(7).to_numpy()[b]
+    below = np.flatnonzero((home < cell) & (home >= 0))
+    if not len(below):
+        return None
+    lists = part.column(8).take(pa.array(a))
+    probed = np.zeros((len(a), cell), bool)
+    probed[np.repeat(np.arange(len(a)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()] = True
+    skip = np.zeros((len(a), len(b)), bool)
+    skip[:, below] = probed[:, home[below]]
+    return skip
+
+
 def _compare(similarity: float):
     def tile(part):
         node, copies = part.column(4).to_numpy(), part.column(5).to_numpy()
@@ -135,7 +161,7 @@ def _compare(similarity: float):
             b = a
         if not len(a) or not len(b):
             return
-        linked, to_a, to_b = _product(vectors[a], vectors[b], same, similarity)
+        linked, to_a, to_b = _product(vectors[a], vectors[b], same, similarity, None if same else _skipped(part, a, b))
         names = node[a] if same else np.concatenate([node[a], node[b]])
         rows = [(a, linked.any(axis=1), linked @ copies[b], to_a)]
         if not same:
@@ -161,7 +187,7 @@ def _linked(nodes: DataFrame, similarity: float, slack: float | None) -> DataFra
     slack = (2 - 2 * similarity) ** 0.5 if slack is None else slack
     shared = spark.sparkContext.broadcast(centres)
     assigned = nodes.select("node", "copies", "width", "embedding").mapInArrow(
-        _assign(shared, slack), "cell long, probe boolean, node long, copies long, embedding array<double>")
+        _assign(shared, slack), "cell long, probe boolean, home long, lower array<int>, node long, copies long, embedding array<double>")
     assigned = stored(assigned, "cells")
     # One row per cell, of which there are at most CELLS and one per other length.
     sizes = F.broadcast(assigned.groupBy("cell").agg(
@@ -175,12 +201,12 @@ def _linked(nodes: DataFrame, similarity: float, slack: float | None) -> DataFra
     rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), last.cast("int"))))
     i, j = F.least("block", "other"), F.greatest("block", "other")
     tiles = rows.select("cell", i.alias("i"), j.alias("j"), ((i != j) & (F.col("block") == j)).cast("int").alias("side"),
-                        "node", "copies", "embedding")
+                        "node", "copies", "embedding", "home", "lower")
     dealt = tiles.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
     return dealt.mapInArrow(_compare(similarity), "node long, n long, to long")
 
 
-def near_duplicates(vectors: DataFrame, similarity: float = SIMILARITY, slack: float | None = SLACK) -> DataFrame:
+def near_duplicates(vectors: DataFrame, similarity: float = SIMILARITY, slack: float | None = None) -> DataFrame:
     """Per vector: vec_id, n_links, component_id, kept."""
     prepare(vectors.sparkSession)
     e = F.col("embedding").cast("array<double>")
@@ -208,7 +234,7 @@ def near_duplicates(vectors: DataFrame, similarity: float = SIMILARITY, slack: f
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def deduplicate(vectors: DataFrame, similarity: float = SIMILARITY, slack: float | None = SLACK) -> DataFrame:
+def deduplicate(vectors: DataFrame, similarity: float = SIMILARITY, slack: float | None = None) -> DataFrame:
     """``vectors`` (same columns) of the kept ids."""
     kept = near_duplicates(vectors, similarity, slack).where("kept").select("vec_id").distinct()
     return vectors.join(kept, vectors["vec_id"].eqNullSafe(kept["vec_id"]), "left_semi")

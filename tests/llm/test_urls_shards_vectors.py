@@ -143,3 +143,15 @@ def test_embedding_odd_cases(spark):
     assert got == sorted([(None, 1, None, True)] * 2 + [(3, 1, 3, True)] * 2 + [(None, 0, None, True)], key=repr)
     assert K.near_duplicates(frame(spark, [], schema)).count() == 0
     assert K.deduplicate(frame(spark, rows, schema)).columns == ["vec_id", "embedding", "Node"]
+
+
+def test_default_loses_no_link_of_vectors_of_low_intrinsic_dimension(spark):
+    """64 wide, spread along 8 directions; the step between two vectors is not isotropic."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(3000, 8)) @ rng.normal(size=(8, 64)) + 0.02 * rng.normal(size=(3000, 64))
+    unit = K.unit(x)
+    linked = unit @ unit.T >= K.SIMILARITY
+    np.fill_diagonal(linked, False)
+    rows = frame(spark, [(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in K.near_duplicates(rows).collect()}
+    assert [found[i] for i in range(len(x))] == linked.sum(axis=1).tolist()
