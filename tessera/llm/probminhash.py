@@ -1,7 +1,8 @@
 """Near-duplicate texts by ProbMinHash signatures, banding and exact verification.
 
-Shingles are runs of five words (a shorter text is one shingle), weighted 1 + ln(count).  For
-every shingle a Poisson process of rate weight, seeded by the shingle, throws arrivals on the
+Shingles are runs of five words (a shorter text is one shingle).  Each distinct shingle has
+weight 1, however often it repeats, so that candidates are found by the similarity by which
+they are linked, the Jaccard of the shingle sets.  For every shingle a Poisson process of rate weight, seeded by the shingle, throws arrivals on the
 signature's components; the shingle of the first arrival is the component's value, and two
 texts agree in a component with the probability Jaccard similarity of their weighted shingles
 (Ertl, 2020).  Generation ends early at a time by which all components are very likely
@@ -114,8 +115,8 @@ def _sign(batches):
     for batch in small_batches(batches):
         n = batch.num_rows
         values, owner, classes, counts = shingles(*utf8_parts(batch.column(2)))
-        values, owner, times = weighted(values, owner)
-        signature = signatures(values, owner, 1.0 + np.log(times), n)
+        values, owner, _ = weighted(values, owner)
+        signature = signatures(values, owner, np.ones(len(values)), n)
         bands = np.zeros((n, BANDS), _U)
         for r in range(ROWS):
             bands = mix(bands * _U(0xD6E8FEB86659FD93) + signature[:, r::ROWS])

@@ -60,6 +60,17 @@ def test_classes_equal_brute_force(spark):
     assert all(got[i].kept == (w == i) for (i, _), w in zip(rows, want))
 
 
+def test_repeated_lines_equal_brute_force(spark):
+    rows = []
+    for base in range(60):
+        text = prose(base, 104).split()
+        rows.append((2 * base, " ".join(text)))
+        rows.append((2 * base + 1, " ".join(text[:52] + text[52:] * 40)))
+    got = {r.doc_id: r.class_id for r in P.near_duplicates(frame(spark, rows, "doc_id long, text string")).collect()}
+    want = brute(rows)
+    assert [got[i] for i, _ in rows] == want and set(want) == set(range(0, 120, 2))
+
+
 def test_tiles_of_one_large_bucket(spark, monkeypatch):
     monkeypatch.setattr(P, "TILE", 8)
     rows = near_copies(5)
