@@ -82,6 +82,13 @@ def test_redaction(spark):
     assert got == {1: "to [EMAIL], [IP] and [CARD]; [PHONE].", 2: None, 3: "clean"}
 
 
+def test_overlapping_spans_are_redacted_whole(spark):
+    texts = {1: "é call +33.1.42.68.53.00 now", 2: "10.0.0.1 4111 1111 1111 1111", 3: "+49.30.12.34.567, or x+33.1.42.68.53.00@b.co!"}
+    out = {r.doc_id: r.text for r in pii.redact(frame(spark, list(texts.items()), "doc_id long, text string")).collect()}
+    assert out[1] == "é call [PHONE] now"
+    assert not any(c.isdigit() for t in out.values() for c in t)
+
+
 def test_odd_documents(spark, odd, none):
     rows = pii.detect(odd).collect()
     assert len(rows) == len(odd_documents()) and all(r.spans == "" for r in rows)
