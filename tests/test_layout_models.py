@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_ORACLE, SF_SMALL
+from helpers import SF_ORACLE, SF_SMALL
 from tessera.operators import layout as L
 from tessera.operators import models as MD
 from tessera.operators import prep as P

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from helpers import duck_table, spark_table
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 
 def _oracle_keys():

@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_ORACLE
+from helpers import SF_ORACLE
 from tessera.operators import retail as R
 from tessera.sources.retail_model import RetailModel
 
