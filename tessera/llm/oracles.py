@@ -95,3 +95,41 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= {least} AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN payload_bytes >= {least} AND page_id <> first_id THEN first_id END AS refers_to
 FROM f"""
+
+
+def _integers(scale: int) -> str:
+    """Usable rows of ``embeddings`` with components floor(scale * x) and the label rule of op11."""
+    return f"""
+SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+       list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS v
+FROM embeddings
+WHERE embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0"""
+
+
+def hard_negatives() -> str:
+    return f"""
+WITH e AS (SELECT * FROM ({_integers(256)}) WHERE label IS NOT NULL),
+scored AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id AS other_id, a.label = o.label AS same,
+         list_inner_product(a.v, o.v)::BIGINT AS score
+  FROM e a JOIN e o ON a.vec_id <> o.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)::INT AS rank,
+       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+ AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+QUALIFY rank <= 5"""
+
+
+def top_products() -> str:
+    return f"""
+WITH e AS ({_integers(1024)})
+SELECT q.vec_id AS query_id,
+       row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id)::INT AS rank,
+       c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+QUALIFY rank <= 10"""

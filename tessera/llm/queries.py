@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hostrep, importance, jumphash, langid, oracles, pii, probminhash, skmeans, suffixes, warc
+from . import (bpe, hostrep, importance, jumphash, langid, normbuckets, oracles, pii, probminhash, skmeans, spelling,
+               strassen, suffixes, warc)
 from .common import read, scratch
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -89,3 +90,26 @@ def op10_spherical_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_strassen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row carries the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return strassen.mine(read(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+ORACLE_SQL["op11_strassen"] = oracles.hard_negatives()
+
+
+@query
+def op12_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normbuckets.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+ORACLE_SQL["op12_norm_buckets"] = oracles.top_products()
+
+
+@query
+def op13_frequency_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
