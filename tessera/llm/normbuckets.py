@@ -212,13 +212,18 @@ def search(vectors: DataFrame, query: F.Column, k: int = 10, scale: int = 1024)
     need = F.when((F.col("threshold") > 0) & (F.col("length") > 0), F.col("threshold") / F.col("length") * (1 - SLACK)).otherwise(0.0)
     queries = queries.withColumn("need", _class(need))
     rows = rows.withColumn("class", _class(F.col("length")))
+    # Neighbouring classes of need share a group while they fit one block.
+    needs = queries.groupBy("width", "need").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("width").orderBy("need").rowsBetween(Window.unboundedPreceding, -1))
+    needs = stored(needs.withColumn("group", F.floor(F.coalesce(before, F.lit(0)) / block_rows(QUERY_BYTES)).cast("int")), "needs")
+    groups = needs.groupBy("width", "group").agg(
+        F.min("need").alias("need"), F.ceil(F.sum("n") / block_rows(QUERY_BYTES)).cast("int").alias("parts"))
     # A class is reached by the groups that need its lengths (rounding can move either by one).
-    groups = parts(queries, ["width", "need"], block_rows(QUERY_BYTES), "parts")
     classes = parts(rows, ["width", "class"], F.least(F.lit(TILE_ROWS), block_rows(2 * QUERY_BYTES)), "blocks")
-    reach = stored(groups.join(classes, "width").where(F.col("need") <= F.col("class") + 1), "reach")
-    tile = ["width", "class", "block", "need", "part"]
+    reach = stored(groups.join(classes, "width").where(F.col("need") <= F.col("class") + 1).drop("need"), "reach")
+    tile = ["width", "class", "block", "group", "part"]
     names = [*tile, "side", "row", "vec_id", "vector", "length", "threshold"]
-    asked = queries.join(reach, ["width", "need"]).withColumn("part", spot("parts")).withColumn("block", every("blocks")).withColumn("side", F.lit(0))
+    asked = queries.join(needs.drop("n"), ["width", "need"]).join(reach, ["width", "group"]).withColumn("part", spot("parts")).withColumn("block", every("blocks")).withColumn("side", F.lit(0))
     given = rows.join(reach, ["width", "class"]).withColumn("block", spot("blocks")).withColumn("part", every("parts")).withColumn("side", F.lit(1))
     given = given.withColumn("threshold", F.lit(LOWEST))
     dealt = asked.select(names).unionByName(given.select(names)).repartition(*tile).sortWithinPartitions(*tile, "side")
