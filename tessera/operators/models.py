@@ -1,14 +1,11 @@
-"""Models on ``pyspark.ml``.
+"""Models on ``pyspark.ml`` (M9-M12, M14, M16-M22, M29); boosting of its own is in ``boosting``.
 
-Training is distributed by ``pyspark.ml``; the only driver-side state is the fitted models
-themselves.  The AdaBoost loop cuts its lineage every round with ``checkpoint()`` into
-the session's checkpoint folder, so a lost executor recomputes at most one round.
+The fit is distributed by ``pyspark.ml``; the only driver-side state is the fitted models
+themselves.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
@@ -18,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import argmax, softmax
-from ..session import ensure_checkpoint_dir
 
 
 def with_features(df: DataFrame, cols=None, array_col: str | None = None,
@@ -49,10 +45,10 @@ def decision_tree(train: DataFrame, label: str = "label", max_depth: int = 6, se
 
 
 def gradient_boosting(train: DataFrame, label: str = "label", max_iter: int = 100,
-                      step: float = 0.1, max_depth: int = 3, max_bins: int = 32, seed: int = 42):
-    """M14 / M15 (histogram trees: features binned into ``max_bins``)."""
+                      step: float = 0.1, max_depth: int = 3, seed: int = 42):
+    """M14."""
     return GBTClassifier(labelCol=label, maxIter=max_iter, stepSize=step, maxDepth=max_depth,
-                         maxBins=max_bins, seed=seed).fit(train)
+                         seed=seed).fit(train)
 
 
 def mlp(train: DataFrame, layers, label: str = "label", max_iter: int = 200, seed: int = 1):
@@ -101,44 +97,6 @@ def score_batch(model, df: DataFrame, id_col: str, vec_col: str, dim: int,
     return out
 
 
-def adaboost(train: DataFrame, label: str = "label", rounds: int = 200, learning_rate: float = 0.8):
-    """AdaBoost (SAMME, two classes) with depth-1 trees trained on row weights.
-
-    Each round: fit a stump with the current weights, weighted error e (clipped to
-    [1e-10, 1 - 1e-10]), alpha = rate x ln((1 - e) / e), wrong rows' weights x exp(alpha).
-    Returns [(stump, alpha)] and the per-round training error.
-    """
-    ensure_checkpoint_dir(train.sparkSession)
-    cur = train.select("features", F.col(label).cast("double").alias("_y"),
-                       F.lit(1.0).alias("_w")).checkpoint(eager=True)
-    stages, history = [], []
-    for r in range(rounds):
-        stump = DecisionTreeClassifier(labelCol="_y", weightCol="_w", maxDepth=1).fit(cur)
-        pred = stump.transform(cur).select("features", "_y", "_w",
-                                           (F.col("prediction") != F.col("_y")).cast("double").alias("_miss"))
-        agg = pred.agg(F.sum(F.col("_w") * F.col("_miss")).alias("bad"), F.sum("_w").alias("tot")).first()
-        err = min(max(agg["bad"] / agg["tot"], 1e-10), 1 - 1e-10)
-        alpha = learning_rate * math.log((1 - err) / err)
-        stages.append((stump, alpha))
-        history.append((r + 1, float(err), float(alpha)))
-        total = agg["tot"]
-        cur = (pred.select("features", "_y",
-                           (F.col("_w") * F.exp(F.lit(alpha) * F.col("_miss")) / F.lit(total)).alias("_w"))
-               .checkpoint(eager=True))  # reliable checkpoint: cuts the lineage of the loop
-    return stages, history
-
-
-def adaboost_predict(stages, df: DataFrame, out_col: str = "prediction") -> DataFrame:
-    """Sign of sum(alpha x (2 p - 1)) over the stumps."""
-    score = F.lit(0.0)
-    x = df
-    for i, (stump, alpha) in enumerate(stages):
-        x = stump.setPredictionCol(f"_p{i}").setRawPredictionCol(f"_r{i}") \
-            .setProbabilityCol(f"_q{i}").transform(x).drop(f"_r{i}", f"_q{i}")
-        score = score + F.lit(alpha) * (F.lit(2.0) * F.col(f"_p{i}") - F.lit(1.0))
-    return x.withColumn(out_col, (score > 0).cast("double")).drop(*[f"_p{i}" for i in range(len(stages))])
-
-
 def objective_history(model) -> list[float]:
     """Training loss per iteration of a model with a training summary."""
     return [float(v) for v in model.summary.objectiveHistory]

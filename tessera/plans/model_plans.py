@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.common import round_half_up
+from ..operators import boosting as B
 from ..operators import evaluate as E
 from ..operators import models as MD
 from ..operators import prep as P
@@ -23,7 +24,7 @@ from .registry import r2_sql, register, rounded
 
 G = "models"
 DIM = 64
-ADABOOST_ROUNDS = 20
+ADABOOST_ROUNDS = 200
 
 
 def _binary_split(spark, d, weights: bool = False):
@@ -74,21 +75,25 @@ def q_decision_tree(spark, d):
     return _report(MD.decision_tree(train, max_depth=6), test)
 
 
+def _scored(model, test):
+    """Class report of a model of ``boosting`` on the test rows."""
+    pred = B.predict(model, test.select("label", "embedding"), "embedding")
+    return rounded(E.classification_report(pred.select(F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("p")),
+                                           "y", "p"), "precision", "recall", "f1")
+
+
 @register("adaboost", G)
 def q_adaboost(spark, d):
-    """AdaBoost with depth-1 trees, learning rate 0.8; training error per round."""
+    """AdaBoost, 200 depth-1 trees, learning rate 0.8; weighted error per round."""
     train, _ = _binary_split(spark, d)
-    _, hist = MD.adaboost(train, rounds=ADABOOST_ROUNDS, learning_rate=0.8)
-    return spark.createDataFrame(hist, "round int, weighted_error double, alpha double")
+    model = B.adaboost(train, "embedding", "label", DIM, rounds=ADABOOST_ROUNDS, learning_rate=0.8)
+    return spark.createDataFrame(model.history, "round int, weighted_error double, alpha double")
 
 
 @register("adaboost_report", G)
 def q_adaboost_report(spark, d):
     train, test = _binary_split(spark, d)
-    stages, _ = MD.adaboost(train, rounds=ADABOOST_ROUNDS, learning_rate=0.8)
-    pred = MD.adaboost_predict(stages, test)
-    return rounded(E.classification_report(pred.select(F.col("label").cast("int").alias("y"),
-                                               F.col("prediction").cast("int").alias("p")), "y", "p"), "precision", "recall", "f1")
+    return _scored(B.adaboost(train, "embedding", "label", DIM, rounds=ADABOOST_ROUNDS, learning_rate=0.8), test)
 
 
 @register("gbt", G)
@@ -100,9 +105,9 @@ def q_gbt(spark, d):
 
 @register("gbt_hist", G)
 def q_gbt_hist(spark, d):
-    """Histogram boosting: 100 trees, rate 0.6, depth 6, 256 bins."""
+    """Second-order histogram boosting: 100 trees, rate 0.6, depth 6."""
     train, test = _binary_split(spark, d)
-    return _report(MD.gradient_boosting(train, max_iter=100, step=0.6, max_depth=6, max_bins=256), test)
+    return _scored(B.boost(train, "embedding", "label", DIM, rounds=100, rate=0.6, max_depth=6), test)
 
 
 @register("rf_importance", G)
@@ -191,15 +196,23 @@ def q_score_batch(spark, d):
 
 @register("training_history", G)
 def q_training_history(spark, d):
-    """Loss per iteration of the linear head, stored as JSON and CSV and read back."""
-    train, _ = _multi_split(spark, d)
-    m = MD.linear_head(MD.with_features(train, array_col="embedding"), max_iter=30)
-    hist = spark.createDataFrame([(i + 1, v) for i, v in enumerate(MD.objective_history(m))],
-                                 "epoch int, train_loss double")
-    j, _c = IO.save_history(hist, scratch_path(spark, "history"))
+    """Loss and accuracy on the fitting and the validation part after each of 30 boosting
+    epochs, stored as JSON and CSV and read back."""
+    train, test = _binary_split(spark, d)
+    model = B.boost(train, "embedding", "label", DIM, rounds=30, rate=0.3, max_depth=3, validation=test)
+    j, _c = IO.save_history(spark.createDataFrame(model.history, IO.HISTORY_SCHEMA), scratch_path(spark, "history"))
     return IO.read_json(spark, j, IO.HISTORY_SCHEMA)
 
 
+@register("training_stop", G)
+def q_training_stop(spark, d):
+    """The validation history of the same model with the patience rule: best accuracy so far,
+    epochs since, and the epoch at which a patience of 5 ends it."""
+    history = q_training_history(spark, d).withColumn("series", F.lit(1))
+    return S.early_stop(history, ["series"], "epoch", "val_acc", patience=5).select(
+        "epoch", "val_acc", "best_so_far", "improved", "no_improve", "stop_here", "after_stop")
+
+
 @register("ar_forecast", G)
 def q_ar_forecast(spark, d):
     """Autoregression on 5-value windows of each daily series (fit on the first 80% of the

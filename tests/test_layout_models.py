@@ -114,15 +114,6 @@ def test_forest_beats_majority_and_importances_sum_to_one(separable):
     assert sum(m.featureImportances.toArray()) == pytest.approx(1.0)
 
 
-def test_adaboost_not_worse_than_one_stump(separable):
-    train, test = separable
-    stages, hist = MD.adaboost(train, rounds=8, learning_rate=0.8)
-    one = MD.adaboost_predict(stages[:1], train).agg(F.avg((F.col("prediction") != F.col("label")).cast("double"))).first()[0]
-    many = MD.adaboost_predict(stages, train).agg(F.avg((F.col("prediction") != F.col("label")).cast("double"))).first()[0]
-    assert many <= one + 1e-9
-    assert len(hist) == 8
-
-
 def test_score_batch_skips_unreadable_rows(spark, separable):
     train, _ = separable
     m = MD.linear_head(train.withColumn("label", F.col("label")))
