@@ -75,7 +75,7 @@ class Model:
 
     @property
     def missing(self) -> int:
-        return max((len(e) for e in self.edges), default=0) + 1
+        return _missing(self.edges)
 
 
 def bin_edges(df: DataFrame, features: str, width: int, max_bins: int = 255) -> list[np.ndarray]:
@@ -105,9 +105,14 @@ def _to_bins(column: pa.Array, edges, missing: int) -> np.ndarray:
     return out
 
 
+def _missing(edges) -> int:
+    """The bin of missing values, the last of all."""
+    return max(2, 1 + max(map(len, edges), default=0))
+
+
 def _binned(df: DataFrame, features: str, edges, columns) -> DataFrame:
     """``bins`` (one byte a feature) and the given columns (name -> Column)."""
-    missing = max(map(len, edges), default=0) + 1
+    missing = _missing(edges)
     names = list(columns)
 
     def run(batches):
@@ -221,7 +226,8 @@ def boost(train: DataFrame, features: str, label: str, width: int, rounds: int =
     many epochs.  One pass a level; the first level's pass also measures the epoch before.
     """
     edges = bin_edges(train, features, width, max_bins)
-    missing, n_bins = max(map(len, edges), default=0) + 1, max(map(len, edges), default=0) + 2
+    missing = _missing(edges)
+    n_bins = missing + 1
     rows = train.select(features, label, F.lit(True).alias("learn"))
     if validation is not None:
         rows = rows.unionByName(validation.select(features, label, F.lit(False).alias("learn")))
@@ -376,7 +382,8 @@ def adaboost(train: DataFrame, features: str, label: str, width: int, rounds: in
     classes cannot be parted ends the rounds.  Rows with another label than 0 or 1 are left out.
     """
     edges = bin_edges(train, features, width, max_bins)
-    missing, n_bins = max(map(len, edges), default=0) + 1, max(map(len, edges), default=0) + 2
+    missing = _missing(edges)
+    n_bins = missing + 1
     rows = train.where(F.col(label).isin(0, 1))
     rows = _stored(_binned(rows, features, edges, {
         "y": F.col(label).cast("double"), "learn": F.lit(True), "margin": F.lit(0.0)}), "adaboost")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -146,54 +149,112 @@ def date_bounds(frames: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str, probs) -> DataFrame:
-    """Exact, linearly interpolated quantiles per group (as pandas / numpy ``linear``).
-
-    Values are reduced to (group, value, count); prefix sums of the counts tell which value
-    holds each wanted position (h = (n - 1) q and its two neighbours), so that one filtered
-    aggregate reads off all quantiles.  NULLs are left out.  Returns (group, prob, quantile).
-    """
+#: Size of the quantile sketch (rank error about 0.0004) and the half widths of the brackets
+#: that are tried around a wanted rank before the whole range.
+SKETCH_K = 8000
+BRACKETS = (0.002, 0.02)
+
+
+def _number(c) -> Column:
+    """The column as a double, NaN as NULL (both count as missing)."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None))
+
+
+def _sketched(df: DataFrame, cols, probs, *more) -> tuple[dict, dict]:
+    """One pass: per column (count, min, max, ``more`` functions of it), and per (column,
+    prob, width) two values that very probably enclose the wanted position."""
+    functions = (F.count, F.min, F.max, *more)
+    aggs = [f(_number(c)).alias(f"{i}_{j}") for i, c in enumerate(cols) for j, f in enumerate(functions)]
+    aggs += [F.kll_sketch_agg_double(_number(c), F.lit(SKETCH_K)).alias(f"s{i}") for i, c in enumerate(cols)]
+    sides = [(p, w, side) for p in probs for w in BRACKETS for side in (-1, 1)]
+    ranks = [F.lit(min(1.0, max(0.0, p + side * w))) for p, w, side in sides]
+    row = df.agg(*aggs).select("*", *[F.when(F.col(f"{i}_0") > 0, F.array(*[
+        F.kll_sketch_get_quantile_double(f"s{i}", r) for r in ranks])).alias(f"q{i}") for i in range(len(cols))]).first()
+    stats = {c: [row[f"{i}_{j}"] for j in range(len(functions))] for i, c in enumerate(cols)}
+    around = {(c, *at): q for i, c in enumerate(cols) for at, q in zip(sides, row[f"q{i}"] or ())}
+    return stats, around
+
+
+def _inside(df: DataFrame, brackets) -> DataFrame:
+    """(k, v, c): per bracket (column, low, high) number k how often each value inside it
+    occurs, and with v NULL how many values lie below; counted per batch, so a frequent
+    value is few rows."""
+    lows, highs = [b[1] for b in brackets], [b[2] for b in brackets]
+    wide = df.select(*[_number(c).alias(f"c{i}") for i, c in enumerate(dict.fromkeys(b[0] for b in brackets))])
+    place = {c: i for i, c in enumerate(dict.fromkeys(b[0] for b in brackets))}
+    at = [place[b[0]] for b in brackets]
+
+    def run(batches):
+        below = np.zeros(len(at), np.int64)
+        for b in batches:
+            arrays = [b.column(i).drop_null().to_numpy(zero_copy_only=False) for i in range(b.num_columns)]
+            for k, i in enumerate(at):
+                below[k] += np.count_nonzero(arrays[i] < lows[k])
+                v, c = np.unique(arrays[i][(arrays[i] >= lows[k]) & (arrays[i] <= highs[k])], return_counts=True)
+                if len(v):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), k)), pa.array(v), pa.array(c)], ["k", "v", "c"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(at))), pa.nulls(len(at), pa.float64()), pa.array(below)], ["k", "v", "c"])
+
+    return wide.mapInArrow(run, "k long, v double, c long")
+
+
+def _quantiles(df: DataFrame, stats: dict, around: dict, cols, probs) -> DataFrame:
+    """(column_name, prob, quantile): the values inside the brackets are placed by prefix sums;
+    where a bracket misses the position (the sketch is random) the next wider one is tried."""
     from .ranking import prefix_sums
 
-    counts = (long_df.where(F.col(value_col).isNotNull()).groupBy(group_col, value_col)
-              .agg(F.count(F.lit(1)).alias("_c")))
-    placed = prefix_sums(counts, [group_col], [value_col], "_c", "_below", "_n")
-
-    def at(position):
-        holds = (position >= F.col("_below")) & (position < F.col("_below") + F.col("_c"))
-        return F.max(F.when(holds, F.col(value_col).cast("double")))
-
-    values = []
-    for p in map(float, probs):
-        h = (F.col("_n") - 1).cast("double") * F.lit(p)
-        values.append(F.struct(F.lit(p).alias("prob"), F.max(h - F.floor(h)).alias("frac"),
-                               at(F.floor(h)).alias("lo"), at(F.ceil(h)).alias("hi")))
-    found = placed.groupBy(group_col).agg(F.array(*values).alias("_q")).select(group_col, F.explode("_q").alias("q"))
-    return found.select(group_col, F.col("q.prob").alias("prob"),
-                        (F.col("q.lo") + (F.col("q.hi") - F.col("q.lo")) * F.col("q.frac")).alias("quantile"))
+    open_, found = [(c, float(p)) for c in cols for p in probs if stats[c][0]], {}
+    for w in (*BRACKETS, None):
+        if not open_:
+            break
+        brackets, positions = [], []
+        for c, p in open_:
+            n, least, most = stats[c][:3]
+            low = least if w is None or p - w <= 0 else around[c, p, w, -1]
+            high = most if w is None or p + w >= 1 else around[c, p, w, 1]
+            brackets.append((c, low, high))
+            positions.append((n - 1) * p)
+        placed = prefix_sums(_inside(df, brackets), ["k"], ["v"], "c", "_below")
+        edges = [F.array(*[F.lit(f(h)).cast("long") for h in positions])[F.col("k").cast("int")] for f in (math.floor, math.ceil)]
+        holds = [(e >= F.col("_below")) & (e < F.col("_below") + F.col("c")) & F.col("v").isNotNull() for e in edges]
+        rows = placed.groupBy("k").agg(*[F.max(F.when(h, F.col("v"))).alias(n) for h, n in zip(holds, ("lo", "hi"))]).collect()
+        for r in rows:
+            if r.lo is not None and r.hi is not None:
+                h = positions[r.k]
+                found[open_[r.k]] = r.lo + (r.hi - r.lo) * (h - math.floor(h))
+        open_ = [x for x in open_ if x not in found]
+    return df.sparkSession.createDataFrame([(c, p, q) for (c, p), q in found.items()], "column_name string, prob double, quantile double")
+
+
+def exact_quantiles(df: DataFrame, cols, probs) -> DataFrame:
+    """Exact, linearly interpolated quantiles of columns (as pandas / numpy ``linear``).
+
+    Two scans and no exchange of all values: a sketch encloses the wanted positions
+    (h = (n - 1) q and its two neighbours), then values below each bracket are counted and only
+    the few inside it are shuffled.  NULL and NaN are left out.  Returns (column_name, prob, quantile), one
+    row per column with values and probability.
+    """
+    return _quantiles(df, *_sketched(df, cols, probs), cols, probs)
 
 
 def describe_numeric(df: DataFrame, cols) -> DataFrame:
     """Count, mean, sample std, min, 25%, 50%, 75%, max for each numeric column.
 
-    One row per column, unrounded.  The frame is reshaped to (column, value) once, so every
-    statistic is a grouped aggregate; quantiles are exact and interpolated.
+    One row per column, unrounded.  The first of two scans gives all but the quantiles, which
+    are exact and interpolated.
     """
-    long_df = unpivot_metrics(df, [], cols, "column_name", "v")
-    basic = long_df.groupBy("column_name").agg(
-        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
-    q = exact_quantiles(long_df, "column_name", "v", [0.25, 0.5, 0.75])
-    qw = q.groupBy("column_name").agg(
-        *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n)
-          for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
-    return basic.join(qw, "column_name", "left")
+    probs = [0.25, 0.5, 0.75]
+    stats, around = _sketched(df, cols, probs, F.avg, F.stddev_samp)
+    basic = df.sparkSession.createDataFrame([(c, *stats[c]) for c in cols],
+                                            "column_name string, count long, min double, max double, mean double, std double")
+    qw = _quantiles(df, stats, around, cols, probs).groupBy("column_name").agg(
+        *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n) for p, n in zip(probs, ("p25", "p50", "p75"))])
+    return basic.join(qw, "column_name", "left").select("column_name", "count", "mean", "std", "min", "max", "p25", "p50", "p75")
 
 
 def median_of(df: DataFrame, cols) -> DataFrame:
     """Exact interpolated median of each column, as one row (for ``fill_median``)."""
-    long_df = unpivot_metrics(df, [], cols, "column_name", "v")
-    q = exact_quantiles(long_df, "column_name", "v", [0.5])
+    q = exact_quantiles(df, cols, [0.5])
     return q.groupBy().pivot("column_name", list(cols)).agg(F.first("quantile"))
 
 

@@ -39,6 +39,20 @@ def q_fill_median(spark, d):
     return P.fill_from_stats(df, med, cols).select("doc_id", *cols)
 
 
+@register("fill_median_second", G, with_views(["doc_frame"], """
+WITH med AS (SELECT QUANTILE_CONT(quality, 0.5) AS mq, QUANTILE_CONT(toxic, 0.5) AS mt,
+                    QUANTILE_CONT(n_chars, 0.5) AS mn FROM doc_frame WHERE doc_id % 3 > 0)
+SELECT doc_id, COALESCE(CAST(quality AS DOUBLE), mq) AS quality, COALESCE(CAST(toxic AS DOUBLE), mt) AS toxic,
+       COALESCE(CAST(n_chars AS DOUBLE), mn) AS n_chars
+FROM doc_frame CROSS JOIN med WHERE doc_id % 3 = 0"""))
+def q_fill_median_second(spark, d):
+    """The medians of one part of the documents (two of three) fill the other part."""
+    df = _docs(spark, d)
+    cols = ["quality", "toxic", "n_chars"]
+    med = M.median_of(df.where("doc_id % 3 > 0"), cols)
+    return P.fill_from_stats(df.where("doc_id % 3 = 0"), med, cols).select("doc_id", *cols)
+
+
 @register("conditional_reset", G, with_views(["doc_frame"], """
 SELECT doc_id, CASE WHEN toxic = 0 THEN 0 ELSE quality END AS quality, toxic,
        CASE WHEN toxic = 0 THEN 'None' ELSE quality_tag END AS quality_tag

@@ -64,40 +64,59 @@ def test_rounding_does_not_saturate(spark):
     assert (row.a, row.b, row.c) == (1e14, 1.0, -1e300)
 
 
-def test_exact_quantiles_equal_numpy(spark, skewed):
-    q = M.exact_quantiles(skewed, "g", "v", [0.0, 0.25, 0.5, 0.9, 1.0]).collect()
-    pdf = skewed.toPandas()
-    for r in q:
-        vals = pdf[pdf.g == r.g].v.to_numpy()
-        assert r.quantile == pytest.approx(float(np.percentile(vals, r.prob * 100)), abs=1e-9)
+@pytest.mark.parametrize("n", [1, 2, 3, 500, 4100])
+def test_exact_quantiles_equal_numpy(spark, n):
+    """Ties, one hot value, nulls, an empty column and a constant one; small and bracketed sizes."""
+    rng = np.random.default_rng(n)
+    a, b = rng.normal(size=n), np.where(rng.random(n) < 0.6, 7.0, rng.integers(0, 40, n)).astype(float)
+    rows = [(float(x), None if i % 3 == 1 else float(y), 2.5, None) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(7)
+    probs = [0.0, 0.001, 0.25, 0.5, 0.9, 1.0]
+    got = {(r.column_name, r.prob): r.quantile for r in M.exact_quantiles(df, ["a", "b", "c", "d"], probs).collect()}
+    values = {"a": a, "b": np.array([r[1] for r in rows if r[1] is not None]), "c": np.full(n, 2.5)}
+    want = {(c, p): float(np.percentile(v, p * 100)) for c, v in values.items() for p in probs}
+    assert set(got) == set(want)
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, abs=1e-12)
+
+
+def test_describe_counts_every_column(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (4.0, None)], "x double, y double")
+    rows = {r.column_name: r for r in M.describe_numeric(df, ["x", "y"]).collect()}
+    assert (rows["x"]["count"], rows["x"].p50, rows["x"].max) == (3, 2.0, 4.0)
+    assert (rows["y"]["count"], rows["y"].mean, rows["y"].p25) == (0, None, None)
+
+
+def test_weighted_prefix_sums_equal_window(spark, skewed):
+    df = skewed.withColumn("w", F.when(F.col("id") % 5 > 0, F.col("id") % 7))
+    got = RK.prefix_sums(df, ["g"], ["v", "id"], "w", "before", "total").select("id", "before", "total")
+    over = Window.partitionBy("g").orderBy("v", "id").rowsBetween(Window.unboundedPreceding, -1)
+    want = df.select("id", F.coalesce(F.sum("w").over(over), F.lit(0)).alias("before"), F.sum("w").over(Window.partitionBy("g")).alias("total"))
+    assert sorted(got.collect()) == sorted(want.collect())
 
 
-def test_temperature_windows_as_in_the_notebook(spark):
-    temps = [68, 70, 71, 73, 74, 76, 78, 80, 82, 85]
-    df = spark.createDataFrame([("m", i, float(v)) for i, v in enumerate(temps)], "s string, t int, value double")
+def test_windows_of_five(spark):
+    values = [3.0, 1.0, 4.0, 1.5, 9.0, 2.0, 6.0, 5.0, 3.5, 8.0]
+    df = spark.createDataFrame([("m", i, v) for i, v in enumerate(values)], "s string, t int, value double")
     w = S.sliding_windows(df, ["s"], "t", "value", 5).orderBy("t").collect()
-    assert len(w) == 5  # 10 values, window 5
-    assert [list(r.features) for r in w] == [[float(x) for x in temps[i:i + 5]] for i in range(5)]
-    assert [r.target for r in w] == [float(x) for x in temps[5:]]
+    assert [list(r.features) for r in w] == [values[i:i + 5] for i in range(5)]
+    assert [r.target for r in w] == values[5:]
     split = S.ordered_split(df, ["s"], "t", 0.8)
     assert split.filter("is_train").count() == 8
     wins = spark.createDataFrame([("m", r.t, r.target) for r in w], "s string, t int, value double")
     assert S.ordered_split(wins, ["s"], "t", 0.8).filter("is_train").count() == 4  # max(1, int(0.8 * 5))
-    last = S.last_window(df, ["s"], "t", "value", 5).first()
-    assert list(last.last_values) == [76.0, 78.0, 80.0, 82.0, 85.0]
+    assert list(S.last_window(df, ["s"], "t", "value", 5).first().last_values) == values[5:]
 
 
-def test_second_series_window_seven(spark):
-    vals = [29, 30, 31, 30, 32, 33, 31, 32, 33, 33]
-    df = spark.createDataFrame([("x", i, float(v)) for i, v in enumerate(vals)], "s string, t int, value double")
+def test_windows_of_seven(spark):
+    df = spark.createDataFrame([("x", i, i * 1.5) for i in range(10)], "s string, t int, value double")
     assert S.sliding_windows(df, ["s"], "t", "value", 7).count() == 3
 
 
-def test_naive_forecasts_of_demand(spark):
-    demand = [320, 340, 360, 355, 370, 390, 410]
-    df = spark.createDataFrame([("d", i, float(v)) for i, v in enumerate(demand)], "s string, t int, value double")
+def test_naive_forecasts(spark):
+    df = spark.createDataFrame([("d", i, v) for i, v in enumerate([12.0, 15.0, 11.0, 14.5])], "s string, t int, value double")
     r = S.naive_forecast(df, ["s"], "t", "value").first()
-    assert (r.forecast_repeat_last, r.forecast_add_last_diff, r.last_diff) == (410.0, 430.0, 20.0)
+    assert (r.forecast_repeat_last, r.forecast_add_last_diff, r.last_diff) == (14.5, 18.0, 3.5)
 
 
 def test_zscore_population_std_and_inverse(spark):
