@@ -1,21 +1,32 @@
 """Text and retrieval jobs over document tables.
 
-Every step is a column expression over whole texts (``split``, ``aggregate``,
-``regexp_extract``, ``transform``...), so a document is processed inside one task
-without any Python per row.  The one exception is the similarity search, where each task
-multiplies its batch of corpus vectors with the (size-checked, broadcast) query matrix in
-NumPy and keeps only its k best rows per query before anything is shuffled.
+Steps are column expressions over whole texts (``split``, ``array_sort``,
+``regexp_extract``, ``transform``...).  Two run in Arrow batches: the chunk packer, whose
+cuts depend on each other, and the similarity search, where each task multiplies its batch
+of corpus vectors with a part of the queries (bounded in bytes) in NumPy and keeps only its
+k best rows per query before anything is shuffled.
 """
 
 from __future__ import annotations
 
+import math
+import sys
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.common import round_half_up
 from ..functions.vectors import l2_norm
+from ..session import scratch_path
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not have the package
+
+QUERY_BYTES = 8 << 20
 
 # Fixed values (they define the semantics that must be reproduced):
 # whitespace as Python's str.strip()/str.split() understand it, and the line boundaries of
@@ -29,6 +40,7 @@ def _java_class(chars: str) -> str:
 
 
 WS = _java_class(PY_WHITESPACE)
+TOKEN = f"[^{WS[1:]}+{WS}*"
 LINE_BREAK = "\\r\\n|" + _java_class(PY_LINE_BREAKS)
 # the context separator, prompt texts and the fallback answer of the retrieval chat.
 CONTEXT_SEP = "\n\n---\n\n"
@@ -70,41 +82,44 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        .alias("para_id", "paragraph"))
 
 
-def pack_chunks(paras, max_chars: int = 800) -> Column:
-    """Greedy packing of paragraphs into chunks of at most ``max_chars`` characters.
+def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    max_chars: int = 800, sep: str = "\n\n") -> DataFrame:
+    """T1 + T2: (doc, chunk number from 0, chunk text): greedy packing of paragraphs into chunks
+    of at most ``max_chars`` characters.
 
     A paragraph is appended to the open chunk (joined by LF) while
     ``len(chunk) + len(paragraph) + 1 <= max_chars``; otherwise the open chunk is closed and
     the paragraph opens the next one, or, when it is longer than ``max_chars``, is cut into
     ``max_chars`` pieces that are closed at once.  Chunks that are only whitespace are dropped.
+    Where a chunk ends depends on where the one before ended, so each text is packed by one
+    loop in its task, in time proportional to its length.
     """
-    m = F.lit(max_chars)
-    init = F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("buf"))
-
-    def step(acc, p):
-        out, buf = acc["out"], acc["buf"]
-        fits = F.length(buf) + F.length(p) + 1 <= m
-        joined = F.when(buf == "", p).otherwise(F.concat(buf, F.lit("\n"), p))
-        flushed = F.when(buf != "", F.array_append(out, buf)).otherwise(out)
-        n_pieces = F.floor((F.length(p) - 1) / m).cast("int")
-        pieces = F.transform(F.sequence(F.lit(0), n_pieces), lambda i: p.substr(i * m + 1, m))
-        big = F.length(p) > m
-        return F.when(fits, F.struct(out.alias("out"), joined.alias("buf"))).otherwise(
-            F.struct(F.when(big, F.concat(flushed, pieces)).otherwise(flushed).alias("out"),
-                     F.when(big, F.lit("")).otherwise(p).alias("buf")))
-
-    def finish(acc):
-        done = F.when(acc["buf"] != "", F.array_append(acc["out"], acc["buf"])).otherwise(acc["out"])
-        return F.filter(done, lambda c: py_strip(c) != "")
-
-    return F.aggregate(_c(paras), init, step, finish)
-
-
-def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    max_chars: int = 800, sep: str = "\n\n") -> DataFrame:
-    """T1 + T2: (doc, chunk number from 0, chunk text)."""
-    chunks = pack_chunks(split_paragraphs(text_col, sep), max_chars)
-    return docs.select(id_col, F.posexplode(chunks).alias("chunk_id", "chunk"))
+    def packed(paragraphs):
+        chunk, size = [], 0
+        for p in paragraphs:
+            if size + len(p) + 1 <= max_chars:
+                size += len(p) + (1 if size else 0)
+                chunk.append(p)
+                continue
+            if chunk:
+                yield "\n".join(chunk)
+            chunk, size = ([p], len(p)) if len(p) <= max_chars else ([], 0)
+            if not chunk:
+                yield from (p[i:i + max_chars] for i in range(0, len(p), max_chars))
+        if chunk:
+            yield "\n".join(chunk)
+
+    def run(batches):
+        for b in batches:
+            for ident, paragraphs in zip(b.column(0), b.column(1)):
+                chunks = [c for c in packed(paragraphs.as_py() or ()) if c.strip()]
+                if chunks:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([ident.as_py()] * len(chunks), b.column(0).type), pa.array(range(len(chunks)), pa.int32()), pa.array(chunks)],
+                        [id_col, "chunk_id", "chunk"])
+
+    schema = T.StructType([docs.schema[id_col], T.StructField("chunk_id", T.IntegerType()), T.StructField("chunk", T.StringType())])
+    return docs.select(id_col, split_paragraphs(text_col, sep).alias("_p")).mapInArrow(run, schema)
 
 
 def label_centroids(vectors: DataFrame, label_col: str, vec_col: str) -> DataFrame:
@@ -118,112 +133,83 @@ def label_centroids(vectors: DataFrame, label_col: str, vec_col: str) -> DataFra
 
 def cosine_topk(corpus: DataFrame, queries: DataFrame, k: int = 2, corpus_id: str = "vec_id",
                 corpus_vec: str = "embedding", query_id: str = "query_id",
-                query_vec: str = "query_vec", places: int = 6, max_queries: int = 20000,
-                eps: float = 1e-12, query_block: int = 512) -> DataFrame:
+                query_vec: str = "query_vec", eps: float = 1e-12) -> DataFrame:
     """T3 + T4: the ``k`` corpus rows most similar (cosine) to each query.
 
-    Similarity is the dot product of the two L2-normalised vectors (eps 1e-12), rounded to
-    ``places`` decimals; ties go to the smaller corpus id.  The query set is checked
-    against ``max_queries`` before it is broadcast; each task scores its corpus batch with
-    one matrix product and keeps k rows per query, so only (tasks x queries x k) candidates
-    are shuffled for the final exact ranking.  A larger query set takes the blocked form
-    (``_cosine_topk_join``): same result, no broadcast and no unbounded group.
+    Similarity is the dot product of the two L2-normalised vectors (eps 1e-12), unrounded;
+    ties go to the smaller corpus id.  Queries are dealt into parts of at most about
+    ``QUERY_BYTES``; a part at a time is broadcast, and every task keeps the k best of its corpus
+    rows per query, so the corpus is never moved and only (tasks x queries x k) rows are
+    shuffled for the final rank.  A matrix product finds the rows near a query's k-th best;
+    their similarity is then summed component by component, so that equal vectors tie
+    exactly.  Vectors that are null or of another length than the queries take no part.
     """
     spark = corpus.sparkSession
-    n_q = queries.count()
-    if n_q > max_queries:  # too large to broadcast: the distributed join form
-        return _cosine_topk_join(corpus, queries, k, corpus_id, corpus_vec, query_id, query_vec,
-                                 places, eps, max_queries)
-    q_rows = queries.select(query_id, query_vec).collect()  # bounded by the check above
-    q_ids = np.array([r[0] for r in q_rows])
-    q_mat = np.array([np.asarray(r[1], dtype=np.float64) for r in q_rows], dtype=np.float64)
-    if len(q_rows):
-        q_mat = q_mat / (np.linalg.norm(q_mat, axis=1, keepdims=True) + eps)
-    bq = spark.sparkContext.broadcast((q_ids, q_mat))
-    scale = float(10 ** places)
-    id_type = dict(corpus.dtypes)[corpus_id]
-    qid_type = dict(queries.dtypes)[query_id]
-
-    def top_rows(sims, cid, q_ids):
-        """Per query column: the ``k`` best rows by (similarity desc, id asc), ties kept exact."""
-        keep = min(k, sims.shape[0])
-        part = np.argpartition(-sims, keep - 1, axis=0)[:keep]
-        kth = sims[part, np.arange(sims.shape[1])].min(axis=0)
-        rows, cols = np.nonzero(sims >= kth[None, :])   # k best plus any ties with the k-th
-        order = np.lexsort((cid[rows], -sims[rows, cols], cols))
-        rows, cols = rows[order], cols[order]
-        idx = np.arange(len(cols))
-        first = np.r_[True, cols[1:] != cols[:-1]]
-        rank = idx - np.maximum.accumulate(np.where(first, idx, 0))
-        sel = rank < keep
-        return q_ids[cols[sel]], cid[rows[sel]], sims[rows[sel], cols[sel]]
-
-    def score(batches):
-        ids, mat = bq.value
-        for pdf in batches:
-            if len(pdf) == 0 or len(ids) == 0:
-                continue
-            c = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[corpus_vec].to_numpy()])
-            c = c / (np.linalg.norm(c, axis=1, keepdims=True) + eps)
-            cid = pdf[corpus_id].to_numpy()
-            for b in range(0, len(ids), query_block):  # bounds the similarity block in memory
-                sims = np.floor((c @ mat[b:b + query_block].T) * scale + 0.5) / scale
-                qs, cs, ss = top_rows(sims, cid, ids[b:b + query_block])
-                yield pd.DataFrame({query_id: qs, corpus_id: cs, "similarity": ss})
-
-    cand = corpus.select(corpus_id, corpus_vec).mapInPandas(
-        score, f"{query_id} {qid_type}, {corpus_id} {id_type}, similarity double")
-    w = Window.partitionBy(query_id).orderBy(F.desc("similarity"), corpus_id)
-    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-
-
-def _cosine_topk_join(corpus: DataFrame, queries: DataFrame, k: int, corpus_id: str,
-                      corpus_vec: str, query_id: str, query_vec: str, places: int, eps: float,
-                      max_queries: int = 20000, rows_per_bucket: int = 50000) -> DataFrame:
-    """``cosine_topk`` for query sets too large to broadcast, as a 2-D blocked product.
-
-    Queries are hashed into blocks of about ``max_queries`` rows and the corpus into buckets
-    of about ``rows_per_bucket`` rows; every corpus row is sent to each query block and every
-    query to each corpus bucket, and each (block, bucket) pair is one bounded group scored
-    with one matrix product that keeps k rows per query.  The final exact rank runs over at
-    most (buckets x k) candidates per query.  No group and no task holds an unbounded side.
-    """
-    import math
-
-    n_q = queries.count()
-    n_c = corpus.count()
-    n_blocks = max(1, math.ceil(n_q / max_queries))
-    n_buckets = max(1, math.ceil(n_c / rows_per_bucket))
-    scale = float(10 ** places)
-    c = (corpus.select(F.col(corpus_id).alias("_cid"), F.col(corpus_vec).alias("_cv"))
-         .withColumn("_cb", F.pmod(F.xxhash64("_cid"), F.lit(n_buckets)))
-         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
-    q = (queries.select(F.col(query_id).alias("_qid"), F.col(query_vec).alias("_qv"))
-         .withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.lit(n_blocks)))
-         .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(n_buckets - 1)))))
-    id_type = dict(corpus.dtypes)[corpus_id]
-    qid_type = dict(queries.dtypes)[query_id]
-
-    def score(cpdf, qpdf):
-        if len(cpdf) == 0 or len(qpdf) == 0:
-            return pd.DataFrame({"_qid": [], "_cid": [], "similarity": []})
-        cm = np.stack([np.asarray(v, dtype=np.float64) for v in cpdf["_cv"].to_numpy()])
-        cm = cm / (np.linalg.norm(cm, axis=1, keepdims=True) + eps)
-        qm = np.stack([np.asarray(v, dtype=np.float64) for v in qpdf["_qv"].to_numpy()])
-        qm = qm / (np.linalg.norm(qm, axis=1, keepdims=True) + eps)
-        sims = np.floor((cm @ qm.T) * scale + 0.5) / scale
-        cid, qid = cpdf["_cid"].to_numpy(), qpdf["_qid"].to_numpy()
-        keep = min(k, len(cid))
-        order = np.lexsort((np.repeat(cid[:, None], len(qid), 1), -sims), axis=0)[:keep]
-        cols = np.tile(np.arange(len(qid)), keep)
-        rows = order.reshape(-1)
-        return pd.DataFrame({"_qid": qid[cols], "_cid": cid[rows], "similarity": sims[rows, cols]})
-
-    cand = (c.groupBy("_qb", "_cb").cogroup(q.groupBy("_qb", "_cb"))
-            .applyInPandas(score, f"_qid {qid_type}, _cid {id_type}, similarity double")
-            .select(F.col("_qid").alias(query_id), F.col("_cid").alias(corpus_id), "similarity"))
-    w = Window.partitionBy(query_id).orderBy(F.desc("similarity"), corpus_id)
-    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    n, width = queries.agg(F.count(query_vec), F.coalesce(F.max(F.size(query_vec)), F.lit(0))).first()
+    parts = max(1, math.ceil(8 * n * max(width, 1) / QUERY_BYTES))
+    base = scratch_path(spark, "topk")
+    usable = F.col("v").isNotNull() & (F.size("v") == width)
+    queries.select(F.col(query_id).alias("q"), F.col(query_vec).cast("array<double>").alias("v")).where(usable).withColumn(
+        "part", F.pmod(F.xxhash64("q"), F.lit(parts))).write.parquet(f"{base}/queries")
+    rows = corpus.select(F.col(corpus_id).alias("c"), F.col(corpus_vec).cast("array<double>").alias("v")).where(usable)
+    asked = spark.read.parquet(f"{base}/queries")
+    fields = [T.StructField(query_id, queries.schema[query_id].dataType), T.StructField(corpus_id, corpus.schema[corpus_id].dataType),
+              T.StructField("similarity", T.DoubleType())]
+    best = Window.partitionBy(query_id).orderBy(F.desc("similarity"), corpus_id)
+    for part in range(parts):
+        block = asked.where(F.col("part") == part).select("q", "v").toArrow().combine_chunks()
+        shared = spark.sparkContext.broadcast((_array(block["q"]), _matrix(block["v"], width, eps)))
+        found = rows.mapInArrow(_nearest(shared, k, width, eps, [f.name for f in fields]), T.StructType(fields))
+        found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).write.mode("append").parquet(f"{base}/found")
+        shared.unpersist()
+    return spark.read.parquet(f"{base}/found")
+
+
+def _array(column) -> pa.Array:
+    """A column as one array."""
+    return pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) and column.num_chunks else (
+        column if isinstance(column, pa.Array) else pa.array([], column.type))
+
+
+def _matrix(column, width: int, eps: float) -> np.ndarray:
+    """Normalised vectors of an array column."""
+    m = _array(column).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), width)
+    return m / (np.sqrt((m * m).sum(axis=1, keepdims=True)) + eps)
+
+
+def _nearest(shared, k: int, width: int, eps: float, names):
+    """Keeps the k best (similarity, id) of a task's corpus rows per query."""
+    def ranked(table):
+        order = pc.sort_indices(table, sort_keys=[("slot", "ascending"), ("s", "descending"), ("c", "ascending")])
+        table = table.take(order)
+        slot = table["slot"].to_numpy()
+        inside = np.arange(len(slot)) - np.searchsorted(slot, slot, "left")
+        return table.filter(pa.array(inside < k)), slot[inside == k - 1], table["s"].to_numpy()[inside == k - 1]
+
+    def run(batches):
+        ids, queries = shared.value
+        floor, held = np.full(len(ids), -np.inf), None
+        for b in batches:
+            for start in range(0, b.num_rows, 1024):  # bounds the products in memory
+                piece = b.slice(start, 1024)
+                c = _matrix(piece.column(1), width, eps)
+                for first in range(0, len(ids), 1024):
+                    some = queries[first:first + 1024]
+                    near = c @ some.T
+                    least = floor[first:first + 1024]
+                    if len(c) > k:
+                        least = np.maximum(least, np.partition(near, len(c) - k, axis=0)[len(c) - k])
+                    i, j = np.nonzero(near >= least - 1e-9)
+                    s = np.zeros(len(i))
+                    for d in range(width):
+                        s += c[i, d] * some[j, d]
+                    new = pa.table({"slot": j + first, "s": s, "c": piece.column(0).take(pa.array(i))})
+                    held, full, kth = ranked(new if held is None else pa.concat_tables([held, new]))
+                    floor[full] = kth
+        if held is not None and len(held):
+            yield pa.RecordBatch.from_arrays([ids.take(_array(held["slot"])), _array(held["c"]), _array(held["s"])], names)
+
+    return run
 
 
 def normalize_vectors(df: DataFrame, vec_col: str, places: int = 9, eps: float = 1e-12) -> DataFrame:
@@ -250,13 +236,14 @@ def assemble_prompts(contexts: DataFrame, questions: DataFrame, query_id: str =
 
 def truncate_tail(text, max_ctx: int, max_new_tokens: int, safety_margin: int = 32,
                   min_tokens: int = 128) -> Column:
-    """Keep the last ``max(max_ctx - max_new_tokens - safety_margin, min_tokens)``
-    whitespace tokens (re-joined by blanks); shorter texts are returned unchanged."""
+    """The text from the first of its last ``max(max_ctx - max_new_tokens - safety_margin,
+    min_tokens)`` whitespace tokens on, with its line breaks; shorter texts are returned
+    unchanged."""
     allowed = max(max_ctx - max_new_tokens - safety_margin, min_tokens)
-    toks = F.filter(F.split(_c(text), f"{WS}+", -1), lambda t: t != "")
+    toks = F.regexp_extract_all(_c(text), F.lit(TOKEN), F.lit(0))
     n = F.size(toks)
     tail = F.slice(toks, F.greatest(F.lit(1), n - F.lit(allowed) + 1), F.lit(allowed))
-    return F.when(n > allowed, F.array_join(tail, " ")).otherwise(_c(text))
+    return F.when(n > allowed, F.array_join(tail, "")).otherwise(_c(text))
 
 
 def clean_answer(text, fallback: str = FALLBACK_ANSWER, min_chars: int = 10) -> Column:
@@ -268,16 +255,12 @@ def clean_answer(text, fallback: str = FALLBACK_ANSWER, min_chars: int = 10) ->
     after = py_strip(F.element_at(parts, -1))
     t = F.when(F.size(parts) > 1, F.when(after != "", after).otherwise(t)).otherwise(t)
     lines = F.filter(F.transform(F.split(t, LINE_BREAK, -1), py_strip), lambda ln: ln != "")
-    # one pass keeping the first line of each lower-cased key; the line array is the
-    # aggregate's input, so it is built once per row
-    init = F.struct(F.array().cast("array<string>").alias("keys"),
-                    F.array().cast("array<string>").alias("out"))
-    dedup = F.aggregate(
-        lines, init,
-        lambda acc, ln: F.when(F.array_contains(acc["keys"], F.lower(ln)), acc).otherwise(
-            F.struct(F.array_append(acc["keys"], F.lower(ln)).alias("keys"),
-                     F.array_append(acc["out"], ln).alias("out"))),
-        lambda acc: acc["out"])
+    # Lines sorted by (lower case, place): the first of each run stays, back in its place.
+    keyed = F.transform(lines, lambda ln, i: F.struct(F.lower(ln).alias("key"), i.alias("i"), ln.alias("line")))
+    first = F.transform(F.array(F.array_sort(keyed)), lambda a: F.filter(
+        a, lambda x, i: (i == 0) | (x["key"] != F.get(a, i - 1)["key"])))[0]
+    placed = F.array_sort(F.transform(first, lambda x: F.struct(x["i"].alias("i"), x["line"].alias("line"))))
+    dedup = F.transform(placed, lambda x: x["line"])
     joined = py_strip(F.array_join(dedup, " "))
     return F.when(F.length(joined) < min_chars, F.lit(fallback)).otherwise(joined)
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import text as T
 from ..sources.retail_model import RetailModel
 from ..sources.tables import Tables
-from .registry import register, with_views
+from .registry import register, rounded, with_views
 
 G = "text"
 TOP_K = 5
@@ -69,7 +69,7 @@ def _topk(spark, d):
     emb = Tables(spark, d).embeddings
     queries = T.label_centroids(emb, "label", "embedding").select(
         F.col("label").alias("query_id"), F.col("centroid").alias("query_vec"))
-    return T.cosine_topk(emb, queries, k=TOP_K)
+    return rounded(T.cosine_topk(emb, queries, k=TOP_K), "similarity")
 
 
 _TOPK_SQL = f"""
@@ -83,11 +83,10 @@ qn AS (SELECT query_id, list_transform(qv, lambda x: x / (sqrt(list_sum(list_tra
 cn AS (SELECT vec_id, list_transform(embedding,
                lambda x: CAST(x AS DOUBLE) / (sqrt(list_sum(list_transform(embedding, lambda y: CAST(y AS DOUBLE) * CAST(y AS DOUBLE)))) + 1e-12)) AS cv
        FROM embeddings),
-sims AS (SELECT qn.query_id, cn.vec_id, floor(list_dot_product(cn.cv, qn.qv) * 1e6 + 0.5) / 1e6 AS similarity
-         FROM cn CROSS JOIN qn),
+sims AS (SELECT qn.query_id, cn.vec_id, list_dot_product(cn.cv, qn.qv) AS sim FROM cn CROSS JOIN qn),
 topk AS (SELECT * FROM (
-  SELECT query_id, vec_id, similarity,
-         row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS rank FROM sims) r
+  SELECT query_id, vec_id, floor(sim * 1e6 + 0.5) / 1e6 AS similarity,
+         row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS rank FROM sims) r
   WHERE rank <= {TOP_K})"""
 
 
@@ -127,10 +126,9 @@ _ALLOWED = max(MAX_CTX - MAX_NEW_TOKENS - SAFETY_MARGIN, 128)
 
 
 @register("truncate_tail", G, f"""WITH {_PROMPT_SQL},
-tk AS (SELECT query_id, prompt, list_filter(regexp_split_to_array(prompt, '{WS_RE2}+'), lambda t: t <> '') AS toks
-       FROM prompts)
+tk AS (SELECT query_id, prompt, regexp_extract_all(prompt, '{T.TOKEN}') AS toks FROM prompts)
 SELECT query_id, CASE WHEN len(toks) > {_ALLOWED}
-                      THEN array_to_string(list_slice(toks, len(toks) - {_ALLOWED} + 1, len(toks)), ' ')
+                      THEN array_to_string(list_slice(toks, len(toks) - {_ALLOWED} + 1, len(toks)), '')
                       ELSE prompt END AS prompt_tail
 FROM tk""")
 def q_truncate_tail(spark, d):
