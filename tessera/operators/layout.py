@@ -7,13 +7,15 @@ checkpoint directory).  Sizes are derived from the data, not collected rows.
 
 from __future__ import annotations
 
-import math
+from functools import reduce
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import bucketize, row_numbers
+from ..session import scratch_path
+from .ranking import row_numbers
 
 
 def cluster_write(df: DataFrame, path: str, keys=None, num_files: int | None = None,
@@ -55,8 +57,6 @@ def suggest_cluster_keys(filter_log: DataFrame, table: DataFrame, top_k: int = 3
             F.struct(F.lit(c).alias(column_col), F.col(c).cast("string").alias("v")) for c in cols]))
             .alias("_kv")).select("_kv.*")
         ndv = long_df.groupBy(column_col).agg(F.count_distinct("v").alias("distinct_values"))
-    from pyspark.sql import Window
-
     scored = freq.join(ndv, column_col).withColumn(
         "score", F.col("filter_count") * F.col("distinct_values"))
     w = Window.orderBy(F.desc("score"), column_col)  # one row per column: a small table
@@ -69,60 +69,117 @@ def file_sizes(spark, path: str, glob: str = "*.parquet") -> DataFrame:
             .option("pathGlobFilter", glob).load(path).select("path", "length"))
 
 
-def compact_files(spark, src: str, dst: str, target_file_bytes: int = 128 * 1024 * 1024) -> DataFrame:
-    """Rewrite the Parquet table at ``src`` into about total / target files at ``dst``.
+def small_file_bins(spark, path: str, target_file_bytes: int, small_share: float = 0.75) -> DataFrame:
+    """(folder, bin, files): the files below ``small_share`` of the target size, packed within
+    each folder into bins of about the target size, in path order.  Bins of a single file are
+    left out."""
+    files = file_sizes(spark, path).where(F.col("length") < small_share * target_file_bytes)
+    files = files.withColumn("folder", F.regexp_extract("path", "^(.*)/[^/]*$", 1))
+    earlier = Window.partitionBy("folder").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.withColumn("bin", F.floor(F.coalesce(F.sum("length").over(earlier), F.lit(0)) / target_file_bytes))
+    return files.groupBy("folder", "bin").agg(F.sort_array(F.collect_list("path")).alias("files")).where(F.size("files") > 1)
+
+
+def compact_files(spark, path: str, target_file_bytes: int = 128 * 1024 * 1024, bins_per_job: int = 64) -> DataFrame:
+    """Merge the small Parquet files of each partition folder of the table at ``path``.
 
-    Returns one row: files and rows before and after.
+    Files are packed per folder (``small_file_bins``); each bin is read and written by one
+    task, without a shuffle, into a hidden folder of the table; the new file is then moved
+    into the bin's own folder and the files it replaces are deleted.  Folders, their
+    partition values and files that are large enough stay as they are.  The file list, not
+    the data, passes through the driver, ``bins_per_job`` bins at a time.  A job that ends early leaves whole
+    bins done or untouched, but for one whose old files were not all deleted yet: readers
+    must not run meanwhile.  Returns one row: files before and after, bins, files replaced.
     """
-    before = file_sizes(spark, src).agg(F.count(F.lit(1)).alias("files_before"),
-                                        F.sum("length").alias("bytes_before")).first()
-    n_out = max(1, math.ceil((before["bytes_before"] or 0) / target_file_bytes))
-    data = spark.read.parquet(src)
-    data.coalesce(n_out).write.mode("overwrite").parquet(dst)
-    after = file_sizes(spark, dst).agg(F.count(F.lit(1)).alias("files_after")).first()
-    return spark.createDataFrame(
-        [(int(before["files_before"]), int(after["files_after"]), int(n_out))],
-        "files_before long, files_after long, target_files long").crossJoin(
-        spark.read.parquet(src).agg(F.count(F.lit(1)).alias("rows_before"))).crossJoin(
-        spark.read.parquet(dst).agg(F.count(F.lit(1)).alias("rows_after")))
-
-
-def _order_preserving_long(c: Column, dtype: str) -> Column:
-    """A long that orders like the value (strings: by their first 7 bytes)."""
-    if dtype == "string":
-        head = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 7)), 14, "0")  # 7 bytes, padded
-        return F.conv(head, 16, 10).cast("long")
-    if dtype in ("date", "timestamp", "timestamp_ntz"):
-        return F.unix_micros(c.cast("timestamp")) if dtype != "date" else F.unix_date(c).cast("long")
-    return c.cast("double")
-
-
-def zorder_key(df: DataFrame, keys, bits: int = 8, accuracy: int = 10000) -> DataFrame:
-    """Adds ``_z``: each key ranked into 2^bits quantile buckets, bits interleaved.
-
-    The bucket edges are one global ``percentile_approx`` row of fixed size
-    (keys x (2^bits - 1) values); they are fetched once and applied by ``Bucketizer``'s
-    binary search, so the Z-value is a plain projection that later stages (range sampling,
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    before = file_sizes(spark, path).count()
+    staging, bins, replaced = f"{path.rstrip('/')}/_compact-{uuid4().hex[:12]}", 0, 0
+    # Written first: the list must not change while files are replaced.
+    listed = scratch_path(spark, "bins")
+    small_file_bins(spark, path, target_file_bytes).write.parquet(listed)
+    jobs: list[list] = [[]]
+    for row in spark.read.parquet(listed).toLocalIterator():
+        jobs[-1].append(row)
+        if len(jobs[-1]) == bins_per_job:
+            bins, replaced = bins + bins_per_job, replaced + _merge_bins(spark, fs, fs_path, jobs.pop(), f"{staging}/{bins}")
+            jobs.append([])
+    replaced += _merge_bins(spark, fs, fs_path, jobs[-1], f"{staging}/{bins}")
+    bins += len(jobs[-1])
+    fs.delete(fs_path(staging), True)
+    after = before - replaced + bins
+    return spark.createDataFrame([(before, after, bins, replaced)], "files_before long, files_after long, bins long, files_replaced long")
+
+
+def _merge_bins(spark, fs, fs_path, rows, staging: str) -> int:
+    """One file per (folder, bin, files) row in place of its files; the number replaced."""
+    if not rows:
+        return 0
+    parts = [spark.read.option("mergeSchema", True).parquet(*r.files).coalesce(1).withColumn("_bin", F.lit(i)) for i, r in enumerate(rows)]
+    # Files of one table can differ in columns (added later); a bin has all those of its files.
+    same: dict[str, list] = {}
+    for i, p in enumerate(parts):
+        same.setdefault(p.schema.simpleString(), []).append(p)
+    for n, group in enumerate(same.values()):
+        reduce(DataFrame.unionByName, group).write.partitionBy("_bin").parquet(f"{staging}/{n}")
+    for n, _ in enumerate(same):
+        for folder in fs.listStatus(fs_path(f"{staging}/{n}")):
+            name = folder.getPath().getName()
+            if not name.startswith("_bin="):
+                continue
+            row = rows[int(name[5:])]
+            new = [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().endswith(".parquet")]
+            for f in new:
+                if not fs.rename(f, fs_path(row.folder, f"compact-{uuid4().hex[:12]}-{f.getName()}")):
+                    raise OSError(f"cannot move {f} into {row.folder}")
+            for old in row.files:
+                fs.delete(fs_path(old), False)
+    return sum(len(r.files) for r in rows)
+
+
+#: Rows from which the edges of Z-order buckets are taken.
+EDGE_SAMPLE = 20_000
+
+
+def typed_edges(df: DataFrame, keys, buckets: int, sample: int = EDGE_SAMPLE) -> list[list]:
+    """Ascending distinct values of each key that part a bounded random sample of the rows
+    into about ``buckets`` equal parts.  Values keep their type: strings are whole."""
+    some = df.select(*keys).orderBy(F.rand(7)).limit(sample).toLocalIterator()
+    columns = list(zip(*(tuple(r) for r in some))) or [()] * len(keys)
+    out = []
+    for values in columns:
+        values = sorted(v for v in values if v is not None and v == v)
+        at = sorted({values[len(values) * i // buckets] for i in range(1, buckets)}) if values else []
+        out.append(at)
+    return out
+
+
+def bucket_of(c: Column, edges: list) -> Column:
+    """How many of the ascending edges are not above the value, by a binary search over the
+    (constant) array of edges (NULL: 0)."""
+    if not edges:
+        return F.lit(0).cast("long")
+    held = F.array(*[F.lit(e) for e in edges])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(edges).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda b, step: F.when(F.get(held, b + step - 1) <= c, b + step).otherwise(b)).cast("long")
+
+
+def zorder_key(df: DataFrame, keys, bits: int = 8, sample: int = EDGE_SAMPLE) -> DataFrame:
+    """Adds ``_z``: each key ranked into 2^bits buckets, bits interleaved.
+
+    The bucket edges are values of the key's own type from a sample of ``sample`` rows, at most
+    2^bits - 1 a key; the Z-value is a plain projection that later stages (range sampling,
     shuffle) do not recompute through an aggregate.
     """
     keys = list(keys)
-    dtypes = dict(df.dtypes)
-    n = 2 ** bits
-    fr = [i / n for i in range(1, n)]
-    x = df.withColumns({f"_zk{j}": _order_preserving_long(F.col(k), dtypes[k]).cast("double")
-                        for j, k in enumerate(keys)})
-    row = x.agg(*[F.percentile_approx(f"_zk{j}", fr, accuracy).alias(f"_ze{j}")
-                  for j in range(len(keys))]).first()
-    for j in range(len(keys)):
-        x = bucketize(x, f"_zk{j}", row[f"_ze{j}"] or [], f"_zb{j}") \
-            .withColumn(f"_zb{j}", F.col(f"_zb{j}").cast("long"))
+    edges = typed_edges(df, keys, 2 ** bits, sample)
+    names = [f"_zb{j}" for j in range(len(keys))]
+    x = df.withColumns({n: bucket_of(F.col(k), e) for n, k, e in zip(names, keys, edges)})
     z = F.lit(0).cast("long")
     for i in range(bits):
-        for j in range(len(keys)):
-            bit = F.shiftright(F.col(f"_zb{j}"), i).bitwiseAND(F.lit(1))
-            z = z.bitwiseOR(F.shiftleft(bit, i * len(keys) + j))
-    drop = [f"_zk{j}" for j in range(len(keys))] + [f"_zb{j}" for j in range(len(keys))]
-    return x.withColumn("_z", z).drop(*drop)
+        for j, n in enumerate(names):
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(F.col(n), i).bitwiseAND(F.lit(1)), i * len(keys) + j))
+    return x.withColumn("_z", z).drop(*names)
 
 
 def zorder_write(df: DataFrame, path: str, keys, num_files: int = 16, bits: int = 8,

@@ -6,6 +6,8 @@ partitioning, so a lost executor recomputes exactly the same split.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import OneHotEncoder
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,45 +56,60 @@ def drop_columns(df: DataFrame, cols) -> DataFrame:
     return df.drop(*[c for c in cols if c in df.columns])
 
 
-def category_levels(df: DataFrame, col: str, max_levels: int = 10000) -> list:
-    """Sorted distinct values of a categorical column.
+def level_index(df: DataFrame, col: str) -> DataFrame:
+    """(level, level_index): the distinct values in sort order, numbered from 0.  The values are
+    ranked across partitions and stay a table; none reaches the driver."""
+    levels = df.select(F.col(col).alias("level")).where(F.col("level").isNotNull()).distinct()
+    ranked = row_numbers(levels, [], "level", "level", out_col="_rn")
+    return ranked.select("level", (F.col("_rn") - 1).alias("level_index"))
 
-    The levels become output columns, so they must be known when the plan is built; only
-    the distinct values (bounded by ``max_levels``, checked) reach the driver.
-    """
-    rows = (df.select(col).where(F.col(col).isNotNull()).distinct()
-            .orderBy(col).limit(max_levels + 1).collect())
-    if len(rows) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels")
-    return [r[0] for r in rows]
+
+def category_levels(df: DataFrame, col: str) -> list:
+    """Sorted distinct values of a categorical column, for outputs with one column per level
+    (their names must be known when the plan is built)."""
+    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).toLocalIterator()]
 
 
-def one_hot(df: DataFrame, cols, levels: dict | None = None, drop_original: bool = True,
-            max_levels: int = 10000) -> DataFrame:
-    """M5 / H2: one 0/1 column ``<col>_<level>`` per level, every level kept (no drop-first)."""
+def one_hot(df: DataFrame, cols, levels: dict | None = None, drop_original: bool = True) -> DataFrame:
+    """M5 / H2: one 0/1 column ``<col>_<level>`` per level, every level kept (no drop-first).
+    For columns of many levels use ``one_hot_vector``."""
     out = df
     for c in cols:
-        lv = (levels or {}).get(c) or category_levels(df, c, max_levels)
+        lv = (levels or {}).get(c) or category_levels(df, c)
         out = out.withColumns({f"{c}_{v}": (F.col(c) == F.lit(v)).cast("int") for v in lv})
         if drop_original:
             out = out.drop(c)
     return out
 
 
-def label_encode(df: DataFrame, col: str, out_col: str | None = None,
-                 max_levels: int = 10000) -> DataFrame:
+def label_encode(df: DataFrame, col: str, out_col: str | None = None, levels: DataFrame | None = None) -> DataFrame:
     """M4: alphabetical label encoding (0 for the first label in sort order), as a double.
 
-    The label set is read once and checked against ``max_levels``; codes are applied with a
-    literal map (a NULL or unseen label gets the next code, as an "unknown" bucket).
+    Codes are joined by value from the level table (``level_index`` of this frame unless one
+    is given); a NULL or unseen label gets the next code, as an "unknown" bucket.  The number
+    of levels is not limited.
     """
     out_col = out_col or f"{col}_index"
-    levels = category_levels(df, col, max_levels)
-    codes = F.create_map(*[x for i, v in enumerate(levels) for x in (F.lit(v), F.lit(float(i)))]) \
-        if levels else None
-    unknown = F.lit(float(len(levels)))
-    code = F.coalesce(F.element_at(codes, F.col(col)), unknown) if codes is not None else unknown
-    return df.withColumn(out_col, F.when(F.col(col).isNull(), unknown).otherwise(code))
+    levels = level_index(df, col) if levels is None else levels
+    x = df.join(levels, F.col(col) == F.col("level"), "left")
+    unknown = F.broadcast(levels.agg(F.count(F.lit(1)).alias("_unknown")))  # one row
+    return x.crossJoin(unknown).withColumn(out_col, F.coalesce("level_index", "_unknown").cast("double")).drop(
+        "level", "level_index", "_unknown")
+
+
+def one_hot_vector(df: DataFrame, col: str, out_col: str | None = None, levels: DataFrame | None = None) -> DataFrame:
+    """M5 / H2 for any number of levels: a sparse vector with a 1 at the level's code (no 1
+    for a NULL or unseen label)."""
+    out_col = out_col or f"{col}_onehot"
+    levels = level_index(df, col) if levels is None else levels
+    size = levels.count()
+    x = label_encode(df, col, "_code", levels)
+    if not size:
+        return x.withColumn(out_col, array_to_vector(F.array().cast("array<double>"))).drop("_code")
+    encoder = OneHotEncoder(inputCol="_code", outputCol=out_col, dropLast=True, handleInvalid="error")
+    # The model only needs the number of codes; the last, for unknown labels, is dropped.
+    codes = df.sparkSession.range(size, size + 1).select(F.col("id").cast("double").alias("_code"))
+    return encoder.fit(codes).transform(x).drop("_code")
 
 
 def _hash_order(id_col: str, seed: int) -> Column:

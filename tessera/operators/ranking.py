@@ -33,28 +33,6 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols):
     return cond
 
 
-def sortable_double(c, dtype: str) -> F.Column:
-    """A double that orders like the value (dates and timestamps as day / microsecond counts)."""
-    c = F.col(c) if isinstance(c, str) else c
-    if dtype == "date":
-        return F.unix_date(c).cast("double")
-    if dtype in ("timestamp", "timestamp_ntz"):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    return c.cast("double")
-
-
-def bucketize(df: DataFrame, in_col: str, edges, out_col: str) -> DataFrame:
-    """Monotone bucket number of a double column from fixed edges (driver-side list of
-    bounded length), by ``Bucketizer``'s binary search in the JVM: bucket i holds
-    [e_i, e_{i+1}) of the distinct sorted edges."""
-    from pyspark.ml.feature import Bucketizer
-
-    splits = [float("-inf")] + sorted({float(e) for e in edges}) + [float("inf")]
-    out = Bucketizer(splits=splits, inputCol=in_col, outputCol=out_col,
-                     handleInvalid="keep").transform(df)
-    return out.withColumn(out_col, F.col(out_col).cast("int"))
-
-
 def _stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)

@@ -326,11 +326,17 @@ def cohort_retention(customers: DataFrame, orders: DataFrame) -> DataFrame:
             .orderBy("cohort_month", F.asc_nulls_first("cohort_index")))
 
 
-def cohort_grid(retention: DataFrame) -> DataFrame:
-    """H3: cohort x month-index grid of retention % (heat-map input), one column for every
-    index that occurs (at most the months of the calendar)."""
+def cohort_grid(retention: DataFrame, first: int = 0) -> DataFrame:
+    """H3: cohort x month-index grid of retention % (heat-map input): per cohort an array whose
+    place i holds the cell of index ``first`` + i, NULL where nobody bought, up to the largest
+    index of any cohort.  A cohort has at most one cell a calendar month."""
     r = retention.filter(F.col("cohort_index").isNotNull())
-    return r.groupBy("cohort_month").pivot("cohort_index").agg(F.max("retention_pct"))
+    cells = r.groupBy("cohort_month").agg(F.map_from_entries(F.collect_list(F.struct(
+        F.col("cohort_index").cast("int"), "retention_pct"))).alias("_cell"))
+    last = F.broadcast(r.agg(F.max(F.col("cohort_index").cast("int")).alias("_last")))  # one row
+    index = F.sequence(F.lit(first), F.col("_last"))
+    return cells.crossJoin(last).select(
+        "cohort_month", F.transform(index, lambda i: F.try_element_at("_cell", i)).alias("cells"))
 
 
 def monthly_churn(orders: DataFrame) -> DataFrame:
@@ -446,13 +452,14 @@ def product_pairs(order_items: DataFrame, products: DataFrame, min_orders: int =
     # Orders of many products are cut into blocks; each two blocks meet in a tile of their own.
     size = ip.groupBy("order_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(PAIR_BLOCK)).cast("int").alias("_blocks"))
     ip = ip.join(size, "order_id").withColumn("_block", F.pmod(F.xxhash64("product_id"), F.col("_blocks")).cast("int"))
-    ip = ip.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    ip = ip.withColumns({"_i": F.least("_block", "_other"), "_j": F.greatest("_block", "_other")})
-    tile = ["order_id", "_i", "_j"]
-    a = ip.select(*tile, F.col("product_id").alias("prod_a"), F.col("profit").alias("pa"), F.col("_block").alias("_ba"))
-    b = ip.select(*tile, F.col("product_id").alias("prod_b"), F.col("profit").alias("pb"), F.col("_block").alias("_bb"))
-    pairs = a.join(b, tile).filter((F.col("prod_a") < F.col("prod_b")) & (F.least("_ba", "_bb") == F.col("_i"))
-                                   & (F.greatest("_ba", "_bb") == F.col("_j")))
+    # The product of the smaller id is the left one: it meets the blocks of all right ones.
+    tile = ["order_id", "_left", "_right"]
+    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    a = ip.withColumn("_right", every).select("order_id", F.col("_block").alias("_left"), "_right",
+                                              F.col("product_id").alias("prod_a"), F.col("profit").alias("pa"))
+    b = ip.withColumn("_left", every).select("order_id", "_left", F.col("_block").alias("_right"),
+                                             F.col("product_id").alias("prod_b"), F.col("profit").alias("pb"))
+    pairs = a.join(b, tile).filter(F.col("prod_a") < F.col("prod_b"))
     return (pairs.groupBy("prod_a", "prod_b")
             .agg(F.count(F.lit(1)).alias("orders_together"),
                  from_cents(F.sum(F.col("pa") + F.col("pb"))).alias("total_pair_profit"))

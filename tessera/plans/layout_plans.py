@@ -74,12 +74,28 @@ def q_suggest_cluster_keys(spark, d):
     return L.suggest_cluster_keys(log, t.orders, top_k=3, exact=True)
 
 
-@register("compact_files", G)
+def _small_files(spark, d):
+    """Events in one folder per type, each of many small files."""
+    path = scratch_path(spark, "small")
+    Tables(spark, d).events.repartition(16).write.partitionBy("event_type").parquet(path)
+    return path
+
+
+@register("compact_files", G, "SELECT * FROM events")
 def q_compact_files(spark, d):
-    """Many small files (one per shuffle partition) compacted to the target size."""
-    src = scratch_path(spark, "small")
-    Tables(spark, d).events.repartition(16).write.parquet(src)
-    return L.compact_files(spark, src, scratch_path(spark, "compact"))
+    """The rows after compaction inside the partition folders, partition values included."""
+    path = _small_files(spark, d)
+    L.compact_files(spark, path)
+    out = spark.read.parquet(path)
+    return out.select(*Tables(spark, d).events.columns)
+
+
+@register("compact_report", G, """
+SELECT CAST(COUNT(DISTINCT event_type) AS BIGINT) AS files_after, CAST(COUNT(DISTINCT event_type) AS BIGINT) AS bins
+FROM events""")
+def q_compact_report(spark, d):
+    """Files left (one a folder, all below the target size) and bins merged."""
+    return L.compact_files(spark, _small_files(spark, d)).select("files_after", "bins")
 
 
 @register("zorder_write", G, ORDERS_ALL)

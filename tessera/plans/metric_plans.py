@@ -274,7 +274,10 @@ r AS (
   SELECT strftime(sz.joined, '%Y-%m-01') AS cohort_month, ac.cohort_index,
          floor(CAST(ac.a AS DOUBLE) * 100.0 / CAST(sz.n AS DOUBLE) * 100.0 + 0.5) / 100.0 AS pct
   FROM size sz JOIN act ac ON ac.joined = sz.joined)
-PIVOT r ON cohort_index USING max(pct) GROUP BY cohort_month"""))
+SELECT ro.cohort_month, list((SELECT MAX(pct) FROM r WHERE r.cohort_month = ro.cohort_month AND r.cohort_index = ix.i) ORDER BY ix.i) AS cells
+FROM (SELECT DISTINCT cohort_month FROM r) ro
+CROSS JOIN (SELECT unnest(generate_series(0, (SELECT MAX(cohort_index) FROM r))) AS i) ix
+GROUP BY ro.cohort_month"""))
 def q_cohort_grid(spark, d):
     m = RetailModel(spark, d)
     return R.cohort_grid(R.cohort_retention(m.customers, m.orders))

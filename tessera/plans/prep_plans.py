@@ -76,16 +76,25 @@ def q_one_hot(spark, d):
     return P.one_hot(_docs(spark, d).select("doc_id", "lang"), ["lang"])
 
 
-@register("align_columns", G, with_views(["doc_frame"], """
-SELECT doc_id, 0 AS lang_de, CAST(lang = 'en' AS INTEGER) AS lang_en, 0 AS lang_es,
-       CAST(lang = 'fr' AS INTEGER) AS lang_fr
-FROM doc_frame WHERE lang IN ('en', 'fr')"""))
+@register("one_hot_vector", G, with_views(["doc_frame"], """
+SELECT doc_id, DENSE_RANK() OVER (ORDER BY doc_id) - 1 AS hot, (SELECT COUNT(DISTINCT doc_id) FROM doc_frame) AS size,
+       CAST(1.0 AS DOUBLE) AS value
+FROM doc_frame"""))
+def q_one_hot_vector(spark, d):
+    """Sparse one-hot vectors of a column with as many levels as documents."""
+    x = P.one_hot_vector(_docs(spark, d).select("doc_id"), "doc_id", "v")
+    parts = F.from_json(F.to_json(F.struct("v")), "v struct<size long, indices array<long>, values array<double>>")["v"]
+    return x.select("doc_id", parts["indices"][0].alias("hot"), parts["size"].alias("size"), parts["values"][0].alias("value"))
+
+
+@register("align_columns", G, with_views(["doc_frame"], "SELECT doc_id, " + ", ".join(
+    f"CAST(lang = '{v}' AS INTEGER) AS lang_{v}" for v in LANGS) + """, 0 AS lang_eo, 0 AS lang_la FROM doc_frame"""))
 def q_align_columns(spark, d):
-    """Test frame with fewer category levels than the training frame, aligned to it."""
+    """All documents, encoded by their own levels and with an extra column, aligned to a
+    frame with two more levels, which are filled with 0."""
     docs = _docs(spark, d).select("doc_id", "lang", "source")
-    train = P.one_hot(docs.drop("source"), ["lang"])
-    test = P.one_hot(docs.filter(F.col("lang").isin("en", "fr")), ["lang"])  # extra: source
-    return P.align_columns(test, train.columns, fill=0)
+    wide = P.one_hot(docs.select("doc_id", "lang"), ["lang"], levels={"lang": [*LANGS, "eo", "la"]})
+    return P.align_columns(P.one_hot(docs, ["lang"]), wide.columns, fill=0)
 
 
 @register("label_encode", G, with_views(["doc_frame"], """
@@ -160,24 +169,23 @@ def q_accuracy(spark, d):
 
 
 def _multi(spark, d):
+    """Predicted class: the place of the largest component of the whole vector."""
     emb = Tables(spark, d).embeddings
-    return emb.select("vec_id", F.col("label").alias("y"),
-                      argmax(F.slice("embedding", 1, 10)).alias("p"))
+    return emb.select("vec_id", F.col("label").alias("y"), argmax("embedding").alias("p"))
 
 
 _MULTI_SQL = """
-mp AS (SELECT vec_id, label AS y,
-              CAST(list_position(list_slice(embedding, 1, 10), list_max(list_slice(embedding, 1, 10))) - 1
-                   AS INTEGER) AS p
+mp AS (SELECT vec_id, label AS y, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS p
        FROM embeddings)"""
+PLACES = 64
 
 
 @register("confusion_matrix", G, f"""WITH {_MULTI_SQL}
 SELECT y AS actual, """ + ", ".join(
-    f'CAST(SUM(CASE WHEN p = {k} THEN 1 ELSE 0 END) AS BIGINT) AS "{k}"' for k in range(10))
+    f'CAST(SUM(CASE WHEN p = {k} THEN 1 ELSE 0 END) AS BIGINT) AS "{k}"' for k in range(PLACES))
     + " FROM mp GROUP BY y")
 def q_confusion_matrix(spark, d):
-    return E.confusion_matrix(_multi(spark, d), "y", "p", list(range(10)))
+    return E.confusion_matrix(_multi(spark, d), "y", "p", list(range(PLACES)))
 
 
 @register("classification_report", G, f"""WITH {_MULTI_SQL},

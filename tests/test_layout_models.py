@@ -45,11 +45,55 @@ def test_identity_is_dense_and_follows_order(spark):
     assert [r.id for r in rows] == list(range(10000, 10000 + len(rows)))
 
 
-def test_compaction_reduces_files(spark):
-    src = scratch_path(spark, "smallfiles")
-    spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").repartition(12).write.parquet(src)
-    r = L.compact_files(spark, src, scratch_path(spark, "compacted")).first()
-    assert r.files_before == 12 and r.files_after == 1 and r.rows_before == r.rows_after
+def test_compaction_stays_inside_the_folders(spark):
+    """Small files of each folder become one; folders, values (leading zeros too) and a large
+    file stay; files with a column of their own keep it."""
+    from pathlib import Path
+
+    path = scratch_path(spark, "smallfiles")
+    rows = spark.range(3000).select("id", F.format_string("%03d", F.col("id") % 3).alias("code"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    rows.repartition(6).write.partitionBy("code").parquet(path)
+    rows.where("code = '000'").coalesce(1).write.mode("append").partitionBy("code").parquet(path)  # one larger file
+    rows.limit(4).withColumn("late", F.lit(1)).repartition(2).write.mode("append").partitionBy("code").parquet(path)
+    local = Path(path.removeprefix("file:"))
+    sizes = {f: f.stat().st_size for f in local.rglob("*.parquet")}
+    large = max(sizes, key=sizes.get)
+    folders = sorted(f.name for f in local.iterdir() if "=" in f.name)
+
+    def read():
+        text = spark.read.option("mergeSchema", True).schema("id long, pad string, late int, code string").parquet(path)
+        return sorted((tuple(x) for x in text.select("id", "code", "pad", "late").collect()), key=repr)
+
+    before = read()
+    r = L.compact_files(spark, path, target_file_bytes=int(sizes[large] / 0.8), bins_per_job=2).first()
+    left = [f for f in local.rglob("*.parquet")]
+    assert large in left
+    assert (r.files_before, r.files_after) == (len(sizes), len(left)) and len(left) < len(sizes) / 2
+    assert sorted(f.name for f in local.iterdir() if "=" in f.name) == folders and read() == before
+    assert not [f for f in local.iterdir() if f.name.startswith("_compact")]
+    again = L.compact_files(spark, path, target_file_bytes=int(min(f.stat().st_size for f in left))).first()
+    assert again.files_replaced == 0 and read() == before
+
+
+def test_zorder_of_strings_uses_whole_values(spark):
+    rows = spark.range(200).select(F.format_string("Customer#%09d", "id").alias("name"), (F.col("id") * 37 % 200).alias("v"))
+    z = L.zorder_key(rows.unionByName(spark.createDataFrame([(None, 5)], "name string, v long")), ["name", "v"])
+    assert z.select("_z").distinct().count() > 150
+    buckets = rows.select("name", L.bucket_of(F.col("name"), L.typed_edges(rows, ["name"], 64)[0]).alias("b")).orderBy("name").collect()
+    assert [r.b for r in buckets] == sorted(r.b for r in buckets) and len({r.b for r in buckets}) == 64
+    path = L.zorder_write(rows, scratch_path(spark, "zs"), ["name", "v"], num_files=16)
+    some = L.file_skipping(spark, path, {"name": "Customer#000000042", "v": 42}).first()
+    assert some.files_admitting_name <= 8 and some.files_admitting_v <= 8
+
+
+def test_any_number_of_levels(spark):
+    df = spark.range(50_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("c"))
+    df = df.unionByName(spark.createDataFrame([(-1, None)], "id long, c string"))
+    codes = {r.c: r.c_index for r in P.label_encode(df, "c").collect()}
+    names = sorted(c for c in codes if c is not None)
+    assert [codes[c] for c in names] == list(range(50_000)) and codes[None] == 50_000
+    v = P.one_hot_vector(df.where("id < 1000"), "c").orderBy("c").select("c_onehot").collect()
+    assert [(int(r.c_onehot.indices[0]), r.c_onehot.size) for r in v if len(r.c_onehot.indices)] == [(i, 1000) for i in range(1000)]
 
 
 def test_zorder_skips_files(spark):
