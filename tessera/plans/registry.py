@@ -91,7 +91,7 @@ FROM short"""
 def load_all() -> dict[str, Plan]:
     """Import every plan module (registration happens on import)."""
     from . import retail_plans  # noqa: F401
-    for mod in ("metric_plans", "prep_plans", "text_plans", "layout_plans", "model_plans"):
+    for mod in ("metric_plans", "prep_plans", "text_plans", "layout_plans", "model_plans", "report_plans"):
         try:
             __import__(f"{__package__}.{mod}")
         except ModuleNotFoundError as e:  # a group not written yet
