@@ -42,6 +42,9 @@ BLOCK = 512
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
+    """Unit vectors; scaled by the largest component first, so that squares of very small or
+    large components neither vanish nor overflow."""
+    rows = rows / np.maximum(np.abs(rows).max(axis=1, keepdims=True), np.finfo(float).tiny)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
@@ -211,9 +214,8 @@ def near_duplicates(vectors: DataFrame, similarity: float = SIMILARITY, slack: f
     prepare(vectors.sparkSession)
     e = F.col("embedding").cast("array<double>")
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    length = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
     rows = vectors.select("vec_id", e.alias("embedding"))
-    rows = stored(rows.withColumn("valid", F.coalesce(finite & (length > 0), F.lit(False))).select(
+    rows = stored(rows.withColumn("valid", F.coalesce(finite & F.exists("embedding", lambda x: x != 0), F.lit(False))).select(
         "vec_id", "valid", F.xxhash64("embedding").alias("k1"), F.xxhash64(F.lit(1), "embedding").alias("k2"), "embedding"), "vectors")
     nodes = rows.where("valid").groupBy("k1", "k2").agg(
         F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding"))

@@ -19,7 +19,7 @@ def test_query_equals_sql(spark, duck, key):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in Q.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in Q.QUERIES) == list(range(1, 14))
     assert set(Q.ORACLE_SQL) <= set(Q.QUERIES)
 
 
@@ -52,3 +52,11 @@ def test_empty_table(spark):
     for name, stage in C.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_token_columns_that_are_taken(spark):
+    df = spark.createDataFrame([(1, "some words to count", [7], "x"), (2, None, None, None)],
+                               "doc_id long, text string, token_ids array<int>, N_tokens string")
+    rows = sorted(C.tokenize(spark, df, SF).collect(), key=lambda r: r.doc_id)
+    assert [(r.token_ids, r.N_tokens) for r in rows] == [([7], "x"), (None, None)]
+    assert [r.n_tokens_ for r in rows] == [len(rows[0].token_ids_), 0] and len(rows[0].token_ids_) >= 4

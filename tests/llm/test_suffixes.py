@@ -1,7 +1,11 @@
 """Decontamination against a plain search, with blocks, short items and odd cases."""
 
 import hashlib
+import time
 
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tessera.llm import suffixes as S
 from util import frame, odd_documents, prose, words
 
@@ -75,3 +79,35 @@ def test_clashing_columns(spark):
     df = spark.createDataFrame([(1, prose(1, 12), 5, "h")], "doc_id long, text string, N_Words int, hits string")
     items = frame(spark, [(1, prose(9, 12))], ITEMS)
     assert S.decontaminate(df, items).columns == df.columns and S.decontaminate(df, items).count() == 1
+
+
+def test_repetitive_texts(spark):
+    rows = [(1, "la " * 100_000), (2, "la li " * 300 + "x " + "la " * 11), (3, "li " * 9), (4, "x " + "la " * 12 + "li la la")]
+    items = [(1, "la " * 2_000), (2, "la li " * 40), (3, "la li la"), (1, "la " * 2_000), (4, "la " * 12 + "li")] + [(5, "la " * 50)] * 300
+    t = time.perf_counter()
+    distinct = sorted(set(items))
+    out = S.match_block(S.Suffixes([i for i, _ in distinct], pa.array([x for _, x in distinct]), 10), pa.array([x for _, x in rows]))
+    assert time.perf_counter() - t < 30  # all pairs of places and suffixes would be 3 * 10^9
+    assert out["n_words"].to_pylist() == [100_000, 612, 9, 16]
+    small = [(1, "la " * 60), rows[1], rows[2], rows[3]]
+    assert got(S.report(frame(spark, small, "doc_id long, text string"), frame(spark, items, ITEMS))) == brute(small, items)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abx"), max_size=14), min_size=1, max_size=4),
+       st.lists(st.lists(st.sampled_from("ab"), max_size=8), min_size=1, max_size=4), st.integers(1, 4))
+def test_matches_are_all_maximal_ones(docs, items, window):
+    index = S.Suffixes(list(range(len(items))), pa.array([" ".join(i) for i in items]), window)
+    found = S.match_block(index, pa.array([" ".join(d) for d in docs]))["matches"].to_pylist()
+    for d, matches in zip(docs, found):
+        want = set()
+        for number, item in enumerate(items):
+            for i in range(len(item)):
+                for j in range(len(d)):
+                    n = 0
+                    while i + n < len(item) and j + n < len(d) and item[i + n] == d[j + n]:
+                        n += 1
+                    ahead = i and j and item[i - 1] == d[j - 1]
+                    if n >= min(window, len(item)) and not ahead:
+                        want.add((str(number), i, j, n))
+        assert sorted(tuple(m.values()) for m in matches) == sorted(want)

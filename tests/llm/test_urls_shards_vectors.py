@@ -155,3 +155,10 @@ def test_default_loses_no_link_of_vectors_of_low_intrinsic_dimension(spark):
     rows = frame(spark, [(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     found = {r.vec_id: r.n_links for r in K.near_duplicates(rows).collect()}
     assert [found[i] for i in range(len(x))] == linked.sum(axis=1).tolist()
+
+
+def test_very_small_and_very_large_vectors(spark):
+    rows = [(1, [1e-200, 0.0], 0), (2, [2e-200, 0.0], 0), (3, [0.0, 1e200], 0), (4, [1e199, 1.1e200], 0), (5, [5e-324, 0.0], 0), (6, [0.0, 0.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in K.near_duplicates(df).collect())
+    assert got == [(1, 2, 1), (2, 2, 1), (3, 1, 3), (4, 1, 3), (5, 2, 1), (6, 0, 6)]
