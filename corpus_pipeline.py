@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, importance, pii, probminhash, suffixes
-from tessera.llm.common import read, stored
+from tessera.llm.common import fresh, read, scratch
 from tessera.llm.queries import BPE_RANKS
 
 
@@ -38,8 +38,10 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of every text, with their number."""
-    return bpe.encode(docs, BPE_RANKS).withColumn("n_tokens", F.size("token_ids").cast("long"))
+    """Byte-level BPE ids of every text (``token_ids``), with their number (``n_tokens``); names
+    that are taken get a trailing underscore."""
+    ids, n = fresh(docs, "token_ids"), fresh(docs, "n_tokens")
+    return bpe.encode(docs, BPE_RANKS).withColumn(n, F.size(ids).cast("long"))
 
 
 STAGES = [("quality classifier", quality), ("near-dedup", near_dedup), ("decontamination", decontaminate),
@@ -50,8 +52,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = read(spark, sf_dir, "documents")
+    """All stages over ``documents``.  A stage's table is removed once the next is written."""
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), "pipeline")
+        path = scratch(spark, "pipeline")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            target = spark._jvm.org.apache.hadoop.fs.Path(before)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        docs, before = spark.read.parquet(path), path
     return docs
