@@ -98,5 +98,5 @@ def score_batch(model, df: DataFrame, id_col: str, vec_col: str, dim: int,
 
 
 def objective_history(model) -> list[float]:
-    """Training loss per iteration of a model with a training summary."""
+    """Loss per iteration of a model with a summary."""
     return [float(v) for v in model.summary.objectiveHistory]

@@ -29,7 +29,7 @@ def fill_constant(df: DataFrame, value, cols) -> DataFrame:
 
 
 def fill_from_stats(df: DataFrame, stats: DataFrame, cols) -> DataFrame:
-    """NULL -> the value of a one-row statistics frame (e.g. training medians).
+    """NULL -> the value of a one-row statistics frame (e.g. medians of the learning part).
 
     ``stats`` has one row (a global aggregate), so broadcasting it is size-safe; the same
     statistics can be applied to any number of frames (train, test).
@@ -119,7 +119,7 @@ def _hash_order(id_col: str, seed: int) -> Column:
 def stratified_split(df: DataFrame, label_col: str, id_col: str, train_share: float = 0.7,
                      seed: int = 42) -> DataFrame:
     """M1: per class, the ``floor(share x n_c + 0.5)`` rows first in a seeded hash order are
-    training rows.  Adds ``is_train``; class sizes are kept exactly."""
+    learning rows.  Adds ``is_train``; class sizes are kept exactly."""
     x = df.withColumn("_h", _hash_order(id_col, seed))
     x = row_numbers(x, [label_col], "_h", id_col, out_col="_rn")
     n_train = F.floor(F.col("group_n") * F.lit(float(train_share)) + F.lit(0.5))

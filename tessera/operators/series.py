@@ -70,14 +70,14 @@ def naive_forecast(df: DataFrame, series_cols, order_col: str, value_col: str) -
 
 
 def ordered_split(df: DataFrame, series_cols, order_col: str, share: float = 0.8) -> DataFrame:
-    """The first ``max(1, floor(share x n))`` rows of each series are training rows."""
+    """The first ``max(1, floor(share x n))`` rows of each series are learning rows."""
     p = positions(df, list(series_cols), order_col)
     n_train = F.greatest(F.lit(1), F.floor(F.col("group_n") * F.lit(float(share))))
     return p.withColumn("is_train", F.col("pos") <= n_train)
 
 
 def zscore_stats(train: DataFrame, series_cols, value_col: str, eps: float = 1e-8) -> DataFrame:
-    """M6: mean and population std (+ eps) of the training rows per series."""
+    """M6: mean and population std (+ eps) of the learning rows per series."""
     return train.groupBy(*series_cols).agg(
         F.avg(value_col).alias("mean"),
         (F.stddev_pop(value_col) + F.lit(eps)).alias("std"))
@@ -85,7 +85,7 @@ def zscore_stats(train: DataFrame, series_cols, value_col: str, eps: float = 1e-
 
 def zscore(df: DataFrame, stats: DataFrame, series_cols, value_col: str,
            out_col: str = "z") -> DataFrame:
-    """(v - mean) / std with statistics from the training part only."""
+    """(v - mean) / std with statistics from the learning part only."""
     return df.join(stats, list(series_cols)).withColumn(
         out_col, (F.col(value_col) - F.col("mean")) / F.col("std"))
 

@@ -1,4 +1,4 @@
-"""Keys for the models.  Results depend on floating-point training, so these are checked by
+"""Keys for the models.  Results depend on floating-point fits, so these are checked by
 row count here and by pytest (accuracy above the majority class, importances summing to 1,
 AdaBoost not worse than one stump).  The linear slope key has an SQL twin.
 

@@ -35,7 +35,7 @@ FROM doc_frame CROSS JOIN med"""))
 def q_fill_median(spark, d):
     df = _docs(spark, d)
     cols = ["quality", "toxic", "n_chars"]
-    med = M.median_of(df, cols)  # statistics of the training frame
+    med = M.median_of(df, cols)  # statistics of the learning frame
     return P.fill_from_stats(df, med, cols).select("doc_id", *cols)
 
 
