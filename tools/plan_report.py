@@ -55,7 +55,7 @@ def main():
     spark = build_session("local[8]", 8)
     reg = load_all()
     lines = ["# Physical plans", "",
-             f"Generated by `tools/plan_report.py` on `{a.sf}` with the small-input shortcut off",
+             f"Generated by `tools/plan_report.py` on `{a.sf}`",
              "(the plans a cluster runs).  Initial (pre-AQE) physical plans: AQE may still turn a",
              "sort-merge join into a broadcast join or merge/split partitions at run time.",
              "Columns: shuffles = Exchange nodes; B = broadcast exchanges; SMJ / BHJ / BNLJ = join",
