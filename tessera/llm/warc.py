@@ -5,6 +5,9 @@ whole).  The block is an HTTP message whose body is the page's html in UTF-8.  O
 equal payloads of at least ``MIN_REVISIT`` bytes the one with the smallest id becomes a
 response, the others revisits without block.
 
+Archives are written uncompressed unless asked otherwise: a compressed file cannot be split,
+so one task would read it and no jump would be needed.
+
 Reading: the text source splits archives at the record magic, so that large uncompressed
 files are read by many tasks (a gzip file by one).  Magic also occurs inside payloads, so a
 piece is only a candidate.
@@ -47,7 +50,7 @@ FIELDS = ("record_type string, page_id long, url string, refers_to long, "
           "payload_bytes long, payload_digest string, payload binary")
 
 
-def write(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", compression: str = "gzip") -> None:
+def write(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", compression: str = "none") -> None:
     """Archives of ``pages`` (page_id, url, html) below ``path``."""
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"), F.octet_length(html).alias("size"),

@@ -52,6 +52,21 @@ def test_round_trip(spark, compression, split):
     assert sorted(have, key=repr) == sorted(want, key=repr)
 
 
+def test_default_archives_are_read_in_many_splits(spark):
+    """Files are larger than a split, and every entry but the first is reached by a jump."""
+    path = tempfile.mkdtemp(prefix="warc-") + "/w"
+    rows = [(i, "u", f"page {i} " + "abcdefg " * 30_000, None) for i in range(120)]
+    W.write(frame(spark, rows, PAGES).coalesce(1), path)
+    pieces = W._pieces(spark, path)
+    files, splits = pieces.select("path").distinct().count(), pieces.select("path", "split").distinct().count()
+    assert splits > files
+    got = W.read(spark, path).collect()
+    assert sorted(r.page_id for r in got) == list(range(120))
+    nodes = frame(spark, [("f", 0, 100), ("f", 40, 90), ("f", 100, 250), ("f", 250, 400), ("f", 400, 777), ("g", 5, 100)],
+                  "path string, start long, leaves long")
+    assert sorted(tuple(r) for r in W._reached(nodes).collect()) == [("f", s) for s in (0, 100, 250, 400)]
+
+
 def test_repeated_rows_and_no_rows(spark):
     path = tempfile.mkdtemp(prefix="warc-")
     W.write(frame(spark, [(1, "u", "p" * 200, None)] * 2 + [(2, "u", "p" * 200, None)], PAGES), path + "/a")
