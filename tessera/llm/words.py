@@ -42,28 +42,13 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-def _cut_long(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, longest: int):
-    """Tokens of more than ``longest`` bytes cut at the first character start after each multiple."""
-    extra = []
-    for a, b in zip(starts[ends - starts > longest], ends[ends - starts > longest]):
-        chars = np.flatnonzero((data[a:b] & 0xC0) != 0x80)
-        part = chars // longest
-        extra.append(a + chars[1:][part[1:] != part[:-1]])
-    if not extra:
-        return starts, ends
-    extra = np.concatenate(extra)
-    starts, ends = np.sort(np.append(starts, extra)), np.sort(np.append(ends, extra))
-    return starts, ends
-
-
-def tokens(offsets: np.ndarray, data: np.ndarray, punctuation: bool = False, classes: np.ndarray = CLASS,
-           longest: int | None = None):
+def tokens(offsets: np.ndarray, data: np.ndarray, punctuation: bool = False, classes: np.ndarray = CLASS):
     """(hash, text index, first byte, last byte + 1) of every word of the texts, in order.
 
     ``offsets`` and ``data`` are those of ``common.utf8_parts``.  With ``punctuation`` runs of
-    other non-blank ASCII are tokens too; ``classes`` changes the class of bytes, ``longest`` cuts tokens
-    into parts of about that many bytes.  Work is done in segments of about 1 MB that end
-    where a token ends, so a very long text needs no more memory than its words' hashes.
+    other non-blank ASCII are tokens too; ``classes`` changes the class of bytes.  Work is done
+    in segments of about 1 MB that end where a token ends, so a very long text needs no more
+    memory than its words' hashes.
     """
     cls = classes[data]
     n = len(data)
@@ -76,8 +61,6 @@ def tokens(offsets: np.ndarray, data: np.ndarray, punctuation: bool = False, cla
     ends = np.append(starts[1:], n)
     keep = cls[starts] >= WORD if punctuation else cls[starts] == WORD
     starts, ends = starts[keep], ends[keep]
-    if longest:
-        starts, ends = _cut_long(data, starts, ends, longest)
     hashes = np.empty(len(starts), _U)
     at = 0
     while at < len(starts):

@@ -17,10 +17,24 @@ def segmentations(word):
 
 
 def number(v, piece):
-    keys = v.keys[len(piece) - 1] if len(piece) <= L.PIECE_BYTES else []
-    key = int.from_bytes(piece, "big")
-    at = int(np.searchsorted(keys, np.uint64(key))) if len(keys) else 0
-    return int(v.first[len(piece) - 1]) + at if at < len(keys) and int(keys[at]) == key else None
+    return v.numbers.get(piece)
+
+
+def block_of(*words):
+    widths = np.array([len(w) for w in words])
+    block = np.zeros((len(words), widths.max()), np.uint8)
+    for row, w in zip(block, words):
+        row[:len(w)] = np.frombuffer(w, np.uint8)
+    return block, widths
+
+
+def log_sums(v, word, p):
+    """Log forward sums (positions x languages) of one word by plain dynamic programming."""
+    at = [np.zeros(p.shape[1])]
+    for end in range(1, len(word) + 1):
+        parts = [at[a] + np.log(p[number(v, word[a:end])]) for a in range(max(0, end - v.longest), end) if number(v, word[a:end]) is not None]
+        at.append(np.logaddexp.reduce(parts))
+    return np.array(at)
 
 
 def test_forward_sums_all_segmentations():
@@ -34,8 +48,64 @@ def test_forward_sums_all_segmentations():
             ids = [number(v, x) for x in parts]
             if None not in ids:
                 total += np.prod([p[i] for i in ids], axis=0)
-        block = np.frombuffer(word, np.uint8)[None, :]
-        assert np.allclose(L.forward(v, block, scaled)[0], np.log(total))
+        assert np.allclose(log_sums(v, word, p)[-1], np.log(total))
+        assert np.allclose(L.forward(v, *block_of(word), scaled)[0], np.log(total))
+
+
+def test_words_of_any_length_are_whole():
+    """Long pieces count, long words are neither cut nor lost to underflow, padding changes nothing."""
+    v = L.pieces(BPE_RANKS)
+    assert v.longest > 30
+    p = np.random.default_rng(3).random((v.size, 2)) ** 8 + 1e-9
+    p /= p.sum(axis=0)
+    scaled = p * L.SCALE ** v.lengths[:, None]
+    longest = max(v.numbers, key=len)
+    words = [b" " + longest * 40, b" " + "été国語的".encode() * 80, b" " + b"nation" * 205, b" x" * 650]
+    got = L.forward(v, *block_of(*words), scaled)
+    for row, word in zip(got, words):
+        assert np.allclose(row, log_sums(v, word, p)[-1])
+    out, total = np.zeros((v.size, 2)), np.zeros(v.size)
+    L.expected(v, *block_of(*words), np.array([1.0, 2.0, 3.0, 0.5]), np.array([1, 1, 1, 1]), scaled, out)
+    for weight, word in zip((1.0, 2.0, 3.0, 0.5), words):
+        fore = log_sums(v, word, p)[:, 1]
+        back = np.full(len(word) + 1, -np.inf)
+        back[-1] = 0.0
+        for a in range(len(word) - 1, -1, -1):
+            ends = [b for b in range(a + 1, min(len(word), a + v.longest) + 1) if number(v, word[a:b]) is not None]
+            steps = np.array([np.log(p[number(v, word[a:b]), 1]) + back[b] for b in ends])
+            back[a] = np.logaddexp.reduce(steps)
+            for b, step in zip(ends, steps):
+                total[number(v, word[a:b])] += weight * np.exp(fore[a] + step - fore[-1])
+    assert np.allclose(out[:, 1], total)
+
+
+def test_blocks_hold_every_word_once():
+    rng = np.random.default_rng(4)
+    size = np.append(rng.integers(1, 60, 300), [400, 401, 449, 3000, 50_000])
+    ends = np.cumsum(size)
+    data = rng.integers(97, 122, ends[-1]).astype(np.uint8)
+    seen = {}
+    for which, block, widths in L.blocks(data, ends - size, ends, 1 << 20):
+        assert len(which) <= 64
+        for w, row, width in zip(which, block, widths):
+            seen[int(w)] = row[:width].tobytes()
+            assert not row[width:].any()
+    assert seen == {i: b" " + data[b - n:b].tobytes() for i, (b, n) in enumerate(zip(ends, size))}
+
+
+def test_many_languages(spark):
+    """More languages than one matrix holds; each has words of its own."""
+    def name(i):
+        return "".join("bcdfghjklm"[int(d)] + "aeiou"[int(d) % 5] for d in f"{i:03d}")
+
+    rows = [(i * 10 + j, f"{name(i)} {name(i)}x " * 20, f"l{i:03d}", None, None) for i in range(150) for j in range(4)]
+    rows = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    tests = [(100_000 + i, f"{name(i)} {name(i)}x " * 3, None, None, None) for i in range(150)]
+    got = {r.doc_id: r.lang_pred for r in L.identify(frame(spark, rows + tests), BPE_RANKS).collect()}
+    known = {r[2] for r in rows}
+    assert len(known) > 2 * L.LANGUAGES_AT_ONCE
+    right = [got[100_000 + i] == f"l{i:03d}" for i in range(150) if f"l{i:03d}" in known]
+    assert sum(right) / len(right) > 0.95
 
 
 def test_expected_counts_are_posterior_sums():
@@ -51,7 +121,7 @@ def test_expected_counts_are_posterior_sums():
             total += w
             np.add.at(want, ids, w)
     out = np.zeros((v.size, 2))
-    L.expected(v, np.frombuffer(word, np.uint8)[None, :], np.array([5.0]), np.array([1]), scaled, out)
+    L.expected(v, *block_of(word), np.array([5.0]), np.array([1]), scaled, out)
     assert np.allclose(out[:, 1], 5 * want / total) and not out[:, 0].any()
 
 
@@ -75,13 +145,3 @@ def test_odd_documents(spark, odd, none):
     assert L.identify(none, BPE_RANKS).count() == 0
     unlabelled = frame(spark, [(1, "some text", None, None, None)])
     assert L.identify(unlabelled, BPE_RANKS).first().lang_pred == "und"
-
-
-def test_long_words_are_cut_at_characters():
-    import pyarrow as pa
-
-    text = "é" * 500 + "a" * 100
-    _, _, starts, ends, data = L.words_of(pa.array([text]))
-    assert b"".join(data[a:b].tobytes() for a, b in zip(starts, ends)) == text.encode()
-    assert max(ends - starts) <= L.WORD_BYTES + 4
-    assert all(data[a] & 0xC0 != 0x80 for a in starts)
