@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, prepare, small_batches, utf8_parts
+from .common import cut, prepare, small_batches, stored, utf8_parts
 from .words import CLASS, PUNCT, WORD, tokens
 
 TRAIN_DOCS = 400
@@ -203,7 +203,8 @@ def _training_words(docs: DataFrame, train_docs: int) -> tuple[list[str], DataFr
     if not languages:
         return [], None
     rates = [(lang, i, min(1.0, train_docs / counts[lang])) for i, lang in enumerate(languages)]
-    rates = docs.sparkSession.createDataFrame(rates, "lang string, number int, rate double")
+    # As a written table its size is known, so that a short list is broadcast and no text is moved.
+    rates = stored(docs.sparkSession.createDataFrame(rates, "lang string, number int, rate double"), "languages")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
     sample = usable.join(rates, "lang").where(place < F.col("rate")).select("text", F.col("number").alias("lang"))
 
