@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.common import round_half_up
 from ..operators import boosting as B
 from ..operators import evaluate as E
+from ..operators import forest as FO
 from ..operators import models as MD
 from ..operators import prep as P
 from ..operators import series as S
@@ -45,10 +46,12 @@ def _report(model, test, label="label"):
 
 @register("rf_readmission", G)
 def q_rf_readmission(spark, d):
-    """Random forest, 200 trees, depth 10, leaf 2, balanced class weights; test-split report."""
-    train, test = _binary_split(spark, d, weights=True)
-    m = MD.random_forest(train, num_trees=200, max_depth=10, min_leaf=2, weight_col="weight")
-    return _report(m, test)
+    """Random forest, 200 trees, depth 10, leaf 2, classes balanced per tree; test-split report."""
+    train, test = _binary_split(spark, d)
+    m = FO.balanced_forest(train, "embedding", "label", "vec_id", DIM, trees=200, max_depth=10, min_leaf=2)
+    pred = FO.predict(m, test.select("label", "embedding"), "embedding")
+    return rounded(E.classification_report(pred.select(F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("p")),
+                                           "y", "p"), "precision", "recall", "f1")
 
 
 @register("rf_loan", G)
