@@ -1,9 +1,11 @@
 """Near-duplicate texts by ProbMinHash signatures, banding and exact verification.
 
-Shingles are runs of five words (a shorter text is one shingle).  Each distinct shingle has
-weight 1, however often it repeats, so that candidates are found by the similarity by which
-they are linked, the Jaccard of the shingle sets.  For every shingle a Poisson process of rate weight, seeded by the shingle, throws arrivals on the
-signature's components; the shingle of the first arrival is the component's value, and two
+Shingles are runs of five words (a shorter text is one shingle).  A shingle that occurs n times
+has weight 1 + ln n.  Two texts are near if the probability Jaccard similarity of their weighted
+shingles, the sum over common shingles i of 1 / sum_j max(x_j / x_i, y_j / y_i), is at least 0.8;
+where no shingle repeats this is the Jaccard similarity of the shingle sets.  Candidates and
+links use the same weights.  For every shingle a Poisson process of rate weight, seeded by the
+shingle, throws arrivals on the signature's components; the shingle of the first arrival is the component's value, and two
 texts agree in a component with the probability Jaccard similarity of their weighted shingles
 (Ertl, 2020).  Generation ends early at a time by which all components are very likely
 filled; texts with an empty component are continued to a later time, so nothing is lost.
@@ -13,11 +15,13 @@ filled; texts with an empty component are continued to a later time, so nothing
    compared in tiles of about ``TILE`` x ``TILE`` signatures; tiles of a large bucket go to
    different tasks.  A tile returns, of the pairs whose signatures agree enough, only a
    maximum spanning forest (fewer pairs than rows).
-3. These pairs are verified exactly (Jaccard of the shingle sets of at least 0.8) and linked.
+3. The similarity of these pairs is computed exactly (in double precision, ``ROUNDING`` below
+   0.8 still counts) and those of at least 0.8 are linked.
 4. The pairs of step 2, verified or not, join the representatives to clusters that hold every
    agreeing pair.  Clusters whose members step 3 did not link to one component are compared
-   once more, in tiles with their texts: each agreeing pair of different components is
-   verified inside the tile, which returns a spanning forest of the links found.
+   once more, in tiles with their texts, of fewer rows where texts are long (about
+   ``TILE_BYTES`` a side): each agreeing pair of different components is verified inside the
+   tile, which returns a spanning forest of the links found.
 5. Connected components of all links are the classes of near duplicates.
 
 The result is exact but for pairs that share no band (about 5e-5 of pairs at similarity 0.8,
@@ -41,11 +45,14 @@ from .components import components
 from .words import grams, mix, tokens
 
 SHINGLE = 5
-SIMILARITY = (4, 5)  # 0.8 as a fraction, compared in whole numbers
+SIMILARITY = 0.8
+ROUNDING = 1e-9
 BANDS, ROWS = 25, 5
 COMPONENTS = BANDS * ROWS
 AGREE = 81
 TILE = 256
+TILE_BYTES = 8 << 20
+PAIR_CELLS = 1 << 20  # shingles of the pairs compared at a time
 _U = np.uint64
 
 
@@ -67,11 +74,34 @@ def shingles(offsets: np.ndarray, data: np.ndarray):
 
 
 def weighted(values: np.ndarray, owner: np.ndarray):
-    """Distinct (text, shingle) pairs in order, with their counts."""
+    """Distinct (text, shingle) pairs in order, with their weights: 1 + ln of the occurrences."""
     order = np.lexsort((values, owner))
     values, owner = values[order], owner[order]
     first = np.flatnonzero(np.append(True, (values[1:] != values[:-1]) | (owner[1:] != owner[:-1]))[:len(values)])
-    return values[first], owner[first], np.diff(np.append(first, len(values)))
+    return values[first], owner[first], 1 + np.log(np.diff(np.append(first, len(values))))
+
+
+def probability_jaccard(a, b, n: int) -> np.ndarray:
+    """The probability Jaccard similarity of ``n`` pairs; a side is (shingle, pair, weight), the
+    shingles of a pair distinct.  Sorted by the ratio of a pair's weights, the inner sum over j
+    is one of x over the greater ratios and one of y over the smaller."""
+    values, pair = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
+    left = np.concatenate([a[2], np.zeros(len(b[2]))])
+    right = np.concatenate([np.zeros(len(a[2])), b[2]])
+    if not len(values):
+        return np.zeros(n)
+    order = np.lexsort((values, pair))
+    values, pair = values[order], pair[order]
+    first = np.flatnonzero(np.append(True, (values[1:] != values[:-1]) | (pair[1:] != pair[:-1])))
+    pair, left, right = pair[first], np.add.reduceat(left[order], first), np.add.reduceat(right[order], first)
+    with np.errstate(divide="ignore"):
+        order = np.lexsort((left / right, pair))
+    pair, left, right = pair[order], left[order], right[order]
+    ends = np.searchsorted(pair, np.arange(n + 1))
+    x, y = np.append(0.0, np.cumsum(left)), np.append(0.0, np.cumsum(right))
+    at = np.flatnonzero((left > 0) & (right > 0))
+    inner = (x[ends[pair[at] + 1]] - x[at]) / left[at] + (y[at] - y[ends[pair[at]]]) / right[at]
+    return np.bincount(pair[at], 1 / inner, n)
 
 
 def signatures(values: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: int, time: float = 4.0) -> np.ndarray:
@@ -115,8 +145,7 @@ def _sign(batches):
     for batch in small_batches(batches):
         n = batch.num_rows
         values, owner, classes, counts = shingles(*utf8_parts(batch.column(2)))
-        values, owner, _ = weighted(values, owner)
-        signature = signatures(values, owner, np.ones(len(values)), n)
+        signature = signatures(*weighted(values, owner), n)
         bands = np.zeros((n, BANDS), _U)
         for r in range(ROWS):
             bands = mix(bands * _U(0xD6E8FEB86659FD93) + signature[:, r::ROWS])
@@ -187,21 +216,32 @@ def _candidates(batches):
                 yield _pairs_batch(node, agree)
 
 
-def _shared(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """How many distinct shingles each two of ``n`` texts share, as a matrix."""
-    _, column, times = np.unique(values, return_inverse=True, return_counts=True)
-    common = times[column] > 1
-    number = np.cumsum(times > 1) - 1
-    column, owner = number[column[common]], owner[common]
-    order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
-    out = np.zeros((n, n), np.float32)
-    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
-        a, b = np.searchsorted(column, (start, start + 4096))
-        used = np.zeros((n, 4096), np.float32)
-        used[owner[a:b], column[a:b] - start] = 1.0
-        out += used @ used.T
-    return out.astype(np.int64)
+def _links(values: np.ndarray, owner: np.ndarray, weight: np.ndarray, agree: np.ndarray, part: np.ndarray):
+    """A spanning forest of the near pairs among the agreeing ones (a symmetric matrix), as row
+    numbers.  Pairs that agree most are compared first; those inside one part, as given or as
+    linked by then, need no comparison."""
+    starts = np.searchsorted(owner, np.arange(len(agree) + 1))
+    size = np.diff(starts)
+    i, j = np.nonzero(np.triu(agree))
+    order = np.argsort(-agree[i, j].astype(int), kind="stable")
+    i, j, part, out, chunk = i[order], j[order], part.copy(), [], 4 * len(agree)
+    while True:
+        apart = part[i] != part[j]
+        i, j = i[apart], j[apart]
+        if not len(i):
+            return out
+        n = min(chunk, max(1, int(np.searchsorted(np.cumsum(size[i] + size[j]), PAIR_CELLS, "right"))))
+        sides = []
+        for side in (i[:n], j[:n]):
+            pair = np.repeat(np.arange(n), size[side])
+            at = starts[side][pair] + np.arange(len(pair)) - (np.cumsum(size[side]) - size[side])[pair]
+            sides.append((values[at], pair, weight[at]))
+        for k in np.flatnonzero(probability_jaccard(*sides, n) >= SIMILARITY - ROUNDING):
+            p, q = part[i[k]], part[j[k]]
+            if p != q:
+                out.append((int(i[k]), int(j[k])))
+                part[part == q] = p
+        i, j = i[n:], j[n:]
 
 
 def _verified_tiles(batches):
@@ -216,13 +256,11 @@ def _verified_tiles(batches):
         if not len(rows):
             continue
         values, owner, _, _ = shingles(*utf8_parts(tile.column(7).take(pa.array(rows))))
-        values, owner, _ = weighted(values, owner)
-        size = np.bincount(owner, minlength=len(rows))
-        shared = _shared(values, owner, len(rows))
-        near = shared * SIMILARITY[1] >= (size[:, None] + size[None, :] - shared) * SIMILARITY[0]
-        agree = np.where(near, agree[np.ix_(rows, rows)], 0)
-        if agree.any():
-            yield _pairs_batch(label[rows], agree)
+        values, owner, weight = weighted(values, owner)
+        label = label[rows]
+        found = np.array([(label[i], label[j]) for i, j in _links(values, owner, weight, agree[np.ix_(rows, rows)], label)], np.int64).reshape(-1, 2)
+        if len(found):
+            yield pa.RecordBatch.from_arrays([pa.array(found.min(axis=1)), pa.array(found.max(axis=1))], ["a", "b"])
 
 
 def utf8_bytes(column: pa.Array) -> bytes:
@@ -232,8 +270,12 @@ def utf8_bytes(column: pa.Array) -> bytes:
 
 def _tiles(members: DataFrame, *more: str) -> DataFrame:
     """Rows of ``members`` (bucket, size, node, signature, more) dealt to the tiles they are
-    compared in: those of each two blocks of a bucket, and of each block with itself."""
-    blocks = F.ceil(F.col("size") / F.lit(TILE)).cast("int")
+    compared in: those of each two blocks of a bucket, and of each block with itself.  With a
+    column ``bytes``, the bucket's text, blocks hold about ``TILE_BYTES`` at most."""
+    blocks = F.ceil(F.col("size") / F.lit(TILE))
+    if "bytes" in members.columns:
+        blocks = F.least(F.col("size"), F.greatest(blocks, F.ceil(F.col("bytes") / F.lit(TILE_BYTES))))
+    blocks = blocks.cast("int")
     rows = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
@@ -242,20 +284,15 @@ def _tiles(members: DataFrame, *more: str) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose shingle sets have a Jaccard similarity of at least 0.8."""
+    """The pairs whose probability Jaccard similarity is at least 0.8."""
     def run(batches):
         for batch in small_batches(batches, 4 << 20, "text_a"):
-            sets = []
+            sides = []
             for i in (2, 3):
                 values, owner, _, _ = shingles(*utf8_parts(batch.column(i)))
-                sets.append(weighted(values, owner)[:2])
-            (va, oa), (vb, ob) = sets
-            both = np.lexsort((np.concatenate([va, vb]), np.concatenate([oa, ob])))
-            v, o = np.concatenate([va, vb])[both], np.concatenate([oa, ob])[both]
-            shared = np.bincount(o[1:][(v[1:] == v[:-1]) & (o[1:] == o[:-1])], minlength=batch.num_rows)
-            union = np.bincount(o, minlength=batch.num_rows) - shared
-            near = shared * SIMILARITY[1] >= union * SIMILARITY[0]
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(near)), batch.column(1).filter(pa.array(near))], ["a", "b"])
+                sides.append(weighted(values, owner))
+            near = pa.array(probability_jaccard(*sides, batch.num_rows) >= SIMILARITY - ROUNDING)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], ["a", "b"])
 
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
@@ -282,7 +319,8 @@ def _groups(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     apart = pairs.join(a, "a").join(b, "b").where("label_a <> label_b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
     clusters = components(apart).select(F.col("node").alias("label"), F.col("component").alias("bucket"))
     members = cut(labels.join(clusters, "label"))
-    sizes = cut(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")))
+    members = members.join(texts.select("node", F.octet_length("text").alias("length")), "node")
+    sizes = cut(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.sum("length").alias("bytes")))
     members = members.join(sizes, "bucket").join(nodes.select("node", "signature"), "node").join(texts, "node")
     joined = components(_tiles(members, "label", "text").mapInArrow(_verified_tiles, "a long, b long"))
     joined = joined.withColumnRenamed("node", "label")

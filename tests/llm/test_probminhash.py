@@ -1,6 +1,8 @@
 """Near duplicates against brute force over all pairs."""
 
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -11,12 +13,20 @@ from tessera.llm.components import components
 from util import frame, odd_documents, prose, words
 
 
+def similarity(x, y):
+    """Probability Jaccard similarity of two weighted sets, from its definition."""
+    every = set(x) | set(y)
+    return sum(1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in every) for i in set(x) & set(y))
+
+
 def brute(rows):
-    """Class of each row: smallest id over chains of texts with 5-word Jaccard >= 0.8."""
+    """Class of each row: smallest id over chains of texts with a similarity >= 0.8 of 5-word
+    shingles, n occurrences weighing 1 + ln n."""
     sets = []
     for i, text in rows:
         w = words(text)
-        sets.append({tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4))} if w else None)
+        counts = Counter(tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4))) if w else None
+        sets.append({k: 1 + math.log(n) for k, n in counts.items()} if w else None)
     to = list(range(len(rows)))
 
     def find(x):
@@ -26,7 +36,7 @@ def brute(rows):
 
     for a in range(len(rows)):
         for b in range(a):
-            if sets[a] and sets[b] and len(sets[a] & sets[b]) * 5 >= 4 * len(sets[a] | sets[b]):
+            if sets[a] and sets[b] and set(sets[a]) & set(sets[b]) and similarity(sets[a], sets[b]) >= 0.8 - 1e-9:
                 to[find(a)] = find(b)
     least = {}
     for k, (i, _) in enumerate(rows):
@@ -61,14 +71,56 @@ def test_classes_equal_brute_force(spark):
 
 
 def test_repeated_lines_equal_brute_force(spark):
-    rows = []
-    for base in range(60):
+    """Pairs that differ in how often a passage repeats: few repeats are near, many are not."""
+    rows, repeats = [], [2, 2, 3, 40, 400]
+    for base in range(50):
         text = prose(base, 104).split()
         rows.append((2 * base, " ".join(text)))
-        rows.append((2 * base + 1, " ".join(text[:52] + text[52:] * 40)))
+        rows.append((2 * base + 1, " ".join(text[:52] + text[52:] * repeats[base % 5])))
     got = {r.doc_id: r.class_id for r in P.near_duplicates(frame(spark, rows, "doc_id long, text string")).collect()}
     want = brute(rows)
-    assert [got[i] for i, _ in rows] == want and set(want) == set(range(0, 120, 2))
+    assert [got[i] for i, _ in rows] == want and 0 < sum(w % 2 for w in want) < 50
+
+
+def test_probability_jaccard_equals_its_definition():
+    rng = np.random.default_rng(8)
+    pairs, sides = [], ([], [])
+    for pair in range(60):
+        both = []
+        for side in sides:
+            names = rng.choice(30, rng.integers(0, 25), replace=False)
+            x = {int(k): 1 + math.log(n) for k, n in zip(names, rng.integers(1, 5, len(names)))}
+            side += [(k, pair, w) for k, w in x.items()]
+            both.append(x)
+        pairs.append(both)
+    arrays = [(np.array([r[0] for r in s], np.uint64), np.array([r[1] for r in s]), np.array([r[2] for r in s])) for s in sides]
+    assert np.allclose(P.probability_jaccard(*arrays, 60), [similarity(x, y) for x, y in pairs])
+    some = np.arange(10, dtype=np.uint64)  # of sets it is their Jaccard similarity
+    a, b = (some[:9], np.zeros(9, int), np.ones(9)), (some[1:], np.zeros(9, int), np.ones(9))
+    assert P.probability_jaccard(a, b, 1) >= 0.8 - 1e-9 and abs(P.probability_jaccard(a, b, 1)[0] - 0.8) < 1e-12
+
+
+def test_links_inside_a_tile_join_what_brute_force_joins(monkeypatch):
+    texts = [t for _, t in near_copies(11)]
+    values, owner, _, _ = P.shingles(*utf8_parts(pa.array(texts)))
+    values, owner, weight = P.weighted(values, owner)
+    agree = np.full((len(texts), len(texts)), P.AGREE, np.uint8)
+    np.fill_diagonal(agree, 0)
+    want = brute(list(enumerate(texts)))
+    for cells in (1 << 20, 500):
+        monkeypatch.setattr(P, "PAIR_CELLS", cells)
+        links = P._links(values, owner, weight, agree, np.arange(len(texts)))
+        to = list(range(len(texts)))
+        for i, j in links:
+            to = [min(to[i], to[j]) if t in (to[i], to[j]) else t for t in to]
+        assert to == want and len(links) == len(texts) - len(set(want))
+
+
+def test_tiles_of_long_texts_hold_fewer_rows(spark, monkeypatch):
+    monkeypatch.setattr(P, "TILE_BYTES", 2000)
+    rows = near_copies(7)
+    got = {r.doc_id: r.class_id for r in P.near_duplicates(frame(spark, rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i, _ in rows] == brute(rows)
 
 
 def test_tiles_of_one_large_bucket(spark, monkeypatch):
