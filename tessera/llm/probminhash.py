@@ -216,12 +216,35 @@ def _candidates(batches):
                 yield _pairs_batch(node, agree)
 
 
+def _shared(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """How many distinct shingles each two of ``n`` texts share, as a matrix."""
+    _, column, times = np.unique(values, return_inverse=True, return_counts=True)
+    common = times[column] > 1
+    number = np.cumsum(times > 1) - 1
+    column, owner = number[column[common]], owner[common]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    out = np.zeros((n, n), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, (start, start + 4096))
+        used = np.zeros((n, 4096), np.float32)
+        used[owner[a:b], column[a:b] - start] = 1.0
+        out += used @ used.T
+    return out.astype(np.int64)
+
+
 def _links(values: np.ndarray, owner: np.ndarray, weight: np.ndarray, agree: np.ndarray, part: np.ndarray):
     """A spanning forest of the near pairs among the agreeing ones (a symmetric matrix), as row
-    numbers.  Pairs that agree most are compared first; those inside one part, as given or as
-    linked by then, need no comparison."""
+    numbers.  Texts without a repeated shingle are compared as sets, all at once.  Of the other
+    pairs those that agree most are compared first; those inside one part, as given or as linked
+    by then, need no comparison."""
     starts = np.searchsorted(owner, np.arange(len(agree) + 1))
     size = np.diff(starts)
+    plain = np.bincount(owner[weight > 1], minlength=len(agree)) == 0
+    rows = plain[owner]
+    shared = _shared(values[rows], owner[rows], len(agree))
+    near = shared >= (SIMILARITY - ROUNDING) * (size[:, None] + size[None, :] - shared)
+    agree = np.where(near | ~(plain[:, None] & plain[None, :]), agree, 0)
     i, j = np.nonzero(np.triu(agree))
     order = np.argsort(-agree[i, j].astype(int), kind="stable")
     i, j, part, out, chunk = i[order], j[order], part.copy(), [], 4 * len(agree)
