@@ -2,8 +2,8 @@
 
 Features are cut into bins once; a row then holds one byte per feature.  A pass over the rows
 sums what the rows of each (node, feature, bin) carry; each task adds its rows up in NumPy,
-the tasks' tables are added in a tree of bounded fan-in, and only the sum, whose size depends
-on the model and not on the data, reaches the driver, which chooses the splits.
+the tasks' tables are added by spans of features in a tree of bounded fan-in, and the best split
+of each span is chosen where its sums are.  Only these reach the driver, not the tables.
 
 ``boost`` grows second-order trees level by level: gradients and Hessians of the logistic
 loss, regularised gain, Newton leaves, and for missing values (null or NaN) the better side.
@@ -31,6 +31,7 @@ from ..session import scratch_path
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not have the package
 
 FAN = 16
+SPANS = 16
 COLUMNS = 64
 ACCURACY = 10_000
 CLIP = 1e-10
@@ -136,27 +137,61 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _summed(rows: DataFrame, part, size: int) -> np.ndarray:
-    """The sum over all tasks of the arrays of ``size`` that ``part`` (batches -> array) gives,
-    added in groups of ``FAN`` until few are left."""
+def _spans(n: int, parts: int) -> list[tuple[int, int]]:
+    """``n`` things in consecutive spans: one for a single task, else at most ``SPANS``."""
+    cuts = np.linspace(0, n, (1 if parts <= 1 else min(SPANS, n)) + 1).astype(int).tolist()
+    return list(zip(cuts, cuts[1:]))
+
+
+def _chosen(rows: DataFrame, n: int, part, choose, spans: int) -> list[np.ndarray]:
+    """``choose(i, sums)`` per span: ``part`` (batches -> an array per span) runs in each of the
+    ``n`` tasks, their arrays are added per span in groups of ``FAN`` until few are left, and the
+    last adding is dealt by span and chooses there.  Only what is chosen reaches the driver."""
+    def packed(arrays):
+        return pa.RecordBatch.from_arrays([pa.array(list(arrays), pa.int32()), pa.array([x.tobytes() for x in arrays.values()], pa.binary())], ["span", "sums"])
+
     def partial(batches):
-        yield pa.RecordBatch.from_arrays([pa.array([part(batches).tobytes()], pa.binary())], ["sums"])
+        yield packed(dict(enumerate(map(np.ravel, part(batches)))))
 
-    def added(batches):
-        total = None
+    def total(batches):
+        out = {}
         for b in batches:
-            for s in b.column(0).to_pylist():
-                x = np.frombuffer(s)
-                total = x.copy() if total is None else total + x
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+            for span, sums in zip(b.column(0).to_pylist(), b.column(1)):
+                x = np.frombuffer(sums.as_buffer())
+                if span in out:
+                    out[span] += x
+                else:
+                    out[span] = x.copy()
+        return out
 
-    n = rows.rdd.getNumPartitions()
-    sums = rows.mapInArrow(partial, "sums binary")
-    while n > FAN:
-        n = -(-n // FAN)
-        sums = sums.repartition(n).mapInArrow(added, "sums binary")
-    return sum((np.frombuffer(s) for s in sums.toArrow()["sums"].to_pylist()), np.zeros(size))
+    def added(batches):
+        yield packed(total(batches))
+
+    def last(batches):
+        yield packed({i: np.ravel(choose(i, x)).astype(float) for i, x in total(batches).items()})
+
+    def alone(batches):
+        yield packed({i: np.ravel(choose(i, np.ravel(x))).astype(float) for i, x in enumerate(part(batches))})
+
+    schema = "span int, sums binary"
+    if not n:
+        return [choose(i, np.ravel(x)) for i, x in enumerate(part([]))]
+    if n == 1:
+        out = rows.mapInArrow(alone, schema)
+    else:
+        sums = rows.mapInArrow(partial, schema)
+        while n > FAN:
+            n = -(-n // FAN)
+            sums = sums.repartition(n).mapInArrow(added, schema)
+        out = sums.repartition(spans, "span").mapInArrow(last, schema)
+    found = {r[0]: np.frombuffer(r[1]) for r in out.collect()}
+    return [found[i] for i in range(spans)]
+
+
+def _summed(rows: DataFrame, part, size: int) -> np.ndarray:
+    """The sum over all tasks of the arrays of ``size`` that ``part`` (batches -> array) gives,
+    for sums small enough for the driver."""
+    return _chosen(rows, rows.rdd.getNumPartitions(), lambda batches: [part(batches)], lambda _, sums: sums, 1)[0].reshape(size)
 
 
 def _table(node: np.ndarray, nodes: int, bins: np.ndarray, n_bins: int, carried) -> np.ndarray:
@@ -195,6 +230,28 @@ def best_splits(table: np.ndarray, lam: float, gamma: float, min_child: float):
     return out
 
 
+# What is known of a node's best split: gradient and Hessian sums of the node and both sides.
+SPLIT = ("gain", "missing_left", "feature", "bin", "g", "h", "g_left", "h_left", "g_right", "h_right")
+
+
+def _split_rows(table: np.ndarray, first: int, lam: float, gamma: float, min_child: float) -> np.ndarray:
+    """The best split per node (nodes x SPLIT) of the sums of the features from ``first`` on."""
+    gain, f, b, missing_left = best_splits(table, lam, gamma, min_child)
+    whole = table[:, :, 0].sum(axis=2)
+    return np.array([(gain[i], missing_left[i], first + f[i], b[i], *whole[:, i],
+                      *(x for side in _sides(table[:, i, int(f[i])], int(b[i]), bool(missing_left[i])) for x in side))
+                     for i in range(table.shape[1])])
+
+
+def _best_of(found: np.ndarray) -> np.ndarray:
+    """The best split per node of all spans (spans x nodes x SPLIT), ties as in ``best_splits``; the
+    node's own sums are those of the first feature."""
+    order = np.lexsort((found[:, :, 1], -found[:, :, 0]), axis=0)[0]
+    best = found[order, np.arange(found.shape[1])]
+    best[:, 4:6] = found[0, :, 4:6]
+    return best
+
+
 class _Growing:
     """A tree under construction."""
 
@@ -242,7 +299,10 @@ def boost(train: DataFrame, features: str, label: str, width: int, rounds: int =
         return bins, m
 
     def level(recent, growing, slot, nodes):
-        """Sums of one level: metrics of the rows, then gradients and Hessians per node."""
+        """One level: metrics of the rows, and the best split per node (a row of ``SPLIT``)."""
+        n = rows.rdd.getNumPartitions()
+        spans = _spans(width, n)
+
         def part(batches):
             metrics, table = np.zeros(6), np.zeros((2, nodes, width, n_bins))
             for b in batches:
@@ -256,10 +316,16 @@ def boost(train: DataFrame, features: str, label: str, width: int, rounds: int =
                 node = slot[growing.place(bins, missing)]
                 use = learn & (node >= 0)
                 table += _table(node[use], nodes, bins[use], n_bins, ((p - y)[use], (p * (1 - p))[use]))
-            return np.append(metrics, table.ravel())
+            return [*(table[:, :, lo:hi] for lo, hi in spans), metrics]
+
+        def choose(i, sums):
+            if i == len(spans):
+                return sums
+            lo, hi = spans[i]
+            return _split_rows(sums.reshape(2, nodes, hi - lo, n_bins), lo, lam, gamma, min_child)
 
-        sums = _summed(rows, part, 6 + 2 * nodes * width * n_bins)
-        return sums[:6], sums[6:].reshape(2, nodes, width, n_bins)
+        *found, metrics = _chosen(rows, n, part, choose, len(spans) + 1)
+        return metrics, _best_of(np.array(found).reshape(len(spans), nodes, len(SPLIT)))
 
     def measured(epoch, sums):
         means = [float(sums[i + j] / sums[i]) if sums[i] else None for i in (0, 3) for j in (1, 2)]
@@ -273,7 +339,7 @@ def boost(train: DataFrame, features: str, label: str, width: int, rounds: int =
             slot = np.full(len(tree.feature), -1)
             slot[open_nodes] = np.arange(len(open_nodes))
             if depth == 0 or depth < max_depth and open_nodes:
-                metrics, table = level(recent, tree, slot, max(1, len(open_nodes)))
+                metrics, splits = level(recent, tree, slot, max(1, len(open_nodes)))
             if depth == 0 and epoch:
                 history.append(measured(epoch, metrics))
                 accuracy = history[-1][4] or 0.0
@@ -281,16 +347,13 @@ def boost(train: DataFrame, features: str, label: str, width: int, rounds: int =
                 stop = epoch == rounds or (patience is not None and since >= patience)
             if depth == max_depth or not open_nodes or stop:
                 break
-            g, h = table[0].sum(axis=2)[:, 0], table[1].sum(axis=2)[:, 0]
-            gain, f, b, missing_left = best_splits(table, lam, gamma, min_child)
             later = []
-            for i, node in enumerate(open_nodes):
-                growing.columns["value"][node] = float(-rate * g[i] / (h[i] + lam)) if h[i] + lam else 0.0
-                if gain[i] > MIN_GAIN:
-                    children = growing.split(node, feature=int(f[i]), bin=int(b[i]), missing_left=bool(missing_left[i]), gain=float(gain[i]))
-                    sides = _sides(table[:, i, int(f[i])], int(b[i]), bool(missing_left[i]))
-                    for child, (cg, ch) in zip(children, sides):
-                        growing.columns["value"][child] = float(-rate * cg / (ch + lam))
+            for node, (gain, missing_left, f, b, g, h, *sides) in zip(open_nodes, splits.tolist()):
+                growing.columns["value"][node] = -rate * g / (h + lam) if h + lam else 0.0
+                if gain > MIN_GAIN:
+                    children = growing.split(node, feature=int(f), bin=int(b), missing_left=bool(missing_left), gain=gain)
+                    for child, cg, ch in zip(children, sides[::2], sides[1::2]):
+                        growing.columns["value"][child] = -rate * cg / (ch + lam)
                     later += children
             open_nodes = later
         if stop:
@@ -355,6 +418,12 @@ def importances(model: Model, names) -> list[tuple[str, float]]:
 def best_stump(table: np.ndarray):
     """(feature, bin, class left, class right, weighted error) of the split with the least Gini
     impurity of class weights (2 x features x bins); None if no split parts the rows."""
+    found = _stump(table)
+    return found and found[1:]
+
+
+def _stump(table: np.ndarray):
+    """The impurity and what ``best_stump`` returns."""
     left = np.cumsum(table, axis=2)[..., :-1]
     right = table.sum(axis=2)[..., None] - left
     n_left, n_right = left.sum(axis=0), right.sum(axis=0)
@@ -368,7 +437,7 @@ def best_stump(table: np.ndarray):
     f, b = divmod(int(impurity.argmin()), impurity.shape[1])
     sides = left[:, f, b], right[:, f, b]
     error = sum(s.min() for s in sides) / table[:, f].sum()
-    return f, b, *(int(s[1] > s[0]) for s in sides), float(error)
+    return float(impurity[f, b]), f, b, *(int(s[1] > s[0]) for s in sides), float(error)
 
 
 def adaboost(train: DataFrame, features: str, label: str, width: int, rounds: int = 200,
@@ -388,22 +457,33 @@ def adaboost(train: DataFrame, features: str, label: str, width: int, rounds: in
     rows = _stored(_binned(rows, features, edges, {
         "y": F.col(label).cast("double"), "learn": F.lit(True), "margin": F.lit(0.0)}), "adaboost")
 
-    def part_of(recent):
-        # ``margin`` is the logarithm of a row's weight, up to a constant for all rows.
+    def stump_of(recent):
+        """The best stump, None if no split parts the rows, and the sum of the weights."""
+        n = rows.rdd.getNumPartitions()
+        spans = _spans(width, n)
+
         def part(batches):
+            # ``margin`` is the logarithm of a row's weight, up to a constant for all rows.
             table = np.zeros((2, 1, width, n_bins))
             for b in batches:
                 bins, y = _unpacked(b.column(0), width), b.column(1).to_numpy()
                 w = np.exp(_log_weights(b.column(3).to_numpy(), bins, y, recent, missing))
                 table += _table(np.zeros(len(y), np.int64), 1, bins, n_bins, (w * (y == 0), w * (y == 1)))
-            return table.ravel()
+            return [table[:, 0, lo:hi] for lo, hi in spans]
+
+        def choose(i, sums):
+            lo, hi = spans[i]
+            table = sums.reshape(2, hi - lo, n_bins)
+            impurity, f, *rest = _stump(table) or (np.inf, 0, 0, 0, 0, 0.0)
+            return np.array([impurity, lo + f, *rest, table[:, 0].sum()])
 
-        return part
+        found = _chosen(rows, n, part, choose, len(spans))
+        impurity, f, b, left, right, error, _ = min(found, key=lambda x: x[0])  # ties: the first feature
+        return (int(f), int(b), int(left), int(right), float(error)) if np.isfinite(impurity) else None, float(found[0][-1])
 
     trees, recent, history, scale = [], [], [], 0.0
     for r in range(rounds):
-        table = _summed(rows, part_of([*recent, scale]), 2 * width * n_bins).reshape(2, width, n_bins)
-        stump = best_stump(table)
+        stump, weights = stump_of([*recent, scale])
         if stump is None:
             break
         f, b, left, right, error = stump
@@ -413,7 +493,7 @@ def adaboost(train: DataFrame, features: str, label: str, width: int, rounds: in
         value = [0.0, alpha if left else -alpha, alpha if right else -alpha]
         trees.append(Tree(*map(np.array, ([f, -1, -1], [b, 0, 0], [False] * 3, [1, 0, 0], [2, 0, 0], value, [0.0] * 3))))
         recent.append(trees[-1])
-        scale -= math.log(table[:, 0].sum())  # keeps the weights near a sum of 1
+        scale -= math.log(weights)  # keeps the weights near a sum of 1
         if len(recent) == keep_every:
             rows, recent = _stored(_reweighted(rows, recent + [scale], width, missing), "adaboost"), []
             scale = 0.0

@@ -7,9 +7,9 @@ weights balance the whole frame only.
 
 Trees grow together, level by level.  A pass counts the drawn rows per (node, chosen feature,
 bin, class); weights are applied to the counts afterwards, so the first level's counts give
-them without a pass of their own.  Tasks add up in NumPy and the tables are added in a tree of
-bounded fan-in (``boosting``).  A pass takes as many nodes as fit ``TABLE_BYTES``; the driver
-holds that and the model, whatever the number of rows.
+them without a pass of their own.  Tasks add up in NumPy, the tables are added by spans of nodes
+in a tree of bounded fan-in and splits are chosen where the sums are (``boosting``).  A pass takes
+as many nodes as fit ``TABLE_BYTES``; the driver gets a node's split and holds the model.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .boosting import MIN_GAIN, Tree, _binned, _missing, _stored, _summed, _to_bins, _unpacked, bin_edges
+from .boosting import MIN_GAIN, Tree, _binned, _chosen, _missing, _spans, _stored, _to_bins, _unpacked, bin_edges
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not have the package
 
@@ -65,10 +65,12 @@ def _purity(counts: np.ndarray) -> np.ndarray:
 
 def gini_splits(table: np.ndarray, scale: np.ndarray, min_leaf: float):
     """(gain, place in the chosen features, bin, missing left) per node of class counts (nodes x
-    features x bins x classes, the last bin for missing values) with the classes' weights; ties
-    go to missing right, then the first feature and bin."""
+    features x bins x classes, the last bin for missing values) with the classes' weights (of all
+    nodes or per node); ties go to missing right, then the first feature and bin."""
     every = table.sum(axis=2)
+    scale = np.broadcast_to(scale, (len(table), table.shape[3]))[:, None]
     before = _purity(every * scale)[..., None]
+    scale = scale[:, None]
     out = None
     for missing_left in (False, True):
         left = np.cumsum(table[:, :, :-2], axis=2)
@@ -105,17 +107,22 @@ class _Grown:
         return Tree(**{k: np.array(v) for k, v in self.columns.items()})
 
 
-def _counted(rows: DataFrame, asked, width: int, m: int, n_bins: int, classes: int, missing: int) -> np.ndarray:
-    """Counts (nodes x chosen features x bins x classes) of the asked nodes, given per tree as
-    (number, tree so far, slot of each of its nodes or -1, chosen features of its slots)."""
-    sizes = [len(chosen) * m * n_bins * classes for _, _, _, chosen in asked]
+def _splits(rows: DataFrame, asked, width: int, m: int, n_bins: int, classes: int, missing: int, min_leaf: int) -> np.ndarray:
+    """The best split of each asked node (gain, place in the chosen features, bin, missing left,
+    class counts of the node and of its left side).  Nodes are given per tree as (number, tree so
+    far, slot of each of its nodes or -1, chosen features of its slots, class weights); weights
+    of None are taken from the first node's counts."""
+    sizes = [len(chosen) for _, _, _, chosen, _ in asked]
+    owner = np.repeat(np.arange(len(asked)), sizes)
+    n = rows.rdd.getNumPartitions()
+    spans = _spans(sum(sizes), n)
 
     def part(batches):
-        tables = [np.zeros(s) for s in sizes]
+        tables = [np.zeros(s * m * n_bins * classes) for s in sizes]
         for b in batches:
             bins = _unpacked(b.column(0), width)
             y, key = b.column(1).to_numpy(), b.column(2).to_numpy()
-            for (number, tree, slot, chosen), table in zip(asked, tables):
+            for (number, tree, slot, chosen, _), table in zip(asked, tables):
                 times = draws(key, number)
                 at = slot[tree.place(bins, missing)]
                 use = np.flatnonzero((times > 0) & (at >= 0))
@@ -123,9 +130,26 @@ def _counted(rows: DataFrame, asked, width: int, m: int, n_bins: int, classes: i
                 for j in range(m):
                     cell = ((here * m + j) * n_bins + bins[use, chosen[here, j]]) * classes + label
                     table += np.bincount(cell, weight, len(table))
-        return np.concatenate(tables)
+        table = np.concatenate(tables).reshape(-1, m, n_bins, classes)
+        return [table[lo:hi] for lo, hi in spans]
 
-    return _summed(rows, part, sum(sizes)).reshape(-1, m, n_bins, classes)
+    def choose(i, sums):
+        table = sums.reshape(-1, m, n_bins, classes)
+        drawn = table[:, 0].sum(axis=1)
+        scale = np.array([class_scale(d) if asked[t][4] is None else asked[t][4] for d, t in zip(drawn, owner[slice(*spans[i])])])
+        gain, f, b, missing_left = gini_splits(table, scale, min_leaf)
+        at = np.arange(len(table))
+        below = np.arange(n_bins) <= b[:, None]
+        below[:, -1] = missing_left
+        left = (table[at, f] * below[..., None]).sum(axis=1)
+        return np.column_stack([gain, f, b, missing_left, drawn, left])
+
+    return np.concatenate([x.reshape(-1, 4 + 2 * classes) for x in _chosen(rows, n, part, choose, len(spans))])
+
+
+def class_scale(drawn: np.ndarray) -> np.ndarray:
+    """Class weights that balance the drawn rows per class."""
+    return drawn.sum() / np.maximum(drawn, 1) / max(1, np.count_nonzero(drawn))
 
 
 def balanced_forest(train: DataFrame, features: str, label: str, id_col: str, width: int, trees: int = 200,
@@ -164,20 +188,20 @@ def balanced_forest(train: DataFrame, features: str, label: str, id_col: str, wi
                 tree = grown[t].tree()
                 slot = np.full(len(tree.feature), -1)
                 slot[mine] = np.arange(len(mine))
-                asked.append((t, tree, slot, np.array([chosen_features(seed, t, n, width, m) for n in mine])))
-            table, first = _counted(rows, asked, width, m, n_bins, k, missing), 0
-            for (t, _, _, chosen), mine in zip(asked, nodes.values()):
-                counts, first = table[first:first + len(mine)], first + len(mine)
+                asked.append((t, tree, slot, np.array([chosen_features(seed, t, n, width, m) for n in mine]), scale[t]))
+            found, first = _splits(rows, asked, width, m, n_bins, k, missing, min_leaf), 0
+            for (t, _, _, chosen, _), mine in zip(asked, nodes.values()):
+                splits, first = found[first:first + len(mine)], first + len(mine)
                 if depth == 0:
-                    drawn = counts[0, 0].sum(axis=0)
-                    scale[t] = drawn.sum() / np.maximum(drawn, 1) / max(1, np.count_nonzero(drawn))
+                    drawn = splits[0, 4:4 + k]
+                    scale[t] = class_scale(drawn)
                     grown[t].columns["value"][0] = _shares(drawn * scale[t])
-                for i, (gain, f, b, missing_left) in enumerate(zip(*gini_splits(counts, scale[t], min_leaf))):
+                for i, (gain, f, b, missing_left, *counts) in enumerate(splits):
                     if gain <= MIN_GAIN:
                         continue
-                    sides = counts[i, f, :b + 1].sum(axis=0) + (counts[i, f, -1] if missing_left else 0)
-                    sides = (sides, counts[i, f].sum(axis=0) - sides)
-                    children = grown[t].split(mine[i], feature=int(chosen[i, f]), bin=int(b), missing_left=bool(missing_left), gain=float(gain))
+                    left = np.array(counts[k:])
+                    sides = (left, counts[:k] - left)
+                    children = grown[t].split(mine[i], feature=int(chosen[i, int(f)]), bin=int(b), missing_left=bool(missing_left), gain=float(gain))
                     for child, side in zip(children, sides):
                         grown[t].columns["value"][child] = _shares(side * scale[t])
                         if np.count_nonzero(side) > 1 and side.sum() >= 2 * min_leaf:

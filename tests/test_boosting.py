@@ -175,3 +175,20 @@ def test_table_sums_do_not_depend_on_partitions(spark):
         return np.array([float(sum(b.column(0).to_numpy().sum() for b in batches)), 1.0])
 
     assert list(B._summed(rows, part, 2)) == [499500.0, 40.0]
+
+
+def test_splits_are_chosen_before_the_driver(spark, monkeypatch):
+    """Only the best split of a span leaves the tasks, not the tables of sums."""
+    got, chosen = [], B._chosen
+
+    def spied(*args):
+        got.append(chosen(*args))
+        return got[-1]
+
+    monkeypatch.setattr(B, "_chosen", spied)
+    x, y = sample(400, 11, missing=0.0)
+    x = np.random.default_rng(3).normal(size=x.shape)  # many bins
+    df = frame(spark, x, y).repartition(20)
+    B.boost(df, "x", "y", 3, rounds=1, max_depth=2)
+    B.adaboost(df, "x", "y", 3, rounds=1)
+    assert got and all(sum(len(a) for a in sums) <= 6 + 3 * 2 * len(B.SPLIT) for sums in got)
