@@ -56,7 +56,7 @@ def inactive_customers(customers: DataFrame, orders: DataFrame, cutoff, as_of) -
 
 def inactive_customers_anti(customers: DataFrame, orders: DataFrame, cutoff) -> DataFrame:
     """C4.3: the same customer set as Q2, as an anti join against recent orders."""
-    recent = orders.filter(F.col("order_date") >= _d(cutoff)).select("customer_id")
+    recent = orders.filter(F.col("order_date") >= _d(cutoff)).select("customer_id").distinct()
     return (customers.join(recent, "customer_id", "left_anti")
             .select("customer_id", "first_name", "last_name", "email", "loyalty_tier")
             .orderBy("customer_id"))
@@ -105,8 +105,11 @@ def category_revenue(categories: DataFrame, products: DataFrame, order_items: Da
 
 def no_sales_products(products: DataFrame, order_items: DataFrame,
                       categories: DataFrame) -> DataFrame:
-    """Q5: products without any order item, with their category (which may be missing)."""
-    sold = order_items.filter(F.col("order_item_id").isNotNull()).select("product_id")
+    """Q5: products without any order item, with their category (which may be missing).
+
+    Items are first reduced to one row per product in the scanning tasks, so that the anti join
+    moves and sorts products, not items."""
+    sold = order_items.filter(F.col("order_item_id").isNotNull()).select("product_id").distinct()
     unsold = products.join(sold, "product_id", "left_anti")
     return (unsold.join(categories, "category_id", "left")
             .select("product_id", "product_name", "stock_quantity", "category_name",
@@ -118,7 +121,7 @@ def no_orders_in_year(customers: DataFrame, orders: DataFrame, year: int) -> Dat
     """Q6: customers without an order in ``year`` (half-open date range, pushed to the scan)."""
     start, end = _dt.date(year, 1, 1), _dt.date(year + 1, 1, 1)
     in_year = orders.filter((F.col("order_date") >= F.lit(start)) & (F.col("order_date") < F.lit(end))
-                            & F.col("order_id").isNotNull()).select("customer_id")
+                            & F.col("order_id").isNotNull()).select("customer_id").distinct()
     return (customers.join(in_year, "customer_id", "left_anti")
             .select("customer_id", "first_name", "last_name", "email", "registration_date",
                     "loyalty_tier", F.lit(0).cast("long").alias("order_count_year"))

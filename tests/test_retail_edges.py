@@ -108,6 +108,20 @@ def test_no_sales_products_keeps_missing_category(spark, tiny):
     assert [(r.product_id, r.category_name, r.times_ordered) for r in rows] == [(3, None, 0)]
 
 
+def test_anti_joins_get_a_row_per_key(spark, tiny):
+    """The joins sort one row per product or customer, however many items or orders there are."""
+    cats = spark.createDataFrame([], "category_id string, category_name string")
+    items = tiny["items"].select("product_id", "order_item_id").crossJoin(spark.range(50))
+    orders = spark.createDataFrame([(1, i % 3, D(2020, 5, 1)) for i in range(60)], "order_id long, customer_id long, order_date date")
+    customers = spark.createDataFrame([(i, "F", "L", "e", D(2020, 1, 1), "T") for i in range(5)], "customer_id long, first_name string, "
+                                      "last_name string, email string, registration_date date, loyalty_tier string")
+    unsold, idle = R.no_sales_products(tiny["products"], items, cats), R.no_orders_in_year(customers, orders, 2020)
+    assert [r.product_id for r in unsold.collect()] == [3] and [r.customer_id for r in idle.collect()] == [3, 4]
+    for out in (unsold, idle):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" in plan[plan.index("LeftAnti"):]
+
+
 def test_percent_rank_ties_at_the_threshold(spark):
     # 11 customers in one tier: ranks 0.0 .. 1.0 by tenths; two tie at the 0.9 rank
     cust = spark.createDataFrame([(i, "F", str(i), "e", "T") for i in range(11)],
