@@ -44,21 +44,40 @@ from .common import cut, prepare, stored
 MAGIC = "WARC/1.1\r\n"
 END = b"\r\n\r\n"
 MIN_REVISIT = 100
+MARKS = 1 << 18
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FIELDS = ("record_type string, page_id long, url string, refers_to long, "
           "payload_bytes long, payload_digest string, payload binary")
 
 
-def write(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", compression: str = "none") -> None:
-    """Archives of ``pages`` (page_id, url, html) below ``path``."""
+def _referred(pages: DataFrame) -> DataFrame:
+    """Pages with html (null: empty), size, digest and ``first_id``, the smallest id of an equal
+    payload (null if there is no other).
+
+    Payloads are moved only if they may be repeated: digests of repeated ones are marked in
+    ``MARKS`` buckets, a table of bounded size that every task gets, and the pages of other
+    buckets stay where they are read.
+    """
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"), F.octet_length(html).alias("size"),
                         F.sha2(html.cast("binary"), 256).alias("digest"))
     first = rows.where(f"size >= {MIN_REVISIT}").groupBy("digest").agg(
         F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    # Written first, so that the join is between two plain shuffles and a hot payload can be split.
-    rows = rows.join(cut(first), "digest", "left")
+    # Written first, so that a small table is broadcast and else the join is between two plain
+    # shuffles and a hot payload can be split.
+    first = stored(first, "warc-first")
+    mark = F.pmod(F.xxhash64("digest"), F.lit(MARKS)).alias("mark")
+    marks = F.broadcast(cut(first.select(mark).distinct()))  # at most MARKS numbers
+    rows = rows.select("*", mark)
+    alone = rows.join(marks, "mark", "left_anti").withColumn("first_id", F.lit(None).cast(pages.schema["page_id"].dataType))
+    shared = rows.join(marks, "mark", "left_semi").join(first, "digest", "left")
+    return alone.unionByName(shared).drop("mark")
+
+
+def write(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", compression: str = "none") -> None:
+    """Archives of ``pages`` (page_id, url, html) below ``path``."""
+    rows = _referred(pages)
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
 
     def urn(c):

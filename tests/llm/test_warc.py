@@ -85,3 +85,16 @@ def test_chain_ends_at_a_broken_record(spark):
     with open(path + "/x.warc", "w", newline="") as f:
         f.write("junk before" + good)
     assert W.read(spark, path).count() == 0
+
+
+def test_single_payloads_are_not_moved(spark):
+    """Only pages whose payload may be repeated pass through a shuffle."""
+    body = "x" * 200
+    pages = spark.createDataFrame([(i, f"http://a/{i}", body if i % 10 == 3 else f"{i} {body}") for i in range(40)]
+                                  + [(None, None, body), (50, None, None)], "page_id long, url string, html string")
+    out = W._referred(pages)
+    rows = {r.page_id: r.first_id for r in out.collect()}
+    assert rows == {None: 3, 50: None} | {i: 3 if i % 10 == 3 else None for i in range(40)}
+    assert out.count() == 42
+    plan = out.select("page_id", "html")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
