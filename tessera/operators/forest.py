@@ -1,4 +1,4 @@
-"""Random forest whose class weights are balanced inside each tree's own sample (M9).
+"""Random forests: class weights balanced inside each tree's own sample (M9), or given.
 
 Each tree draws every row Poisson(1) times, by a hash of the row's id and the tree, so a
 repeated pass or a lost executor sees the same sample.  A class weighs n / (k x n_c) in the
@@ -10,6 +10,11 @@ bin, class); weights are applied to the counts afterwards, so the first level's
 them without a pass of their own.  Tasks add up in NumPy, the tables are added by spans of nodes
 in a tree of bounded fan-in and splits are chosen where the sums are (``boosting``).  A pass takes
 as many nodes as fit ``TABLE_BYTES``; the driver gets a node's split and holds the model.
+
+``forest_shares`` (M10) is for trees as deep as the rows allow, whose nodes grow with the table: only
+nodes of more than ``SMALL`` drawn rows are split in such passes.  The rows of the others are
+shuffled by (tree, node), the rest of the tree is grown there, and the rows to be predicted,
+shuffled alike, are placed in it at once, so that no place holds the whole model.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ from __future__ import annotations
 import math
 import sys
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +36,13 @@ from .boosting import MIN_GAIN, Tree, _binned, _chosen, _missing, _spans, _store
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not have the package
 
 TABLE_BYTES = 16 << 20
+SMALL = 4096
+SLICE = 256
+TASK_BYTES = 64 << 20
+ROUND_BYTES = 2 << 30
+UNIT = 1 << 40
+DEALT = pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("asked", pa.bool_()), ("bins", pa.binary()), ("numbers", pa.binary()), ("times", pa.binary())])
+DEALT_SQL = "tree int, node int, asked boolean, bins binary, numbers binary, times binary"
 POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(16)])
 
 
@@ -67,12 +80,13 @@ def gini_splits(table: np.ndarray, scale: np.ndarray, min_leaf: float):
     """(gain, place in the chosen features, bin, missing left) per node of class counts (nodes x
     features x bins x classes, the last bin for missing values) with the classes' weights (of all
     nodes or per node); ties go to missing right, then the first feature and bin."""
+    sides = (False, True) if table[:, :, -1].any() else (False,)
     every = table.sum(axis=2)
     scale = np.broadcast_to(scale, (len(table), table.shape[3]))[:, None]
     before = _purity(every * scale)[..., None]
     scale = scale[:, None]
     out = None
-    for missing_left in (False, True):
+    for missing_left in sides:
         left = np.cumsum(table[:, :, :-2], axis=2)
         if missing_left:
             left = left + table[:, :, -1:]
@@ -87,10 +101,22 @@ def gini_splits(table: np.ndarray, scale: np.ndarray, min_leaf: float):
     return out
 
 
+def _node_splits(table: np.ndarray, scale: np.ndarray, min_leaf: float) -> np.ndarray:
+    """The best split per node (gain, place in the chosen features, bin, missing left, class counts of
+    the node and of its left side) of counts as in ``gini_splits``."""
+    gain, f, b, missing_left = gini_splits(table, scale, min_leaf)
+    below = np.arange(table.shape[2]) <= b[:, None]
+    below[:, -1] = missing_left
+    left = (table[np.arange(len(table)), f] * below[..., None]).sum(axis=1)
+    return np.column_stack([gain, f, b, missing_left, table[:, 0].sum(axis=1), left])
+
+
 class _Grown:
-    """A tree under construction: node columns as lists."""
+    """A tree under construction: node columns as lists, and each node's place in the full binary
+    tree (root 1, children of p: 2p and 2p + 1)."""
 
-    def __init__(self, classes: int):
+    def __init__(self, classes: int, root: int = 1):
+        self.places = [root]
         self.leaf = {"feature": -1, "bin": 0, "missing_left": False, "left": 0, "right": 0,
                      "value": np.zeros(classes), "gain": 0.0}
         self.columns = {k: [v] for k, v in self.leaf.items()}
@@ -101,17 +127,33 @@ class _Grown:
             self.columns[name][node] = v
         for name, v in self.leaf.items():
             self.columns[name] += [v, v]
+        self.places += [2 * self.places[node], 2 * self.places[node] + 1]
         return left, left + 1
 
+    def divide(self, node: int, chosen: np.ndarray, split: np.ndarray, scale: np.ndarray, min_leaf: float):
+        """Splits a node as a row of ``_node_splits`` says, unless it gains nothing; the children that
+        may be split again and their drawn rows."""
+        gain, f, b, missing_left, *counts = split
+        if gain <= MIN_GAIN:
+            return []
+        k, open_nodes = len(scale), []
+        left = np.array(counts[k:])
+        sides = (left, counts[:k] - left)
+        children = self.split(node, feature=int(chosen[int(f)]), bin=int(b), missing_left=bool(missing_left), gain=float(gain))
+        for child, side in zip(children, sides):
+            self.columns["value"][child] = _shares(side * scale)
+            if np.count_nonzero(side) > 1 and side.sum() >= 2 * min_leaf:
+                open_nodes.append((child, side.sum()))
+        return open_nodes
+
     def tree(self) -> Tree:
         return Tree(**{k: np.array(v) for k, v in self.columns.items()})
 
 
 def _splits(rows: DataFrame, asked, width: int, m: int, n_bins: int, classes: int, missing: int, min_leaf: int) -> np.ndarray:
-    """The best split of each asked node (gain, place in the chosen features, bin, missing left,
-    class counts of the node and of its left side).  Nodes are given per tree as (number, tree so
-    far, slot of each of its nodes or -1, chosen features of its slots, class weights); weights
-    of None are taken from the first node's counts."""
+    """The best split of each asked node (a row of ``_node_splits``).  Nodes are given per tree as
+    (number, tree so far, slot of each of its nodes or -1, chosen features of its slots, class
+    weights); weights of None are taken from the first node's counts."""
     sizes = [len(chosen) for _, _, _, chosen, _ in asked]
     owner = np.repeat(np.arange(len(asked)), sizes)
     n = rows.rdd.getNumPartitions()
@@ -137,12 +179,7 @@ def _splits(rows: DataFrame, asked, width: int, m: int, n_bins: int, classes: in
         table = sums.reshape(-1, m, n_bins, classes)
         drawn = table[:, 0].sum(axis=1)
         scale = np.array([class_scale(d) if asked[t][4] is None else asked[t][4] for d, t in zip(drawn, owner[slice(*spans[i])])])
-        gain, f, b, missing_left = gini_splits(table, scale, min_leaf)
-        at = np.arange(len(table))
-        below = np.arange(n_bins) <= b[:, None]
-        below[:, -1] = missing_left
-        left = (table[at, f] * below[..., None]).sum(axis=1)
-        return np.column_stack([gain, f, b, missing_left, drawn, left])
+        return _node_splits(table, scale, min_leaf)
 
     return np.concatenate([x.reshape(-1, 4 + 2 * classes) for x in _chosen(rows, n, part, choose, len(spans))])
 
@@ -174,9 +211,18 @@ def balanced_forest(train: DataFrame, features: str, label: str, id_col: str, wi
     rows = _stored(_binned(rows, features, edges, {"y": code.cast("long"), "key": F.xxhash64(F.col(id_col), F.lit(int(seed)))}), "forest")
 
     grown = [_Grown(k) for _ in range(trees)]
-    scale: list = [None] * trees
-    open_nodes = [(t, 0) for t in range(trees)]
-    at_once = max(1, TABLE_BYTES // (m * n_bins * k * 8))
+    _by_levels(rows, grown, [None] * trees, max_depth, width, m, n_bins, missing, min_leaf, lambda t, node: chosen_features(seed, t, node, width, m))
+    return Forest(edges, classes, [g.tree() for g in grown])
+
+
+def _by_levels(rows: DataFrame, grown: list[_Grown], scale: list, max_depth: int, width: int, m: int, n_bins: int,
+               missing: int, min_leaf: float, pick, small: int = 0) -> list[tuple[int, int]]:
+    """Grows the trees in passes over the rows, a level at a time.  Children of at most ``small``
+    drawn rows are left as they are; returns those that may be split as (tree, node).  ``pick``
+    chooses the features of (tree, node); class weights of None are set from the root's counts."""
+    open_nodes, left_small = [(t, 0) for t in range(len(grown))], []
+    k = len(grown[0].leaf["value"]) if grown else 0
+    at_once = max(1, TABLE_BYTES // (m * n_bins * max(1, k) * 8))
     for depth in range(max_depth):
         later = []
         for start in range(0, len(open_nodes), at_once):
@@ -188,26 +234,164 @@ def balanced_forest(train: DataFrame, features: str, label: str, id_col: str, wi
                 tree = grown[t].tree()
                 slot = np.full(len(tree.feature), -1)
                 slot[mine] = np.arange(len(mine))
-                asked.append((t, tree, slot, np.array([chosen_features(seed, t, n, width, m) for n in mine]), scale[t]))
+                asked.append((t, tree, slot, np.array([pick(t, n) for n in mine]), scale[t]))
             found, first = _splits(rows, asked, width, m, n_bins, k, missing, min_leaf), 0
             for (t, _, _, chosen, _), mine in zip(asked, nodes.values()):
                 splits, first = found[first:first + len(mine)], first + len(mine)
                 if depth == 0:
                     drawn = splits[0, 4:4 + k]
-                    scale[t] = class_scale(drawn)
+                    scale[t] = class_scale(drawn) if scale[t] is None else scale[t]
                     grown[t].columns["value"][0] = _shares(drawn * scale[t])
-                for i, (gain, f, b, missing_left, *counts) in enumerate(splits):
-                    if gain <= MIN_GAIN:
-                        continue
-                    left = np.array(counts[k:])
-                    sides = (left, counts[:k] - left)
-                    children = grown[t].split(mine[i], feature=int(chosen[i, int(f)]), bin=int(b), missing_left=bool(missing_left), gain=float(gain))
-                    for child, side in zip(children, sides):
-                        grown[t].columns["value"][child] = _shares(side * scale[t])
-                        if np.count_nonzero(side) > 1 and side.sum() >= 2 * min_leaf:
-                            later.append((t, child))
+                for node, features, split in zip(mine, chosen, splits):
+                    for child, drawn in grown[t].divide(node, features, split, scale[t], min_leaf):
+                        (left_small if drawn <= small else later).append((t, child))
         open_nodes = later
-    return Forest(edges, classes, [g.tree() for g in grown])
+    return left_small
+
+
+def _subtree(bins: np.ndarray, y: np.ndarray, times: np.ndarray, place: int, scale: np.ndarray, max_depth: int,
+             m: int, n_bins: int, min_leaf: float, pick) -> Tree:
+    """The tree below a place of the full binary tree on the rows drawn there, down to the level
+    ``max_depth`` of the whole tree; ``pick`` chooses the features of a place."""
+    k, depth = len(scale), place.bit_length() - 1
+    grown, at, open_nodes = _Grown(k, place), np.zeros(len(y), np.int64), [0]
+    grown.columns["value"][0] = _shares(np.bincount(y, times, k) * scale)
+    while open_nodes and depth < max_depth:
+        later = []
+        for start in range(0, len(open_nodes), SLICE):
+            mine = open_nodes[start:start + SLICE]
+            slot = np.full(len(grown.places), -1)
+            slot[mine] = np.arange(len(mine))
+            chosen = np.array([pick(grown.places[n]) for n in mine])
+            use = np.flatnonzero(slot[at] >= 0)
+            here = slot[at[use]]
+            cell = ((here[:, None] * m + np.arange(m)) * n_bins + bins[use[:, None], chosen[here]]) * k + y[use, None]
+            table = np.bincount(cell.ravel(), np.repeat(times[use], m), len(mine) * m * n_bins * k).reshape(-1, m, n_bins, k)
+            for node, features, split in zip(mine, chosen, _node_splits(table, scale, min_leaf)):
+                later += [child for child, _ in grown.divide(node, features, split, scale, min_leaf)]
+        tree = grown.tree()
+        moved = np.flatnonzero((tree.feature >= 0)[at])
+        node = at[moved]
+        b = bins[moved, tree.feature[node]]
+        left = np.where(b == n_bins - 1, tree.missing_left[node], b <= tree.bin[node])
+        at[moved] = np.where(left, tree.left[node], tree.right[node])
+        open_nodes, depth = later, depth + 1
+    return grown.tree()
+
+
+def forest_shares(train: DataFrame, test: DataFrame, features: str, label: str, id_col: str, width: int, trees: int = 800,
+                  max_depth: int = 30, min_leaf: int = 2, weight: str | None = None, subset: int | None = None, seed: int = 42,
+                  max_bins: int = 32, out_col: str = "prediction", prob_col: str = "probability") -> DataFrame:
+    """``test`` with the mean class shares (in the order of the labels) and the class of the
+    largest, ties to the first, of ``trees`` Gini trees grown on Poisson samples of ``train``.
+
+    ``weight`` is a column with one weight per class (none: 1).  Features, missing values and
+    samples are as in ``balanced_forest``; ``subset`` and ``min_leaf`` too.  A place in a tree has the same
+    features whether it is split in a pass or in a task.  Shares are added as whole numbers of
+    1/``UNIT``, so that the order of the trees does not matter.  Null without a labelled row.
+    """
+    train = train.where(F.col(label).isNotNull())
+    known = train.groupBy(label).agg(F.max(weight).cast("double") if weight else F.lit(1.0), F.count("*")).collect()  # a row per class
+    known = sorted((tuple(r) for r in known), key=lambda r: r[0])
+    classes, k, n_train = [c for c, *_ in known], len(known), sum(n for *_, n in known)
+    if not classes:
+        return test.withColumn(prob_col, F.lit(None).cast("array<double>")).withColumn(out_col, F.lit(None).cast("double"))
+    scale = np.array([w for _, w, _ in known])
+    edges = bin_edges(train, features, width, max_bins - 1)
+    missing = _missing(edges)
+    n_bins, m = missing + 1, min(width, subset or max(1, math.isqrt(width)))
+    code = F.create_map(*[F.lit(x) for i, c in enumerate(classes) for x in (c, i)])[F.col(label)]
+    rows = _stored(_binned(train, features, edges, {"y": code.cast("long"), "key": F.xxhash64(F.col(id_col), F.lit(int(seed)))}), "forest")
+    asked = _stored(test.withColumn("_row", F.monotonically_increasing_id()), "forest")
+
+    def pick(t, place):
+        return chosen_features(seed, t, place, width, m)
+
+    grown = [_Grown(k) for _ in range(trees)]
+    if n_train <= SMALL:
+        small = [(t, 0) for t in range(trees)]
+    else:
+        small = _by_levels(rows, grown, [scale] * trees, max_depth, width, m, n_bins, missing, min_leaf,
+                           lambda t, node: pick(t, grown[t].places[node]), SMALL)
+    tops = [g.tree() for g in grown]
+    unfinished = [np.zeros(len(t.feature), bool) for t in tops]
+    for t, node in small:
+        unfinished[t][node] = True
+    places = [np.array(g.places) for g in grown]
+    of_a_tree = max(1, (n_train + asked.count()) * (width + 16))
+    at_once = max(1, ROUND_BYTES // of_a_tree)
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    shares = ", ".join(f"share_{i} long" for i in range(k))
+    sums = []
+    for start in range(0, trees, at_once):
+        some = range(start, min(start + at_once, trees))
+        n = max(cores, of_a_tree * len(some) // TASK_BYTES)
+
+        def dealt(bins, numbers, of_tree):
+            """A batch of packed rows per tree, with those of one node in one row."""
+            for t in some:
+                use, times = of_tree(t)
+                node = tops[t].place(bins[use], missing)
+                if times is not None:
+                    kept = unfinished[t][node]
+                    use, times, node = use[kept], times[kept], node[kept]
+                order = np.argsort(node, kind="stable")
+                cuts = np.flatnonzero(np.diff(node[order])) + 1
+                groups = [g for g in np.split(order, cuts) if len(g)]
+                packed = [(t, int(node[g[0]]), times is None, bins[use[g]].tobytes(), numbers[use[g]].tobytes(),
+                           b"" if times is None else times[g].astype(np.uint8).tobytes()) for g in groups]
+                yield pa.RecordBatch.from_pylist([dict(zip(DEALT.names, p)) for p in packed], DEALT)
+
+        def drawn(batches):
+            for b in batches:
+                key = b.column(2).to_numpy()
+
+                def of_tree(t):
+                    times = draws(key, t)
+                    use = np.flatnonzero(times)
+                    return use, times[use]
+
+                yield from dealt(_unpacked(b.column(0), width), b.column(1).to_numpy(), of_tree)
+
+        def to_place(batches):
+            for b in batches:
+                bins = _to_bins(b.column(0), edges, missing)
+                every = np.arange(len(bins))
+                yield from dealt(bins, b.column(1).to_numpy(), lambda t: (every, None))
+
+        def unpacked(numbers, bins, times):
+            return (np.frombuffer(b"".join(bins), np.uint8).reshape(-1, width), np.frombuffer(b"".join(numbers), np.int64),
+                    np.frombuffer(b"".join(times), np.uint8).astype(float))
+
+        def shares_of(batches):
+            """Rows come sorted by tree and node, those drawn first."""
+            at, held, tree = None, [], None
+            for b in batches:
+                for r in b.to_pylist():
+                    t, node = r["tree"], r["node"]
+                    if (t, node) != at:
+                        at, held, tree = (t, node), [], None
+                    if not r["asked"]:
+                        held.append((r["numbers"], r["bins"], r["times"]))
+                        continue
+                    if tree is None and held:
+                        bins, y, times = unpacked(*zip(*held))
+                        tree, held = _subtree(bins, y, times, int(places[t][node]), scale, max_depth, m, n_bins, min_leaf, lambda p: pick(t, p)), []
+                    bins, row, _ = unpacked([r["numbers"]], [r["bins"]], [])
+                    value = tree.value[tree.place(bins, missing)] if tree else np.broadcast_to(tops[t].value[node], (len(row), k))
+                    whole = np.round(value * UNIT).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(row), *(pa.array(whole[:, i]) for i in range(k))],
+                                                     ["_row", *(f"share_{i}" for i in range(k))])
+
+        learned = rows.repartition(n).mapInArrow(drawn, DEALT_SQL)
+        placed = asked.select(F.col(features).cast("array<double>"), "_row").repartition(n).mapInArrow(to_place, DEALT_SQL)
+        both = learned.unionByName(placed).repartition(n, "tree", "node").sortWithinPartitions("tree", "node", "asked")
+        found = both.mapInArrow(shares_of, f"_row long, {shares}")
+        sums.append(_stored(found.groupBy("_row").agg(*[F.sum(f"share_{i}").alias(f"share_{i}") for i in range(k)]), "forest"))
+    total = reduce(DataFrame.unionByName, sums).groupBy("_row").agg(
+        F.array(*[F.sum(f"share_{i}") / F.lit(float(UNIT) * trees) for i in range(k)]).alias(prob_col))
+    best = F.array_position(prob_col, F.array_max(prob_col)).cast("int")
+    return asked.join(total, "_row", "left").drop("_row").withColumn(out_col, F.element_at(F.array(*[F.lit(c) for c in classes]), best))
 
 
 def _shares(weights: np.ndarray) -> np.ndarray:

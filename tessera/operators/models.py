@@ -1,5 +1,5 @@
-"""Models on ``pyspark.ml`` (M10-M12, M14, M16-M22, M29); boosting of its own is in ``boosting``,
-the forest balanced per tree (M9) in ``forest``.
+"""Models on ``pyspark.ml`` (M11, M12, M14, M16-M22, M29); boosting of its own is in ``boosting``,
+the forests of ``rf_readmission`` (M9) and ``rf_loan`` (M10) in ``forest``.
 
 The fit is distributed by ``pyspark.ml``; the only driver-side state is the fitted models
 themselves.
@@ -30,7 +30,7 @@ def random_forest(train: DataFrame, label: str = "label", num_trees: int = 200,
                   max_depth: int = 10, min_leaf: int = 2, weight_col: str | None = None,
                   feature_subset: str = "auto", subsampling: float = 1.0, bootstrap: bool = True,
                   seed: int = 42):
-    """M10 / M11 (bagging = every feature at each split, sampled rows)."""
+    """M11 (bagging = every feature at each split, sampled rows)."""
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees,
                                 maxDepth=max_depth, minInstancesPerNode=min_leaf,
                                 featureSubsetStrategy=feature_subset, subsamplingRate=subsampling,

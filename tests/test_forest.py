@@ -103,3 +103,89 @@ def test_odd_rows_and_empty_tables(spark):
     assert out.where("prediction NOT IN ('a', 'b') OR prediction IS NULL").count() == 0
     none = R.balanced_forest(df.limit(0), "x", "label", "id", 2, trees=2)
     assert none.classes == [] and [r.prediction for r in R.predict(none, df, "x").collect()] == [None] * 7
+
+
+def shares(spark, df, **kw):
+    out = R.forest_shares(df, df.select("id", "label", "x"), "x", "label", "id", 5, **kw)
+    return {r.id: (r.probability, r.prediction) for r in out.collect()}
+
+
+@pytest.mark.parametrize("small, task_bytes, round_bytes", [(4096, 64 << 20, 2 << 30), (40, 4000, 30000), (0, 64 << 20, 2 << 30)])
+def test_deep_trees_equal_a_plain_recursion(spark, monkeypatch, small, task_bytes, round_bytes):
+    """The same trees whether nodes are split in passes over all rows or in the task that holds them."""
+    for name, v in (("SMALL", small), ("TASK_BYTES", task_bytes), ("ROUND_BYTES", round_bytes)):
+        monkeypatch.setattr(R, name, v)
+    rows, df = frame(spark)
+    df = df.withColumn("w", F.when(F.col("label") == 1, 3.0).otherwise(0.5))
+    got = shares(spark, df, trees=4, max_depth=30, min_leaf=2, weight="w", seed=9, max_bins=12)
+    edges = B.bin_edges(df, "x", 5, 11)
+    missing = B._missing(edges)
+    key = {r.id: r.k for r in df.select("id", F.xxhash64("id", F.lit(9)).alias("k")).collect()}
+    bins = np.array([[missing if v is None else np.searchsorted(e, v, "left") for v, e in zip(x, edges)] for _, x, _ in rows])
+    y, scale = np.array([int(label) for _, _, label in rows]), np.array([0.5, 3.0])
+    want, depths = np.zeros((len(rows), 2)), []
+
+    def grow(at, times, asked, number, place):
+        c = np.bincount(y[at], times[at], 2)
+        best = (B.MIN_GAIN, None)
+        if place.bit_length() <= 30 and (place == 1 or (c > 0).all() and c.sum() >= 4):
+            def purity(c):
+                return ((c * scale) ** 2).sum() / (c * scale).sum()
+
+            for side in (False, True):
+                for f in R.chosen_features(9, number, place, 5, 2):
+                    for b in range(missing - 1):
+                        left = np.where(bins[:, f] == missing, side, bins[:, f] <= b)
+                        a, z = (np.bincount(y[s], times[s], 2) for s in (at[left[at]], at[~left[at]]))
+                        if min(a.sum(), z.sum()) >= 2 and purity(a) + purity(z) - purity(c) > best[0] + 1e-9:
+                            best = (purity(a) + purity(z) - purity(c), left)
+        if best[1] is None:
+            want[asked] += c * scale / (c * scale).sum() / 4
+            depths.append(place.bit_length() - 1)
+            return
+        for i, left in enumerate((best[1], ~best[1])):
+            grow(at[left[at]], times, asked[left[asked]], number, 2 * place + i)
+
+    for t in range(4):
+        times = R.draws(np.array([key[i] for i, _, _ in rows]), t)
+        grow(np.flatnonzero(times), times, np.arange(len(rows)), t, 1)
+    assert max(depths) > 4
+    for (i, _, _), p in zip(rows, want):
+        assert got[i][0] == pytest.approx(p, abs=1e-9)
+        assert abs(p[0] - p[1]) < 1e-9 or got[i][1] == float(p.argmax())
+
+
+def test_deep_forest_predicts_like_the_one_of_pyspark(spark):
+    from tessera.operators import models as MD
+
+    _, df = frame(spark, 600, 5, missing=False)
+    learn, check = df.where("id % 3 > 0"), df.where("id % 3 = 0")
+    out = R.forest_shares(learn, check, "x", "label", "id", 5, trees=60)
+    m = MD.random_forest(MD.with_features(learn, array_col="x"), num_trees=60, max_depth=30, feature_subset="sqrt")
+    right = F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("r")
+    mine, theirs = out.agg(right).first().r, m.transform(MD.with_features(check, array_col="x")).agg(right).first().r
+    assert mine > 0.9 and abs(mine - theirs) < 0.04
+
+
+def test_deep_forest_on_odd_rows(spark):
+    schema = "id long, x array<double>, label string"
+    df = spark.createDataFrame([(1, [0.0, 1.0], "a"), (1, [0.0, 1.0], "a"), (2, None, "b"), (3, [1.0], None),
+                                (None, [float("nan"), None], "b"), (4, [5.0, 1.0], "b"), (5, [float("inf"), -1.0], "a")], schema)
+    out = R.forest_shares(df, df, "x", "label", "id", 2, trees=5, min_leaf=1).collect()
+    assert len(out) == 7 and out[0].__fields__ == [*df.columns, "probability", "prediction"]
+    assert all(r.prediction in ("a", "b") for r in out)
+    none = R.forest_shares(df.limit(0), df, "x", "label", "id", 2, trees=2).collect()
+    assert [r.prediction for r in none] == [None] * 7
+    assert R.forest_shares(df, df.limit(0), "x", "label", "id", 2, trees=2).count() == 0
+
+
+def test_rf_loan_fits_trees_in_tasks(spark, registry, tmp_path, monkeypatch):
+    """No fit by ``pyspark.ml``, whose driver holds and sends every node of 800 deep trees."""
+    from tessera.operators import models as MD
+
+    monkeypatch.setattr(MD, "random_forest", lambda *a, **k: pytest.fail("fitted on the driver"))
+    rng = np.random.default_rng(1)
+    spark.createDataFrame([(i, [float(v) for v in rng.normal(size=64)], i % 10) for i in range(60)],
+                          "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    rows = registry["rf_loan"].build(spark, str(tmp_path)).collect()
+    assert {r.label: r.support for r in rows}["accuracy"] == 18
