@@ -189,3 +189,18 @@ def test_rf_loan_fits_trees_in_tasks(spark, registry, tmp_path, monkeypatch):
                           "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
     rows = registry["rf_loan"].build(spark, str(tmp_path)).collect()
     assert {r.label: r.support for r in rows}["accuracy"] == 18
+
+
+def test_the_driver_gets_splits_not_tables(spark, monkeypatch):
+    """A level sends a row of numbers per node, whatever the tables of counts (features x bins x classes) hold."""
+    got, chosen = [], B._chosen
+
+    def spied(*args):
+        got.append(chosen(*args))
+        return got[-1]
+
+    monkeypatch.setattr(R, "_chosen", spied)
+    _, df = frame(spark)
+    model = R.balanced_forest(df.repartition(20), "x", "label", "id", 5, trees=6, max_depth=3)
+    assert got and all(len(t.feature) > 1 for t in model.trees)
+    assert sum(sum(len(a) for a in sums) for sums in got) <= sum(len(t.feature) for t in model.trees) * (4 + 2 * 2)
