@@ -32,6 +32,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not ha
 
 FAN = 16
 SPANS = 16
+SPAN_BYTES = 1 << 20
 COLUMNS = 64
 ACCURACY = 10_000
 CLIP = 1e-10
@@ -137,9 +138,10 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _spans(n: int, parts: int) -> list[tuple[int, int]]:
-    """``n`` things in consecutive spans: one for a single task, else at most ``SPANS``."""
-    cuts = np.linspace(0, n, (1 if parts <= 1 else min(SPANS, n)) + 1).astype(int).tolist()
+def _spans(n: int, parts: int, each: int) -> list[tuple[int, int]]:
+    """``n`` things with ``each`` bytes of sums in consecutive spans: one for a single task, else at
+    most ``SPANS``, as many as have ``SPAN_BYTES``, since every span is a task in every pass."""
+    cuts = np.linspace(0, n, (1 if parts <= 1 else max(1, min(SPANS, n, n * each // SPAN_BYTES))) + 1).astype(int).tolist()
     return list(zip(cuts, cuts[1:]))
 
 
@@ -301,7 +303,7 @@ def boost(train: DataFrame, features: str, label: str, width: int, rounds: int =
     def level(recent, growing, slot, nodes):
         """One level: metrics of the rows, and the best split per node (a row of ``SPLIT``)."""
         n = rows.rdd.getNumPartitions()
-        spans = _spans(width, n)
+        spans = _spans(width, n, 2 * nodes * n_bins * 8)
 
         def part(batches):
             metrics, table = np.zeros(6), np.zeros((2, nodes, width, n_bins))
@@ -460,7 +462,7 @@ def adaboost(train: DataFrame, features: str, label: str, width: int, rounds: in
     def stump_of(recent):
         """The best stump, None if no split parts the rows, and the sum of the weights."""
         n = rows.rdd.getNumPartitions()
-        spans = _spans(width, n)
+        spans = _spans(width, n, 2 * n_bins * 8)
 
         def part(batches):
             # ``margin`` is the logarithm of a row's weight, up to a constant for all rows.

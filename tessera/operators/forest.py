@@ -157,7 +157,7 @@ def _splits(rows: DataFrame, asked, width: int, m: int, n_bins: int, classes: in
     sizes = [len(chosen) for _, _, _, chosen, _ in asked]
     owner = np.repeat(np.arange(len(asked)), sizes)
     n = rows.rdd.getNumPartitions()
-    spans = _spans(sum(sizes), n)
+    spans = _spans(sum(sizes), n, m * n_bins * classes * 8)
 
     def part(batches):
         tables = [np.zeros(s * m * n_bins * classes) for s in sizes]

@@ -192,3 +192,29 @@ def test_splits_are_chosen_before_the_driver(spark, monkeypatch):
     B.boost(df, "x", "y", 3, rounds=1, max_depth=2)
     B.adaboost(df, "x", "y", 3, rounds=1)
     assert got and all(sum(len(a) for a in sums) <= 6 + 3 * 2 * len(B.SPLIT) for sums in got)
+
+
+def test_small_tables_are_added_in_one_task(spark, tmp_path, monkeypatch):
+    """A round sends the driver one task's result beside those of the tasks that hold rows, not
+    one for every few features; large tables are still dealt over several tasks."""
+    spans, chosen, stored = [], B._chosen, B._stored
+
+    def spied(rows, n, part, choose, parts):
+        spans.append((n, parts))
+        return chosen(rows, n, part, choose, parts)
+
+    def scattered(df, name):
+        return stored(df.repartition(6), name).repartition(6)
+
+    monkeypatch.setattr(B, "_chosen", spied)
+    monkeypatch.setattr(B, "_stored", scattered)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 20))
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]], float(x[i, 0] > 0)) for i in range(300)], "id long, x array<double>, y double")
+    model = B.adaboost(df, "x", "y", 20, rounds=2)
+    assert len(model.trees) == 2 and model.trees[0].feature[0] == 0
+    assert spans == [(6, 1)] * 2
+    assert len(B._spans(64, 6, B.SPAN_BYTES)) == B.SPANS and len(B._spans(64, 1, B.SPAN_BYTES)) == 1
+    for n, each in ((64, 8192), (3, 1), (5, B.SPAN_BYTES // 2)):
+        cuts = B._spans(n, 6, each)
+        assert [a for a, _ in cuts] + [n] == [0] + [b for _, b in cuts] and all(a < b for a, b in cuts)
