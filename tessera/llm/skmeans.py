@@ -3,17 +3,16 @@
 1. Equal vectors form one class with a count.  Classes are the nodes of what follows.
 2. Spherical k-means is fitted on at most ``SAMPLE`` vectors (``SAMPLE_BYTES`` in all); every
    vector goes to the cell of its nearest centre.
-3. For near vectors x of cell c and y of cell h, the depths of x behind the plane between both
-   centres and of y behind it add to at most the step |x - y|, so one of them is at most half
-   the longest step that the similarity allows.  A vector y of cell h is also sent, as a probe,
-   to every cell c with y.(h - c) <= ``slack`` / 2 |h - c|; ``slack=None`` is that longest
-   step, and no pair is lost.  A smaller slack is faster and approximate.  Of two vectors that
-   probe each other's cells only the one of the higher cell is compared as a probe: a row lists
-   the lower cells that its vector probes.
-4. Members and probes of a cell are cut into blocks and each pair of blocks is one product of
-   at most ``BLOCK`` x ``BLOCK`` in double precision, so a cell of any size is spread over
-   tasks.  A product returns one row per linked vector (links counted, and the smallest node
-   of its component inside the product), never the pairs.
+3. Vectors are written once as blocks of up to ``BLOCK_BYTES``, sorted by cell, and each pair of
+   blocks is compared by a task that reads both (a Cartesian product of the table's parts): no
+   vector is copied, so the disk in use is in proportion to the input.
+4. For near vectors x of cell c and y of cell h, the depths of x behind the plane between both
+   centres and of y behind it add to at most the step |x - y|.  Only pairs whose depths add to at
+   most the longest step that the similarity allows are multiplied, in single precision; cosines
+   within its rounding of the similarity are worked out again in double.  No pair is lost with
+   ``slack=None``; with a smaller ``slack`` only pairs with one depth of at most half of it count,
+   which is faster and approximate.  A pair of blocks returns one row per linked vector (links
+   counted, and the smallest node of its component inside both blocks), never the pairs.
 5. Components of these rows give the groups; the smallest id of each is kept.
 
 Vectors that are null, empty, zero or hold null or non-finite components link with nothing,
@@ -30,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, prepare, sorted_groups, stored
+from .common import cut, prepare, stored
 from .components import components
 
 SIMILARITY = 0.9
@@ -39,6 +38,8 @@ SAMPLE_BYTES = 64 << 20
 CELLS = 2048
 ROUNDS = 8
 BLOCK = 512
+BLOCK_BYTES = 2 << 20
+PART_BYTES = 64 << 20
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -68,8 +69,8 @@ def fit_cells(vectors: np.ndarray, k: int, seed: int = 7) -> np.ndarray:
     return centres
 
 
-def _centres(nodes: DataFrame) -> np.ndarray | None:
-    """Centres fitted on a sample of the most frequent vector length."""
+def _centres(nodes: DataFrame) -> tuple[np.ndarray, int] | None:
+    """Centres fitted on a sample of the most frequent vector length, and how many vectors have it."""
     row = nodes.groupBy("width").count().orderBy(F.desc("count"), "width").first()
     if row is None:
         return None
@@ -78,135 +79,198 @@ def _centres(nodes: DataFrame) -> np.ndarray | None:
     sample = nodes.where(F.col("width") == width).orderBy(F.xxhash64("node"), "node").limit(size)
     vectors = unit(matrix(sample.select("embedding").toArrow()["embedding"].combine_chunks(), width))
     k = max(1, min(CELLS, round(n ** 0.5), len(vectors) // 4))
-    return fit_cells(vectors, k)
+    return fit_cells(vectors, k), n
 
 
-def _assign(shared, slack: float):
-    """Rows (cell, probe, home, lower, node, copies, embedding): each vector in its cell, with the
-    lower cells it probes, and as a probe."""
+def _assign(shared, narrow: bool):
+    """Rows (cell, node, copies, width, vector as bytes): each vector with the cell of its nearest centre."""
+    kind = np.float32 if narrow else np.float64
+
     def run(batches):
         centres = shared.value
-        gap = np.sqrt(np.maximum(0.0, 2 - 2 * (centres @ centres.T)))
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
-                width = part.column(2).to_numpy()
+                width, column = part.column(2).to_numpy(), part.column(3)
+                cell = -width.astype(np.int64)  # of other lengths
                 main = np.flatnonzero(width == centres.shape[1])
-                other = np.flatnonzero(width != centres.shape[1])
-                cell, row, probe = -width[other].astype(np.int64), other, np.zeros(len(other), bool)
-                homes, lower, ends = cell, np.zeros(0, np.int64), np.zeros(len(other) + 1, np.int64)
                 if len(main):
-                    near = unit(matrix(part.column(3).take(pa.array(main)), centres.shape[1])) @ centres.T
-                    home = near.argmax(axis=1)
-                    reach = near.max(axis=1, keepdims=True) - near <= slack / 2 * gap[home] + 1e-12
-                    reach[np.arange(len(main)), home] = False
-                    which, cells = np.nonzero(reach)
-                    below = cells < home[which]
-                    lower = cells[below]
-                    sizes = np.concatenate([np.zeros(len(other), int), np.bincount(which[below], minlength=len(main)), np.zeros(len(which), int)])
-                    ends = np.append(0, np.cumsum(sizes))
-                    homes = np.concatenate([homes, home, home[which]])
-                    cell = np.concatenate([cell, home, cells])
-                    row = np.concatenate([row, main, main[which]])
-                    probe = np.concatenate([probe, np.zeros(len(main), bool), np.ones(len(which), bool)])
-                rows = part.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell), pa.array(probe), pa.array(homes), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(lower, pa.int32())),
-                     rows.column(0), rows.column(1), rows.column(3)],
-                    ["cell", "probe", "home", "lower", "node", "copies", "embedding"])
+                    cell[main] = (unit(matrix(column.take(pa.array(main)), centres.shape[1])) @ centres.T).argmax(axis=1)
+                values = column.flatten().to_numpy(zero_copy_only=False).astype(kind)
+                ends = np.cumsum(width)
+                raw = [values[b - n:b].tobytes() for b, n in zip(ends, width)]
+                yield pa.RecordBatch.from_arrays([pa.array(cell), part.column(0), part.column(1), part.column(2), pa.array(raw, pa.binary())],
+                                                 ["cell", "node", "copies", "width", "vector"])
 
     return run
 
 
-def _product(left: np.ndarray, right: np.ndarray, same: bool, similarity: float, skip: np.ndarray | None = None):
-    """Links between two blocks as a Boolean matrix, without those to ``skip``, and the component
-    of each row of both."""
-    linked = left @ right.T >= similarity
-    if skip is not None:
-        linked &= ~skip
-    if same:
-        np.fill_diagonal(linked, False)
-    n = len(left)
-    a = np.arange(n)
-    b = a if same else np.arange(n, n + len(right))
-    big = n + len(right)
+def _packed(most: int, nbytes: int):
+    """Blocks of rows that come sorted by cell: vectors of one length, at most ``most`` of them and about ``nbytes``."""
+    def run(batches):
+        held, size = [], 0
+
+        def block():
+            cell, node, copies, width, vector = zip(*held)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([width[0]], pa.int32()), *(pa.array([np.array(x, np.int64).tobytes()], pa.binary()) for x in (cell, node, copies)),
+                 pa.array([b"".join(vector)], pa.binary())], ["width", "cells", "nodes", "copies", "vectors"])
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and (row[3] != held[-1][3] or len(held) >= most or size + len(row[4]) > nbytes):
+                    yield block()
+                    held, size = [], 0
+                held.append(row)
+                size += len(row[4])
+        if held:
+            yield block()
+
+    return run
+
+
+class _Block:
+    """A block's nodes, copies, unit vectors (double and single precision) and runs of one cell."""
+
+    def __init__(self, row: dict, side: str, kind):
+        self.cells, self.nodes, self.copies = (np.frombuffer(row[f"{side}_{x}"], np.int64) for x in ("cells", "nodes", "copies"))
+        self.units = unit(np.frombuffer(row[f"{side}_vectors"], kind).astype(np.float64).reshape(len(self.cells), -1))
+        self.single = self.units.astype(np.float32)
+        starts = np.append(0, np.flatnonzero(self.cells[1:] != self.cells[:-1]) + 1)
+        self.runs = list(zip(self.cells[starts].tolist(), starts.tolist(), np.append(starts[1:], len(self.cells)).tolist()))
+
+    def behind(self, cells: list[int], centres: np.ndarray) -> np.ndarray:
+        """How much nearer each vector is to its own centre than to those of ``cells``, as cosines."""
+        own = (self.units * centres[self.cells]).sum(axis=1)
+        return own[:, None] - self.units @ centres[cells].T
+
+
+def _hits(left: _Block, right: _Block, a: np.ndarray, b: np.ndarray, similarity: float, margin: float):
+    """Places in ``a`` and ``b`` of the linked pairs.  Only cosines within the rounding of single
+    precision of ``similarity`` are worked out again in double."""
+    cosine = left.single[a] @ right.single[b].T
+    flat = np.flatnonzero(cosine.ravel() >= np.float32(similarity - margin))
+    if not len(flat):
+        return flat, flat
+    i, j = np.divmod(flat, len(b))
+    linked = cosine.ravel()[flat] >= similarity + margin
+    unsure = np.flatnonzero(~linked)
+    for start in range(0, len(unsure), 16_384):
+        some = unsure[start:start + 16_384]
+        linked[some] = np.einsum("ij,ij->i", left.units[a[i[some]]], right.units[b[j[some]]]) >= similarity
+    return i[linked], j[linked]
+
+
+def _join(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """``root`` (of each place the smallest of its component) after the links u - v."""
     while True:
-        to_a = np.minimum(a, np.where(linked, b[None, :], big).min(axis=1))
-        to_b = to_a if same else np.minimum(b, np.where(linked, to_a[:, None], big).min(axis=0))
-        if (to_a == a).all() and (to_b == b).all():
-            return linked, a, b
-        a, b = to_a, to_b
-
-
-def _skipped(part: pa.RecordBatch, a: np.ndarray, b: np.ndarray) -> np.ndarray | None:
-    """Pairs of rows ``a`` (members) and ``b`` that the lower cell compares: b's home is lower,
-    and a's vector probes it."""
-    cell, home = part.column(0)[0].as_py(), part.column(7).to_numpy()[b]
-    below = np.flatnonzero((home < cell) & (home >= 0))
-    if not len(below):
-        return None
-    lists = part.column(8).take(pa.array(a))
-    probed = np.zeros((len(a), cell), bool)
-    probed[np.repeat(np.arange(len(a)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()] = True
-    skip = np.zeros((len(a), len(b)), bool)
-    skip[:, below] = probed[:, home[below]]
-    return skip
-
-
-def _compare(similarity: float):
-    def tile(part):
-        node, copies = part.column(4).to_numpy(), part.column(5).to_numpy()
-        vectors = unit(matrix(part.column(6), len(part.column(6)[0])))
-        side = part.column(3).to_numpy()
-        same = part.column(1)[0].as_py() == part.column(2)[0].as_py()
-        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        if same:
-            b = a
-        if not len(a) or not len(b):
-            return
-        linked, to_a, to_b = _product(vectors[a], vectors[b], same, similarity, None if same else _skipped(part, a, b))
-        names = node[a] if same else np.concatenate([node[a], node[b]])
-        rows = [(a, linked.any(axis=1), linked @ copies[b], to_a)]
-        if not same:
-            rows.append((b, linked.any(axis=0), copies[a] @ linked, to_b))
-        for index, some, n, to in rows:
-            yield node[index][some], n[some].astype(np.int64), names[to[some]]
+        x, y = root[u], root[v]
+        apart = x != y
+        if not apart.any():
+            return root
+        np.minimum.at(root, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _links(left: _Block, right: _Block, same: bool, centres: np.ndarray, similarity: float, step: float, slack: float, chunk: int):
+    """(left places, right places) of linked pairs, in parts.  For x of cell c and y of cell h only
+    pairs whose depths behind the plane between both centres add to the longest step."""
+    margin = 2e-7 * (left.units.shape[1] + 8)
+    planes = left.runs[0][0] >= 0
+    if planes:
+        to_left, to_right = [c for c, *_ in left.runs], [c for c, *_ in right.runs]
+        depth_a, depth_b = left.behind(to_right, centres), right.behind(to_left, centres)
+    for p, (c, a0, a1) in enumerate(left.runs):
+        for q, (h, b0, b1) in enumerate(right.runs):
+            if same and q < p:
+                continue
+            a, b = np.arange(a0, a1), np.arange(b0, b1)
+            if c == h:
+                for start in range(0, len(a), chunk):
+                    i, j = _hits(left, right, a[start:start + chunk], b, similarity, margin)
+                    i, j = i + a0 + start, j + b0
+                    if same:
+                        i, j = i[i < j], j[i < j]
+                    if len(i):
+                        yield i, j
+                continue
+            gap = np.linalg.norm(centres[c] - centres[h])
+            most, half = step * gap + 1e-9, slack / 2 * gap + 1e-12
+            x, y = depth_a[a0:a1, q], depth_b[b0:b1, p]
+            use, low = np.flatnonzero(x <= most - y.min()), np.flatnonzero(y <= most - x.min())
+            if not len(use) or not len(low):
+                continue
+            a, b = a[use[np.argsort(x[use])]], b[low[np.argsort(y[low])]]
+            x, y = depth_a[a, q], depth_b[b, p]
+            size = min(chunk, max(64, -(-len(a) // 4)))
+            for start in range(0, len(a), size):
+                top = most - x[start]
+                n = int(np.searchsorted(y, min(top, half) if x[start] > half else top, "right"))
+                if not n:
+                    break
+                i, j = _hits(left, right, a[start:start + size], b[:n], similarity, margin)
+                kept = np.minimum(x[start + i], y[j]) <= half
+                if kept.any():
+                    yield a[start + i[kept]], b[j[kept]]
+
+
+def _compare(shared, narrow: bool, similarity: float, step: float, slack: float, chunk: int):
+    kind = np.float32 if narrow else np.float64
 
     def run(batches):
-        for group in sorted_groups(batches, 3):  # cell, i, j
-            for node, n, to in tile(group):
-                if len(node):
-                    yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n), pa.array(to)], ["node", "n", "to"])
+        held = {}
+        for batch in batches:
+            for n in range(batch.num_rows):
+                row = {name: column[n].as_py() for name, column in zip(batch.schema.names, batch.columns)}
+                for side in "ab":
+                    if held.get(side, (None,))[0] != row[f"{side}_block"]:
+                        held[side] = row[f"{side}_block"], _Block(row, side, kind)
+                left, right, same = held["a"][1], held["b"][1], row["a_block"] == row["b_block"]
+                nodes = left.nodes if same else np.concatenate([left.nodes, right.nodes])
+                copies = left.copies if same else np.concatenate([left.copies, right.copies])
+                found, root = np.zeros(len(nodes), np.int64), np.arange(len(nodes))
+                for i, j in _links(left, right, same, shared.value, similarity, step, slack, chunk):
+                    j = j if same else j + len(left.nodes)
+                    for u, v in ((i, j), (j, i)):
+                        found += np.bincount(u, copies[v], len(nodes)).astype(np.int64)
+                    root = _join(root, i, j)
+                some = np.flatnonzero(found)
+                if len(some):
+                    least = nodes.copy()
+                    np.minimum.at(least, root, nodes)
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array(found[some]), pa.array(least[root[some]])], ["node", "n", "to"])
 
     return run
 
 
 def _linked(nodes: DataFrame, similarity: float, slack: float | None) -> DataFrame:
-    """(node, n, to) rows of all block products."""
+    """(node, n, to) rows of all pairs of blocks."""
     spark = nodes.sparkSession
-    centres = _centres(nodes)
-    if centres is None:
+    fitted = _centres(nodes)
+    if fitted is None:
         return spark.createDataFrame([], "node long, n long, to long")
-    slack = (2 - 2 * similarity) ** 0.5 if slack is None else slack
+    centres, n = fitted
+    step = (2 - 2 * similarity) ** 0.5
     shared = spark.sparkContext.broadcast(centres)
+    narrow = nodes.schema["embedding"].dataType.elementType.typeName() == "float"
     assigned = nodes.select("node", "copies", "width", "embedding").mapInArrow(
-        _assign(shared, slack), "cell long, probe boolean, home long, lower array<int>, node long, copies long, embedding array<double>")
-    assigned = stored(assigned, "cells")
-    # One row per cell, of which there are at most CELLS and one per other length.
-    sizes = F.broadcast(assigned.groupBy("cell").agg(
-        F.ceil(F.sum((~F.col("probe")).cast("int")) / F.lit(BLOCK)).cast("int").alias("blocks"),
-        F.ceil(F.sum(F.col("probe").cast("int")) / F.lit(BLOCK)).cast("int").alias("probe_blocks")).where("blocks > 0"))
-    rows = assigned.join(sizes, "cell")
-    spot = F.xxhash64("node")
-    # Members are blocks 0 .. blocks - 1, probes those after them.
-    block = F.when(F.col("probe"), F.col("blocks") + F.pmod(spot, F.col("probe_blocks"))).otherwise(F.pmod(spot, F.col("blocks"))).cast("int")
-    last = F.when(F.col("probe"), F.col("blocks")).otherwise(F.col("blocks") + F.col("probe_blocks")) - 1
-    rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), last.cast("int"))))
-    i, j = F.least("block", "other"), F.greatest("block", "other")
-    tiles = rows.select("cell", i.alias("i"), j.alias("j"), ((i != j) & (F.col("block") == j)).cast("int").alias("side"),
-                        "node", "copies", "embedding", "home", "lower")
-    dealt = tiles.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-    return dealt.mapInArrow(_compare(similarity), "node long, n long, to long")
+        _assign(shared, narrow), "cell long, node long, copies long, width int, vector binary")
+    row_bytes, cores = (4 if narrow else 8) * centres.shape[1], max(2, spark.sparkContext.defaultParallelism)
+    # Enough blocks for the cores; a part is held once by each task that reads it.
+    most = max(1, min(16 * BLOCK, max(BLOCK, n // (4 * cores)), BLOCK_BYTES // row_bytes))
+    parts = max(1, min(2 * cores, n // (8 * BLOCK)), n * row_bytes // PART_BYTES)
+    spread = assigned.repartitionByRange(parts, "cell", F.xxhash64("node")).sortWithinPartitions("cell")
+    # Pairs of parts are tasks; a session that deals rows to more parts gets no more of them.
+    blocks = spread.coalesce(parts).mapInArrow(_packed(most, BLOCK_BYTES), "width int, cells binary, nodes binary, copies binary, vectors binary")
+    blocks = cut(blocks.withColumn("block", F.monotonically_increasing_id()))
+    left, right = (blocks.select(*[F.col(c).alias(f"{side}_{c}") for c in blocks.columns]) for side in "ab")
+    # Each pair of blocks once, shared out evenly to both orders of their parts.  Tasks read two
+    # parts of the written table; no copy of a vector is shuffled.
+    a, b = F.col("a_block"), F.col("b_block")
+    odd = (a + F.shiftright(a, 33) + b + F.shiftright(b, 33)) % 2 == 1
+    pairs = left.hint("shuffle_replicate_nl").join(right, (F.col("a_width") - F.col("b_width") == 0) & ((a == b) | ((a != b) & ((a < b) == odd))))
+    return pairs.mapInArrow(_compare(shared, narrow, similarity, step, step if slack is None else slack, BLOCK), "node long, n long, to long")
 
 
 def near_duplicates(vectors: DataFrame, similarity: float = SIMILARITY, slack: float | None = None) -> DataFrame:
@@ -214,9 +278,10 @@ def near_duplicates(vectors: DataFrame, similarity: float = SIMILARITY, slack: f
     prepare(vectors.sparkSession)
     e = F.col("embedding").cast("array<double>")
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = vectors.select("vec_id", e.alias("embedding"))
-    rows = stored(rows.withColumn("valid", F.coalesce(finite & F.exists("embedding", lambda x: x != 0), F.lit(False))).select(
-        "vec_id", "valid", F.xxhash64("embedding").alias("k1"), F.xxhash64(F.lit(1), "embedding").alias("k2"), "embedding"), "vectors")
+    # Single precision is kept as it is; as doubles every table would be twice as large.
+    narrow = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    rows = vectors.select("vec_id", (F.col("embedding") if narrow else e).alias("embedding"), F.xxhash64(e).alias("k1"), F.xxhash64(F.lit(1), e).alias("k2"))
+    rows = stored(rows.withColumn("valid", F.coalesce(finite & F.exists("embedding", lambda x: x != 0), F.lit(False))), "vectors")
     nodes = rows.where("valid").groupBy("k1", "k2").agg(
         F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding"))
     nodes = stored(nodes.withColumns({"node": F.monotonically_increasing_id(), "width": F.size("embedding")}), "nodes")

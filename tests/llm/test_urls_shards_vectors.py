@@ -1,6 +1,7 @@
 """Host reputation, jump hashing and embedding groups against brute force."""
 
 import math
+import os
 import tempfile
 import zlib
 from collections import Counter
@@ -162,3 +163,16 @@ def test_very_small_and_very_large_vectors(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     got = sorted((r.vec_id, r.n_links, r.component_id) for r in K.near_duplicates(df).collect())
     assert got == [(1, 2, 1), (2, 2, 1), (3, 1, 3), (4, 1, 3), (5, 2, 1), (6, 0, 6)]
+
+
+def test_disk_is_in_proportion_to_the_vectors(spark):
+    """Vectors without near ones lie within reach of very many cells; none is written once for each."""
+    def written():
+        top = spark.sparkContext.getCheckpointDir().removeprefix("file:").rsplit("/", 1)[0]
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(top) for f in files)
+
+    vectors = np.random.default_rng(4).normal(size=(4000, 64)).astype(np.float32)
+    rows = frame(spark, [(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    before = written()
+    assert K.near_duplicates(rows).agg({"n_links": "sum"}).first()[0] == 0
+    assert written() - before < 6 * vectors.nbytes
