@@ -11,10 +11,12 @@ them without a pass of their own.  Tasks add up in NumPy, the tables are added b
 in a tree of bounded fan-in and splits are chosen where the sums are (``boosting``).  A pass takes
 as many nodes as fit ``TABLE_BYTES``; the driver gets a node's split and holds the model.
 
-``forest_shares`` (M10) is for trees as deep as the rows allow, whose nodes grow with the table: only
-nodes of more than ``SMALL`` drawn rows are split in such passes.  The rows of the others are
-shuffled by (tree, node), the rest of the tree is grown there, and the rows to be predicted,
-shuffled alike, are placed in it at once, so that no place holds the whole model.
+``forest_shares`` (M10) is for trees as deep as the rows allow, whose nodes grow with the table.  While
+both tables fit a task (``WHOLE_BYTES``) each goes once to every group of trees, whose task grows its trees
+one after the other and adds up the shares of the rows to be predicted.  Larger tables: only nodes
+of more rows than fit a task are split in passes as above; the rows of the others are shuffled by (tree, node), the
+rest of the tree is grown there, and the rows to be predicted, shuffled alike, are placed in it at once.  No
+place holds the whole model.  In a task all open nodes of a level are split together, on arrays.
 """
 
 from __future__ import annotations
@@ -36,11 +38,15 @@ from .boosting import MIN_GAIN, Tree, _binned, _chosen, _missing, _spans, _store
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need not have the package
 
 TABLE_BYTES = 16 << 20
-SMALL = 4096
+SMALL = 1 << 20
 SLICE = 256
+CHUNK = 1 << 14
+WHOLE_BYTES = 64 << 20
 TASK_BYTES = 64 << 20
 ROUND_BYTES = 2 << 30
 UNIT = 1 << 40
+GROUPS = pa.schema([("part", pa.int32()), ("asked", pa.bool_()), ("bins", pa.binary()), ("numbers", pa.binary()), ("keys", pa.binary())])
+GROUPS_SQL = "part int, asked boolean, bins binary, numbers binary, keys binary"
 DEALT = pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("asked", pa.bool_()), ("bins", pa.binary()), ("numbers", pa.binary()), ("times", pa.binary())])
 DEALT_SQL = "tree int, node int, asked boolean, bins binary, numbers binary, times binary"
 POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(16)])
@@ -70,6 +76,74 @@ def chosen_features(seed: int, tree: int, node: int, width: int, m: int) -> np.n
     return np.sort(np.random.default_rng([seed, tree, node]).choice(width, m, replace=False))
 
 
+def _step(high: np.ndarray, low: np.ndarray, add: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """The next 128-bit states of PCG64, as halves."""
+    a, b, half, mask = np.uint64(0x2360ED051FC65DA4), np.uint64(0x4385DF649FCCF645), np.uint64(32), np.uint64(0xFFFFFFFF)
+    p, q, r, t = low & mask, low >> half, b & mask, b >> half
+    x, y = p * r, q * r
+    z = p * t + (x >> half)
+    upper = q * t + (z >> half) + (((z & mask) + y) >> half) + low * a + high * b
+    lower = low * b + add[1]
+    return upper + add[0] + (lower < add[1]).astype(np.uint64), lower
+
+
+def features_of_nodes(seed: int, tree: int, nodes: np.ndarray, width: int, m: int) -> np.ndarray:
+    """``chosen_features`` of many nodes: the same steps of NumPy's generator on arrays.  The few that
+    it draws again, and numbers or widths beyond its short form, are asked one by one."""
+    nodes = np.asarray(nodes, np.int64)
+    out = np.zeros((len(nodes), m), np.int64)
+    alone = (nodes < 0) | (nodes >> 32 > 0)
+    if width > 10_000 or not (0 <= seed < 1 << 32 and 0 <= tree < 1 << 32):
+        alone[:] = True
+    else:
+        shift, mix_l, mix_r = np.uint32(16), np.uint32(0xCA01F9DD), np.uint32(0x4973F715)
+
+        def constants(first, factor):
+            while True:
+                after = first * factor & 0xFFFFFFFF
+                yield np.uint32(first), np.uint32(after)
+                first = after
+
+        def hashed(value, pair):
+            value = (value ^ pair[0]) * pair[1]
+            return value ^ (value >> shift)
+
+        with np.errstate(over="ignore"):
+            pairs = constants(0x43B0D7E5, 0x931E8875)
+            words = [np.full(len(nodes), seed, np.uint32), np.full(len(nodes), tree, np.uint32), nodes.astype(np.uint32), np.zeros(len(nodes), np.uint32)]
+            pool = [hashed(w, next(pairs)) for w in words]
+            for i in range(4):
+                for j in range(4):
+                    if i != j:
+                        mixed = mix_l * pool[j] - mix_r * hashed(pool[i], next(pairs))
+                        pool[j] = mixed ^ (mixed >> shift)
+            pairs = constants(0x8B51F9DD, 0x58F38DED)
+            state = [hashed(pool[i % 4], next(pairs)).astype(np.uint64) for i in range(8)]
+            start = [state[i] | state[i + 1] << np.uint64(32) for i in range(0, 8, 2)]
+            one = np.uint64(1)
+            add = start[2] << one | start[3] >> np.uint64(63), start[3] << one | one
+            low = start[1] + add[1]
+            high, low = _step(start[0] + add[0] + (low < add[1]).astype(np.uint64), low, add)
+            held = []
+            for place, top in enumerate(range(width - m, width)):
+                value = np.zeros(len(nodes), np.uint64)
+                if top:
+                    if not held:
+                        high, low = _step(high, low, add)
+                        turn, word = high >> np.uint64(58), high ^ low
+                        word = word >> turn | word << (np.uint64(64) - turn & np.uint64(63))
+                        held = [word >> np.uint64(32), word & np.uint64(0xFFFFFFFF)]
+                    scaled = held.pop() * np.uint64(top + 1)
+                    alone |= (scaled & np.uint64(0xFFFFFFFF)) < np.uint64(((1 << 32) - top - 1) % (top + 1))
+                    value = scaled >> np.uint64(32)
+                value = value.astype(np.int64)
+                taken = (out[:, :place] == value[:, None]).any(axis=1)
+                out[:, place] = np.where(taken, top, value)
+    for i in np.flatnonzero(alone):
+        out[i] = chosen_features(seed, tree, int(nodes[i]), width, m)
+    return np.sort(out, axis=1)
+
+
 def _purity(counts: np.ndarray) -> np.ndarray:
     """Sum of squared class weights over their sum, 0 without rows: weight minus Gini impurity."""
     total = counts.sum(axis=-1)
@@ -249,34 +323,163 @@ def _by_levels(rows: DataFrame, grown: list[_Grown], scale: list, max_depth: int
     return left_small
 
 
+def _class_splits(table: np.ndarray, scale: np.ndarray, min_leaf: float):
+    """``_node_splits`` of counts with the classes first (classes x nodes x features x bins): gain, place,
+    bin, missing left, counts of the nodes and of their left sides (classes x nodes)."""
+    k, n, m, n_bins = table.shape
+
+    def purity(counts):
+        weights = [c * w for c, w in zip(counts, scale)]
+        total, squares = weights[0], weights[0] ** 2
+        for w in weights[1:]:
+            total, squares = total + w, squares + w ** 2
+        return squares / np.where(total > 0, total, 1)
+
+    every = table.sum(axis=3)
+    before, lefts, best = purity(every)[..., None], np.cumsum(table[..., :-2], axis=3), None
+    for missing_left in (False, True) if table[..., -1].any() else (False,):
+        left = lefts + table[..., -1:] if missing_left else lefts
+        right = every[..., None] - left
+        gain = purity(left) + purity(right) - before
+        gain[(left.sum(axis=0) < min_leaf) | (right.sum(axis=0) < min_leaf)] = -np.inf
+        flat = gain.reshape(n, -1)
+        at = flat.argmax(axis=1)
+        f, b = np.divmod(at, n_bins - 2)
+        here = [flat[np.arange(n), at], f, b, np.full(n, missing_left), left[:, np.arange(n), f, b]]
+        best = here if best is None else [np.where(here[0] > best[0], x, y) for x, y in zip(here, best)]
+    return *best[:4], every[:, :, 0], best[4]
+
+
+def _level_splits(bins, y, times, order, sizes, chosen, scale, n_bins: int, min_leaf: float):
+    """The best splits of nodes whose rows follow each other in ``order``, some nodes at a time."""
+    k, m = len(scale), chosen.shape[1]
+    ends, flat, width = np.cumsum(sizes), bins.ravel(), bins.shape[1]
+    column = np.arange(m) * n_bins
+    for first in range(0, len(sizes), SLICE):
+        last = min(first + SLICE, len(sizes))
+        n, begin = last - first, ends[first] - sizes[first]
+        table = np.zeros(k * n * m * n_bins)
+        of = np.repeat(np.arange(n), sizes[first:last])
+        for start in range(0, len(of), CHUNK):
+            at = of[start:start + CHUNK]
+            rows = order[begin + start:begin + start + len(at)]
+            spot = chosen[first:last].take(at, axis=0)
+            spot += (rows * width)[:, None]
+            cell = ((y.take(rows) * n + at) * (m * n_bins))[:, None] + column
+            cell += flat.take(spot)
+            table += np.bincount(cell.ravel(), np.repeat(times.take(rows), m), len(table))
+        yield _class_splits(table.reshape(k, n, m, n_bins), scale, min_leaf)
+
+
 def _subtree(bins: np.ndarray, y: np.ndarray, times: np.ndarray, place: int, scale: np.ndarray, max_depth: int,
-             m: int, n_bins: int, min_leaf: float, pick) -> Tree:
+             n_bins: int, min_leaf: float, pick) -> Tree:
     """The tree below a place of the full binary tree on the rows drawn there, down to the level
-    ``max_depth`` of the whole tree; ``pick`` chooses the features of a place."""
-    k, depth = len(scale), place.bit_length() - 1
-    grown, at, open_nodes = _Grown(k, place), np.zeros(len(y), np.int64), [0]
-    grown.columns["value"][0] = _shares(np.bincount(y, times, k) * scale)
-    while open_nodes and depth < max_depth:
-        later = []
-        for start in range(0, len(open_nodes), SLICE):
-            mine = open_nodes[start:start + SLICE]
-            slot = np.full(len(grown.places), -1)
-            slot[mine] = np.arange(len(mine))
-            chosen = np.array([pick(grown.places[n]) for n in mine])
-            use = np.flatnonzero(slot[at] >= 0)
-            here = slot[at[use]]
-            cell = ((here[:, None] * m + np.arange(m)) * n_bins + bins[use[:, None], chosen[here]]) * k + y[use, None]
-            table = np.bincount(cell.ravel(), np.repeat(times[use], m), len(mine) * m * n_bins * k).reshape(-1, m, n_bins, k)
-            for node, features, split in zip(mine, chosen, _node_splits(table, scale, min_leaf)):
-                later += [child for child, _ in grown.divide(node, features, split, scale, min_leaf)]
-        tree = grown.tree()
-        moved = np.flatnonzero((tree.feature >= 0)[at])
-        node = at[moved]
-        b = bins[moved, tree.feature[node]]
-        left = np.where(b == n_bins - 1, tree.missing_left[node], b <= tree.bin[node])
-        at[moved] = np.where(left, tree.left[node], tree.right[node])
-        open_nodes, depth = later, depth + 1
-    return grown.tree()
+    ``max_depth`` of the whole tree; ``pick`` chooses the features of places.  Every step is on arrays
+    of all open nodes of a level, whose rows are kept together."""
+    k, depth, missing = len(scale), place.bit_length() - 1, n_bins - 1
+
+    def shares(counts):
+        weights = (counts * scale[:, None]).T
+        return weights / np.maximum(weights.sum(axis=1), 1e-300)[:, None]
+
+    def leaves(n):
+        return {"feature": np.full(n, -1), "bin": np.zeros(n, np.int64), "missing_left": np.zeros(n, bool), "left": np.zeros(n, np.int64),
+                "right": np.zeros(n, np.int64), "gain": np.zeros(n)}
+
+    levels, total = [leaves(1) | {"value": shares(np.bincount(y, times, k)[:, None])}], 1
+    # Of the open nodes: their row in the last level, place and number of rows.
+    at, places, sizes, order = np.array([0]), np.array([place], np.int64), np.array([len(y)]), np.arange(len(y))
+    while len(at) and depth < max_depth:
+        chosen = pick(places)
+        gain, f, b, missing_left, every, left = (np.concatenate(x, axis=-1) for x in zip(
+            *_level_splits(bins, y, times, order, sizes, chosen, scale, n_bins, min_leaf)))
+        split = np.flatnonzero(gain > MIN_GAIN)
+        if not len(split):
+            break
+        feature = chosen[split, f[split]]
+        new = total + np.arange(2 * len(split))
+        for name, v in (("feature", feature), ("bin", b[split]), ("missing_left", missing_left[split]), ("gain", gain[split]),
+                        ("left", new[::2]), ("right", new[1::2])):
+            levels[-1][name][at[split]] = v
+        counts = np.stack([left[:, split], every[:, split] - left[:, split]], axis=2).reshape(k, -1)
+        levels.append(leaves(2 * len(split)) | {"value": shares(counts)})
+        total += 2 * len(split)
+        open_ = (np.count_nonzero(counts, axis=0) > 1) & (counts.sum(axis=0) >= 2 * min_leaf)
+        # Rows of split nodes, each node's left ones first.
+        kept = np.repeat(gain > MIN_GAIN, sizes)
+        order, of = order[kept], np.repeat(np.arange(len(split)), sizes[split])
+        value = bins.ravel().take(order * bins.shape[1] + feature[of])
+        goes = np.where(value == missing, missing_left[split][of], value <= b[split][of])
+        n_left = np.bincount(of, goes, len(split)).astype(np.int64)
+        child = np.stack([n_left, sizes[split] - n_left], axis=1).ravel()
+        begin = np.cumsum(child) - child
+        ranks = np.cumsum(goes)
+        before = np.append(0, np.cumsum(n_left))[:-1]
+        here = np.arange(len(of))
+        to = np.where(goes, begin[::2][of] + ranks - 1 - before[of], begin[1::2][of] + (here - begin[::2][of]) - (ranks - before[of]))
+        moved = np.empty_like(order)
+        moved[to] = order
+        order = moved[np.repeat(open_, child)]
+        at, sizes = np.flatnonzero(open_), child[open_]
+        places = np.stack([2 * places[split], 2 * places[split] + 1], axis=1).ravel()[open_]
+        depth += 1
+    return Tree(**{name: np.concatenate([x[name] for x in levels]) for name in levels[0]})
+
+
+def _in_groups(rows: DataFrame, asked: DataFrame, features: str, edges, trees: int, groups: int, width: int, scale: np.ndarray, max_depth: int,
+               n_bins: int, min_leaf: float, pick) -> DataFrame:
+    """(_row, sums of shares) per group of trees: both tables, packed, go to each of ``groups`` tasks, which
+    grow their trees one after the other and add up the shares of every row to be predicted."""
+    missing, k = n_bins - 1, len(scale)
+
+    def dealt(bins, numbers, keys):
+        for g in range(groups):
+            yield pa.RecordBatch.from_pylist([dict(zip(GROUPS.names, (g, keys is None, bins.tobytes(), numbers.tobytes(), b"" if keys is None else keys.tobytes())))], GROUPS)
+
+    def learned(batches):
+        for b in batches:
+            yield from dealt(_unpacked(b.column(0), width), b.column(1).to_numpy(), b.column(2).to_numpy())
+
+    def to_place(batches):
+        for b in batches:
+            yield from dealt(_to_bins(b.column(0), edges, missing), b.column(1).to_numpy(), None)
+
+    def together(held):
+        bins, numbers, keys = (b"".join(x) for x in zip(*held)) if held else (b"", b"", b"")
+        held.clear()
+        return np.frombuffer(bins, np.uint8).reshape(-1, width), np.frombuffer(numbers, np.int64), np.frombuffer(keys, np.int64)
+
+    def shares_of(group, learn, check):
+        bins, y, keys = together(learn)
+        asked_bins, row, _ = together(check)
+        if not len(row):
+            return
+        sums = np.zeros((len(row), k), np.int64)
+        for t in range(group, trees, groups):
+            times = draws(keys, t)
+            use = np.flatnonzero(times)
+            tree = _subtree(bins[use], y[use], times[use].astype(float), 1, scale, max_depth, n_bins, min_leaf, lambda places: pick(t, places))
+            sums += np.round(tree.value * UNIT).astype(np.int64)[tree.place(asked_bins, missing)]
+        for start in range(0, len(row), CHUNK):
+            part = slice(start, start + CHUNK)
+            yield pa.RecordBatch.from_arrays([pa.array(row[part]), *(pa.array(sums[part, i]) for i in range(k))], ["_row", *(f"share_{i}" for i in range(k))])
+
+    def grown(batches):
+        at, held = None, ([], [])
+        for b in batches:
+            for r in b.to_pylist():
+                if r["part"] != at:
+                    if at is not None:
+                        yield from shares_of(at, *held)
+                    at, held = r["part"], ([], [])
+                held[r["asked"]].append((r["bins"], r["numbers"], r["keys"]))
+        if at is not None:
+            yield from shares_of(at, *held)
+
+    both = rows.mapInArrow(learned, GROUPS_SQL).unionByName(
+        asked.select(F.col(features).cast("array<double>"), "_row").mapInArrow(to_place, GROUPS_SQL))
+    # By range, so that each group has a task of its own.
+    return both.repartitionByRange(groups, "part").sortWithinPartitions("part").mapInArrow(grown, f"_row long, {', '.join(f'share_{i} long' for i in range(k))}")
 
 
 def forest_shares(train: DataFrame, test: DataFrame, features: str, label: str, id_col: str, width: int, trees: int = 800,
@@ -304,23 +507,29 @@ def forest_shares(train: DataFrame, test: DataFrame, features: str, label: str,
     rows = _stored(_binned(train, features, edges, {"y": code.cast("long"), "key": F.xxhash64(F.col(id_col), F.lit(int(seed)))}), "forest")
     asked = _stored(test.withColumn("_row", F.monotonically_increasing_id()), "forest")
 
-    def pick(t, place):
-        return chosen_features(seed, t, place, width, m)
+    def pick(t, places):
+        return features_of_nodes(seed, t, places, width, m)
 
+    small_rows = min(SMALL, max(4096, WHOLE_BYTES // (width + 16)))  # a task holds them
+    of_a_tree = max(1, (n_train + asked.count()) * (width + 16))
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    if n_train <= small_rows and of_a_tree <= WHOLE_BYTES:
+        groups = max(1, min(trees, 3 * cores, max(cores, ROUND_BYTES // of_a_tree)))
+        found = _in_groups(rows, asked, features, edges, trees, groups, width, scale, max_depth, n_bins, min_leaf, pick)
+        total = _stored(found, "forest")
+        return _averaged(asked, total, classes, trees, out_col, prob_col)
     grown = [_Grown(k) for _ in range(trees)]
-    if n_train <= SMALL:
+    if n_train <= small_rows:
         small = [(t, 0) for t in range(trees)]
     else:
         small = _by_levels(rows, grown, [scale] * trees, max_depth, width, m, n_bins, missing, min_leaf,
-                           lambda t, node: pick(t, grown[t].places[node]), SMALL)
+                           lambda t, node: pick(t, [grown[t].places[node]])[0], small_rows)
     tops = [g.tree() for g in grown]
     unfinished = [np.zeros(len(t.feature), bool) for t in tops]
     for t, node in small:
         unfinished[t][node] = True
     places = [np.array(g.places) for g in grown]
-    of_a_tree = max(1, (n_train + asked.count()) * (width + 16))
     at_once = max(1, ROUND_BYTES // of_a_tree)
-    cores = train.sparkSession.sparkContext.defaultParallelism
     shares = ", ".join(f"share_{i} long" for i in range(k))
     sums = []
     for start in range(0, trees, at_once):
@@ -376,7 +585,7 @@ def forest_shares(train: DataFrame, test: DataFrame, features: str, label: str,
                         continue
                     if tree is None and held:
                         bins, y, times = unpacked(*zip(*held))
-                        tree, held = _subtree(bins, y, times, int(places[t][node]), scale, max_depth, m, n_bins, min_leaf, lambda p: pick(t, p)), []
+                        tree, held = _subtree(bins, y, times, int(places[t][node]), scale, max_depth, n_bins, min_leaf, lambda p: pick(t, p)), []
                     bins, row, _ = unpacked([r["numbers"]], [r["bins"]], [])
                     value = tree.value[tree.place(bins, missing)] if tree else np.broadcast_to(tops[t].value[node], (len(row), k))
                     whole = np.round(value * UNIT).astype(np.int64)
@@ -388,7 +597,13 @@ def forest_shares(train: DataFrame, test: DataFrame, features: str, label: str,
         both = learned.unionByName(placed).repartition(n, "tree", "node").sortWithinPartitions("tree", "node", "asked")
         found = both.mapInArrow(shares_of, f"_row long, {shares}")
         sums.append(_stored(found.groupBy("_row").agg(*[F.sum(f"share_{i}").alias(f"share_{i}") for i in range(k)]), "forest"))
-    total = reduce(DataFrame.unionByName, sums).groupBy("_row").agg(
+    return _averaged(asked, reduce(DataFrame.unionByName, sums), classes, trees, out_col, prob_col)
+
+
+def _averaged(asked: DataFrame, sums: DataFrame, classes: list, trees: int, out_col: str, prob_col: str) -> DataFrame:
+    """``asked`` with the mean of its rows' sums of shares and the class of the largest."""
+    k = len(classes)
+    total = sums.groupBy("_row").agg(
         F.array(*[F.sum(f"share_{i}") / F.lit(float(UNIT) * trees) for i in range(k)]).alias(prob_col))
     best = F.array_position(prob_col, F.array_max(prob_col)).cast("int")
     return asked.join(total, "_row", "left").drop("_row").withColumn(out_col, F.element_at(F.array(*[F.lit(c) for c in classes]), best))

@@ -204,3 +204,21 @@ def test_the_driver_gets_splits_not_tables(spark, monkeypatch):
     model = R.balanced_forest(df.repartition(20), "x", "label", "id", 5, trees=6, max_depth=3)
     assert got and all(len(t.feature) > 1 for t in model.trees)
     assert sum(sum(len(a) for a in sums) for sums in got) <= sum(len(t.feature) for t in model.trees) * (4 + 2 * 2)
+
+
+@pytest.mark.parametrize("seed, tree, width, m", [(42, 0, 64, 8), (9, 3, 5, 2), (7, 799, 3, 3), (0, 0, 1, 1), (42, 1, 300, 17)])
+def test_features_of_many_nodes_are_those_of_each(seed, tree, width, m):
+    nodes = np.r_[np.arange(200), np.random.default_rng(1).integers(1, 1 << 31, 300), [(1 << 32) - 1, 1 << 32, 1 << 40]]
+    got = R.features_of_nodes(seed, tree, nodes, width, m)
+    assert got.tolist() == [R.chosen_features(seed, tree, int(n), width, m).tolist() for n in nodes]
+
+
+def test_tables_that_fit_a_task_need_no_pass_over_the_rows(spark, monkeypatch):
+    """Each task gets the rows once for all its trees; passes and one copy of the rows a tree are for larger
+    tables, with the same shares."""
+    _, df = frame(spark, 5000)
+    monkeypatch.setattr(R, "SMALL", 1500)
+    want = shares(spark, df, trees=5, seed=9, max_bins=12)
+    monkeypatch.undo()
+    monkeypatch.setattr(R, "_by_levels", lambda *a, **k: pytest.fail("a pass over all rows"))
+    assert shares(spark, df, trees=5, seed=9, max_bins=12) == want
